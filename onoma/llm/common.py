@@ -84,7 +84,7 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[d
         at = bounds(cols)
         if len(at) > 2:
             yield {c: v.slice(0, at[-2]) for c, v in cols.items()}, at[:-1]
-        rest = [pa.RecordBatch.from_arrays([v.slice(at[-2]) for v in cols.values()], list(cols))]
+        rest = [pa.RecordBatch.from_arrays([v.slice(at[-2]) for v in cols.values()], schema=b.schema)]
     if rest:
         cols = columns(rest)
         yield cols, bounds(cols)

@@ -92,7 +92,7 @@ class Parser:
             self.roots.append(at)
             self.bits.append(np.log2(len(text) + 1))
             at += len(go)
-        self.table = np.concatenate(tables).ravel()
+        self.table = np.concatenate([*tables, np.zeros((0, self.width), np.int32)]).ravel()
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: phrases of each language (languages x texts), symbols, letters."""

@@ -131,7 +131,7 @@ def _verify(max_diff: int):
             for g in np.flatnonzero(sizes > 1):
                 lo, hi = at[g], at[g + 1]
                 left = np.arange(lo, hi)
-                while len(left) > 1:  # breadth first: each found node is linked to the one it was found from
+                while len(left) > 1:  # each found node is linked to the one it was found from
                     queue, left = [left[0]], left[1:]
                     while queue and len(left):
                         x = queue.pop()
@@ -155,8 +155,7 @@ def links(classes: DataFrame, max_diff: int = MAX_DIFF, parts: int = PARTS, buck
 
     Within a bucket only a spanning forest of the links is returned, so rows stay below the probes.
     """
-    spark = classes.sparkSession
-    n, both = 0, np.zeros((BITS, BITS))
+    both = np.zeros((BITS, BITS))
     stats = classes.select("fp").mapInArrow(_co_occurrence, "i long, j long, s long").groupBy("i", "j").agg(F.sum("s").alias("s"))
     for i, j, s in stats.collect():  # 64 x 64 numbers
         both[i, j] = s
@@ -184,17 +183,20 @@ def links(classes: DataFrame, max_diff: int = MAX_DIFF, parts: int = PARTS, buck
         keys = own if keys is None else keys.unionByName(own)
         if t > 0:
             flips = F.array(*[F.lit(x) for x in _flips(g, t)])
-            keys = keys.unionByName(classes.select(F.lit(m).alias("mask"), F.explode(F.transform(flips, lambda x, m=m: val(m).bitwiseXOR(x))).alias("val"), "fp", "rep", F.lit(1).alias("role")))
+            near = classes.select(F.lit(m).alias("mask"), F.explode(flips).alias("flip"), "fp", "rep", F.lit(1).alias("role"))
+            keys = keys.unionByName(near.withColumn("val", val(m).bitwiseXOR(F.col("flip"))).drop("flip"))
     small = None
     known = sorted(masks)
     while True:
-        big = checkpoint(keys.groupBy("mask", "val").count().where(F.col("count") > bucket).select("mask", "val"))
+        # With so few free bits a bucket of distinct fingerprints is small, and too narrow to split.
+        wide = [m for m in known if bin(~m & (1 << BITS) - 1).count("1") > max_diff + 1]
+        big = checkpoint(keys.groupBy("mask", "val").count().where((F.col("count") > bucket) & F.col("mask").isin(wide)).select("mask", "val"))
         if big.isEmpty():
             small = keys if small is None else small.unionByName(keys)
             break
         ok = keys.join(big, ["mask", "val"], "left_anti")
         small = ok if small is None else small.unionByName(ok)
-        blocks = {m: b for m in known if (b := free_blocks(m, max_diff))}
+        blocks = {m: free_blocks(m, max_diff) for m in wide}
         known = sorted({_signed((m | x) & (1 << 64) - 1) for m, b in blocks.items() for x in b})
         of = F.create_map(*[x for m, b in blocks.items() for x in (F.lit(m), F.array(*[F.lit(y) for y in b]))])
         keys = (
@@ -203,10 +205,7 @@ def links(classes: DataFrame, max_diff: int = MAX_DIFF, parts: int = PARTS, buck
             .select(F.col("mask").bitwiseOR(F.col("block")).alias("mask"), F.col("val").bitwiseOR(F.col("fp").bitwiseAND(F.col("block"))).alias("val"), "fp", "rep", "role")
             .distinct()
         )
-        if not blocks:
-            raise RuntimeError("a bucket holds equal fingerprints: classes must be distinct")
     found = small.repartition("mask", "val").sortWithinPartitions("mask", "val").mapInArrow(_verify(max_diff), "u long, v long")
-    assert spark is not None
     return found
 
 
