@@ -49,6 +49,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts are long: no batch that goes to Python holds more rows than this."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of WORD, as UTF-8: bytes.split() cuts at just these six characters."""
     return text.encode("utf-8", "replace").split() if text else []

@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from onoma.llm.common import small_batches
+
 UNDETERMINED = "und"
 #: Bounds of the training sample: texts and symbols of a language, languages.
 TEXTS, SYMBOLS, LANGUAGES = 60, 20_000, 500
-SEGMENT, BLOCK = 1024, 3_000_000
+SEGMENT, BLOCK = 1024, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -178,6 +180,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     Null texts and texts without a letter are `und` with score 0, as is every text if the model knows no language;
     empty tables stay empty; repeated rows are judged alike.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

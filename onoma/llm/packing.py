@@ -17,38 +17,56 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import stash
+from onoma.llm.common import small_batches, stash
 
 WINDOW, SPACES, END_ID = 2048, 64, 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a task remembers, and open tasks that one task merges.
-CACHE, FAN_IN = 400_000, 32
+CACHE, FAN_IN = 150_000, 32
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, open boolean"
-_SPACE = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+#: Stands between words that are encoded in one go; words that hold it are encoded alone.
+_MARK = "\x01"
 
 
 class Encoder:
     """ids of texts, uint32: the tokenizer's own, found word by word.
 
-    The vocabulary's rules never join across ASCII white space, so each run between blanks has its own ids; those of
-    frequent runs are remembered.
+    The vocabulary's rules never join across ASCII white space and know no case, so each run between blanks has its own
+    ids; those of frequent runs are remembered. Runs that are not known yet are encoded many at a time.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def split(self, text: str | None) -> list[bytes]:
+        raw = (text or "").encode("utf-8", "replace")
+        return (raw if b"<|" in raw else raw.lower()).split()  # control tokens are told by their case
+
+    def learn(self, new: list[bytes]) -> None:
+        known, encode = self.known, self.tokenizer.encode_batch_fast
+        alone = [w for w in new if self.mark is None or b"\x01" in w or b"<|" in w]
+        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(alone, encode([w.decode() for w in alone], add_special_tokens=False), strict=True))
+        new = [w for w in new if w not in known]
+        for at in range(0, len(new), 25_000):
+            groups = [new[k : k + 500] for k in range(at, min(at + 25_000, len(new)), 500)]
+            for group, e in zip(groups, encode([b" \x01 ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                end = 4 * np.append(np.flatnonzero(ids == self.mark), len(ids))
+                begin = np.append(0, end[:-1] + 4)
+                raw = ids.tobytes()
+                known.update((w, raw[i:j]) for w, i, j in zip(group, begin.tolist(), end.tolist(), strict=True))
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(x or "").translate(_SPACE).split(" ") for x in texts]
+        split = [self.split(x) for x in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        known = self.known
-        new = list({w for ws in split for w in ws}.difference(known))
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True))
-        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in split]
+        if new := set().union(*split).difference(self.known):
+            self.learn(list(new))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), "<u4") for ws in split]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -125,7 +143,7 @@ class Packer:
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset", "open"])
 
 
-def _blocks(batch: pa.RecordBatch, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def _blocks(batch: pa.RecordBatch, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in blocks of about so many characters."""
     sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
     at = 0
@@ -184,6 +202,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     documents longer than a window fill windows of their own, their rest is packed; repeated rows and null ids are
     packed like any other; an empty table gives an empty result; other columns are ignored. Only one sequence is short.
     """
+    small_batches(docs.sparkSession)
     done = stash(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_pack(vocabulary, window, spaces, end_id), PIECE), "pieces")
     out, level = done.where("not open").drop("open"), 1
     left = done.where("open").withColumn("task", F.shiftright("sequence_id", 36))

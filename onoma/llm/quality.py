@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from onoma.llm.common import small_batches
+
 #: Bound of the labelled sample.
 SAMPLE = 20_000
 MIN_WORDS, MOST_REPEAT = 50, 50
@@ -73,6 +75,7 @@ def counts(text: str | None) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the columns COUNTS (long); own columns of these names are replaced."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(*COUNTS)
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, runs
+from onoma.llm.common import checkpoint, runs, small_batches
 from onoma.llm.components import connected_components
 
 BITS, SHINGLE, MAX_DIFF, PARTS = 64, 3, 2, 3
@@ -230,6 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint and a null component only if no id has that fingerprint; repeated rows are kept; an empty table gives an empty
     result; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     fps = checkpoint(fingerprints(docs, id_col, text_col))
     classes = checkpoint(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
     comp = connected_components(links(classes, max_diff))
