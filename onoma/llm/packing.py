@@ -8,6 +8,7 @@ the end are merged over ever fewer tasks in the same way.
 from __future__ import annotations
 
 import bisect
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,6 +75,7 @@ _encoders: dict[str, Encoder] = {}
 
 def encoder(path: str | None) -> Encoder:
     """One per Python worker; without a path the public vocabulary of VOCABULARY."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     if path is None:
         import public_tokenizers
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onoma.llm import langid, mixing, packing, quality, simhash
+from onoma.llm import chat, embeddings, langid, licenses, mixing, packing, quality, simhash, tokencount, urls
 from onoma.llm.common import table
 
 
@@ -14,10 +14,24 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = licenses.scan(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "license", F.col("word_at").cast("long").alias("word_at"), F.round("containment", 6).alias("containment"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(*chat.build(rows.unionByName(chat.fixed_case(spark))))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.corpus_counts(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
@@ -39,5 +53,26 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op4_mixing, op6_language_id, op7_quality_rules, op8_packing)}
+#: The rules that op9 applies before the reputations.
+URL_RULES = ["block com/en/", "allow example.com/en/7", "allow net/de/", "block example.net/de/8", "block org/es/"]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document with its id; low quality or toxic counts as bad."""
+    labels = table(spark, sf_dir, "labels")
+    bad = F.when(F.coalesce(F.col("toxic") == 1, F.lit(False)) | F.coalesce(F.col("quality") == 0, F.lit(False)), 1).when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0)
+    return urls.judge(table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), URL_RULES)
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup, op2_license_scan, op3_chat_format, op4_mixing, op5_token_counts,
+        op6_language_id, op7_quality_rules, op8_packing, op9_url_filter, op10_embedding_near_dedup,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
