@@ -8,6 +8,8 @@ retrieved is verified: the share of the notice's shingles that the text has ther
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,7 @@ def masks(bands: int = BANDS) -> list[int]:
 
 def word_list(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+    return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
 
 
 def shingle_hashes(w: Column) -> Column:
@@ -81,22 +82,27 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, id_col: str = "
     wanted = [r[0] for r in table.select("key").distinct().limit(MOST_KEYS + 1).collect()]  # of the notices, not of the corpus
     if len(wanted) > MOST_KEYS:
         raise ValueError("too many notices for one scan: split the list")
-    sought = F.array(*[F.lit(k) for k in wanted]).cast("array<bigint>")
-    rows = docs.select(F.col(id_col).alias("doc_id"), word_list(F.col(text_col)).alias("w")).where(F.size("w") >= SHINGLE)
+    rows = docs.select(F.col(id_col).alias("doc_id"), word_list(F.col(text_col)).alias("w"))
     rows = rows.withColumn("h", shingle_hashes(F.col("w")))
-    at = F.sequence(F.lit(0), F.size("h") - 1, F.lit(STEP))
-    per_window = F.transform(at, lambda i: F.struct(i.alias("at"), F.array(*window_keys(F.col("h"), i)).alias("keys")))
-    hits = F.filter(per_window, lambda x: F.arrays_overlap(x["keys"], sought))
-    rows = rows.withColumn("hits", hits).where(F.size("hits") > 0)
-    found = rows.select("doc_id", "w", F.monotonically_increasing_id().alias("row"), F.explode("hits").alias("hit"))
+
+    def meets(i: Column) -> Column:
+        return functools.reduce(lambda x, y: x | y, [k.isin(wanted) for k in window_keys(F.col("h"), i)])
+
+    at = F.when(F.size("h") > 0, F.sequence(F.lit(0), F.greatest(F.size("h") - 1, F.lit(0)), F.lit(STEP)))
+    # The row number also keeps the filter on hits from being pushed below, where hits would be worked out again.
+    rows = rows.select("doc_id", "w", "h", F.monotonically_increasing_id().alias("row"), F.filter(at, meets).alias("hits")).where(F.size("hits") > 0)
+    found = rows.select("doc_id", "row", "w", "h", F.explode("hits").alias("at"))
     widest = max(len(v.split()) for v in notices.values()) * 2 + 8
-    found = found.select("doc_id", "row", F.col("hit.at").alias("at"), F.explode("hit.keys").alias("key"), F.greatest(F.col("hit.at") - widest, F.lit(0)).alias("lo"), F.slice("w", F.greatest(F.col("hit.at") - widest, F.lit(0)) + 1, 2 * widest).alias("near"))
+    lo = F.greatest(F.col("at") - widest, F.lit(0))
+    found = found.select("doc_id", "row", "at", lo.alias("lo"), F.slice("w", lo + 1, 2 * widest).alias("near"), F.array(*window_keys(F.col("h"), F.col("at"))).alias("keys"))
+    found = found.withColumn("key", F.explode("keys")).drop("keys")
     meet = found.join(F.broadcast(table.withColumnRenamed("at", "own")), "key")  # at most MOST_KEYS rows
-    start = F.greatest(F.col("at") - F.col("own"), F.lit(0))
-    length = F.col("n_words") + F.floor(F.col("n_words") * (1 - CONTAINMENT)).cast("int")  # some words may be put in
-    region = F.slice("near", start - F.col("lo") + 1, length)
-    meet = meet.select("doc_id", "row", "license", "shingles", start.alias("word_at"), region.alias("region"))
-    share = F.size(F.array_intersect("shingles", shingle_texts(F.col("region")))) / F.size("shingles")
-    meet = meet.dropDuplicates(["row", "license", "word_at"]).withColumn("containment", share).where(F.col("containment") >= CONTAINMENT)
+    # The shared shingle stands first or second in either window; some words may be put in.
+    start = F.greatest(F.col("at") - F.col("own") - 1, F.lit(0))
+    length = F.col("n_words") + 2 + F.ceil(F.col("n_words") / 5).cast("int")
+    meet = meet.select("doc_id", "row", "license", "shingles", start.alias("start"), shingle_texts(F.slice("near", start - F.col("lo") + 1, length)).alias("here"))
+    first = F.array_position(F.transform("here", lambda x: F.array_contains("shingles", x)), True) - 1
+    share = F.size(F.array_intersect("shingles", "here")) / F.size("shingles")
+    meet = meet.dropDuplicates(["row", "license", "start"]).select("doc_id", "row", "license", (F.col("start") + first).alias("word_at"), share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
     best = F.max(F.struct("containment", (-F.col("word_at")).alias("back"))).alias("best")
     return meet.groupBy("doc_id", "row", "license").agg(best).select("doc_id", "license", (-F.col("best.back")).alias("word_at"), F.col("best.containment").alias("containment"))
