@@ -9,6 +9,7 @@ retrieved is verified: the share of the notice's shingles that the text has ther
 from __future__ import annotations
 
 import functools
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +31,16 @@ NOTICES = {
 
 
 def masks(bands: int = BANDS) -> list[int]:
-    """XOR masks whose top bits spread evenly: under each, another shingle of a set tends to be the least."""
+    """XOR masks: under each, another shingle of a set tends to be the least.
+
+    The first bits run through all patterns, so that two shingles that differ there each win under half of the masks;
+    the others are a seeded hash.
+    """
+    lead = max(1, (bands - 1).bit_length())
     out = []
     for k in range(bands):
-        x = int(format(k, "08b")[::-1], 2) << 56 | (k * 0x9E3779B97F4A7C15) & ((1 << 56) - 1)
+        rest = int.from_bytes(hashlib.blake2b(b"%d" % k, digest_size=8).digest(), "big") >> lead
+        x = k << (64 - lead) | rest
         out.append(x - (1 << 64) if x >> 63 else x)
     return out
 
