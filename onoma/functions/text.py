@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: the white space that normalisation collapses, as a character class body.
 WS = "\\t\\n\\x0B\\f\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF"
@@ -14,7 +15,7 @@ LATIN_ONLY = f"^[\\u0000-\\u024F{WS}\\-'.]*$"
 CJK = "\\u4E00-\\u9FFF"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a temporary folder only where none is set."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="onoma-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
