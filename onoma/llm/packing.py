@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,43 +24,80 @@ from onoma.llm.common import small_batches, stash
 WINDOW, SPACES, END_ID = 2048, 64, 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a task remembers, and open tasks that one task merges.
-CACHE, FAN_IN = 150_000, 32
+CACHE, FAN_IN = 300_000, 32
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, open boolean"
 #: Stands between words that are encoded in one go; words that hold it are encoded alone.
 _MARK = "\x01"
+#: Plain words: lower-case Latin letters, which the rules leave as they are and never split.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+#: A word and the punctuation behind it, which the rules tell apart; apostrophes may begin a contraction.
+_TAIL = re.compile(rb"(.*[a-z0-9\x80-\xff])([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+)", re.S)
 
 
 class Encoder:
     """ids of texts, uint32: the tokenizer's own, found word by word.
 
     The vocabulary's rules never join across ASCII white space and know no case, so each run between blanks has its own
-    ids; those of frequent runs are remembered. Runs that are not known yet are encoded many at a time.
+    ids; those of frequent runs are remembered. Runs that are not known yet are encoded many at a time: plain words,
+    each of which ends in an end-of-word token, without the steps that would not change them.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[k for w, k in vocab.items() if w.endswith("</w>")]] = True
 
     def split(self, text: str | None) -> list[bytes]:
         raw = (text or "").encode("utf-8", "replace")
         return (raw if b"<|" in raw else raw.lower()).split()  # control tokens are told by their case
 
     def learn(self, new: list[bytes]) -> None:
-        known, encode = self.known, self.tokenizer.encode_batch_fast
-        alone = [w for w in new if self.mark is None or b"\x01" in w or b"<|" in w]
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(alone, encode([w.decode() for w in alone], add_special_tokens=False), strict=True))
-        new = [w for w in new if w not in known]
-        for at in range(0, len(new), 25_000):
-            groups = [new[k : k + 500] for k in range(at, min(at + 25_000, len(new)), 500)]
-            for group, e in zip(groups, encode([b" \x01 ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, "<u4")
-                end = 4 * np.append(np.flatnonzero(ids == self.mark), len(ids))
-                begin = np.append(0, end[:-1] + 4)
-                raw = ids.tobytes()
-                known.update((w, raw[i:j]) for w, i, j in zip(group, begin.tolist(), end.tolist(), strict=True))
+        """Adds new runs of no blanks to what is known."""
+        known, parts = self.known, {}
+        todo = set()
+        for w in new:
+            m = None if b"<|" in w or b"\x01" in w else _TAIL.fullmatch(w)
+            if m and (m[1][-1] < 128 or _PLAIN.fullmatch(m[1].decode())):
+                parts[w] = m.groups()
+                todo.update(m.groups())
+            else:
+                todo.add(w)
+        todo.difference_update(known)
+        plain, other, alone = [], [], []
+        for w in todo:
+            x = w.decode()
+            y = x if x.isascii() else x.lower() if max(x) < "\u0100" else ""
+            if _PLAIN.fullmatch(y):
+                plain.append((w, y))
+            elif self.mark is None or "<|" in x or _MARK in x:
+                alone.append((w, x))
+            else:
+                other.append((w, x))
+        for tok, pairs, size, glue in ((self.plain, plain, 500, " "), (self.tokenizer, other, 500, f" {_MARK} "), (self.tokenizer, alone, 1, "")):
+            for at in range(0, len(pairs), 50 * size):
+                groups = [pairs[k : k + size] for k in range(at, min(at + 50 * size, len(pairs)), size)]
+                got = tok.encode_batch_fast([glue.join(y for _, y in g) for g in groups], add_special_tokens=False)
+                for group, e in zip(groups, got, strict=True):
+                    ids = np.array(e.ids, "<u4")
+                    if size == 1:
+                        begin, end = np.zeros(1, np.int64), np.full(1, 4 * len(ids))
+                    elif tok is self.plain:
+                        end = 4 * np.flatnonzero(self.ends[ids]) + 4
+                        begin = np.append(0, end[:-1])
+                    else:
+                        end = 4 * np.append(np.flatnonzero(ids == self.mark), len(ids))
+                        begin = np.append(0, end[:-1] + 4)
+                    raw = ids.tobytes()
+                    known.update((w, raw[i:j]) for (w, _), i, j in zip(group, begin.tolist(), end.tolist(), strict=True))
+        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.split(x) for x in texts]
