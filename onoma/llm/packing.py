@@ -64,6 +64,9 @@ class Encoder:
         known, parts = self.known, {}
         todo = set()
         for w in new:
+            if w.isalpha():
+                todo.add(w)
+                continue
             m = None if b"<|" in w or b"\x01" in w else _TAIL.fullmatch(w)
             if m and (m[1][-1] < 128 or _PLAIN.fullmatch(m[1].decode())):
                 parts[w] = m.groups()
@@ -74,6 +77,9 @@ class Encoder:
         plain, other, alone = [], [], []
         for w in todo:
             x = w.decode()
+            if w.isalpha():
+                plain.append((w, x))
+                continue
             y = x if x.isascii() else x.lower() if max(x) < "\u0100" else ""
             if _PLAIN.fullmatch(y):
                 plain.append((w, y))
