@@ -64,7 +64,7 @@ class Encoder:
         known, parts = self.known, {}
         todo = set()
         for w in new:
-            if w.isalpha():
+            if w.isalpha() and w.islower():
                 todo.add(w)
                 continue
             m = None if b"<|" in w or b"\x01" in w else _TAIL.fullmatch(w)
@@ -77,7 +77,7 @@ class Encoder:
         plain, other, alone = [], [], []
         for w in todo:
             x = w.decode()
-            if w.isalpha():
+            if w.isalpha() and w.islower():
                 plain.append((w, x))
                 continue
             y = x if x.isascii() else x.lower() if max(x) < "\u0100" else ""
