@@ -31,13 +31,18 @@ def plan(largest: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which keeps angles exactly; squares then neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
+
+
 def _signatures(dim: int, bits: int, tables: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(seed).standard_normal((dim, bits * tables))
         power = 1 << np.arange(bits)
         for b in batches:
             x = b.column(1).flatten().to_numpy().reshape(b.num_rows, dim).astype("<f8")
-            keys = (x @ planes > 0).reshape(b.num_rows, tables, bits) @ power
+            keys = (scaled(x) @ planes > 0).reshape(b.num_rows, tables, bits) @ power
             lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.ravel().astype(np.int32)))
             raw = pa.array([r.tobytes() for r in x], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), raw, b.column(2), b.column(3), lists], ["rep", "vec", "n", "label", "keys"])
@@ -55,14 +60,17 @@ def _compare(dim: int, cosine: float):
                 if hi - lo < 2:
                     continue
                 x = np.frombuffer(b"".join(vec.slice(lo, hi - lo).to_pylist()), "<f8").reshape(hi - lo, dim)
+                x = scaled(x)
                 x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                 k = keys.slice(lo, hi - lo).flatten().to_numpy().reshape(hi - lo, -1)[:, : tab[lo]]
-                one = side[lo:hi] == 0
-                a, b = (np.flatnonzero(one), np.flatnonzero(~one)) if (~one).any() else (np.arange(hi - lo),) * 2
+                whole, one = side[lo] == 0, side[lo:hi] == 1
+                a, b = (np.arange(hi - lo),) * 2 if whole else (np.flatnonzero(one), np.flatnonzero(~one))
+                if not len(a) or not len(b):  # a block that got no vectors
+                    continue
                 link = x[a] @ x[b].T >= cosine
                 for t in range(tab[lo]):  # pairs that met in an earlier table are counted there
                     link &= k[a, t][:, None] != k[b, t][None, :]
-                if a is b:
+                if whole:
                     np.fill_diagonal(link, False)
                     ids, w = rep[lo:hi], n[lo:hi]
                     hit = link.any(axis=1)
@@ -131,7 +139,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         units = units.select(
             F.xxhash64("label", "tab", "key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep", "vec", "n", "keys", "tab",
-            F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"),
+            F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),  # 0: a block with itself
         )
         got = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_compare(dim, cosine), "u long, links long, v long")
         found = got if found is None else found.unionByName(got)

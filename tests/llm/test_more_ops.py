@@ -168,7 +168,7 @@ def brute_links(rows, least=0.93):
     return {(a, b) for a in ok for b in ok if a < b and rows[a][2] == rows[b][2] and len(ok[a]) == len(ok[b]) and ok[a] @ ok[b] >= least}
 
 
-@pytest.mark.parametrize("block", [1024, 16])
+@pytest.mark.parametrize("block", [1024, 16, 1])
 def test_embeddings_recall_and_precision(spark, block):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 16))
@@ -193,3 +193,6 @@ def test_embeddings_recall_and_precision(spark, block):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
     twice = {tuple(r) for r in embeddings.near_duplicates(spark.createDataFrame([(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1)], "vec_id long, embedding array<double>, label int")).collect()}
     assert twice == {(1, 1, 1, True)}
+    far = [(1, [1e300, 1e300], 1), (2, [1e-300, 1e-300], 1), (3, [1e300, -1e300], 1)]
+    got = {tuple(r) for r in embeddings.near_duplicates(spark.createDataFrame(far, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)}
