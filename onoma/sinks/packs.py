@@ -30,16 +30,22 @@ def write_fan_out(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).json(path)
 
 
+def _write_lines(lines: DataFrame, path: str, head: str | None) -> None:
+    """One file of lines (column value) in their order, below the head."""
+    numbered = lines.select("value", F.monotonically_increasing_id().alias("at"))
+    if head is not None:
+        numbered = numbered.unionByName(lines.sparkSession.range(1).select(F.lit(head).alias("value"), F.lit(-1).cast("long").alias("at")))
+    numbered.coalesce(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
+
+
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     lines = df.select(F.concat_ws("\t", *[tsv_cell(F.col(c).cast("string")) for c in df.columns]).alias("value"))
-    if header:
-        lines = df.sparkSession.range(1).select(F.lit("\t".join(df.columns)).alias("value")).unionByName(lines)
-    lines.coalesce(1).write.mode("overwrite").text(path)
+    _write_lines(lines, path, "\t".join(df.columns) if header else None)
 
 
 def write_csv(df: DataFrame, path: str, always: bool = False) -> None:
     lines = df.select(F.concat_ws(",", *[csv_cell(F.col(c).cast("string"), always) for c in df.columns]).alias("value"))
-    df.sparkSession.range(1).select(F.lit(",".join(df.columns)).alias("value")).unionByName(lines).coalesce(1).write.mode("overwrite").text(path)
+    _write_lines(lines, path, ",".join(df.columns))
 
 
 def layer_counts(df: DataFrame, layers: DataFrame) -> DataFrame:
