@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from onoma.functions import clues, ids, kana, text, years
 from onoma.operators import relational as R
+from onoma.operators import triples
 from onoma.sinks import packs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -457,3 +458,58 @@ def clue_graph(spark, d):
     q = F.col("c_custkey").cast("string")
     return t(spark, d, "customer").select("c_custkey", clues.graph_person(F.col("c_name"), F.col("c_mktsegment"), F.lit(False), F.concat(F.lit("Q"), q)).alias("graph"), clues.catalogue_entry(F.col("c_name"), q).alias("entry"))
 
+
+
+# --- graph patterns ---------------------------------------------------------------------------------------------------
+
+_TRIPLES = (
+    "SELECT 'c' || c_custkey AS s, 'type' AS p, c_mktsegment AS o FROM customer UNION ALL SELECT 'c' || c_custkey, 'label', c_name FROM customer "
+    "UNION ALL SELECT 'c' || c_custkey, 'altLabel', n_name FROM customer JOIN nation ON n_nationkey = c_nationkey UNION ALL SELECT 'c' || c_custkey, 'P31', 'N' || c_nationkey FROM customer "
+    "UNION ALL SELECT 'N' || n_nationkey, 'P279', 'R' || n_regionkey FROM nation UNION ALL SELECT 'c' || o_custkey, 'order', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'"
+)
+
+
+def _triples(spark, d):
+    c, n, o = t(spark, d, "customer"), t(spark, d, "nation"), t(spark, d, "orders").where("o_orderstatus = 'F'")
+    row = lambda df, head, s, p, x, tail="": df.select(F.concat(F.lit(head), F.col(s).cast("string")).alias("s"), F.lit(p).alias("p"), F.concat(F.lit(tail), F.col(x).cast("string")).alias("o"))
+    named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = [
+        row(c, "c", "c_custkey", "type", "c_mktsegment"), row(c, "c", "c_custkey", "label", "c_name"), row(named, "c", "c_custkey", "altLabel", "n_name"),
+        row(c, "c", "c_custkey", "P31", "c_nationkey", "N"), row(n, "N", "n_nationkey", "P279", "n_regionkey", "R"), row(o, "c", "o_custkey", "order", "o_orderkey"),
+    ]
+    return R.union_all(rows)
+
+
+@query(f"WITH t AS ({_TRIPLES}) SELECT l.s, l.o AS name, x.o AS item FROM t l LEFT JOIN t x ON x.s = l.s AND x.p = 'order' WHERE l.p = 'label' AND l.s > 'c2' AND l.s IN (SELECT s FROM t WHERE p = 'type' AND o = 'BUILDING') ORDER BY l.s, name, item NULLS FIRST LIMIT 200")
+def graph_page(spark, d):
+    g = _triples(spark, d)
+    return triples.page(triples.of_type(g, "BUILDING"), g, {"name": "label"}, {"item": "order"}, "c2", 200)
+
+
+@query(f"WITH t AS ({_TRIPLES}) SELECT s, o AS value FROM t WHERE p = 'label' AND regexp_matches(o, '^Customer#0000000[0-4]') AND s IN (SELECT s FROM t WHERE p = 'type' AND o = 'BUILDING') ORDER BY value, s LIMIT 20")
+def graph_sample(spark, d):
+    g = _triples(spark, d)
+    return triples.sample_by_prefix(triples.of_type(g, "BUILDING"), g, "label", "Customer#0000000[0-4]", 20)
+
+
+@query(f"WITH t AS ({_TRIPLES}) SELECT count(DISTINCT s) AS n FROM t WHERE p = 'type' AND o = 'BUILDING' AND s NOT IN (SELECT a.s FROM t a JOIN t b ON b.s = a.o AND b.p = 'P279' AND b.o = 'R1' WHERE a.p = 'P31')")
+def graph_minus_count(spark, d):
+    g = _triples(spark, d)
+    return triples.count(triples.minus_classes(triples.of_type(g, "BUILDING"), g, ["R1"]))
+
+
+@query(f"WITH t AS ({_TRIPLES}) SELECT o AS surface, count(DISTINCT s) AS n FROM t WHERE p IN ('label', 'altLabel') AND s IN (SELECT s FROM t WHERE p = 'type' AND o = 'BUILDING') GROUP BY o HAVING count(DISTINCT s) > 1 ORDER BY n DESC, surface LIMIT 100")
+def graph_ambiguity(spark, d):
+    g = _triples(spark, d)
+    return triples.ambiguous_labels(triples.of_type(g, "BUILDING"), g)
+
+
+@query(f"WITH t AS ({_TRIPLES}) SELECT n_name AS value, (SELECT count(DISTINCT s) FROM t WHERE p = 'altLabel' AND o = n_name AND s IN (SELECT s FROM t WHERE p = 'type' AND o = 'BUILDING')) AS n FROM nation")
+def graph_matrix(spark, d):
+    g = _triples(spark, d)
+    return triples.count_matrix(g, "altLabel", t(spark, d, "nation").select(F.col("n_name").alias("value")), triples.of_type(g, "BUILDING"))
+
+
+@query("WITH k(kind, root) AS (VALUES ('a', 'R1'), ('b', 'R0'), ('b', 'R2')), c AS (SELECT kind, root AS q FROM k UNION SELECT kind, 'N' || n_nationkey FROM k JOIN nation ON 'R' || n_regionkey = root) SELECT kind, string_agg(q, ',' ORDER BY CAST(substr(q, 2) AS BIGINT), q) AS classes FROM c GROUP BY kind")
+def graph_closure(spark, d):
+    return triples.closure_document(_triples(spark, d), {"a": ["R1"], "b": ["R0", "R2"]}).select("kind", F.array_join("closure", ",").alias("classes"))
