@@ -10,8 +10,11 @@ from onoma.llm.common import stash, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told stay; texts that are null or have no letter go."""
-    return langid.identify(docs, langid.fit(docs)).where(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
+    """Only texts that are null or have no letter go; without a labelled text no language is told and the others stay too."""
+    model = langid.fit(docs)
+    if not model.texts:
+        return langid.lettered(docs)
+    return langid.identify(docs, model).where(F.col("lang_pred") != langid.UNDETERMINED).select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

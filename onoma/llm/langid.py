@@ -174,6 +174,18 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
     return Model(tuple((lang, " ".join(ts)[:symbols]) for lang, ts in sorted(own.items()) if ts))
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter: those that `identify` names by any model that knows a language."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t.as_py() or "")) for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score; own columns of these names are replaced.
 

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from onoma.llm import components, langid, mixing, packing, quality, queries, simhash
 
@@ -271,3 +272,15 @@ def test_pipeline(spark):
     assert sorted(ids[2]) == sorted(k for k, c in brute_components(kept).items() if k == c)
     out = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in out.select("doc_id").collect()} == set(ids[3])
+
+
+def test_pipeline_without_labelled_languages(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    kept = [r.doc_id for r in corpus_pipeline.language_id(spark, odd.withColumn("lang", F.lit(None).cast("string")), SF).collect()]
+    assert Counter(kept) == Counter(r[0] for r in ODD if any(map(str.isalpha, r[1] or "")))
+    assert Counter(kept) == Counter(r.doc_id for r in corpus_pipeline.language_id(spark, odd, SF).collect())
+    spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    ids = lambda sf: {r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
+    assert ids(str(tmp_path)) == ids(SF)
