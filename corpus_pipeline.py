@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onoma.llm import langid, mixing, packing, quality, simhash
-from onoma.llm.common import stash, table
+from onoma.llm.common import stash, table, with_row_key
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +31,11 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    copies = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("mix_id"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    return docs.join(copies, docs.doc_id == copies.mix_id).select(docs.columns)
+    """Each row as many times as the mix takes it, whether its id is null or repeated; equal rows share their copies."""
+    keyed, key = with_row_key(docs), ["row_a", "row_b"]
+    copies = mixing.mix(keyed, carry=tuple(key)).groupBy(key).agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    rows = keyed.join(copies, key).dropDuplicates(key)
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """df with row_a and row_b, 128 bits of hash of all its columns: only rows that are equal throughout share a key."""
+    key = lambda seed: F.xxhash64(F.lit(seed), *[F.col(c).isNull() for c in df.columns], *df.columns)
+    return df.select("*", key(1).alias("row_a"), key(2).alias("row_b"))
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Texts are long: no batch that goes to Python holds more rows than this."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -100,13 +100,14 @@ def targets(hist: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return per.select("source", "source_size", F.least("bound", F.lit(level) * F.col("w")).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken): taken is a whole number of the document's copies times its size.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: int = SEED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, copies, *carry): taken is a whole number of the document's copies times its size.
 
     No document is taken more than `most` times. Null and wordless texts have size 0 and take 0; null sources are one
     source, last; repeated rows count each; an empty table gives an empty result; a rerun takes the same documents.
+    carry names further columns that tell rows of one id apart; they are hashed with it.
     """
-    sized = checkpoint(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")))
+    sized = checkpoint(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *carry))
     hist = checkpoint(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     goal = checkpoint(targets(hist, weights, share, most))
 
@@ -118,12 +119,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plans = named.groupBy("source").applyInPandas(plan, "source string, size long, source_size long, target double, passes long, extra long")
     plans = checkpoint(plans.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))))
     # The first `extra` of a (source, size) by hash bucket, hash and id; ranks are taken within a bucket.
-    dealt = sized.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
+    dealt = sized.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).withColumn("h", F.xxhash64("doc_id", *carry, F.lit(seed)))
     dealt = dealt.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
     counted = dealt.groupBy("key", "size", "bucket").agg(F.count("*").alias("c"))
     before = F.sum("c").over(Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     buckets = counted.withColumn("before", F.coalesce(before, F.lit(0))).join(plans.drop("source"), ["key", "size"])
-    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id", *carry))
     out = dealt.withColumn("rank", rank).join(buckets.drop("c"), ["key", "size", "bucket"])
     copies = F.col("passes") + F.when(F.col("before") + F.col("rank") <= F.col("extra"), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+    return out.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *carry)

@@ -284,3 +284,15 @@ def test_pipeline_without_labelled_languages(spark, odd, tmp_path):
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     ids = lambda sf: {r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()}
     assert ids(str(tmp_path)) == ids(SF)
+
+
+def test_mixing_stage_with_repeated_and_null_ids(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one two three", "en", "a", 0), (1, "four five six", "en", "a", 0), (None, "seven eight nine", "en", "a", 0), (None, "ten eleven twelve", "en", "a", 0), (2, "same same same", "en", "a", 0), (2, "same same same", "en", "a", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing_sources(spark, df, SF).collect())
+    again = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixing_sources(spark, df.repartition(3), SF).collect())
+    most = Counter((r[0], r[1]) for r in rows)
+    assert sum(got.values()) == 9 == sum(r.copies for r in mixing.mix(df).collect()) and set(got) == set(most)
+    assert all(n <= 2 * most[k] for k, n in got.items()) and got == again
