@@ -24,10 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates; of rows with one id, one."""
-    got = simhash.near_duplicates(docs)
-    stay = got.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row, that with the smallest id, of each group of near-duplicates; ids may be null or repeated."""
+    return simhash.survivors(docs)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

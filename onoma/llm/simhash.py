@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, runs, small_batches
+from onoma.llm.common import checkpoint, runs, small_batches, with_row_key
 from onoma.llm.components import connected_components
 
 BITS, SHINGLE, MAX_DIFF, PARTS = 64, 3, 2, 3
@@ -42,9 +42,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, becomes its fingerprint; the others stay."""
     for b in batches:
-        fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["doc_id", "fp"])
+        fps = np.fromiter((fingerprint(x.as_py()) for x in b.column(b.num_columns - 1)), np.uint64, b.num_rows).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps)], [*b.schema.names[:-1], "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,5 +239,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(label, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_diff: int = MAX_DIFF) -> DataFrame:
+    """One row of docs of each group of near-duplicates: that with the smallest id, null last, then by a hash of the row.
+
+    Rows are told apart by all their columns, so differing texts of one id, or of none, are grouped each for itself; of
+    rows equal throughout one stays; a rerun keeps the same rows.
+    """
+    small_batches(docs.sparkSession)
+    keyed, key = with_row_key(docs), ["row_a", "row_b"]
+    fps = keyed.select(F.col(id_col).alias("doc_id"), *key, F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, row_a long, row_b long, fp long")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key)).alias("first")
+    classes = checkpoint(fps.groupBy("fp").agg(first))
+    comp = connected_components(links(classes.select("fp", F.col("fp").alias("rep")), max_diff))
+    label = classes.join(comp, classes.fp == comp.node, "left").select(F.coalesce("component", "fp").alias("component"), "first")
+    stay = label.groupBy("component").agg(F.min("first").alias("first")).select("first.row_a", "first.row_b")
+    return keyed.join(stay, key, "left_semi").dropDuplicates(key).select(docs.columns)
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

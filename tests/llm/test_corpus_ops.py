@@ -296,3 +296,19 @@ def test_mixing_stage_with_repeated_and_null_ids(spark):
     most = Counter((r[0], r[1]) for r in rows)
     assert sum(got.values()) == 9 == sum(r.copies for r in mixing.mix(df).collect()) and set(got) == set(most)
     assert all(n <= 2 * most[k] for k, n in got.items()) and got == again
+
+
+def test_near_dedup_stage_with_repeated_and_null_ids(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(9)
+    a, b, c, d, e = (" ".join(f"w{k}" for k in rng.integers(0, 10**6, 80)) for _ in range(5))
+    rows = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, d), (4, c), (None, d), (None, e), (None, e), (None, a)]
+    want = sorted([(1, a), (2, b), (4, c), (4, d), (None, e)], key=str)
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    for x in (df, df.repartition(3, "text"), df.orderBy(F.desc("text"))):
+        assert sorted(((r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(spark, x, SF).collect()), key=str) == want
+    twice = df.withColumn("source", F.col("text").substr(1, 3)).unionByName(df)  # of rows of one id and text the same one stays
+    got = [{tuple(r) for r in corpus_pipeline.simhash_near_dedup(spark, x, SF).collect()} for x in (twice, twice.repartition(5), twice.orderBy("source"))]
+    assert len(got[0]) == 5 and got[0] == got[1] == got[2]
+    assert corpus_pipeline.simhash_near_dedup(spark, df.limit(0), SF).count() == 0
