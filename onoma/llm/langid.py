@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,21 +153,28 @@ def parser(model: Model) -> Parser:
     return _parsers[model]
 
 
-def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TEXTS, symbols: int = SYMBOLS) -> Model:
-    """A model of every label in usable rows, from a bounded sample: about `texts` texts of a label, by a hash of the
-    id, until `symbols` symbols are full; a training text counts by its first `symbols` characters. Equal texts count once.
-    """
-    rows = docs.where((usable if usable is not None else F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(lang_col).count().limit(LANGUAGES + 1).collect()
+def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int, symbols: int) -> DataFrame:
+    """(lang, pos, text): about twice `texts` different rows of each label, never more, by a hash of id and text."""
+    placed = rows.select(F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)), F.lit(1 << 40)).alias("pos"), F.substring(text_col, 1, symbols).alias("text"))
+    counts = placed.groupBy("lang").agg(F.approx_count_distinct("pos")).limit(LANGUAGES + 1).collect()
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} labels")
     if not counts:
-        return Model(())
-    pos = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 40))
-    most = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, int((1 << 40) * min(1.0, 2.0 * texts / n)))])
-    sample = rows.where(pos < most[F.col(lang_col)]).select(F.col(lang_col), pos.alias("pos"), F.substring(text_col, 1, symbols).alias("text")).collect()
+        return placed.limit(0)
+    most = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, int((1 << 40) * min(1.0, 2.0 * texts / max(n, 1))))])
+    drawn = placed.where(F.col("pos") < most[F.col("lang")]).groupBy("lang", "pos").agg(F.min("text").alias("text"))
+    return drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("pos"))).where(F.col("nth") <= 2 * texts).drop("nth")
+
+
+def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TEXTS, symbols: int = SYMBOLS) -> Model:
+    """A model of every label in usable rows, from a bounded sample: at most twice `texts` texts of a label, by a hash of
+    id and text, until `symbols` symbols are full; a training text counts by its first `symbols` characters. Equal texts
+    count once, and ids may be null or repeated.
+    """
+    rows = docs.where((usable if usable is not None else F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    drawn = sample(rows, id_col, text_col, lang_col, texts, symbols).collect()  # at most 2 x texts x LANGUAGES rows
     own: dict[str, list[str]] = {}
-    for lang, _, text in sorted(sample, key=lambda r: (r[0], r[1], r[2])):
+    for lang, _, text in sorted(drawn, key=lambda r: (r[0], r[1], r[2])):
         t, have = normalise(text), own.setdefault(lang, [])
         if t and t not in have and sum(map(len, have)) < symbols:
             have.append(t)

@@ -312,3 +312,13 @@ def test_near_dedup_stage_with_repeated_and_null_ids(spark):
     got = [{tuple(r) for r in corpus_pipeline.simhash_near_dedup(spark, x, SF).collect()} for x in (twice, twice.repartition(5), twice.orderBy("source"))]
     assert len(got[0]) == 5 and got[0] == got[1] == got[2]
     assert corpus_pipeline.simhash_near_dedup(spark, df.limit(0), SF).count() == 0
+
+
+def test_language_sample_is_bounded_and_spread(spark):
+    text = F.concat(F.lit("word "), F.transform(F.array(F.col("id")), lambda x: F.translate(x.cast("string"), "0123456789", "abcdefghij"))[0])
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit(5)).cast("long").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 2 == 0, "x").otherwise("y").alias("lang"))
+    rows = rows.unionByName(spark.range(3000).select(F.lit(6).cast("long").alias("doc_id"), F.lit("the same").alias("text"), F.lit("z").alias("lang")))
+    got = Counter(r.lang for r in langid.sample(rows, "doc_id", "text", "lang", 60, 20_000).collect())
+    assert 60 < got["x"] <= 120 and 60 < got["y"] <= 120 and got["z"] == 1
+    model = dict(langid.fit(rows).texts)
+    assert model["z"] == "the same" and all(60 <= model[k].count("word") <= 120 for k in "xy")
