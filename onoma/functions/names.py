@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from onoma.functions.text import CJK, infer_surname, is_blocked, is_valid, normalize_surface, search_strings, strip
+from onoma.functions.text import CJK, infer_surname, is_blocked, is_valid, nfc, nfc_array, normalize_surface, search_strings, strip
 
 #: Alternative-name codes that are never used, and the type that each other code yields.
 EXCLUDED = [0, 7, 9, 10]
@@ -13,11 +13,21 @@ NAME_TYPES = {3: "variant", 4: "courtesy", 5: "art", 6: "posthumous", 8: "varian
 ENTRY = "array<struct<text:string,type:string>>"
 
 
+def _composed(body, **cols: Column) -> Column:  # noqa: ANN001
+    """body of the columns, which are worked out once, before any higher-order function of the body."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(k) for k, c in cols.items()])), lambda r: body(*[r[k] for k in cols])), F.lit(0))
+
+
 def typed_entries(primary: Column, surname: Column, given: Column, alts: Column) -> Column:
     """Entries (text, type) of a person, alts being array<struct<type:int,value:string>> in source order.
 
     Candidates come in rule order; blocked and short ones go; of equal texts the first stays.
     """
+    pair = lambda p, s, g, a, v: _typed_entries(p, s, g, F.zip_with(a, v, lambda x, y: F.struct(x["type"].alias("type"), y.alias("value"))))
+    return _composed(pair, primary=nfc(primary), surname=nfc(surname), given=nfc(given), alts=alts, values=nfc_array(alts["value"]))
+
+
+def _typed_entries(primary: Column, surname: Column, given: Column, alts: Column) -> Column:
     primary, surname, given = (normalize_surface(c, compose=False) for c in (primary, surname, given))
     values = lambda code: F.filter(F.transform(F.filter(alts, lambda a: a["type"] == code), lambda a: normalize_surface(a["value"], compose=False)), lambda v: v != "")
     longer = lambda v: F.char_length(v) > F.char_length(primary)
@@ -39,8 +49,12 @@ def typed_entries(primary: Column, surname: Column, given: Column, alts: Column)
 
 def person_strings(label: Column, aliases: Column, family: Column | None = None) -> Column:
     """The label, and aliases longer than it, unless blocked."""
+    return _composed(_person_strings, label=nfc(label), aliases=nfc_array(aliases), family=F.lit("") if family is None else nfc(family))
+
+
+def _person_strings(label: Column, aliases: Column, family: Column) -> Column:
     label = normalize_surface(label, compose=False)
-    surname = infer_surname(label) if family is None else F.coalesce(F.nullif(normalize_surface(family, compose=False), F.lit("")), infer_surname(label))
+    surname = F.coalesce(F.nullif(normalize_surface(family, compose=False), F.lit("")), infer_surname(label))
     more = F.filter(F.transform(aliases, lambda a: normalize_surface(a, compose=False)), lambda a: F.char_length(a) > F.char_length(label))
     return F.array_distinct(F.filter(F.concat(F.array(label), more), lambda s: ~is_blocked(s, surname) & is_valid(s)))
 

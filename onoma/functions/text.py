@@ -25,6 +25,16 @@ def nfc(c: Column) -> Column:
     return F.coalesce(_nfc(F.when(c.rlike("[^\\u0000-\\u02FF]"), c)), c)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfc_array(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFC", x) for x in xs])
+
+
+def nfc_array(c: Column) -> Column:
+    """nfc of each string; taken before higher-order functions, whose bodies cannot call Python."""
+    return F.coalesce(_nfc_array(F.when(F.array_join(c, "").rlike("[^\\u0000-\\u02FF]"), c)), c)
+
+
 def collapse(c: Column) -> Column:
     one = F.regexp_replace(c, f"[{WS}]+", " ")
     return F.regexp_replace(one, "^ | $", "")
@@ -53,11 +63,11 @@ def is_valid(c: Column, script: str | None = None) -> Column:
 
 def search_strings(arr: Column, script: str | None = None) -> Column:
     """Normalised, valid, distinct, in order of first occurrence."""
-    return F.array_distinct(F.filter(F.transform(arr, lambda x: normalize_surface(x, compose=False)), lambda x: is_valid(x, script)))
+    return F.array_distinct(F.filter(F.transform(nfc_array(arr), lambda x: normalize_surface(x, compose=False)), lambda x: is_valid(x, script)))
 
 
 def split_alt_names(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, "[;\\uFF1B]"), lambda x: normalize_surface(x, compose=False)), lambda x: x != "")
+    return F.filter(F.transform(nfc_array(F.split(c, "[;\\uFF1B]")), lambda x: normalize_surface(x, compose=False)), lambda x: x != "")
 
 
 def split_semicolons(c: Column) -> Column:
@@ -65,7 +75,7 @@ def split_semicolons(c: Column) -> Column:
 
 
 def names_from_pipe(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\|"), lambda x: normalize_surface(x, compose=False)), lambda x: x != "")
+    return F.filter(F.transform(nfc_array(F.split(F.coalesce(c, F.lit("")), "\\|")), lambda x: normalize_surface(x, compose=False)), lambda x: x != "")
 
 
 def label_key(c: Column) -> Column:

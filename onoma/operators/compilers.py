@@ -256,7 +256,7 @@ def graph_kind(raw: DataFrame, kind: str, language: str) -> DataFrame:
 
 def filter_stats(raw: DataFrame) -> DataFrame:
     """How much the person name policy drops."""
-    every = F.array_distinct(F.concat(F.array("primaryLabel"), "aliases"))
+    every = F.array_distinct(text.nfc_array(F.concat(F.array("primaryLabel"), "aliases")))
     kept = names.person_strings(F.col("primaryLabel"), F.col("aliases"), F.col("familyName"))
     got = raw.agg(F.sum(F.size(every)).alias("raw"), F.sum(F.size(F.array_intersect(every, kept))).alias("kept"), F.sum(F.size(F.array_except(every, kept))).alias("dropped"))
     return got.withColumn("dropped_pct", F.round(100 * F.col("dropped") / F.col("raw"), 1))

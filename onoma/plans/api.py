@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onoma.functions.text import nfc_array
 from onoma.operators import compilers as C
 from onoma.operators import config
 from onoma.operators import relational as R
@@ -59,7 +60,7 @@ def places_tsv(places: DataFrame, out: str) -> None:
 
 def crosswalk_places(left: DataFrame, right: DataFrame, out: str | None = None, band: float = 0.5) -> dict[str, int]:
     """Matches two place packs by name and position; writes matched and ambiguous pairs; returns the counts."""
-    side = lambda df: df.select(F.col("authorityId").alias("id"), F.col("searchStrings").alias("names"), F.col("metadata.geo.lat").alias("lat"), F.col("metadata.geo.lon").alias("lon"))
+    side = lambda df: df.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("names"), F.col("metadata.geo.lat").alias("lat"), F.col("metadata.geo.lon").alias("lon"))
     a = checkpoint(side(left).withColumn("row", F.monotonically_increasing_id()))
     one, many, stats = R.crosswalk_split(a, checkpoint(R.crosswalk(a, side(right), band)))
     if out:
@@ -113,9 +114,9 @@ def compile_catalogue(raw: DataFrame, kind: str, out: str) -> dict:
 
 def report(cands: DataFrame, out: str, sample: int = 8, limit: int = 100) -> dict[str, int]:
     """Writes the strings that name most entities, with samples, as quoted CSV; returns the counts."""
-    names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), F.col("authorityId").alias("ord"), F.explode("searchStrings").alias("surface"))
+    names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), F.col("authorityId").alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
     packs.write_csv(R.ambiguity_rows(names, sample).orderBy(F.desc("n"), "surface").limit(limit), out, always=True)
-    return R.ambiguity_stats(cands.select(F.col("authorityId").alias("id"), F.col("searchStrings").alias("strings"))).first().asDict()
+    return R.ambiguity_stats(cands.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("strings"))).first().asDict()
 
 
 def export_ime(raw: DataFrame, ident: str, name: str, out: str) -> None:

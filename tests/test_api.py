@@ -2,6 +2,7 @@
 
 import json
 import sqlite3
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,13 @@ def test_crosswalk_of_packs(spark):
     assert api.crosswalk_places(place("a", "保德", 30.0), place("b", "保德", 30.6))["no_match"] == 1
 
 
+def test_packs_of_decomposed_names_meet(spark, tmp_path):
+    rows = [(i, "n", [unicodedata.normalize(form, "パリ")], ((30.0, 110.0),)) for i, form in (("a", "NFC"), ("b", "NFD"))]
+    df = spark.createDataFrame(rows, "authorityId string, primaryName string, searchStrings array<string>, metadata struct<geo:struct<lat:double,lon:double>>")
+    assert api.crosswalk_places(df.where("authorityId = 'a'"), df.where("authorityId = 'b'"))["matched"] == 1
+    assert api.report(df, str(tmp_path / "r")) == {"entities": 2, "total_strings": 2, "unique_strings": 1, "ambiguous_strings": 1}
+
+
 def test_config():
     assert api.validate_config() == []
     bad = [("a", "Q1", "x", 5, 1), ("a", "q2", "", 1, 2)]

@@ -3,6 +3,7 @@
 import json
 import sqlite3
 import struct
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,19 @@ def test_typed_names(spark):
     assert one(spark, names.person_strings(F.lit("李白"), F.array(F.lit("太白"), F.lit("李太白"), F.lit("李十二"), F.lit("Li Bai")))) == ["李白", "李太白"]
 
 
+def test_decomposed_names_are_composed(spark):
+    nfd = lambda x: F.lit(unicodedata.normalize("NFD", x))
+    assert one(spark, text.search_strings(F.array(nfd("ガギ"), F.lit("ガギ"), nfd("Nguyễn"), nfd("한국"), F.lit(None).cast("string")))) == ["ガギ", "Nguyễn", "한국"]
+    assert one(spark, text.search_strings(F.array(nfd("ぱ"), nfd("éé")))) == []  # one and two characters when composed
+    assert one(spark, text.split_alt_names(nfd("ガ;ギ；;"))) == ["ガ", "ギ"] and one(spark, text.names_from_pipe(nfd("ガ|é"))) == ["ガ", "é"]
+    assert one(spark, names.person_strings(nfd("ガギ"), F.array(nfd("グゲ"), nfd("ガギグ"), F.lit("ガギグ")))) == ["ガギ", "ガギグ"]
+    assert one(spark, names.kind_strings(nfd("ガギ"), F.array(F.lit("ガギ")))) == ["ガギ"]
+    alts = F.array(*[F.struct(F.lit(t).alias("type"), v.alias("value")) for t, v in ((5, nfd("グゲ")), (5, nfd("ガギグ")), (8, F.lit("ガギグ")))])
+    assert [(e.text, e.type) for e in one(spark, names.typed_entries(nfd("ガギ"), F.lit(None).cast("string"), F.lit(""), alts))] == [("ガギ", "primary"), ("ガギグ", "art")]
+    places = spark.createDataFrame([(1, unicodedata.normalize("NFD", "ガギ"), unicodedata.normalize("NFD", "パリ;ガギ"), None, None, None)], "c_addr_id int, c_name_chn string, c_alt_names string, c_firstyear int, c_lastyear int, c_admin_type string")
+    assert C.snapshot_places(places).first().searchStrings == ["ガギ", "パリ"]
+
+
 def test_kana(spark):
     assert one(spark, kana.to_hiragana(F.lit("ヴァナヽ"))) == "ゔぁなゝ"
     assert one(spark, kana.readings(F.lit("ナツメ, ソウセキ, 1867-1916"), F.lit(None).cast("array<string>"))) == ["ナツメ ソウセキ", "ナツメソウセキ", "ナツメ", "ソウセキ"]
