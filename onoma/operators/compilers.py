@@ -11,6 +11,8 @@ from onoma.operators.relational import coalesce_text, include_exclude, last_wins
 from onoma.sources import tei
 
 EMPTY = "array<string>"
+#: Included and excluded classes by kind, each with all classes below it.
+Closure = dict[str, tuple[list[str], list[str]]]
 
 
 def _none(kind: str) -> Column:
@@ -206,20 +208,25 @@ def raw_entities(entities: DataFrame, language: str) -> DataFrame:
     )
 
 
-def of_kind(raw: DataFrame, kind: str, closure: dict[str, tuple[list[str], list[str]]] | None = None) -> DataFrame:
-    """Rows of a kind by their classes, directly or in a closure; what is excluded goes first."""
+def has_kind(p31: Column, kind: str, closure: Closure | None = None) -> Column:
+    """By the classes themselves or in a closure; an empty side of it falls back on the roots."""
     include, exclude = (closure or {}).get(kind) or config.KINDS[kind]
-    ok = include_exclude(F.col("p31"), include or config.KINDS[kind][0], exclude or config.KINDS[kind][1])
+    return include_exclude(p31, include or config.KINDS[kind][0], exclude or config.KINDS[kind][1])
+
+
+def of_kind(raw: DataFrame, kind: str, closure: Closure | None = None) -> DataFrame:
+    """Rows of a kind by their classes, directly or in a closure; what is excluded goes first."""
+    ok = has_kind(F.col("p31"), kind, closure)
     if kind == "person":
         ok = ok & F.array_contains("p31", config.HUMAN) & ~F.array_contains("p31", config.DISAMBIGUATION)
     return raw.where(ok)
 
 
-def one_scan(entities: DataFrame, languages: list[str], kinds: list[str]) -> DataFrame:
+def one_scan(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None = None) -> DataFrame:
     """(lang, kind, qid): every pack that an entity belongs to, from one scan."""
     p31 = entity_ids("P31")
     df = entities.where(F.col("type") == "item")
-    slices = [F.when(label_of(config.LANGUAGES[la][0]).isNotNull() & include_exclude(p31, *config.KINDS[k]), F.struct(F.lit(la).alias("lang"), F.lit(k).alias("kind"))) for la in languages for k in kinds]
+    slices = [F.when(label_of(config.LANGUAGES[la][0]).isNotNull() & has_kind(p31, k, closure), F.struct(F.lit(la).alias("lang"), F.lit(k).alias("kind"))) for la in languages for k in kinds]
     return df.select(F.col("id").alias("qid"), F.explode(F.array_compact(F.array(*slices))).alias("s")).select("s.lang", "s.kind", "qid")
 
 

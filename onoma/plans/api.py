@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from onoma.functions.text import nfc_array
 from onoma.operators import compilers as C
-from onoma.operators import config
+from onoma.operators import config, triples
 from onoma.operators import relational as R
 from onoma.operators.storage import checkpoint
 from onoma.sinks import packs
@@ -78,12 +78,22 @@ def parse_kinds(kinds: str) -> list[str]:
     return got
 
 
-def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], out: str) -> DataFrame:
-    """Raw rows of every kind and language of a dump, under lang=…/kind=…; returns how many matched."""
+def kind_closure(graph: DataFrame) -> C.Closure:
+    """Every kind's included and excluded classes with all classes below them, from triples (s, p, o, lang)."""
+    parts = {f"{kind} {at}": roots for kind, both in config.KINDS.items() for at, roots in enumerate(both) if roots}
+    found = {r.kind: list(r.closure) for r in triples.closure_document(graph, parts).select("kind", "closure").collect()}
+    return {kind: (found.get(f"{kind} 0", []), found.get(f"{kind} 1", [])) for kind in config.KINDS}
+
+
+def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], out: str, closure: C.Closure | None = None) -> DataFrame:
+    """Raw rows of every kind and language of a dump, under lang=…/kind=…; returns how many matched.
+
+    closure, as of kind_closure, also lets in items of subclasses and keeps out those of excluded subclasses.
+    """
     entities, frames = files.dump(spark, dump), []
     for language in languages:
         raw = C.raw_entities(entities, language)
-        frames += [C.of_kind(raw, k).withColumn("lang", F.lit(language)).withColumn("kind", F.lit(k)) for k in parse_kinds(kinds)]
+        frames += [C.of_kind(raw, k, closure).withColumn("lang", F.lit(language)).withColumn("kind", F.lit(k)) for k in parse_kinds(kinds)]
     rows = R.union_all(frames)
     packs.write_fan_out(rows, out, "lang", "kind")
     return spark.read.schema(rows.schema).json(out).groupBy("lang", "kind").count()

@@ -7,9 +7,11 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
+from onoma.operators import compilers as C
 from onoma.operators import triples
 from onoma.plans import api
 from onoma.sinks import packs
+from onoma.sources import files
 
 
 def test_snapshot_and_report(spark, tmp_path):
@@ -56,6 +58,20 @@ def test_crosswalk_of_packs(spark):
     assert api.crosswalk_places(place("a", "保德", 30.0), place("b", "保德", 30.6))["no_match"] == 1
 
 
+def test_extract_with_subclasses(spark, tmp_path):
+    snak = lambda q: {"mainsnak": {"snaktype": "value", "datavalue": {"type": "wikibase-entityid", "value": {"id": q}}}}
+    classes = {"Q1": ["Q515"], "Q2": ["Q9001"], "Q3": ["Q515", "Q9003"], "Q4": ["Q9004"]}
+    rows = [{"type": "item", "id": q, "labels": {"ja": {"language": "ja", "value": "長安"}}, "aliases": {}, "claims": {"P31": [snak(k) for k in ks]}} for q, ks in classes.items()]
+    (tmp_path / "dump.json").write_text("[\n" + ",\n".join(json.dumps(r) for r in rows) + "\n]\n")
+    below = [("Q9001", "P279", "Q9002"), ("Q9002", "P279", "Q515"), ("Q9003", "P279", "Q4167410")]  # two levels below a root; below an excluded one
+    closure = api.kind_closure(spark.createDataFrame(below, "s string, p string, o string").withColumn("lang", F.lit(None).cast("string")))
+    api.extract(spark, str(tmp_path / "dump.json"), "place", ["ja"], str(tmp_path / "raw"), closure)
+    assert {r.qid for r in spark.read.json(str(tmp_path / "raw/lang=ja/kind=place")).collect()} == {"Q1", "Q2"}
+    entities = files.dump(spark, str(tmp_path / "dump.json"))
+    assert {r.qid for r in C.one_scan(entities, ["ja"], ["place"], closure).collect()} == {"Q1", "Q2"}
+    assert {r.qid for r in C.one_scan(entities, ["ja"], ["place"]).collect()} == {"Q1", "Q3"}
+
+
 def test_packs_of_decomposed_names_meet(spark, tmp_path):
     rows = [(i, "n", [unicodedata.normalize(form, "パリ")], ((30.0, 110.0),)) for i, form in (("a", "NFC"), ("b", "NFD"))]
     df = spark.createDataFrame(rows, "authorityId string, primaryName string, searchStrings array<string>, metadata struct<geo:struct<lat:double,lon:double>>")
