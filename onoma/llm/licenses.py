@@ -76,9 +76,9 @@ def notice_table(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
 
 
 def scan(docs: DataFrame, notices: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, license, word_at, containment): notices that texts hold, with the first place where most of one is found.
+    """(doc_id, license, word_at, containment): notices that texts hold, a row for each place.
 
-    A row per document row and license; word_at counts the text's words from 0. Null, empty and
+    word_at counts the text's words from 0. Null, empty and
     short texts hold none; notices under five words are not looked for; repeated rows are scanned each; an empty table
     gives an empty result; other columns are ignored. Texts stay whole: windows run to their last word.
     """
@@ -107,9 +107,28 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, id_col: str = "
     # The shared shingle stands first or second in either window; some words may be put in.
     start = F.greatest(F.col("at") - F.col("own") - 1, F.lit(0))
     length = F.col("n_words") + 2 + F.ceil(F.col("n_words") / 5).cast("int")
-    meet = meet.select("doc_id", "row", "license", "shingles", start.alias("start"), shingle_texts(F.slice("near", start - F.col("lo") + 1, length)).alias("here"))
+    meet = meet.select("doc_id", "row", "license", "n_words", "shingles", start.alias("start"), shingle_texts(F.slice("near", start - F.col("lo") + 1, length)).alias("here"))
     first = F.array_position(F.transform("here", lambda x: F.array_contains("shingles", x)), True) - 1
     share = F.size(F.array_intersect("shingles", "here")) / F.size("shingles")
-    meet = meet.dropDuplicates(["row", "license", "start"]).select("doc_id", "row", "license", (F.col("start") + first).alias("word_at"), share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
-    best = F.max(F.struct("containment", (-F.col("word_at")).alias("back"))).alias("best")
-    return meet.groupBy("doc_id", "row", "license").agg(best).select("doc_id", "license", (-F.col("best.back")).alias("word_at"), F.col("best.containment").alias("containment"))
+    meet = meet.dropDuplicates(["row", "license", "start"]).select("doc_id", "row", "license", "n_words", F.size("shingles").alias("n"), (F.col("start") + first).cast("int").alias("word_at"), share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
+    found = F.array_sort(F.collect_set(F.struct("word_at", "containment"))).alias("found")
+    own = meet.groupBy("doc_id", "row", "license").agg(found, F.max("n_words").alias("n_words"), F.max("n").alias("n"))
+    slack, least = 2 + F.ceil(F.col("n_words") / 5).cast("int"), F.ceil(F.col("n") * CONTAINMENT).cast("int") + SHINGLE - 1
+    return own.select("doc_id", "license", F.explode(places(F.col("found"), slack, least)).alias("p")).select("doc_id", "license", "p.word_at", "p.containment")
+
+
+def places(found: Column, slack: Column, least: Column) -> Column:
+    """One of each run of overlapping finds (word_at, containment) in order: the best that begins within slack of the first.
+
+    The next run begins `least` words on, the fewest that a verified place spans.
+    """
+    kind = "array<struct<word_at:int,containment:double,first:int>>"
+    new = lambda x, first: F.array(F.struct(x["word_at"].alias("word_at"), x["containment"].alias("containment"), first.alias("first"))).cast(kind)
+
+    def step(acc: Column, x: Column) -> Column:
+        last = F.get(acc, F.size(acc) - 1)
+        better = (x["word_at"] <= last["first"] + slack) & (x["containment"] > last["containment"])
+        begins = (F.size(acc) == 0) | (x["word_at"] >= last["first"] + least)
+        return F.when(begins, F.concat(acc, new(x, x["word_at"]))).when(better, F.concat(F.slice(acc, 1, F.size(acc) - 1), new(x, last["first"]))).otherwise(acc)
+
+    return F.aggregate(found, F.array().cast(kind), step)

@@ -50,6 +50,20 @@ def test_license_scan(spark):
     assert licenses.scan(df.limit(0)).count() == 0 and licenses.scan(df, {}).count() == 0
 
 
+def test_every_place_of_a_notice(spark):
+    n, size = licenses.NOTICES, {k: len(clean_words(v)) for k, v in licenses.NOTICES.items()}
+    gap = "word " * 100
+    rows, want = [], set()
+    for k, (name, v) in enumerate(n.items()):
+        rows += [(k, f"{v} {v} {gap} {v}"), (100 + k, f"lead {v} {gap}")]
+        want |= {(k, name, 0), (k, name, size[name]), (k, name, 2 * size[name] + 100), (100 + k, name, 1)}
+    rows += [(200, n["MIT-grant"].replace("hereby", "now") + " " + n["MIT-grant"]), (None, n["MIT"]), (None, n["MIT"])]
+    want |= {(200, "MIT-grant", size["MIT-grant"])}
+    got = [(r.doc_id, r.license, r.word_at) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert want <= set(got) and len([x for x in got if x[0] is None]) == 2
+    assert len(got) == len(want) + 1 + 2  # and the damaged first copy of 200
+
+
 # --- chat
 
 
