@@ -110,7 +110,10 @@ def most_specific(df: DataFrame, items: Column, dims: DataFrame, default: tuple,
 
 
 def keyset_page(df: DataFrame, key: str, after, limit: int) -> DataFrame:  # noqa: ANN001
-    return (df if after is None else df.where(F.col(key) > after)).orderBy(key).limit(limit)
+    """Rows after a key, in its order: `limit` of them and what else the last key has, so no key is cut; null keys come with the first page."""
+    rows = df if after is None else df.where(F.col(key) > after)
+    last = rows.where(F.col(key).isNotNull()).select(key).orderBy(key).limit(limit).agg(F.max(key).alias("_last"))  # one row
+    return rows.join(F.broadcast(last), F.col(key).isNull() | (F.col(key) <= F.col("_last"))).drop("_last").orderBy(key)
 
 
 def include_exclude(items: Column, include: list[str], exclude: list[str]) -> Column:

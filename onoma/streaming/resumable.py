@@ -38,9 +38,24 @@ def extract(spark: SparkSession, source: str, transform: Callable[[DataFrame], D
     return {"rows_in": sum(p["numInputRows"] for p in query.recentProgress), "batches": len(query.recentProgress)}
 
 
+def position(spark: SparkSession, sink: str, key: str):  # noqa: ANN201
+    """The largest key of a sink; None if it holds nothing."""
+    try:
+        return spark.read.parquet(sink).agg(F.max(key)).first()[0]
+    except Exception as e:  # noqa: BLE001
+        if not any(x in str(e) for x in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+            raise
+        return None
+
+
 def harvest(page: Callable[[object, int], DataFrame], key: str, sink: str, limit: int, after=None) -> int:  # noqa: ANN001
-    """Appends pages after the key of the last, until one is short; returns the number of pages. A later call goes on from `after`."""
+    """Appends pages after the key of the last, until one is short; returns the number of pages.
+
+    It goes on from `after`, or from the largest key in the sink. A page must hold all rows of its last key, as those of
+    keyset_page do: the next begins strictly after it.
+    """
     pages = 0
+    after = position(SparkSession.active(), sink, key) if after is None else after
     while True:
         got = page(after, limit).cache()
         n, last = got.agg(F.count("*"), F.max(key)).first()
@@ -48,5 +63,5 @@ def harvest(page: Callable[[object, int], DataFrame], key: str, sink: str, limit
             got.write.mode("append").parquet(sink)
             pages, after = pages + 1, last
         got.unpersist()
-        if n < limit:
+        if n < limit or last is None:
             return pages

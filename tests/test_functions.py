@@ -199,3 +199,14 @@ def test_sinks_and_streams(spark, tmp_path):
     assert run(k=1) == 1 and spark.read.parquet(str(tmp_path / "out")).count() == 3
     with pytest.raises(ValueError):
         run(k=2)
+
+
+def test_harvest_keeps_keys_whole_and_goes_on_from_the_sink(spark, tmp_path):
+    rows = [(None, 0), (1, 1), (2, 2), (2, 3), (2, 4), (3, 5), (3, 6), (4, 7)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(3)
+    sink = str(tmp_path / "sink")
+    run = lambda x: resumable.harvest(lambda after, n: R.keyset_page(x, "k", after, n), "k", sink, 2)
+    held = lambda: sorted(r.v for r in spark.read.parquet(sink).collect())
+    assert run(df) == 3 and held() == list(range(8))
+    assert run(df) == 0 and held() == list(range(8))
+    assert run(df.unionByName(spark.createDataFrame([(5, 8)], "k int, v int"))) == 1 and held() == list(range(9))
