@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import bisect
 import os
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,29 +23,65 @@ from onoma.llm.common import small_batches, stash
 
 WINDOW, SPACES, END_ID = 2048, 64, 1
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a task remembers, and open tasks that one task merges.
-CACHE, FAN_IN = 300_000, 32
+#: Atoms of a generation that a worker remembers (two generations at most), their longest, characters of a block, and words that are encoded as one text.
+CACHE, LONGEST, BLOCK, GLUED = 250_000, 64, 4_000_000, 200
+#: Open tasks that one task merges.
+FAN_IN = 32
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, open boolean"
 #: Stands between words that are encoded in one go; words that hold it are encoded alone.
 _MARK = "\x01"
-#: Plain words: lower-case Latin letters, which the rules leave as they are and never split.
-_PLAIN = re.compile("[a-zß-öø-ÿ]+")
-#: A word and the punctuation behind it, which the rules tell apart; apostrophes may begin a contraction.
-_TAIL = re.compile(rb"(.*[a-z0-9\x80-\xff])([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+)", re.S)
+#: Plain words: Latin letters, which the rules only make lower case and never split.
+_LATIN = "^[a-zÀ-ÖØ-öø-ÿ]+$"
+#: Punctuation that the rules cut off behind a letter or digit; apostrophes may begin a contraction.
+_TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+_CUT_BEFORE_TAIL = "(?:[a-z0-9]|^[a-zß-öø-ÿ]+)$"
+
+
+@dataclass(frozen=True)
+class Atoms:
+    """Different strings, how many ids each has, and all ids one after the other."""
+
+    names: pa.Array
+    lengths: np.ndarray
+    ids: np.ndarray
+
+    def at(self, places: np.ndarray) -> Atoms:
+        n = self.lengths[places]
+        begin = (np.cumsum(self.lengths) - self.lengths)[places]
+        return Atoms(self.names.take(pa.array(places)), n, self.ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+
+    def find(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of names: which are here, their places, and which are not."""
+        got = pc.index_in(names, self.names)
+        here = got.is_valid().to_numpy(zero_copy_only=False)
+        return np.flatnonzero(here), got.drop_null().to_numpy(), np.flatnonzero(~here)
+
+    def short(self) -> Atoms:
+        """Those of at most LONGEST bytes: the cache is bounded by bytes, too."""
+        fits = pc.binary_length(self.names).to_numpy() <= LONGEST
+        return self if fits.all() else self.at(np.flatnonzero(fits))
+
+
+def join(parts: list[Atoms]) -> Atoms:
+    return Atoms(pa.concat_arrays([x.names for x in parts]), np.concatenate([x.lengths for x in parts]), np.concatenate([x.ids for x in parts]))
+
+
+NO_ATOMS = Atoms(pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(0, "<u4"))
 
 
 class Encoder:
     """ids of texts, uint32: the tokenizer's own, found word by word.
 
     The vocabulary's rules never join across ASCII white space and know no case, so each run between blanks has its own
-    ids; those of frequent runs are remembered. Runs that are not known yet are encoded many at a time: plain words,
-    each of which ends in an end-of-word token, without the steps that would not change them.
+    ids, and a run is an atom and the punctuation behind it. Arrow splits a block of texts and finds its different
+    atoms; only those that neither generation of the cache knows are encoded, many at a time: plain words, each of which
+    ends in an end-of-word token, without the steps that would not change them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.young, self.old = Tokenizer.from_file(path), NO_ATOMS, NO_ATOMS
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.plain = Tokenizer.from_file(path)
@@ -55,63 +91,73 @@ class Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[k for w, k in vocab.items() if w.endswith("</w>")]] = True
 
-    def split(self, text: str | None) -> list[bytes]:
-        raw = (text or "").encode("utf-8", "replace")
-        return (raw if b"<|" in raw else raw.lower()).split()  # control tokens are told by their case
-
-    def learn(self, new: list[bytes]) -> None:
-        """Adds new runs of no blanks to what is known."""
-        known, parts = self.known, {}
-        todo = set()
-        for w in new:
-            if w.isalpha() and w.islower():
-                todo.add(w)
-                continue
-            m = None if b"<|" in w or b"\x01" in w else _TAIL.fullmatch(w)
-            if m and (m[1][-1] < 128 or _PLAIN.fullmatch(m[1].decode())):
-                parts[w] = m.groups()
-                todo.update(m.groups())
-            else:
-                todo.add(w)
-        todo.difference_update(known)
-        plain, other, alone = [], [], []
-        for w in todo:
-            x = w.decode()
-            if w.isalpha() and w.islower():
-                plain.append((w, x))
-                continue
-            y = x if x.isascii() else x.lower() if max(x) < "\u0100" else ""
-            if _PLAIN.fullmatch(y):
-                plain.append((w, y))
-            elif self.mark is None or "<|" in x or _MARK in x:
-                alone.append((w, x))
-            else:
-                other.append((w, x))
-        for tok, pairs, size, glue in ((self.plain, plain, 500, " "), (self.tokenizer, other, 500, f" {_MARK} "), (self.tokenizer, alone, 1, "")):
-            for at in range(0, len(pairs), 50 * size):
-                groups = [pairs[k : k + size] for k in range(at, min(at + 50 * size, len(pairs)), size)]
-                got = tok.encode_batch_fast([glue.join(y for _, y in g) for g in groups], add_special_tokens=False)
-                for group, e in zip(groups, got, strict=True):
-                    ids = np.array(e.ids, "<u4")
-                    if size == 1:
-                        begin, end = np.zeros(1, np.int64), np.full(1, 4 * len(ids))
-                    elif tok is self.plain:
-                        end = 4 * np.flatnonzero(self.ends[ids]) + 4
-                        begin = np.append(0, end[:-1])
-                    else:
-                        end = 4 * np.append(np.flatnonzero(ids == self.mark), len(ids))
-                        begin = np.append(0, end[:-1] + 4)
-                    raw = ids.tobytes()
-                    known.update((w, raw[i:j]) for (w, _), i, j in zip(group, begin.tolist(), end.tolist(), strict=True))
-        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
-
-    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [self.split(x) for x in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        if new := set().union(*split).difference(self.known):
-            self.learn(list(new))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), "<u4") for ws in split]
+    def learn(self, new: pa.Array) -> tuple[np.ndarray, Atoms]:
+        """ids of runs of no blanks, in another order, which comes first."""
+        latin = pc.match_substring_regex(new, _LATIN).to_numpy(zero_copy_only=False)
+        marked = pc.match_substring(new, _MARK).to_numpy(zero_copy_only=False) | (self.mark is None)
+        plain, glue, alone = (np.flatnonzero(x) for x in (latin, ~latin & ~marked, ~latin & marked))
+        words = pc.utf8_lower(new.take(pa.array(plain))).to_numpy(zero_copy_only=False).tolist()
+        ids = self.run(self.plain, [" ".join(words[k : k + GLUED]) for k in range(0, len(words), GLUED)])
+        parts, lengths = [ids], [np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)]
+        if words := new.take(pa.array(glue)).to_pylist():
+            ids = self.run(self.tokenizer, [f" {_MARK} ".join([*words[k : k + GLUED], ""]) for k in range(0, len(words), GLUED)])
+            parts.append(ids[ids != self.mark])
+            lengths.append(np.diff(np.flatnonzero(ids == self.mark), prepend=-1) - 1)
+        for x in new.take(pa.array(alone)).to_pylist():
+            parts.append(self.run(self.tokenizer, [x]))
+            lengths.append(np.array([len(parts[-1])]))
+        order = np.concatenate([plain, glue, alone])
+        return order, Atoms(new.take(pa.array(order)), np.concatenate(lengths), np.concatenate(parts))
+
+    def run(self, tokenizer, texts: list[str]) -> np.ndarray:  # noqa: ANN001
+        out = [np.zeros(0, "<u4")]
+        for k in range(0, len(texts), 50):
+            out += [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts[k : k + 50], add_special_tokens=False)]
+        return np.concatenate(out)
+
+    def ids_of(self, names: pa.Array) -> tuple[np.ndarray, Atoms]:
+        """Atoms and each name's place in them: from the younger generation, the older, or anew; when the younger is full the older goes."""
+        if len(self.young.names) > CACHE:
+            self.old, self.young = self.young, NO_ATOMS
+        first, at, rest = self.young.find(names)
+        second, more, other = self.old.find(names.take(pa.array(rest)))
+        order, new = self.learn(names.take(pa.array(rest[other])))
+        found = [self.young.at(at), self.old.at(more), new]
+        self.young = join([self.young, *[x.short() for x in found[1:]]])
+        place = np.empty(len(names), np.int64)
+        place[np.concatenate([first, rest[second], rest[other][order]])] = np.arange(len(names))
+        return place, join(found)
+
+    def encode_batch(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        col = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        control = pc.match_substring(col, "<|")  # control tokens are told by their case: such texts are encoded whole
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(control, "", col)))
+        runs = lists.flatten().dictionary_encode()
+        atoms, tails = (x.dictionary_encode() for x in cut_tails(runs.dictionary))
+        place, known = self.ids_of(pa.concat_arrays([atoms.dictionary, tails.dictionary]))
+        bounds = np.concatenate([[0], np.cumsum(known.lengths)]).astype(np.int32)
+        parts = pa.ListArray.from_arrays(bounds, pa.array(known.ids))
+        both = np.stack([place[atoms.indices.to_numpy()], place[len(atoms.dictionary) + tails.indices.to_numpy()]], axis=1)
+        of_run = parts.take(pa.array(both.ravel()))  # an atom and its tail after the other
+        of_run = pa.ListArray.from_arrays(pa.array(of_run.offsets.to_numpy()[::2]), of_run.values)
+        whole = of_run.take(runs.indices)
+        ids, at = whole.values.to_numpy(), whole.offsets.to_numpy()[lists.offsets.to_numpy()].tolist()
+        out = [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        for k in np.flatnonzero(control.to_numpy(zero_copy_only=False)).tolist():
+            out[k] = np.array(self.tokenizer.encode(col[k].as_py(), add_special_tokens=False).ids, "<u4")
+        return out
+
+
+def cut_tails(runs: pa.StringArray) -> tuple[pa.Array, pa.Array]:
+    """(atoms, tails) of runs; a tail is empty where the rules might not cut before it."""
+    body = pc.ascii_rtrim(runs, characters=_TAIL)
+    cut = pc.match_substring_regex(body, _CUT_BEFORE_TAIL)
+    n = np.where(cut.to_numpy(zero_copy_only=False), pc.binary_length(runs).to_numpy() - pc.binary_length(body).to_numpy(), 0)
+    ends, total = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset + 1 : runs.offset + len(runs) + 1], np.cumsum(n)
+    at = np.repeat(ends - total, n) + np.arange(n.sum())
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)[at]
+    tails = pa.StringArray.from_buffers(len(runs), pa.py_buffer(np.concatenate([[0], total]).astype(np.int32)), pa.py_buffer(data))
+    return pc.if_else(cut, body, runs), tails
 
 
 _encoders: dict[str, Encoder] = {}
@@ -189,7 +235,7 @@ class Packer:
         return pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset", "open"])
 
 
-def _blocks(batch: pa.RecordBatch, chars: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def _blocks(batch: pa.RecordBatch, chars: int = BLOCK) -> Iterator[pa.RecordBatch]:
     """The batch in blocks of about so many characters."""
     sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
     at = 0
@@ -206,7 +252,7 @@ def _pack(path: str | None, window: int, spaces: int, end_id: int):
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for b in _blocks(batch):
-                for doc_id, ids in zip(b.column(0).to_pylist(), encoder(path).encode_batch(b.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(b.column(0).to_pylist(), encoder(path).encode_batch(b.column(1)), strict=True):
                     ids = np.concatenate([ids, end])
                     packer.add(doc_id, 0, ids, len(ids))
                 if out := packer.take():

@@ -27,7 +27,7 @@ def _encode(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in _blocks(batch.select([0, 0])):
-                ids = [(x + SHIFT).astype("<u2").tobytes() for x in encoder(path).encode_batch(b.column(0).to_pylist())]
+                ids = [(x + SHIFT).astype("<u2").tobytes() for x in encoder(path).encode_batch(b.column(0))]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
     return run
