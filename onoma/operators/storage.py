@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where none is set."""
+    """spark.checkpoint.dir; where none is set, a local master gets a temporary folder, and a cluster is an error."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="onoma-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="onoma-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
