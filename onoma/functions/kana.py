@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from onoma.functions.text import strip
+from onoma.functions.text import WS, collapse
 
 KATAKANA = "".join(map(chr, [*range(0x30A1, 0x30F7), 0x30FD, 0x30FE]))
 HIRAGANA = "".join(chr(ord(c) - 0x60) for c in KATAKANA)
-KANA = "\\u3040-\\u309F\\u30A0-\\u30FF\\u31F0-\\u31FF\\uFF66-\\uFF9F"
+KANA = "\\u3040-\\u309F\\u30A0-\\u30FF\\u31F0-\\u31FF"
 
 
 def to_hiragana(c: Column) -> Column:
@@ -17,11 +17,13 @@ def to_hiragana(c: Column) -> Column:
 
 
 def hiragana_reading(c: Column) -> Column:
-    return strip(F.regexp_replace(F.replace(to_hiragana(c), F.lit("　"), F.lit(" ")), " +", " "))
+    """The text in hiragana with single blanks; null where it has no kana."""
+    return F.when(c.rlike(f"[{KANA}]"), collapse(to_hiragana(c)))
 
 
 def is_kana_dominant(c: Column) -> Column:
-    n = F.char_length(c)
+    """Four fifths of the characters that are not blank, at least, are kana."""
+    n = F.char_length(F.regexp_replace(c, f"[{WS}]+", ""))
     return (n > 0) & (F.char_length(F.regexp_replace(c, f"[^{KANA}]", "")) >= 0.8 * n)
 
 

@@ -74,10 +74,10 @@ def without_qualifier(c: Column) -> Column:
 
 
 def heading_strings(name: Column, heading: Column, readings: Column, hiragana: Column, usable=None) -> Column:
-    """Name, heading, name without its qualifier, readings; each once."""
+    """Name, heading, name without its qualifier, readings; each once. Where the name is not usable there are none."""
     own = F.array_compact(F.array(strip(name), strip(heading), without_qualifier(strip(name))))
-    own = F.filter(own, lambda s: (s != "") & (usable(s) if usable else F.lit(True)))
-    return F.array_distinct(F.concat(own, readings, hiragana))
+    out = F.array_distinct(F.concat(F.filter(own, lambda s: s != ""), readings, hiragana))
+    return F.when(usable(name), out).otherwise(F.array().cast("array<string>")) if usable else out
 
 
 def title_strings(title: Column, variants: Column) -> Column:

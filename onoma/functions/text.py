@@ -106,8 +106,10 @@ def stem(name: Column, kind: Column) -> Column:
 
 
 def first_clause(c: Column) -> Column:
+    """The text before its first stop, or its first 40 characters; of more than 60 the first 57."""
+    c = strip(c)
     got = F.regexp_extract(c, "^([^。.]+[。.])", 1)
-    got = F.when(got != "", got).otherwise(F.substring(c, 1, 40))
+    got = F.regexp_replace(F.when(got != "", got).otherwise(F.substring(c, 1, 40)), "[。.]$", "")
     return F.when(F.char_length(got) > 60, F.concat(F.substring(got, 1, 57), F.lit("…"))).otherwise(got)
 
 

@@ -15,7 +15,7 @@ def year_of_date(c: Column) -> Column:
     return _int(F.regexp_extract(c, "([+\\-]?[0-9]{3,4})", 1))
 
 
-_RANGE = "^(.*?)[(\\uFF08]\\s*(-?[0-9]{1,4})\\s*[~\\uFF5E\\u2013\\-\\u2014]\\s*(-?[0-9]{1,4})\\s*[)\\uFF09]"
+_RANGE = "(?s)^(.*?)[(\\uFF08]\\s*([+\\-]?[0-9]{1,4})\\s*[~\\uFF5E\\-\\u2013]\\s*([+\\-]?[0-9]{1,4})\\s*[)\\uFF09]"
 
 
 def year_range(c: Column) -> Column:
@@ -26,7 +26,7 @@ def year_range(c: Column) -> Column:
 
 
 def claim_year(time: Column) -> Column:
-    n = _int(F.regexp_extract(time, "^([+\\-]?)([0-9]+)-", 2))
+    n = _int(F.regexp_extract(time, "^([+\\-])([0-9]+)-", 2))
     return F.when(time.startswith("-"), -n).otherwise(n)
 
 

@@ -78,7 +78,7 @@ def listed_persons(rows: DataFrame, labels: DataFrame) -> DataFrame:
     occupation = F.get(F.col("occupation"), F.lit(0))["text"]
     meta = F.struct(
         F.col("dyn").alias("dynasty"), F.coalesce(birth, "d_start").alias("startYear"), F.coalesce(death, "d_end").alias("endYear"), F.col("ana"),
-        clues.listed_person(F.get("han", F.lit(0)), birth, death, F.col("dyn"), occupation, text.first_clause(tei.untyped_note(F.col("notes")))).alias("description"),
+        clues.listed_person(F.get("han", F.lit(0)), birth, death, F.col("dyn"), occupation, text.first_clause(tei.note(F.col("notes"), "concise"))).alias("description"),
         tei.note(F.col("notes"), "disambiguation").alias("disambiguation"),
         F.struct(ids.normalize_identifier(cbdb, "no_zeros").alias("cbdb"), F.get(F.reverse(ident("viaf")), F.lit(0)).alias("viaf"), ident("wikidata").alias("wikidata")).alias("crosswalk"),
     )
@@ -131,8 +131,6 @@ def catalogue(raw: DataFrame, kind: str) -> DataFrame:
         strings = F.when(names.is_usable_native_name(F.col("name")), F.array(text.strip(F.col("name")))).otherwise(F.array().cast(EMPTY))
     else:
         strings = names.heading_strings(F.col("name"), F.col("heading"), kana.readings(yomi, alt), kana.readings_hiragana(yomi, alt), names.is_usable_native_name if kind == "org" else None)
-        if kind == "org":
-            strings = F.when(names.is_usable_native_name(F.col("name")), strings).otherwise(F.array().cast(EMPTY))
     df = raw.withColumn("s", strings).where(F.size("s") > 0)
     more = [] if kind == "person" else [F.get(kana.readings(yomi, alt), F.lit(0)).alias("yomi"), F.get(kana.readings_hiragana(yomi, alt), F.lit(0)).alias("yomiHiragana")]
     span = [F.col("birthYear").alias("startYear"), F.col("deathYear").alias("endYear")] if kind == "person" else []
@@ -142,9 +140,13 @@ def catalogue(raw: DataFrame, kind: str) -> DataFrame:
 
 def ime_rows(raw: DataFrame, ident: str, name: str) -> DataFrame:
     """(id, surface, kana, hiragana, birthYear, deathYear): a row per reading."""
-    k, h = kana.readings(F.col("yomi"), F.col("yomiAlt")), kana.readings_hiragana(F.col("yomi"), F.col("yomiAlt"))
-    rows = raw.select(F.col(ident).alias("id"), F.col(name).alias("surface"), h.alias("h"), F.posexplode(k).alias("at", "kana"), "birthYear", "deathYear")
-    return rows.select("id", "surface", "kana", F.get("h", F.col("at")).alias("yomiHiragana"), "birthYear", "deathYear")
+    rows = raw.select(F.col(ident).alias("id"), F.col(name).alias("surface"), F.explode(kana.readings(F.col("yomi"), F.col("yomiAlt"))).alias("kana"), "birthYear", "deathYear")
+    return rows.select("id", "surface", "kana", kana.to_hiragana(F.col("kana")).alias("yomiHiragana"), "birthYear", "deathYear")
+
+
+def graph_ime_rows(raw: DataFrame) -> DataFrame:
+    """(id, surface, kana, hiragana, birthYear, deathYear): a row per reading of a person of the graph, beside the first."""
+    return raw.select(F.col("qid").alias("id"), F.col("primaryLabel").alias("surface"), F.explode("nameInKana").alias("kana"), "yomiHiragana", "birthYear", "deathYear")
 
 
 # --- knowledge graph -------------------------------------------------------------------------------------------------
@@ -189,45 +191,94 @@ def _normaliser(mode: str):  # noqa: ANN202
 
 
 def kana_of() -> Column:
-    hira = F.transform(string_values("P1814"), kana.hiragana_reading)
-    dominant = F.filter(F.transform(F.coalesce(F.col("aliases")["ja"], F.array().cast("array<struct<language:string,value:string>>")), lambda a: a["value"]), kana.is_kana_dominant)
-    label = F.array_compact(F.array(F.col("labels")["ja-hira"]["value"], F.col("labels")["ja-kana"]["value"], F.when(kana.is_kana_dominant(F.col("labels")["ja"]["value"]), F.col("labels")["ja"]["value"])))
-    return F.array_distinct(F.filter(F.concat(hira, F.transform(label, kana.hiragana_reading), F.transform(dominant, kana.hiragana_reading)), lambda v: v != ""))
+    """Readings in hiragana: claims, labels in kana, aliases and last the label itself, if they are mostly kana."""
+    label = lambda lang: F.col("labels")[lang]["value"]
+    aliases = F.transform(F.coalesce(F.col("aliases")["ja"], F.array().cast("array<struct<language:string,value:string>>")), lambda a: a["value"])
+    own = F.when(kana.is_kana_dominant(label("ja")), label("ja"))
+    sources = F.concat(string_values("P1814"), F.array(label("ja-Hira"), label("ja-Kana")), F.filter(aliases, kana.is_kana_dominant), F.array(own))
+    return F.array_distinct(F.filter(F.array_compact(F.transform(F.array_compact(sources), kana.hiragana_reading)), lambda v: v != ""))
 
 
-def raw_entities(entities: DataFrame, language: str) -> DataFrame:
-    """The fields that any kind needs, for one language pack; entities without a label in it go."""
+def first_claim_year(prop: str) -> Column:
+    """Of the first claim alone, whether or not it has a value."""
+    first = F.get(F.col("claims")[prop], F.lit(0))["mainsnak"]["datavalue"]["value"]
+    return years.claim_year(F.get_json_object(first, "$.time"))
+
+
+def raw_fields(language: str) -> list[Column]:
+    """The fields that any kind needs, for one language pack."""
     langs = config.LANGUAGES[language][0]
-    year = lambda p: years.claim_year(F.get_json_object(F.get(_values(p, "time"), F.lit(0)), "$.time"))
-    df = entities.where(F.col("type") == "item").withColumn("label", label_of(langs)).where("label is not null")
-    return df.select(
-        F.col("id").alias("qid"), F.col("label").alias("primaryLabel"), aliases_of(langs).alias("aliases"), F.coalesce(F.get(string_values("P734"), F.lit(0)), F.lit("")).alias("familyName"),
+    return [
+        F.col("id").alias("qid"), label_of(langs).alias("primaryLabel"), aliases_of(langs).alias("aliases"), F.coalesce(F.get(string_values("P734"), F.lit(0)), F.lit("")).alias("familyName"),
         F.coalesce(F.get(string_values("P735"), F.lit(0)), F.lit("")).alias("givenName"), entity_ids("P27").alias("p27"), entity_ids("P2348").alias("p2348"), entity_ids("P31").alias("p31"),
-        year("P569").alias("birthYear"), year("P570").alias("deathYear"), entity_ids("P50").alias("authorQids"), year("P577").alias("publicationYear"), year("P571").alias("inceptionYear"),
-        year("P576").alias("dissolvedYear"), string_values("P1814").alias("nameInKana"), F.get(kana_of(), F.lit(0)).alias("yomiHiragana"), crosswalk().alias("crosswalk"),
-    )
+        first_claim_year("P569").alias("birthYear"), first_claim_year("P570").alias("deathYear"), entity_ids("P50").alias("authorQids"), first_claim_year("P577").alias("publicationYear"),
+        first_claim_year("P571").alias("inceptionYear"), first_claim_year("P576").alias("dissolvedYear"), F.get(entity_ids("P4711"), F.lit(0)).alias("chgisId"), kana_of().alias("nameInKana"),
+        F.get(kana_of(), F.lit(0)).alias("yomiHiragana"), crosswalk().alias("crosswalk"),
+    ]
+
+
+def raw_entities(entities: DataFrame, language: str) -> DataFrame:
+    """raw_fields of every item; entities without a label in the language go."""
+    return entities.where(F.col("type") == "item").select(*raw_fields(language)).where("primaryLabel is not null")
+
+
+#: Ways in which a person belongs to a pack: by label alone, by a dynasty's or country's items, by living before the Ming.
+MEMBERSHIPS = ("label-only", "dynasty-p27", "country-p27", "pre-ming")
+
+
+def is_member(mode: str, qids: list[str] | None = None) -> Column:
+    """Whether an entity, as a person, belongs; without qids a dynasty or country takes all."""
+    if mode not in MEMBERSHIPS:
+        raise ValueError(f"unknown membership {mode}; known are {MEMBERSHIPS}")
+    if mode == "pre-ming":
+        return early_authority(entity_ids("P27"), entity_ids("P2348")) | years.before(config.PRE_MING_LAST, first_claim_year("P569"), first_claim_year("P570"))
+    return _overlap(entity_ids("P27"), qids) if qids and mode != "label-only" else F.lit(True)
+
+
+def _overlap(items: Column, qids: list[str]) -> Column:
+    return F.coalesce(F.arrays_overlap(items, F.array(*[F.lit(q) for q in qids])), F.lit(False))
+
+
+def early_dynasties() -> list[tuple]:
+    return [d for d in config.DYNASTIES if d[4] <= config.PRE_MING_LAST and d[1] not in config.POST]
+
+
+def early_authority(p27: Column, p2348: Column) -> Column:
+    own = [d[1] for d in early_dynasties()]
+    return _overlap(p27, own) | _overlap(p2348, own)
 
 
 def has_kind(p31: Column, kind: str, closure: Closure | None = None) -> Column:
-    """By the classes themselves or in a closure; an empty side of it falls back on the roots."""
+    """By the classes themselves or in a closure, an empty side of which falls back on the roots; a person is a human, and no
+    disambiguation page."""
     include, exclude = (closure or {}).get(kind) or config.KINDS[kind]
-    return include_exclude(p31, include or config.KINDS[kind][0], exclude or config.KINDS[kind][1])
+    ok = include_exclude(p31, include or config.KINDS[kind][0], exclude or config.KINDS[kind][1])
+    return ok & F.array_contains(p31, config.HUMAN) & ~F.array_contains(p31, config.DISAMBIGUATION) if kind == "person" else ok
 
 
 def of_kind(raw: DataFrame, kind: str, closure: Closure | None = None) -> DataFrame:
     """Rows of a kind by their classes, directly or in a closure; what is excluded goes first."""
-    ok = has_kind(F.col("p31"), kind, closure)
-    if kind == "person":
-        ok = ok & F.array_contains("p31", config.HUMAN) & ~F.array_contains("p31", config.DISAMBIGUATION)
-    return raw.where(ok)
+    return raw.where(has_kind(F.col("p31"), kind, closure))
+
 
+def _sliced(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None, membership: str, qids: list[str] | None) -> DataFrame:
+    """The entities with s: (lang, kind), a row for every pack that an entity belongs to; one scan."""
+    p31, person = entity_ids("P31"), is_member(membership, qids)
+    ok = {k: has_kind(p31, k, closure) & (person if k == "person" else F.lit(True)) for k in kinds}
+    slices = [F.when(label_of(config.LANGUAGES[la][0]).isNotNull() & ok[k], F.struct(F.lit(la).alias("lang"), F.lit(k).alias("kind"))) for la in languages for k in kinds]
+    return entities.where(F.col("type") == "item").withColumn("s", F.explode(F.array_compact(F.array(*slices))))
 
-def one_scan(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None = None) -> DataFrame:
+
+def one_scan(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None = None, membership: str = "label-only", qids: list[str] | None = None) -> DataFrame:
     """(lang, kind, qid): every pack that an entity belongs to, from one scan."""
-    p31 = entity_ids("P31")
-    df = entities.where(F.col("type") == "item")
-    slices = [F.when(label_of(config.LANGUAGES[la][0]).isNotNull() & has_kind(p31, k, closure), F.struct(F.lit(la).alias("lang"), F.lit(k).alias("kind"))) for la in languages for k in kinds]
-    return df.select(F.col("id").alias("qid"), F.explode(F.array_compact(F.array(*slices))).alias("s")).select("s.lang", "s.kind", "qid")
+    return _sliced(entities, languages, kinds, closure, membership, qids).select("s.lang", "s.kind", F.col("id").alias("qid"))
+
+
+def raw_packs(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None = None, membership: str = "label-only", qids: list[str] | None = None) -> DataFrame:
+    """(lang, kind, raw_fields of that language): the raw rows of every pack, from one scan and one parse."""
+    rows = _sliced(entities, languages, kinds, closure, membership, qids)
+    raw = F.coalesce(*[F.when(F.col("s.lang") == la, F.struct(*raw_fields(la))) for la in languages])
+    return rows.select("s.lang", "s.kind", raw.alias("r")).select("lang", "kind", "r.*")
 
 
 def in_dynasty(raw: DataFrame, qids: list[str]) -> DataFrame:
@@ -236,11 +287,10 @@ def in_dynasty(raw: DataFrame, qids: list[str]) -> DataFrame:
 
 def pre_ming(raw: DataFrame) -> DataFrame:
     """Persons of early dynasties or years, with the shortest period that holds them."""
-    early = [d for d in config.DYNASTIES if d[4] <= config.PRE_MING_LAST and d[1] not in config.POST]
-    has = lambda c, q: F.arrays_overlap(c, F.array(*[F.lit(x) for x in q]))
+    early = early_dynasties()
     overlap = years.before(config.PRE_MING_LAST, F.col("birthYear"), F.col("deathYear"))
     only_post = (F.size("p27") > 0) & F.forall("p27", lambda q: q.isin(config.POST))
-    authority = has("p27", [d[1] for d in early]) | has("p2348", [d[1] for d in early])
+    authority = early_authority(F.col("p27"), F.col("p2348"))
     df = raw.where(~(only_post & ~overlap) & (authority | overlap))
     dims = df.sparkSession.createDataFrame([(k, d[1], d[2], d[3], d[4]) for k, d in enumerate(early)], "ord int, qid string, label string, start int, end int")
     keyed = df.withColumnRenamed("qid", "entity")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from onoma.functions.text import nfc_array
+from onoma.functions.text import label_key, nfc_array
 from onoma.operators import compilers as C
 from onoma.operators import config, triples
 from onoma.operators import relational as R
@@ -27,12 +27,17 @@ def compile_snapshot(spark: SparkSession, sqlite_path: str, out: str) -> dict[st
     return {k: packs.write_pack(df, f"{out}/{k}", "CBDB", SNAPSHOT_POLICY) for k, df in made.items()}
 
 
-def compile_lists(spark: SparkSession, persons: str, places: str, out: str, districts: str | None = None, crosswalk: DataFrame | None = None) -> dict[str, dict]:
-    """Packs of TEI lists; crosswalk: (dila, chgis), of repeated ids the last in order of chgis counts."""
+def compile_lists(spark: SparkSession, persons: str, places: str, out: str, districts: str | None = None, crosswalk: DataFrame | None = None, dynasties: DataFrame | None = None) -> dict[str, dict]:
+    """Packs of TEI lists; crosswalk: (dila, chgis), of repeated ids the last row counts; dynasties: a snapshot's table."""
     known = tei.districts(spark, districts) if districts else spark.createDataFrame([], "id string, name string")
     known = known.groupBy("id").agg(F.max("name").alias("name"))
-    pairs = spark.createDataFrame([], "dila string, chgis string") if crosswalk is None else crosswalk.groupBy("dila").agg(F.max("chgis").alias("chgis"))
-    got = {"persons": packs.write_pack(C.listed_persons(tei.persons(spark, persons), config.static_labels(spark)), f"{out}/persons", "DILA")}
+    pairs = spark.createDataFrame([], "dila string, chgis string") if crosswalk is None else R.last_wins(crosswalk.select("dila", "chgis", F.monotonically_increasing_id().alias("_ord")), "dila", "_ord").select("dila", "chgis")
+    labels = config.static_labels(spark).select(label_key(F.col("label")).alias("label"), "start", "end")
+    if dynasties is not None:  # rows of the table replace those of equal labels
+        named = dynasties.select(F.explode(F.array("c_dynasty_chn", "c_dynasty")).alias("label"), F.col("c_start").cast("int").alias("start"), F.col("c_end").cast("int").alias("end"), F.monotonically_increasing_id().alias("_ord"))
+        named = named.where("label != ''").withColumn("label", label_key(F.col("label")))
+        labels = R.override(labels, R.last_wins(named, "label", "_ord").select("label", "start", "end"), "label")
+    got = {"persons": packs.write_pack(C.listed_persons(tei.persons(spark, persons), labels), f"{out}/persons", "DILA")}
     linked = F.count_if(F.col("metadata.crosswalk.chgis").isNotNull())
     got["places"] = packs.write_pack(C.listed_places(tei.places(spark, places), known, pairs), f"{out}/places", "DILA", crosswalkChgisCount=linked)
     return got
@@ -85,18 +90,20 @@ def kind_closure(graph: DataFrame) -> C.Closure:
     return {kind: (found.get(f"{kind} 0", []), found.get(f"{kind} 1", [])) for kind in config.KINDS}
 
 
-def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], out: str, closure: C.Closure | None = None) -> DataFrame:
-    """Raw rows of every kind and language of a dump, under lang=…/kind=…; returns how many matched.
+def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], out: str, closure: C.Closure | None = None, membership: str = "label-only", qids: list[str] | None = None, most: int | None = None) -> DataFrame:
+    """Raw rows of every kind and language of a dump, under lang=…/kind=…, from one scan; returns how many matched.
 
-    closure, as of kind_closure, also lets in items of subclasses and keeps out those of excluded subclasses.
+    closure, as of kind_closure, also lets in items of subclasses and keeps out those of excluded subclasses. Persons
+    belong by `membership` (see C.MEMBERSHIPS) and its qids. most: rows after which the extraction may stop.
     """
-    entities, frames = files.dump(spark, dump), []
-    for language in languages:
-        raw = C.raw_entities(entities, language)
-        frames += [C.of_kind(raw, k, closure).withColumn("lang", F.lit(language)).withColumn("kind", F.lit(k)) for k in parse_kinds(kinds)]
-    rows = R.union_all(frames)
+    kinds_, seen = parse_kinds(kinds), Observation()
+    rows = C.raw_packs(files.dump(spark, dump), languages, kinds_, closure, membership, qids)
+    rows = rows if most is None else rows.limit(most)
+    names = {f"{la} {k}": (la, k) for la in languages for k in kinds_}
+    rows = rows.observe(seen, *[F.count_if((F.col("lang") == la) & (F.col("kind") == k)).alias(name) for name, (la, k) in names.items()])
     packs.write_fan_out(rows, out, "lang", "kind")
-    return spark.read.schema(rows.schema).json(out).groupBy("lang", "kind").count()
+    counts = [(*names[name], n) for name, n in seen.get.items() if n]
+    return spark.createDataFrame(counts, "lang string, kind string, count long")
 
 
 def compile_graph_persons(raw: DataFrame, dynasty: str, out: str) -> dict:
@@ -118,6 +125,12 @@ def compile_graph_kind(raw: DataFrame, kind: str, language: str, out: str) -> di
     return packs.write_pack(C.graph_kind(raw, kind, language), out, "Wikidata")
 
 
+def compile_graph_country(raw: DataFrame, qid: str, label: str, out: str) -> dict:
+    """A pack of the persons of one country, by its item."""
+    none = F.lit(None).cast("int")
+    return packs.write_pack(C.graph_persons(C.in_dynasty(raw, [qid]), F.lit(label), none, none), out, "Wikidata")
+
+
 def compile_catalogue(raw: DataFrame, kind: str, out: str) -> dict:
     return packs.write_pack(C.catalogue(raw, kind), f"{out}/{kind}s", "NDL")
 
@@ -134,6 +147,11 @@ def export_ime(raw: DataFrame, ident: str, name: str, out: str) -> None:
     packs.write_csv(C.ime_rows(raw, ident, name), out)
 
 
+def export_graph_ime(raw: DataFrame, out: str) -> None:
+    """Readings of persons of the graph as CSV for input methods."""
+    packs.write_csv(C.graph_ime_rows(raw), out)
+
+
 def bundle(spark: SparkSession, folder: str, out: str, prefixes: dict[str, str] | None = None) -> DataFrame:
     """Writes the index of a folder's files by bundle, with sizes and hashes; returns bytes and files of each bundle."""
     packs.write_ndjson(packs.bundle_index(spark, folder, prefixes), out)

@@ -228,7 +228,7 @@ def clue_office(spark, d):
     return t(spark, d, "orders").select("o_orderkey", clues.office(F.lit("o"), tr, dy).alias("clue"))
 
 
-@query("SELECT doc_id, CASE WHEN length(c) > 60 THEN substr(c, 1, 57) || '…' ELSE c END AS clause FROM (SELECT doc_id, coalesce(nullif(regexp_extract(text, '^([^。.]+[。.])', 1), ''), substr(text, 1, 40)) AS c FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN length(c) > 60 THEN substr(c, 1, 57) || '…' ELSE c END AS clause FROM (SELECT doc_id, regexp_replace(coalesce(nullif(regexp_extract(t, '^([^。.]+[。.])', 1), ''), substr(t, 1, 40)), '[。.]$', '') AS c FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '^{_WS}', ''), '{_WS}$', '') AS t FROM documents))")
 def first_clause(spark, d):
     return t(spark, d, "documents").select("doc_id", text.first_clause(F.col("text")).alias("clause"))
 

@@ -46,11 +46,20 @@ class SqliteReader(DataSourceReader):
         return [InputPartition((a, min(a + step - 1, hi))) for a in range(lo, hi + 1, step)]
 
     def read(self, partition: InputPartition):  # noqa: ANN201
-        cast = {"bigint": int, "double": float, "string": str}
         cols = ", ".join("rowid" if n == "_ord" else f'"{n}"' for n, _ in self.fields)
         with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
             for row in db.execute(f'SELECT {cols} FROM "{self.options["dbtable"]}" WHERE rowid BETWEEN ? AND ? ORDER BY rowid', partition.value):
-                yield tuple(None if v is None or v == "" and t != "string" else cast[t](v) for v, (_, t) in zip(row, self.fields, strict=True))
+                yield tuple(cell(v, t) for v, (_, t) in zip(row, self.fields, strict=True))
+
+
+def cell(v, kind: str):  # noqa: ANN001, ANN201
+    """A cell as its column's type: SQLite keeps any value in any column, and what does not fit is null."""
+    if v is None or kind == "string":
+        return v if v is None or isinstance(v, str) else v.decode("utf-8", "replace") if isinstance(v, bytes) else str(v)
+    try:
+        return (int if kind == "bigint" else float)(v)
+    except (ValueError, TypeError, OverflowError):
+        return None
 
 
 def discover(root: str) -> list[str]:
@@ -120,7 +129,7 @@ class ShapefileReader(DataSourceReader):
 
 
 class SparqlSource(DataSource):
-    """format("sparql"): options endpoint, query (with {after} and {limit}), key, limit, retries; a row per result page.
+    """format("sparql"): options endpoint, query (with {after} and {limit}), key, limit, retries, delay (seconds); a row per result page.
 
     Pages follow one another by key, so one task reads them; each row is a page's JSON for `bindings`.
     """
@@ -158,11 +167,15 @@ class SparqlReader(DataSourceReader):
                     if attempt == retries:
                         raise
                     time.sleep(2 * attempt)
+            found = json.loads(text)
+            if "results" not in found:
+                raise RuntimeError(f"the endpoint reports an error: {text[:500]}")
             yield (text,)
-            rows = json.loads(text)["results"]["bindings"]
+            rows = found["results"]["bindings"]
             if len(rows) < limit or "key" not in o:
                 return
             after = rows[-1][o["key"]]["value"]
+            time.sleep(float(o.get("delay", 0)))
 
 
 def register(spark) -> None:  # noqa: ANN001

@@ -33,6 +33,8 @@ def extract(spark: SparkSession, source: str, transform: Callable[[DataFrame], D
     check_settings(spark, checkpoint, settings)
     reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", files_per_batch)
     rows = transform((reader.schema(schema) if schema else reader).load(source))
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, max(1_000_000, int(spark.conf.get(kept))))  # all batches are counted below
     query = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return {"rows_in": sum(p["numInputRows"] for p in query.recentProgress), "batches": len(query.recentProgress)}
