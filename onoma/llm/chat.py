@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, small_batches, stash
+from onoma.llm.common import checkpoint, map_arrow, stash
 
 START, END = "<|im_start|>", "<|im_end|>"
 VOCABULARY, START_ID, END_ID = "byte_bpe_50k.tiktoken", 50257, 50258
@@ -145,10 +145,9 @@ def build(conversations: DataFrame, vocabulary: str | None = None) -> tuple[Data
     are ignored. A hot first turn is one tree but many tasks: sequence offsets come from a range-partitioned order.
     """
     spark = conversations.sparkSession
-    small_batches(spark)
     rows = conversations.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_ID)).alias("conv"), "turn", "role", "text")
     rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
-    turns = stash(rows.mapInArrow(_turns(vocabulary), TURN), "turns")
+    turns = stash(map_arrow(rows, _turns(vocabulary), TURN), "turns")
     paths = turns.where("node is not null").select("conv", "depth", "node", "root")
     # In the order of their paths, with prefixes first, conversations bring their new nodes depth first.
     ranked = turns.where("path is not null").select("conv", "path").orderBy("path", "conv").select("conv", F.monotonically_increasing_id().alias("rank"))
@@ -170,7 +169,7 @@ def build(conversations: DataFrame, vocabulary: str | None = None) -> tuple[Data
     placed = checkpoint(placed.join(trees, "root").select("node", "rank", "length", (F.col("at") - F.col("tree_at")).alias("offset")))
     along = paths.join(ranked, "conv").join(placed.withColumnRenamed("rank", "own_rank"), "node")
     along = along.select("conv", "depth", "node", "offset", "length", (F.col("rank") == F.col("own_rank")).alias("own"))
-    spans = along.repartition("conv").sortWithinPartitions("conv", "depth").mapInArrow(_spans, "node binary, position long, attends array<struct<from:bigint,to:bigint>>")
+    spans = map_arrow(along.repartition("conv").sortWithinPartitions("conv", "depth"), _spans, "node binary, position long, attends array<struct<from:bigint,to:bigint>>")
     full = nodes.select("root", "node", "depth", "length", "ids", "loss_from", "loss_to").join(placed.select("node", "offset"), "node").join(spans, "node")
     return stash(full.select("root", "node", "depth", "offset", "length", "position", "attends", "ids", "loss_from", "loss_to"), "nodes"), paths.drop("root")
 
@@ -226,7 +225,7 @@ def read_back(nodes: DataFrame, paths: DataFrame, vocabulary: str | None = None)
     """Digests of every conversation, from the emitted nodes on its path."""
     along = paths.join(nodes.select("node", "ids", "loss_from", "loss_to"), "node").drop("node")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return along.repartition("conv").sortWithinPartitions("conv", "depth").mapInArrow(_read(vocabulary), schema)
+    return map_arrow(along.repartition("conv").sortWithinPartitions("conv", "depth"), _read(vocabulary), schema)
 
 
 def fixed_case(spark: SparkSession) -> DataFrame:

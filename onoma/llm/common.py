@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word: a run of anything but the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of a batch that goes to Python: texts are long.
+BYTES = 8 << 20
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library than GNU's
+    _libc = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,14 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests, one machine) a temporary folder is set.
+    Where the session names none, a local master (tests, one machine) gets a temporary folder; a cluster is an error.
     """
-    at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    sc = spark.sparkContext
+    at = sc._jsc.sc().getCheckpointDir()
     if at.isDefined():
         return at.get()
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="onoma-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if not named and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="onoma-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -55,11 +67,27 @@ def with_row_key(df: DataFrame) -> DataFrame:
     return df.select("*", key(1).alias("row_a"), key(2).alias("row_b"))
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Texts are long: no batch that goes to Python holds more rows than this."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, rows)
+def release() -> None:
+    """Gives freed memory back to the machine: a Python worker outlives its task, and idle ones add up."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """df.mapInArrow in batches of about BYTES bytes at most, after which the worker gives its memory back.
+
+    The limit is a setting of the session, which is lowered, never raised, and stays so: the plan runs later.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not re.fullmatch(r"\d+b?", now := conf.get(key)) or not 0 < int(now.rstrip("b")) <= BYTES:
+        conf.set(key, BYTES)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def words(text: str | None) -> list[bytes]:

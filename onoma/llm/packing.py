@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import small_batches, stash
+from onoma.llm.common import map_arrow, stash
 
 WINDOW, SPACES, END_ID = 2048, 64, 1
 VOCABULARY = "word_bpe_49k.json"
@@ -294,8 +294,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     documents longer than a window fill windows of their own, their rest is packed; repeated rows and null ids are
     packed like any other; an empty table gives an empty result; other columns are ignored. Only one sequence is short.
     """
-    small_batches(docs.sparkSession)
-    done = stash(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_pack(vocabulary, window, spaces, end_id), PIECE), "pieces")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    done = stash(map_arrow(rows, _pack(vocabulary, window, spaces, end_id), PIECE), "pieces")
     out, level = done.where("not open").drop("open"), 1
     left = done.where("open").withColumn("task", F.shiftright("sequence_id", 36))
     tasks = (left.agg(F.max("task")).first()[0] or 0) + 1
@@ -303,7 +303,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         tasks = -(-tasks // FAN_IN)
         key = (F.col("task") / FAN_IN).cast("long") if tasks > 1 else F.lit(0)
         dealt = left.withColumn("to", F.pmod(key, F.lit(tasks)).cast("int")).repartition(tasks, "to").sortWithinPartitions("task", "sequence_id", "offset").drop("task", "to")
-        done = stash(dealt.mapInArrow(_merge(level, window, spaces, tasks == 1), PIECE), "merged")
+        done = stash(map_arrow(dealt, _merge(level, window, spaces, tasks == 1), PIECE), "merged")
         out = out.unionByName(done.where("not open").drop("open"))
         if tasks == 1:
             return out

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onoma.llm.common import small_batches
+from onoma.llm.common import map_arrow
 
 #: Bound of the labelled sample.
 SAMPLE = 20_000
@@ -75,7 +75,6 @@ def counts(text: str | None) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the columns COUNTS (long); own columns of these names are replaced."""
-    small_batches(docs.sparkSession)
     docs = docs.drop(*COUNTS)
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])
@@ -85,7 +84,7 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             got = np.array([counts(x.as_py()) for x in b.column(at)], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(got[:, k].copy()) for k in range(len(COUNTS))]], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, runs, small_batches, with_row_key
+from onoma.llm.common import checkpoint, map_arrow, runs, with_row_key
 from onoma.llm.components import connected_components
 
 BITS, SHINGLE, MAX_DIFF, PARTS = 64, 3, 2, 3
@@ -50,7 +50,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): fp as a signed long; null and wordless texts have 0."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), _fingerprints, "doc_id long, fp long")
 
 
 def _co_occurrence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +157,7 @@ def links(classes: DataFrame, max_diff: int = MAX_DIFF, parts: int = PARTS, buck
     Within a bucket only a spanning forest of the links is returned, so rows stay below the probes.
     """
     both = np.zeros((BITS, BITS))
-    stats = classes.select("fp").mapInArrow(_co_occurrence, "i long, j long, s long").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    stats = map_arrow(classes.select("fp"), _co_occurrence, "i long, j long, s long").groupBy("i", "j").agg(F.sum("s").alias("s"))
     for i, j, s in stats.collect():  # 64 x 64 numbers
         both[i, j] = s
     n = classes.count()
@@ -206,8 +206,7 @@ def links(classes: DataFrame, max_diff: int = MAX_DIFF, parts: int = PARTS, buck
             .select(F.col("mask").bitwiseOR(F.col("block")).alias("mask"), F.col("val").bitwiseOR(F.col("fp").bitwiseAND(F.col("block"))).alias("val"), "fp", "rep", "role")
             .distinct()
         )
-    found = small.repartition("mask", "val").sortWithinPartitions("mask", "val").mapInArrow(_verify(max_diff), "u long, v long")
-    return found
+    return map_arrow(small.repartition("mask", "val").sortWithinPartitions("mask", "val"), _verify(max_diff), "u long, v long")
 
 
 def _choose(n: int, k: int) -> int:
@@ -231,7 +230,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint and a null component only if no id has that fingerprint; repeated rows are kept; an empty table gives an empty
     result; other columns are ignored.
     """
-    small_batches(docs.sparkSession)
     fps = checkpoint(fingerprints(docs, id_col, text_col))
     classes = checkpoint(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
     comp = connected_components(links(classes, max_diff))
@@ -245,9 +243,8 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     Rows are told apart by all their columns, so differing texts of one id, or of none, are grouped each for itself; of
     rows equal throughout one stays; a rerun keeps the same rows.
     """
-    small_batches(docs.sparkSession)
     keyed, key = with_row_key(docs), ["row_a", "row_b"]
-    fps = keyed.select(F.col(id_col).alias("doc_id"), *key, F.col(text_col).alias("text")).mapInArrow(_fingerprints, "doc_id long, row_a long, row_b long, fp long")
+    fps = map_arrow(keyed.select(F.col(id_col).alias("doc_id"), *key, F.col(text_col).alias("text")), _fingerprints, "doc_id long, row_a long, row_b long, fp long")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key)).alias("first")
     classes = checkpoint(fps.groupBy("fp").agg(first))
     comp = connected_components(links(classes.select("fp", F.col("fp").alias("rep")), max_diff))
