@@ -1,13 +1,15 @@
 """Language identification by cross-parsing entropy.
 
 Each language has a suffix automaton of labelled text. A text is parsed against it into longest matches; the language
-that needs the fewest phrases per symbol, times the bits that name a place in its training text, wins. Texts are parsed
-in segments of SEGMENT symbols, at whose ends a phrase ends too, so that a long text is many short parses; all segments
-of a block and all languages advance together, one symbol a step.
+that needs the fewest phrases per symbol, times the bits that name a place in its training text, wins; of equals the
+first in order. So that a long text is many short parses, segments of SEGMENT symbols of all texts of a block and of all
+languages advance together, one symbol a step. Each segment is then parsed again from where the one before it left off,
+until both parses agree, so the phrases are those of whole texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onoma.llm.common import small_batches
+from onoma.llm.common import map_arrow
 
 UNDETERMINED = "und"
-#: Bounds of the training sample: texts and symbols of a language, languages.
-TEXTS, SYMBOLS, LANGUAGES = 60, 20_000, 500
+#: Bounds of the training sample: texts and symbols of a language, texts of all together.
+TEXTS, SYMBOLS, ALL_TEXTS = 60, 20_000, 60_000
+#: Labels up to which one expression tells where each label's sample ends.
+FEW = 200
+#: Bounds of the model: different letters (rarer ones count as any other), cells of the automata's table.
+LETTERS, CELLS = 500, 25_000_000
 SEGMENT, BLOCK = 1024, 1_000_000
 
 
@@ -75,7 +81,8 @@ class Parser:
     """All languages' automata in one table: 2 * next state + (1 where a phrase starts)."""
 
     def __init__(self, model: Model):
-        alphabet = sorted({c for _, t in model.texts for c in t if c != " "})
+        seen = Counter(c for _, t in model.texts for c in t if c != " ")
+        alphabet = sorted(sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS])
         self.width = len(alphabet) + 2  # blank, the known letters, any other letter
         letters = np.frombuffer("".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))).encode("utf-32-le"), np.uint32)
         self.symbol = np.zeros(0x110000, np.uint8 if self.width < 256 else np.uint16)
@@ -85,7 +92,7 @@ class Parser:
             self.symbol[ord(c)] = k
         self.names, tables, self.roots, self.bits, at = [], [], [], [], 0
         for name, text in model.texts:
-            go = suffix_automaton([index[c] for c in text], self.width)
+            go = suffix_automaton([index.get(c, self.width - 1) for c in text], self.width)
             none = go < 0
             none[0] = True  # from the root each symbol starts a phrase
             nxt = np.where(go >= 0, go, np.where(go[0] >= 0, go[0], 0)) + at
@@ -119,17 +126,50 @@ class Parser:
         start, size, doc = start[order], size[order], doc[order]
         roots = np.array(self.roots, np.int32)[:, None]
         state = np.repeat(roots, len(doc), axis=1) * self.width
-        count = np.zeros_like(state)
+        count, final = np.zeros_like(state), np.empty_like(state)
         active = np.searchsorted(-size, -np.arange(int(size.max(initial=0))), "left")
         for t, k in enumerate(active.tolist()):
             if k < state.shape[1]:
+                final[:, k : state.shape[1]] = state[:, k:]
                 state = state[:, :k].copy()
             got = self.table[state + sym[start[:k] + t]]
             count[:, :k] += got & 1
             state = (got >> 1) * self.width
+        final[:, : state.shape[1]] = state
+        back = np.argsort(order)
+        start, size, doc, count, final = start[back], size[back], doc[back], count[:, back], final[:, back]
+        count += self.carried(sym, start, size, nth, final)
         total = np.array([np.bincount(doc, weights=c, minlength=len(low)) for c in count]).reshape(len(self.names), len(low))
         return total, n, letters
 
+    def carried(self, sym: np.ndarray, start: np.ndarray, size: np.ndarray, nth: np.ndarray, final: np.ndarray) -> np.ndarray:
+        """How the counts of segments change if each but a text's first goes on from the state that the one before ends in.
+
+        Both parses of a segment run until their states agree, after which they are one. Where they never do, the
+        segment's final state is another, and the next one is done again.
+        """
+        more, alone = np.zeros_like(final), final.copy()
+        lang, lane = (x.ravel() for x in np.meshgrid(np.arange(len(final)), np.flatnonzero(nth > 0), indexing="ij"))
+        roots = np.array(self.roots, np.int32) * self.width
+        while len(lane):
+            whole, own, delta, left = final[lang, lane - 1], roots[lang], np.zeros(len(lane), np.int32), np.arange(len(lane))
+            ends, t = alone[lang, lane], 0
+            while len(left := left[keep := (whole != own) & (size[lane[left]] > t)]):
+                whole, own = whole[keep], own[keep]
+                at = sym[start[lane[left]] + t]
+                a, b = self.table[whole + at], self.table[own + at]
+                delta[left] += (a & 1) - (b & 1)
+                whole, own, t = (a >> 1) * self.width, (b >> 1) * self.width, t + 1
+                over = (whole != own) & (size[lane[left]] == t)
+                ends[left[over]] = whole[over]
+            more[lang, lane] = delta
+            changed = np.flatnonzero(ends != final[lang, lane])
+            final[lang, lane] = ends
+            lang, lane = lang[changed], lane[changed] + 1
+            more_of_text = (lane < len(nth)) & (nth[np.minimum(lane, len(nth) - 1)] > 0)
+            lang, lane = lang[more_of_text], lane[more_of_text]
+        return more
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language of each text and how far it leads: 1 - its bits over those of the next."""
         if not self.names:
@@ -156,41 +196,47 @@ def parser(model: Model) -> Parser:
 def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int, symbols: int) -> DataFrame:
     """(lang, pos, text): about twice `texts` different rows of each label, never more, by a hash of id and text."""
     placed = rows.select(F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)), F.lit(1 << 40)).alias("pos"), F.substring(text_col, 1, symbols).alias("text"))
-    counts = placed.groupBy("lang").agg(F.approx_count_distinct("pos")).limit(LANGUAGES + 1).collect()
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} labels")
-    if not counts:
-        return placed.limit(0)
-    most = F.create_map(*[F.lit(x) for lang, n in counts for x in (lang, int((1 << 40) * min(1.0, 2.0 * texts / max(n, 1))))])
-    drawn = placed.where(F.col("pos") < most[F.col("lang")]).groupBy("lang", "pos").agg(F.min("text").alias("text"))
+    counts = placed.groupBy("lang").agg(F.approx_count_distinct("pos").alias("n"))
+    texts = max(1, min(texts, ALL_TEXTS // max(1, counts.count())))
+    most = (F.lit(1 << 40) * F.least(F.lit(1.0), 2.0 * texts / F.greatest("n", F.lit(1)))).cast("long")
+    told = counts.select(F.col("lang").alias("label"), most.alias("most")).limit(FEW + 1).collect()
+    if len(told) <= FEW:
+        bound = F.coalesce(*[F.when(F.col("lang") == r.label, F.lit(r.most)) for r in told], F.lit(-1))
+        drawn = placed.where(F.col("pos") <= bound)
+    else:  # the same, by a join
+        drawn = placed.join(counts.select("lang", most.alias("most")), "lang").where("pos <= most").drop("most")
+    drawn = drawn.groupBy("lang", "pos").agg(F.min("text").alias("text"))
     return drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("pos"))).where(F.col("nth") <= 2 * texts).drop("nth")
 
 
 def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TEXTS, symbols: int = SYMBOLS) -> Model:
     """A model of every label in usable rows, from a bounded sample: at most twice `texts` texts of a label, by a hash of
     id and text, until `symbols` symbols are full; a training text counts by its first `symbols` characters. Equal texts
-    count once, and ids may be null or repeated.
+    count once, and ids may be null or repeated. With more labels than ALL_TEXTS / texts each has fewer texts, and where
+    letters times symbols exceed CELLS each has fewer symbols.
     """
     rows = docs.where((usable if usable is not None else F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    drawn = sample(rows, id_col, text_col, lang_col, texts, symbols).collect()  # at most 2 x texts x LANGUAGES rows
+    drawn = sample(rows, id_col, text_col, lang_col, texts, symbols).collect()  # at most 2 x ALL_TEXTS rows, or 2 a label
     own: dict[str, list[str]] = {}
     for lang, _, text in sorted(drawn, key=lambda r: (r[0], r[1], r[2])):
         t, have = normalise(text), own.setdefault(lang, [])
         if t and t not in have and sum(map(len, have)) < symbols:
             have.append(t)
-    return Model(tuple((lang, " ".join(ts)[:symbols]) for lang, ts in sorted(own.items()) if ts))
+    whole = {lang: " ".join(ts)[:symbols] for lang, ts in sorted(own.items()) if ts}
+    width = min(LETTERS, len(set().union(*whole.values()))) + 2
+    each = max(1, CELLS // (2 * width * max(1, len(whole))))
+    return Model(tuple((lang, t[:each]) for lang, t in whole.items()))
 
 
 def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows whose text has a letter: those that `identify` names by any model that knows a language."""
-    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([any(map(str.isalpha, t.as_py() or "")) for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -199,7 +245,6 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     Null texts and texts without a letter are `und` with score 0, as is every text if the model knows no language;
     empty tables stay empty; repeated rows are judged alike.
     """
-    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -217,4 +262,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 lo = hi
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate([*scores, np.zeros(0)]))], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)

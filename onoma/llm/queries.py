@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onoma.llm import chat, embeddings, langid, licenses, mixing, packing, quality, simhash, tokencount, urls
@@ -32,14 +32,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.corpus_counts(table(spark, sf_dir, "documents"))
 
 
-def held_out(doc_id: str = "doc_id"):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+def remainder(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without an id have no remainder: they are neither learned from nor held out."""
     docs = table(spark, sf_dir, "documents")
-    model = langid.fit(docs, ~held_out())
-    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    model = langid.fit(docs, remainder() != 0)
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(remainder() == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
