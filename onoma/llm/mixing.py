@@ -1,7 +1,7 @@
 """Mixing sources to target weights by fitting each source's budget as a subset sum.
 
 Documents are counted by source and exact size. A source's budget is first met by whole passes over it, then by the
-same share of every size; what remains of the budget is filled exactly (or as nearly as the sizes allow) by a
+same share of every size; the rest of the budget is filled exactly (or as nearly as the sizes allow) by a
 bounded-knapsack dynamic programme over the sizes that are left. Which documents of a size are taken follows a seeded hash.
 """
 
@@ -17,8 +17,8 @@ from onoma.llm.common import checkpoint, word_count
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, 20_24
 #: Hash buckets within one (source, size); the ranking of equals never meets in one task.
 BUCKETS = 1024
-#: The remaining budget that the dynamic programme covers; above it, sizes are taken greedily.
-DP_MOST = 1 << 17
+#: Words of a budget that the dynamic programme fills; the equal shares leave them.
+RESERVE = 1 << 16
 
 
 def knapsack(sizes: list[int], counts: list[int], budget: int) -> list[int]:
@@ -31,15 +31,14 @@ def knapsack(sizes: list[int], counts: list[int], budget: int) -> list[int]:
             items.append((k, step, step * s))
             c -= step
             step *= 2
-    reach, full, by = 1, (1 << (budget + 1)) - 1, {}
+    reach, full, by = 1, (1 << (budget + 1)) - 1, np.zeros(budget + 1, np.int32)
     for no, (_, _, w) in enumerate(items):
         new = (reach << w) & full & ~reach
         if not new:
             continue
         reach |= new
         bits = np.unpackbits(np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8), bitorder="little")
-        for x in np.flatnonzero(bits).tolist():
-            by[x] = no
+        by[np.flatnonzero(bits)] = no
         if reach >> budget & 1:
             break
     take, at = [0] * len(sizes), reach.bit_length() - 1
@@ -51,23 +50,29 @@ def knapsack(sizes: list[int], counts: list[int], budget: int) -> list[int]:
 
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> tuple[int, np.ndarray]:
-    """(whole passes, further documents of each size), for distinct sizes with counts."""
-    total = int((sizes * counts).sum())
+    """(whole passes, further documents of each size), for distinct sizes with counts.
+
+    After whole passes each size gives the same share of what is left but RESERVE, from the largest on, and what
+    rounding down leaves of one size's share the smaller ones give. So the programme always has RESERVE words to fill,
+    or the whole budget if that is less, and hardly ever more; it runs whatever they are.
+    """
+    own = [(int(s), int(c)) for s, c in zip(sizes, counts, strict=True)]
+    total = sum(s * c for s, c in own)
+    extra = np.zeros(len(own), np.int64)
     if total == 0 or budget <= 0:
-        return 0, np.zeros(len(sizes), np.int64)
+        return 0, extra
     passes, left = divmod(budget, total)
-    extra = np.array([int(c) * left // total if s > 0 else 0 for s, c in zip(sizes.tolist(), counts.tolist(), strict=True)], np.int64)
-    left -= int((extra * sizes).sum())
-    for k in np.argsort(-sizes, kind="stable").tolist():  # one more of the large sizes, down to what the programme covers
-        if left <= DP_MOST:
-            break
-        if sizes[k] and (n := min(int(counts[k] - extra[k]), (left - DP_MOST) // int(sizes[k]) + 1, left // int(sizes[k]))) > 0:
-            extra[k] += n
-            left -= n * int(sizes[k])
-    if left <= DP_MOST:
-        usable = [k for k in np.argsort(sizes, kind="stable").tolist() if 0 < sizes[k] <= left and counts[k] > extra[k]]
-        for k, n in zip(usable, knapsack([int(sizes[k]) for k in usable], [int(counts[k] - extra[k]) for k in usable], left), strict=True):
-            extra[k] += n
+    share, due, taken = max(0, left - RESERVE), 0, 0
+    for k in sorted(range(len(own)), key=lambda k: -own[k][0]):
+        s, c = own[k]
+        if s:
+            due += s * c * share
+            extra[k] = min(c, (due // total - taken) // s)
+            taken += s * int(extra[k])
+    left -= taken
+    usable = sorted((k for k, (s, c) in enumerate(own) if 0 < s <= left and c > extra[k]), key=lambda k: own[k][0])
+    for k, n in zip(usable, knapsack([own[k][0] for k in usable], [own[k][1] - int(extra[k]) for k in usable], left), strict=True):
+        extra[k] += n
     return passes, extra
 
 
