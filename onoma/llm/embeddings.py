@@ -7,6 +7,7 @@ one task is cut into blocks, and each pair of blocks is one unit of work.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -15,18 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, runs
+from onoma.llm.common import checkpoint, map_arrow, runs
 from onoma.llm.components import connected_components
 
 COSINE, RECALL, SEED = 0.93, 0.995, 93
-#: Vectors of one block of a bucket.
-BLOCK = 1024
+#: Vectors that a bucket of the largest label has on average, and of one block of a bucket.
+BUCKET, BLOCK = 512, 1024
 
 
 def plan(largest: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
-    """(bits, tables): bits so that the largest label spreads over buckets of some dozens, tables so that a pair at the
+    """(bits, tables): bits so that the largest label spreads over buckets of some hundreds, tables so that a pair at the
     threshold meets with probability `recall` at least."""
-    bits = min(30, max(6, math.ceil(math.log2(max(largest, 1) / 48 + 1))))
+    bits = min(30, max(4, math.ceil(math.log2(max(largest, 1) / BUCKET + 1))))
     same = (1 - math.acos(cosine) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
 
@@ -36,31 +37,44 @@ def scaled(x: np.ndarray) -> np.ndarray:
     return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0.0))[1])
 
 
-def _signatures(dim: int, bits: int, tables: int, seed: int):
+def _signatures(bits: int, tables: int, seed: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(seed).standard_normal((dim, bits * tables))
+        planes: dict[int, np.ndarray] = {}
         power = 1 << np.arange(bits)
         for b in batches:
-            x = b.column(1).flatten().to_numpy().reshape(b.num_rows, dim).astype("<f8")
-            keys = (scaled(x) @ planes > 0).reshape(b.num_rows, tables, bits) @ power
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.ravel().astype(np.int32)))
-            raw = pa.array([r.tobytes() for r in x], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), raw, b.column(2), b.column(3), lists], ["rep", "vec", "n", "label", "keys"])
+            lists, n = b.column(2), b.num_rows
+            known = (b.column(0).is_valid().to_numpy(zero_copy_only=False)) & b.column(1).is_valid().to_numpy(zero_copy_only=False)
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<f8")  # null: not a number
+            dims = np.where(lists.is_valid().to_numpy(zero_copy_only=False) & known, np.diff(at), 0)
+            same, raw, keys = np.full(n, None, object), np.full(n, None, object), np.full(n, None, object)
+            for dim in np.unique(dims[dims > 0]).tolist():
+                rows = np.flatnonzero(dims == dim)
+                x = flat[at[rows][:, None] + np.arange(dim)] + 0.0  # -0 becomes 0
+                fine = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+                rows, x = rows[fine], x[fine]
+                if dim not in planes:
+                    if len(planes) > 8:
+                        planes.clear()
+                    planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
+                k = ((scaled(x) @ planes[dim] > 0).reshape(len(x), tables, bits) @ power).astype(np.int32)
+                for r, v, key in zip(rows.tolist(), x, k, strict=True):
+                    same[r] = hashlib.blake2b(b"%d " % dim + (b.column(1)[r].as_py() or "").encode() + b"\0" + v.tobytes(), digest_size=16).digest()
+                    raw[r], keys[r] = v.astype(kind).tobytes(), key
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.binary()), pa.array(raw, pa.binary()), pa.array(keys, pa.list_(pa.int32()))], ["vec_id", "label", "same", "vec", "keys"])
 
     return run
 
 
-def _compare(dim: int, cosine: float):
+def _compare(cosine: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols, at in runs(batches, ["unit"]):
-            rep, n, side, tab = (cols[c].to_numpy() for c in ("rep", "n", "side", "tab"))
+        for cols, at in runs(batches, ["unit", "dim"]):
+            rep, n, side, tab, dims = (cols[c].to_numpy() for c in ("node", "n", "side", "tab", "dim"))
             vec, keys = cols["vec"], cols["keys"]
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for lo, hi in zip(at[:-1], at[1:], strict=True):
                 if hi - lo < 2:
                     continue
-                x = np.frombuffer(b"".join(vec.slice(lo, hi - lo).to_pylist()), "<f8").reshape(hi - lo, dim)
-                x = scaled(x)
+                x = scaled(np.frombuffer(b"".join(vec.slice(lo, hi - lo).to_pylist()), kind).reshape(hi - lo, dims[lo]).astype("<f8"))
                 x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
                 k = keys.slice(lo, hi - lo).flatten().to_numpy().reshape(hi - lo, -1)[:, : tab[lo]]
                 whole, one = side[lo] == 0, side[lo:hi] == 1
@@ -111,45 +125,40 @@ def _tree(ids: np.ndarray, link: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """vectors: (vec_id, embedding array of numbers, label) -> (vec_id, n_links, component_id, kept).
 
-    Only vectors of one label, not null, and of one length are compared. Null and zero vectors, and vectors with null or
-    non-finite components, link with nothing and are their own component. Equal vectors of a label are one class, whose
-    size counts in n_links. Repeated rows of one id are links of each other and share their component. An empty table
-    gives an empty result; other columns are ignored.
+    Only vectors of one label, not null, and of one length are compared; lengths may be as many as there are. Null and
+    zero vectors, vectors with null or non-finite components, and rows without an id link with nothing and are their own
+    component. Equal vectors of a label are one class, whose size counts in n_links; so do repeated rows. Rows of one id
+    whose vectors differ are vectors of their own. An empty table gives an empty result; other columns are ignored.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").alias("label"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
-    fine = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vec") > 0) & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0), F.lit(False))
-    rows = rows.withColumn("fine", fine)
-    same = F.when(F.col("fine"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.concat_ws(" ", F.transform("vec", lambda x: (x + 0.0).cast("string")))).cast("binary"), 256))
-    rows = checkpoint(rows.withColumn("same", same))
-    classes = checkpoint(rows.where("fine").groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("vec").alias("vec")))
-    labels = classes.groupBy("label", F.size("vec").alias("dim")).count()
-    dims = [r[0] for r in labels.select("dim").distinct().limit(65).collect()]
-    if len(dims) > 64:
-        raise ValueError("vectors of more than 64 different lengths")
-    largest = labels.agg(F.max("count")).first()[0] or 0
+    kind = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    stored = "<f4" if kind == "float" else "<f8"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
+    largest = rows.where("label is not null").groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(largest, cosine, recall)
-    found = None
-    for dim in dims:
-        own = classes.where(F.size("vec") == dim).select("rep", "vec", "n", F.col("label").cast("string").alias("label"))
-        signed = checkpoint(own.mapInArrow(_signatures(dim, bits, tables, seed), "rep long, vec binary, n long, label string, keys array<int>"))
-        dealt = signed.select("*", F.posexplode("keys").alias("tab", "key"))
-        # Buckets beyond one block are cut into blocks by a hash of the id; each pair of blocks is a unit.
-        sizes = dealt.groupBy("label", "tab", "key").count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count")
-        dealt = dealt.join(sizes, ["label", "tab", "key"]).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("blocks")).cast("int"))
-        units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        units = units.select(
-            F.xxhash64("label", "tab", "key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "rep", "vec", "n", "keys", "tab",
-            F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),  # 0: a block with itself
-        )
-        got = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_compare(dim, cosine), "u long, links long, v long")
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    signed = checkpoint(map_arrow(rows, _signatures(bits, tables, seed, stored), "vec_id long, label string, same binary, vec binary, keys array<int>"))
+    fine = signed.where("same is not null")
+    # Nodes number the classes in the order of their smallest ids.
+    order = fine.groupBy("same").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
+    order = checkpoint(order.orderBy("rep", "same").withColumn("node", F.monotonically_increasing_id()))
+    one = fine.groupBy("same").agg(F.first("label").alias("label"), F.first("vec").alias("vec"), F.first("keys").alias("keys"))
+    classes = checkpoint(one.join(order, "same"))
+    # Which buckets a class is in, without its vector. Those beyond one block are cut into blocks by a hash of the node;
+    # each pair of blocks is a unit.
+    dealt = classes.select("node", "label", F.length("vec").alias("dim"), F.posexplode("keys").alias("tab", "key")).select("node", "tab", F.xxhash64("label", "dim", "tab", "key").alias("bucket"))
+    sizes = dealt.groupBy("bucket").count().where("count > 1").select("bucket", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    dealt = dealt.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks")).cast("int"))
+    units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "tab", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
+        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),  # 0: a block with itself
+    )
+    full = units.join(classes.select("node", "n", (F.length("vec") / int(stored[2])).cast("int").alias("dim"), "vec", "keys"), "node")
+    found = map_arrow(full.repartition("unit").sortWithinPartitions("unit", "dim"), _compare(cosine, stored), "u long, links long, v long")
     found = checkpoint(found)
-    linked = found.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
+    linked = found.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     comp = connected_components(found.select("u", "v"))
-    facts = classes.select("same", "rep", "n").join(linked, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    facts = facts.select("same", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
-    out = rows.join(facts, "same", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    comp = comp.join(order.select(F.col("node").alias("component"), F.col("rep").alias("component_id")), "component").select("node", "component_id")
+    facts = order.join(linked, "node", "left").join(comp, "node", "left")
+    facts = facts.select("same", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
+    out = fine.select("vec_id", "same").join(facts, "same").select("vec_id", "n_links", "component_id")
+    alone = signed.where("same is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
