@@ -7,20 +7,24 @@ that cross blocks are added up.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, fresh_path, small_batches
+from onoma.llm.common import checkpoint, fresh_path, map_arrow
 from onoma.llm.packing import _blocks, encoder
 
 #: In files a tokenizer's id is one higher, so that 0 is free to end a document.
 END_ID, SHIFT = 0, 1
 #: Bytes of a block, and documents of a written file.
 BLOCK_BYTES, FILE_DOCS = 1 << 20, 20_000
+PART = "file string, block int, nth long, length long, ends boolean"
 
 
 def _encode(path: str | None):
@@ -34,17 +38,40 @@ def _encode(path: str | None):
 
 
 def write_flat(docs: DataFrame, path: str, text_col: str = "text", vocabulary: str | None = None) -> None:
-    """Token files of the documents: each text's ids, then END_ID. Null texts are empty documents."""
-    small_batches(docs.sparkSession)
-    ids = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_encode(vocabulary), "ids binary")
+    """Token files of the documents: each text's ids, then END_ID.
+
+    Null and empty texts are empty documents, repeated rows are written each, an empty table writes none, other columns
+    are ignored. Part and file numbers follow the rows' places in the table, so reruns name the files alike.
+    """
+    ids = map_arrow(docs.select(F.col(text_col).cast("string").alias("text")), _encode(vocabulary), "ids binary")
     # The text writer puts a separator of two zero bytes, which is END_ID, after each value.
     ids.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", "\x00\x00").option("maxRecordsPerFile", FILE_DOCS).text(path)
 
 
+def opened(path: str) -> pa.NativeFile:
+    """A file of any store that Arrow knows, for reading at any place."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + unquote(path[5:]).lstrip("/"))
+    store, inside = pafs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, path, at, size) -> (file, block, content), a block at a time."""
+    last, handle = None, None
+    for b in batches:
+        for r in b.to_pylist():
+            if r["path"] != last:
+                if handle is not None:
+                    handle.close()
+                last, handle = r["path"], opened(r["path"])
+            content = handle.read_at(r["size"], r["at"])
+            yield pa.RecordBatch.from_arrays([pa.array([r["file"]]), pa.array([r["block"]], pa.int32()), pa.array([content], pa.binary())], ["file", "block", "content"])
+
+
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(file, block, content) -> (file, block, nth, length, ends): documents' parts in a block, in order."""
     for b in batches:
-        out: list[tuple] = []
         for k in range(b.num_rows):
             ids = np.frombuffer(b.column(2)[k].as_buffer(), "<u2")
             at = np.flatnonzero(ids == END_ID)
@@ -54,26 +81,41 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.ones(n, bool)
             if rest > 0:
                 lens, ends[-1] = np.append(lens, rest), False
-            out.append((np.full(n, k), np.arange(n), lens, ends))
-        if out:
-            k, nth, lens, ends = (np.concatenate([o[i] for o in out]) for i in range(4))
-            take = pa.array(k)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(nth), pa.array(lens.astype(np.int64)), pa.array(ends)], ["file", "block", "nth", "length", "ends"])
+            take = pa.array(np.full(n, k))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.arange(n)), pa.array(lens.astype(np.int64)), pa.array(ends)], ["file", "block", "nth", "length", "ends"])
+
+
+def _known(path: str) -> bool:
+    try:
+        opened(path).close()
+    except (OSError, pa.ArrowException):
+        return False
+    return True
 
 
 def count_tokens(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file, doc_no, n_tokens, complete): tokens of every document of the files under path, its separator not counted.
 
-    Documents are numbered from 0 in each file. A last document without a separator is counted and not complete; a file
-    without tokens gives no rows; a torn last byte is left out.
+    file is the path below `path`, without the random part of Spark's names. Documents are numbered from 0 in each file.
+    A last document without a separator is counted and not complete; a file without tokens gives no rows, nor does an
+    empty folder; a torn last byte is left out. Blocks of a file of any length are read by themselves, by tasks that
+    share a file; where a store is one that only Spark can read, a task holds a whole file, up to Spark's 2 GiB.
     """
     block_bytes -= block_bytes % 2
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 1")
-    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("file")
-    whole = (F.length("content") - F.length("content") % 2).cast("int")
-    cut = files.select(name, "content", F.posexplode(F.sequence(F.lit(0), whole - 2, F.lit(block_bytes))).alias("block", "at"))
-    blocks = cut.select("file", "block", F.substring("content", F.col("at") + 1, F.least(F.lit(block_bytes), whole - F.col("at"))).alias("content"))
-    parts = checkpoint(blocks.mapInArrow(_search, "file string, block int, nth long, length long, ends boolean"))
+    below = F.regexp_extract("path", "/" + re.escape(path.rstrip("/").rpartition("/")[2]) + "/(.+)$", 1)
+    name = F.regexp_replace(F.coalesce(F.nullif(below, F.lit("")), F.regexp_extract("path", r"([^/]+)$", 1)), "-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", "").alias("file")
+    whole = F.col("length") - F.col("length") % 2
+    starts = F.posexplode(F.sequence(F.lit(0).cast("long"), whole - 2, F.lit(block_bytes).cast("long"))).alias("block", "at")
+    size = F.least(F.lit(block_bytes), whole - F.col("at")).alias("size")
+    first = files.select("path").first()
+    if first is None or _known(first.path):
+        cut = files.select(name, "path", "length", starts).select("file", "block", "path", "at", size.cast("long").alias("size"))
+        found = map_arrow(cut.repartition("path", "block"), lambda rows: _search(_ranges(rows)), PART)
+    else:
+        cut = files.select(name, "content", "length", starts)
+        found = map_arrow(cut.select("file", "block", F.substring("content", F.col("at").cast("int") + 1, size.cast("int")).alias("content")), _search, PART)
+    parts = checkpoint(found)
     # Documents that end in a block before this one: an exclusive prefix sum over a file's blocks.
     per = parts.groupBy("file", "block").agg(F.sum(F.col("ends").cast("long")).alias("ended"), F.max("nth").alias("last"))
     before = F.coalesce(F.sum("ended").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
