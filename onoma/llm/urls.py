@@ -11,7 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from onoma.llm.common import checkpoint
+
 MOST, Z = 0.5, 1.645
+#: Public suffixes of two labels, under which a registered domain has three; a parameter of judge.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ac.jp", "co.kr", "com.br", "com.cn", "com.tw", "com.hk", "com.mx", "com.tr", "co.in", "co.za")
 #: A host or domain that no label covers keeps its parent's mean; concentrations stay within these bounds.
 LEAST_M, MOST_M = 1.0, 1000.0
 #: Longest rule list that is one conditional expression; more rules are joined by host.
@@ -73,15 +77,19 @@ def concentration(groups: DataFrame) -> float:
     return min(max(1 / rho - 1, LEAST_M), MOST_M)
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, two_label: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """outcomes: (host, bad 0/1/null) -> (host, mean, low): posterior mean and lower bound of every host's bad share.
 
-    Null outcomes count as no label. Counts are summed before any join, so a host with many pages is one row.
+    Null outcomes count as no label. Counts are summed before any join, so a host with many pages is one row; all that
+    follows reads these counts, which are written once. The registered domain is the label before the suffix and the
+    suffix: the last label, or the last two if they are one of two_label. A host of one label is all three.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = checkpoint(outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     parts = F.split("host", r"\.")
-    hosts = hosts.withColumn("domain", F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), "."))
-    hosts = hosts.withColumn("suffix", F.element_at(parts, -1))
+    last = lambda k: F.array_join(F.slice(parts, F.greatest(F.size(parts) - k + 1, F.lit(1)), F.lit(k)), ".")
+    known = last(2).isin(*two_label) if two_label else F.lit(False)
+    hosts = hosts.withColumn("domain", F.when(known, last(3)).otherwise(last(2)))
+    hosts = hosts.withColumn("suffix", F.regexp_replace("domain", r"^[^.]*\.", ""))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
@@ -96,16 +104,16 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     return hosts.select("host", "mean", (F.col("mean") - Z * sd).alias("low"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[str], most: float = MOST) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[str], most: float = MOST, two_label: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """pages: (page_id, url), labels: (page_id, bad 0/1) -> (page_id, host, path, rule, verdict, mean).
 
     Null urls and urls without :// have empty host and path, which are judged like any host. Of several labels of a
     page the worst counts; repeated pages count each; pages without labels share their host's verdict; an empty table
-    gives an empty result.
+    gives an empty result; urls may be of any length; other columns are ignored.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     worst = labels.select("page_id", "bad").where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    known = reputations(rows.select("page_id", "host").join(worst, "page_id", "left"))
+    known = reputations(rows.select("page_id", "host").join(worst, "page_id", "left"), two_label)
     out = ruled(rows, parse_rules(rules)).join(known, "host", "left")
     verdict = F.coalesce("ruling", F.when(F.col("low") > most, F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "mean")
