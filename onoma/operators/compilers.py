@@ -138,6 +138,26 @@ def catalogue(raw: DataFrame, kind: str) -> DataFrame:
     return _candidate(df, "NDL", kind, F.col("authorityId"), F.col("name"), F.col("s"), meta)
 
 
+def raw_of_bindings(rows: DataFrame, kind: str, order: str) -> DataFrame:
+    """Raw rows of `catalogue`'s persons, places and orgs from result bindings (b, a map by variable, and an order column).
+
+    Several bindings of one authority are one row: its first name, heading, first reading and years that are not empty,
+    and all its other readings, each once, in order. Bindings without an authority or a name go.
+    """
+    v = lambda k: F.coalesce(F.col("b")[k]["value"], F.lit(""))
+    years_ = ("birth", "death") if kind == "person" else ()
+    got = rows.select(v("auth").alias("authUri"), ids.authority_id_of_uri(v("auth")).alias("authorityId"), *[v(k).alias(k) for k in ("name", "heading", "yomi", "yomiAlt", *years_)], F.col(order).alias("_ord"))
+    got = got.where("authorityId != '' and name != ''")
+    first = lambda k, c=None: F.min_by(F.col(k) if c is None else c, F.when((F.col(k) != "") if c is None else c.isNotNull(), F.col("_ord"))).alias(k)
+    spans = [first(k, years.leading_year(F.col(k))) for k in years_]
+    readings = F.array_sort(F.collect_list(F.struct("_ord", "yomi", "yomiAlt"))).alias("readings")
+    one = got.groupBy("authUri", "authorityId").agg(first("name"), first("heading"), first("yomi"), readings, *spans)
+    others = F.flatten(F.transform("readings", lambda r: F.array(F.when(r["yomi"] != F.col("yomi"), r["yomi"]), r["yomiAlt"])))
+    others = F.array_distinct(F.filter(others, lambda x: x != ""))
+    some = F.when(F.size(others) > 0, others).alias("yomiAlt")
+    return one.select("authorityId", "authUri", "name", "heading", "yomi", some, *[F.col(k).alias(f"{k}Year") for k in years_])
+
+
 def ime_rows(raw: DataFrame, ident: str, name: str) -> DataFrame:
     """(id, surface, kana, hiragana, birthYear, deathYear): a row per reading."""
     rows = raw.select(F.col(ident).alias("id"), F.col(name).alias("surface"), F.explode(kana.readings(F.col("yomi"), F.col("yomiAlt"))).alias("kana"), "birthYear", "deathYear")

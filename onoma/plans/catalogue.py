@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from onoma.functions import clues, ids, kana, text, years
+from onoma.operators import compilers as C
 from onoma.operators import relational as R
 from onoma.operators import triples
 from onoma.sinks import packs
+from onoma.sources import files, tei
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -269,8 +271,8 @@ def kana_segments(spark, d):
 
 @query("SELECT page_id, CAST(i AS BIGINT) AS ord, x AS item FROM (SELECT page_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li\\b.*?</li>') AS l FROM pages))")
 def tei_fragments(spark, d):
-    found = F.regexp_extract_all("html", F.lit("(?s)<li\\b.*?</li>"), F.lit(0))
-    return t(spark, d, "pages").select("page_id", F.posexplode(found).alias("i", "item")).select("page_id", (F.col("i") + 1).cast("long").alias("ord"), "item")
+    found = tei.fragments(t(spark, d, "pages").select("page_id", "html"), "html", "li")
+    return found.select("page_id", (F.col("xml_ord") + 1).cast("long").alias("ord"), F.col("xml").alias("item"))
 
 
 @query("SELECT doc_id, md5(regexp_replace(text, '[\\t\\r\\n]+', ' ', 'g')) AS cell FROM documents")
@@ -460,6 +462,68 @@ def clue_graph(spark, d):
 
 
 
+# --- compilers over rows made of the tables -----------------------------------------------------------------------------
+
+
+def _joined(c: str | Column) -> Column:
+    return F.array_join(F.array_sort(c), "|")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, array_to_string(list_sort(list_distinct(list_filter(list_concat([p_name], string_split(p_type, ' ')), lambda x: length(x) >= 3))), '|') AS strings, p_name || ' (' || p_brand || ', ' || p_size || '–' || (p_size + 100) || ')' AS description FROM part")
+def compile_places(spark, d):
+    rows = t(spark, d, "part").select(F.col("p_partkey").alias("c_addr_id"), F.col("p_name").alias("c_name_chn"), F.replace("p_type", F.lit(" "), F.lit(";")).alias("c_alt_names"), F.col("p_brand").alias("c_admin_type"), F.col("p_size").alias("c_firstyear"), (F.col("p_size") + 100).alias("c_lastyear"))
+    got = C.snapshot_places(rows)
+    return got.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), _joined("searchStrings").alias("strings"), F.col("metadata.description").alias("description"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, coalesce(nullif(r_name, 'ASIA'), 'East') AS dynasty, array_to_string(list_sort(list_distinct([c_name, c_mktsegment])), '|') AS strings, c_name || ' (' || c_mktsegment || ', ' || coalesce(nullif(r_name, 'ASIA'), 'East') || ')' AS description FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def compile_offices(spark, d):
+    dynasties = t(spark, d, "region").select(F.col("r_regionkey").alias("c_dy"), F.when(F.col("r_name") == "ASIA", "East").otherwise("other").alias("c_dynasty"), F.nullif("r_name", F.lit("ASIA")).alias("c_dynasty_chn"), F.col("r_regionkey").alias("c_start"), (F.col("r_regionkey") + 9).alias("c_end"))
+    rows = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.select(F.col("c_custkey").alias("c_office_id"), F.col("c_name").alias("c_office_chn"), F.col("c_mktsegment").alias("c_office_chn_alt"), F.col("c_mktsegment").alias("c_office_trans"), F.col("n_regionkey").alias("c_dy"))
+    got = C.snapshot_offices(rows, dynasties)
+    return got.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), F.col("metadata.dynasty").alias("dynasty"), _joined("searchStrings").alias("strings"), F.col("metadata.description").alias("description"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS id, array_to_string(list_sort(list_distinct([p_name, p_brand])), '|') AS strings, p_name || ' (' || p_type || ', NDL ' || p_partkey || ')' AS description FROM part")
+def compile_works(spark, d):
+    raw = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title"), F.array("p_brand", "p_name").alias("variants"), F.array("p_type").alias("creators"))
+    return C.catalogue(raw, "work").select(F.col("authorityId").alias("id"), _joined("searchStrings").alias("strings"), F.col("metadata.description").alias("description"))
+
+
+_READING = "'y' || (l_linenumber % 3)"
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS id, max('n' || o_orderkey) AS name, max(first_reading) AS yomi, array_to_string(list_sort(list_distinct(list_concat(coalesce(list({_READING}) FILTER ({_READING} <> first_reading), []), list(l_returnflag)))), '|') AS others, CAST(max(year(o_orderdate)) AS INTEGER) AS born FROM (SELECT *, first_value({_READING}) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS first_reading FROM orders JOIN lineitem ON o_orderkey = l_orderkey) GROUP BY o_orderkey")
+def harvest_bindings(spark, d):
+    rows = t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    said = lambda *kv: F.create_map(*[x for k, v in kv for x in (F.lit(k), F.struct(F.lit("literal").alias("type"), v.cast("string").alias("value")))])
+    b = said(("auth", F.concat(F.lit("http://a.invalid/x/"), F.col("o_orderkey"))), ("name", F.concat(F.lit("n"), F.col("o_orderkey"))), ("yomi", F.concat(F.lit("y"), F.col("l_linenumber") % 3)), ("yomiAlt", F.col("l_returnflag")), ("birth", F.date_format("o_orderdate", "yyyy-MM-dd")))
+    got = C.raw_of_bindings(rows.select(b.alias("b"), "l_linenumber"), "person", "l_linenumber")
+    return got.select(F.col("authorityId").alias("id"), "name", "yomi", F.array_join(F.array_sort("yomiAlt"), "|").alias("others"), F.col("birthYear").alias("born"))
+
+
+def _dump_lines(spark, d):
+    """Customers as entities of a dump: humans, cities, or disambiguation pages; some have no English label."""
+    k = F.col("c_custkey")
+    snak = lambda kind, v: F.struct(F.struct(F.lit("value").alias("snaktype"), F.struct(F.lit(kind).alias("type"), v.alias("value")).alias("datavalue")).alias("mainsnak"))
+    item = lambda v: F.struct(v.alias("id"))
+    kinds = F.when(k % 3 == 0, F.lit("Q515")).otherwise(F.lit("Q5"))
+    classes = F.when(k % 7 == 0, F.array(snak("wikibase-entityid", item(kinds)), snak("wikibase-entityid", item(F.lit("Q4167410"))))).otherwise(F.array(snak("wikibase-entityid", item(kinds))))
+    born = F.array(snak("time", F.struct(F.concat(F.lit("+"), (F.col("c_nationkey") + 1355).cast("string"), F.lit("-01-01T00:00:00Z")).alias("time"))))
+    claims = F.struct(classes.alias("P31"), F.array(snak("wikibase-entityid", item(F.concat(F.lit("Q"), F.col("c_nationkey") + 9680)))).alias("P27"), born.alias("P569"))
+    language = F.when(k % 5 == 0, "ja").otherwise("en")
+    named = F.concat(F.lit('{"'), language, F.lit('":{"language":"'), language, F.lit('","value":"'), F.col("c_name"), F.lit('"}}'))
+    body = F.concat(F.lit('{"type":"item","id":"Q'), k.cast("string"), F.lit('","labels":'), named, F.lit(',"aliases":{},"claims":'), F.to_json(claims), F.lit("},"))
+    return t(spark, d, "customer").select(body.alias("value"))
+
+
+@query("SELECT CASE WHEN c_custkey % 5 = 0 THEN 'ja' ELSE 'en' END AS lang, CASE WHEN c_custkey % 3 = 0 THEN 'place' ELSE 'person' END AS kind, 'Q' || c_custkey AS qid, c_name AS label, CAST(c_nationkey + 1355 AS INTEGER) AS born FROM customer WHERE c_custkey % 7 <> 0 AND (c_custkey % 3 = 0 OR c_nationkey + 9680 IN (9685, 9683) OR c_nationkey + 1355 <= 1367)")
+def dump_packs(spark, d):
+    got = C.raw_packs(files.dump_entities(_dump_lines(spark, d)), ["en", "ja"], ["person", "place"], membership="pre-ming")
+    return got.select("lang", "kind", "qid", F.col("primaryLabel").alias("label"), F.col("birthYear").alias("born"))
+
+
 # --- graph patterns ---------------------------------------------------------------------------------------------------
 
 _TRIPLES = (

@@ -14,8 +14,9 @@ def records(spark: SparkSession, path: str, tag: str) -> DataFrame:
 
 
 def fragments(df: DataFrame, column: str, tag: str, first_attribute: str = "") -> DataFrame:
+    """df with (xml_ord, xml), a row for each fragment of the column, numbered from 0."""
     lead = f"<{tag}\\s+{first_attribute}" if first_attribute else f"<{tag}\\b"
-    return df.withColumn("xml", F.explode(F.regexp_extract_all(F.col(column), F.lit(f"(?s){lead}.*?</{tag}>"), F.lit(0))))
+    return df.select("*", F.posexplode(F.regexp_extract_all(F.col(column), F.lit(f"(?s){lead}.*?</{tag}>"), F.lit(0))).alias("xml_ord", "xml"))
 
 
 def attribute(xml: Column, name: str) -> Column:
