@@ -210,3 +210,46 @@ def test_harvest_keeps_keys_whole_and_goes_on_from_the_sink(spark, tmp_path):
     assert run(df) == 3 and held() == list(range(8))
     assert run(df) == 0 and held() == list(range(8))
     assert run(df.unionByName(spark.createDataFrame([(5, 8)], "k int, v int"))) == 1 and held() == list(range(9))
+
+
+def test_clauses_years_and_headings(spark):
+    assert one(spark, text.first_clause(F.lit(" 譯經僧。次句"))) == "譯經僧" and one(spark, text.first_clause(F.lit("a" * 50))) == "a" * 40
+    assert one(spark, text.first_clause(F.lit("甲" * 70 + "。"))) == "甲" * 57 + "…" and one(spark, text.first_clause(F.lit(None).cast("string"))) is None
+    span = years.year_range(F.col("s"))
+    assert tuple(one(spark, span, s="某地\n（+265 ~ 316）郡")) == (265, 316) and tuple(one(spark, span, s="x (1—2)")) == (None, None) and tuple(one(spark, span, s="釋道安尼 (312-385)")) == (None, None)
+    assert [one(spark, years.claim_year(F.lit(t))) for t in ("+1867-01-01T", "-0221-01-01T", "1867-01-01")] == [1867, -221, None]
+    none = F.array().cast("array<string>")
+    assert one(spark, names.heading_strings(F.lit("東大寺 (奈良市)"), F.lit("東大寺 (奈良市, 1234)"), none, none, names.is_usable_native_name)) == ["東大寺 (奈良市)", "東大寺 (奈良市, 1234)", "東大寺"]
+    assert one(spark, names.heading_strings(F.lit("NHK"), F.lit("日本放送協会"), none, none, names.is_usable_native_name)) == []
+
+
+def test_kana_of_an_entity(spark):
+    value = lambda *vs: [{"mainsnak": {"snaktype": "value", "datavalue": {"type": "string", "value": v}}} for v in vs]
+    time = [{"mainsnak": {"snaktype": "somevalue"}}, {"mainsnak": {"snaktype": "value", "datavalue": {"type": "time", "value": {"time": "+1867-02-09T00:00:00Z"}}}}]
+    e = {"type": "item", "id": "Q1", "labels": {k: {"language": k, "value": v} for k, v in {"ja": "ナツメ", "ja-Hira": "なつめ　そうせき", "ja-Kana": "ナツメ ソウセキ"}.items()}, "aliases": {"ja": [{"language": "ja", "value": v} for v in ("ソーセキ", "漱石", "ｿｳｾｷ")]}, "claims": {"P1814": value("Natsume", "なつめ きんのすけ"), "P569": time}}
+    got = C.raw_entities(files.dump_entities(spark.createDataFrame([(json.dumps(e),)], "value string")), "ja").first()
+    assert got.nameInKana == ["なつめ きんのすけ", "なつめ そうせき", "そーせき", "なつめ"] and got.yomiHiragana == "なつめ きんのすけ" and got.birthYear is None
+    assert one(spark, kana.is_kana_dominant(F.lit("な つ め 石"))) is False and one(spark, kana.is_kana_dominant(F.lit("な つ め そ 石"))) is True
+    rows = C.graph_ime_rows(spark.createDataFrame([got], C.raw_entities(files.dump_entities(spark.createDataFrame([(json.dumps(e),)], "value string")), "ja").schema)).collect()
+    assert [r.kana for r in rows] == got.nameInKana
+    raw = spark.createDataFrame([("1", "x", "なつめ ナツメ ソウセキ", None, 1, 2)], "id string, name string, yomi string, yomiAlt array<string>, birthYear int, deathYear int")
+    assert all(r.yomiHiragana == r.kana.translate({ord(a): b for a, b in zip(kana.KATAKANA, kana.HIRAGANA)}) for r in C.ime_rows(raw, "id", "name").collect())
+
+
+def test_packs_of_one_scan(spark):
+    snak = lambda q: {"mainsnak": {"snaktype": "value", "datavalue": {"type": "wikibase-entityid", "value": {"id": q}}}}
+    rows = [("Q1", ["Q5"], ["Q9683"]), ("Q2", ["Q5", "Q4167410"], ["Q9683"]), ("Q3", ["Q515"], []), ("Q4", ["Q5"], ["Q17"]), ("Q5", ["Q5"], [])]
+    lines = [(json.dumps({"type": "item", "id": i, "labels": {"ja": {"language": "ja", "value": f"名{i}"}}, "aliases": {}, "claims": {"P31": [snak(q) for q in p31], "P27": [snak(q) for q in p27]}}),) for i, p31, p27 in rows]
+    entities = files.dump_entities(spark.createDataFrame(lines, "value string"))
+    ids = lambda **kw: {(r.kind, r.qid) for r in C.raw_packs(entities, ["ja", "ko"], ["person", "place"], **kw).collect()}
+    place = {("place", "Q3")}
+    assert ids() == place | {("person", q) for q in ("Q1", "Q4", "Q5")} == {(r.kind, r.qid) for r in C.one_scan(entities, ["ja"], ["person", "place"]).collect()}
+    assert ids(membership="country-p27", qids=["Q17"]) == place | {("person", "Q4")} and ids(membership="pre-ming") == place | {("person", "Q1")}
+    with pytest.raises(ValueError):
+        C.is_member("by-heart")
+    assert C.raw_packs(entities, ["ja", "ko"], ["person", "place"])._jdf.queryExecution().executedPlan().toString().count("ExistingRDD") == 1
+
+
+def test_dirty_cells():
+    assert [binary.cell(v, "bigint") for v in (1, "x", "7", None, 2.5, "")] == [1, None, 7, None, 2, None]
+    assert binary.cell(b"\xff", "string") == "�" and binary.cell(3, "string") == "3" and binary.cell("1e3", "double") == 1000.0
