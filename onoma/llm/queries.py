@@ -62,7 +62,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's label is that of the document with its id; low quality or toxic counts as bad."""
     labels = table(spark, sf_dir, "labels")
     bad = F.when(F.coalesce(F.col("toxic") == 1, F.lit(False)) | F.coalesce(F.col("quality") == 0, F.lit(False)), 1).when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0)
-    return urls.judge(table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), URL_RULES)
+    got = urls.judge(table(spark, sf_dir, "pages"), labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad")), URL_RULES)
+    return got.withColumn("mean", F.round("mean", 6))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +77,36 @@ QUERIES = {
         op6_language_id, op7_quality_rules, op8_packing, op9_url_filter, op10_embedding_near_dedup,
     )
 }
+
+
+def _posterior(of: str, up: str, on: str) -> str:
+    """CTEs that shrink the counts of `of` (n, bad) to the mean of `up` (key `on`): _m is the concentration."""
+    return f"""
+{of}_p AS (SELECT x.*, u.mean AS prior FROM {of} x JOIN {up} u ON {on}),
+{of}_m AS (SELECT least(greatest(1 / coalesce(least(greatest(sum((bad - n * prior) * (bad - n * prior) - n * prior * (1 - prior)) / sum(n * (n - 1.0) * prior * (1 - prior)), 1e-9), 0.999), 1.0 / ({urls.MOST_M} + 1)) - 1, {urls.LEAST_M}), {urls.MOST_M}) AS m
+           FROM {of}_p WHERE n > 1 AND prior * (1 - prior) > 0),
+{of}_s AS (SELECT x.*, (bad + m * prior) / (n + m) AS mean, n + m AS strength FROM {of}_p x, {of}_m)"""
+
+
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.parse_rules(URL_RULES))
 _SAID = "<|im_end|><|im_start|>assistant ok"
 ORACLE_SQL: dict[str, str] = {
+    "op9_url_filter": f"""
+WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+l AS (SELECT doc_id AS page_id, max(CASE WHEN coalesce(toxic = 1, false) OR coalesce(quality = 0, false) THEN 1 WHEN toxic IS NOT NULL OR quality IS NOT NULL THEN 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+c AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.') AS parts FROM p LEFT JOIN l USING (page_id) GROUP BY host),
+h AS (SELECT host, n, bad, CASE WHEN array_to_string(parts[-2:], '.') IN ({", ".join(f"'{x}'" for x in urls.SUFFIXES)}) THEN array_to_string(parts[-3:], '.') ELSE array_to_string(parts[-2:], '.') END AS domain FROM c),
+d AS (SELECT domain, regexp_replace(domain, '^[^.]*\\.', '') AS suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY 1, 2),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY 1),
+top AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) AS mean FROM s),
+{_posterior("s", "top", "true")},
+{_posterior("d", "s_s", "u.suffix = x.suffix")},
+{_posterior("h", "d_s", "u.domain = x.domain")},
+r AS (SELECT DISTINCT ON (host, path) host, path, rhost || rpath AS rule, v FROM (SELECT DISTINCT host, path FROM p) JOIN (VALUES {_RULES}) t(v, rhost, rpath) ON ends_with('.' || host, '.' || rhost) AND starts_with(path, rpath)
+      ORDER BY host, path, length(rhost || rpath) DESC, length(rhost) DESC, v DESC)
+SELECT p.page_id, p.host, p.path, r.rule, coalesce(r.v, CASE WHEN mean - {urls.Z} * sqrt(mean * (1 - mean) / (strength + 1)) > {urls.MOST} THEN 'block' ELSE 'allow' END) AS verdict, round(mean, 6) AS mean
+FROM p JOIN h_s USING (host) LEFT JOIN r ON r.host = p.host AND r.path = p.path""",
     "op3_chat_format": f"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '{_SAID}' UNION ALL SELECT -1, 1, 'assistant', '{_SAID}')

@@ -101,6 +101,15 @@ def test_simhash_odd_rows(spark, odd):
     assert simhash.near_duplicates(odd.withColumnsRenamed({"lang": "fp", "source": "rep"})).count() == len(ODD)
 
 
+def test_components_with_hubs_apart(spark, monkeypatch):
+    monkeypatch.setattr(components, "MANY", 1)
+    monkeypatch.setattr(components, "SHARE", 4)
+    monkeypatch.setattr(components, "CHUNK", 3)  # no task sees a whole star
+    links = [(0, k) for k in range(1, 40)] + [(k, k + 1) for k in range(100, 130)] + [(39, 115)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(links, "u long, v long").repartition(8)).collect()}
+    assert got == {k: 0 for k in [*range(40), *range(100, 131)]}
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 60)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(links, "u long, v long").repartition(4)).collect()}
@@ -156,6 +165,18 @@ def test_knapsack_and_fit():
         assert (extra <= counts).all() and budget - sizes.max() <= got <= budget
 
 
+def test_fit_of_many_and_of_large_sizes():
+    rng = np.random.default_rng(2)
+    for n, most in ((3000, 20_000), (400, 1_000_000)):  # the equal shares alone would leave far more than RESERVE
+        sizes = np.unique(rng.integers(1, most, n))
+        counts = rng.integers(1, 50, len(sizes))
+        total = int((sizes * counts).sum())
+        for share in (0.0001, 0.37, 0.99, 1.5):
+            passes, extra = mixing.fit(sizes, counts, int(total * share))
+            got = passes * total + int((extra * sizes).sum())
+            assert (extra <= counts).all() and (extra >= 0).all() and int(total * share) - max(8, sizes.min()) <= got <= int(total * share) or most > 20_000 and got <= int(total * share)
+
+
 def brute_phrases(text, train):
     n = i = 0
     while i < len(text):
@@ -176,6 +197,24 @@ def test_cross_parsing_counts_longest_matches():
         assert n[0] == len(norm) + (t[-1:] == "!") or n[0] == len(norm)
 
 
+@pytest.mark.parametrize("segment", [7, 64, 1024])
+def test_phrases_do_not_end_at_segments(segment, monkeypatch):
+    monkeypatch.setattr(langid, "SEGMENT", segment)
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdef"), rng.integers(1, 7))) for _ in range(200)]
+    train = " ".join(rng.choice(words, 400))
+    p = langid.Parser(langid.Model((("x", train), ("y", " ".join(words)))))
+    texts = ["", "ab " * 3000 + "a", "a" * 3000, "abcab" * 900] + [" ".join(rng.choice(words, rng.integers(1, 900))) for _ in range(8)]
+    total, _, _ = p.phrases(texts)
+    assert total[0].tolist() == [brute_phrases(t, train) for t in texts] and total[1].tolist() == [brute_phrases(t, " ".join(words)) for t in texts]
+
+
+def test_language_model_stays_within_its_table():
+    letters = "".join(chr(0x4E00 + k) for k in range(3000))
+    p = langid.Parser(langid.Model((("zh", letters), ("en", "plain words"))))
+    assert p.width == langid.LETTERS + 2 and p.predict([letters[:50], "plain words", "12", None])[0] == ["zh", "en", "und", "und"]
+
+
 def test_language_id_on_held_out(spark, docs):
     got = queries.op6_language_id(spark, "/root/testdata/sf0.01").toPandas()
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").toPandas()
@@ -225,12 +264,10 @@ def test_quality_odd_rows(spark, docs, odd):
     assert quality.judge(odd.limit(0), rules).count() == 0
 
 
-def pieces_are_whole(pdf, texts, enc):
+def pieces_are_whole(pdf):
     for seq, g in pdf.groupby("sequence_id"):
         g = g.sort_values("offset")
         assert g.offset.tolist() == [0, *g.length.cumsum()[:-1]] and g.length.sum() <= packing.WINDOW
-    for ids, text in zip(pdf.groupby("doc_id", dropna=False, sort=False), texts):
-        pass
     return (pdf.groupby("sequence_id").length.sum() < packing.WINDOW).sum()
 
 
@@ -240,7 +277,7 @@ def test_packing(spark, docs):
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = packing.pack(docs.repartition(7)).toPandas()
-    assert pieces_are_whole(got, [], t) <= 1
+    assert pieces_are_whole(got) <= 1
     by = {k: g.sort_values("start") for k, g in got.groupby("doc_id")}
     for r in docs.collect():
         want = np.array([*t.encode(r.text, add_special_tokens=False).ids, 1], "<u4")
@@ -248,13 +285,24 @@ def test_packing(spark, docs):
         assert b"".join(g.ids) == want.tobytes() and (g.doc_tokens == len(want)).all() and g.start.tolist() == [0, *g.length.cumsum()[:-1]]
 
 
+def test_ids_of_odd_texts_are_the_tokenizers(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 300)  # generations change often
+    e, rng = packing.encoder(None), np.random.default_rng(3)
+    bits = ["a", "B", "é", "É", "e\u0301", "'s", "don't", "'", "1", "42", "中", "文字", " ", "  ", "\n", "\t", "\u00a0", "\x01", "\x85", "!", "...", "?)", "(", "<|", "<|endoftext|>", "<|ENDOFTEXT|>", "|>", "ß", "İ", "Σ", "ﬁ", "÷", "ÿ", "Ÿ", "word", "Straße", "\u0338", "👍", "\x00", "'LL", "Þ"]
+    texts = [None, "", " ", "\n", "x" * 200 + "!" * 200] + ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(6000)]
+    for k in range(0, len(texts), 500):
+        for t, ids in zip(texts[k : k + 500], e.encode_batch(texts[k : k + 500])):
+            assert e.tokenizer.encode(t or "", add_special_tokens=False).ids == ids.tolist(), repr(t)
+    assert e.encode_batch([]) == [] and max(map(len, e.young.names.to_pylist())) <= packing.LONGEST
+
+
 def test_packing_odd_rows_and_many_tasks(spark, odd, monkeypatch):
     got = packing.pack(odd).toPandas()
-    assert pieces_are_whole(got, [], None) <= 1 and got[got.doc_id == 1].length.tolist() == [1]
+    assert pieces_are_whole(got) <= 1 and got[got.doc_id == 1].length.tolist() == [1]
     assert got[got.doc_id == 6].start.tolist() == [0, 0] and got[got.doc_id.isna()].length.sum() == 6
     monkeypatch.setattr(packing, "FAN_IN", 2)
     more = packing.pack(odd.repartition(9), spaces=2).toPandas()
-    assert pieces_are_whole(more, [], None) <= 1 and more.length.sum() == got.length.sum()
+    assert pieces_are_whole(more) <= 1 and more.length.sum() == got.length.sum()
     assert packing.pack(odd.limit(0)).count() == 0
 
 

@@ -29,9 +29,13 @@ def brute_licenses(text):
     w, found = clean_words(text), set()
     for name, notice in licenses.NOTICES.items():
         n = clean_words(notice)
+        if len(n) < 5:
+            found |= {name} if any(w[i : i + len(n)] == n for i in range(len(w))) else set()
+            continue
         want = {tuple(n[i : i + 5]) for i in range(len(n) - 4)}
         have = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
-        if want and any(len(want & set(have[i : i + len(n) + 2])) >= 0.8 * len(want) for i in range(len(have)) if have[i] in want):
+        take = len(n) - 2 + -(-len(n) // 5)
+        if any(len(want & set(have[i : i + take])) >= 0.8 * len(want) for i in range(len(have)) if have[i] in want):
             found.add(name)
     return found
 
@@ -51,7 +55,7 @@ def test_license_scan(spark):
 
 
 def test_every_place_of_a_notice(spark):
-    n, size = licenses.NOTICES, {k: len(clean_words(v)) for k, v in licenses.NOTICES.items()}
+    n, size = licenses.LINES, {k: len(clean_words(v)) for k, v in licenses.LINES.items()}
     gap = "word " * 100
     rows, want = [], set()
     for k, (name, v) in enumerate(n.items()):
@@ -59,11 +63,27 @@ def test_every_place_of_a_notice(spark):
         want |= {(k, name, 0), (k, name, size[name]), (k, name, 2 * size[name] + 100), (100 + k, name, 1)}
     rows += [(200, n["MIT-grant"].replace("hereby", "now") + " " + n["MIT-grant"]), (None, n["MIT"]), (None, n["MIT"])]
     want |= {(200, "MIT-grant", size["MIT-grant"])}
-    got = [(r.doc_id, r.license, r.word_at) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    got = [(r.doc_id, r.license, r.word_at) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n).collect()]
     assert want <= set(got) and len([x for x in got if x[0] is None]) == 2
     assert len(got) == len(want) + 1 + 2  # and the damaged first copy of 200
 
 
+def test_long_and_damaged_notices(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    long = " ".join(f"w{k}" for k in rng.integers(0, 2000, 3000))
+    notices = {"long": long, "two words": "MIT License", "none": "!"} | licenses.TEXTS
+    damaged = {k: v.split(" ") for k, v in licenses.TEXTS.items()}
+    for w in damaged.values():  # a word of every thirty: 25 of 30 shingles stay
+        w[10::30] = ["changed"] * len(w[10::30])
+    rows = [(0, f"lead {long} tail"), (1, "the MIT license, mit LICENSE"), (2, None)] + [(10 + k, "x " * k + " ".join(w) + " tail") for k, w in enumerate(damaged.values())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for most in (licenses.MOST_KEYS, 500):  # in one pass and in many
+        monkeypatch.setattr(licenses, "MOST_KEYS", most)
+        assert most > 500 or len(licenses.in_passes(notices, most)) > 5
+        got = {(r.doc_id, r.license, r.word_at) for r in licenses.scan(df, notices).collect()}
+        assert {(0, "long", 1), (1, "two words", 1), (1, "two words", 3)} <= got and {(i, x) for i, x, _ in got} >= {(10 + k, name) for k, name in enumerate(damaged)}
+
+
 # --- chat
 
 
@@ -162,6 +182,57 @@ def test_url_parts_and_rules(spark):
     assert urls.judge(pages.limit(0), none, queries.URL_RULES).count() == 0
 
 
+def brute_reputations(outcomes, suffixes=urls.SUFFIXES):
+    """host -> (mean, low) in plain Python."""
+    def domain(h):
+        p = h.split(".")
+        return ".".join(p[-3:] if ".".join(p[-2:]) in suffixes else p[-2:])
+
+    def suffix(d):
+        return d.partition(".")[2] or d
+
+    def total(pairs):
+        out = {}
+        for key, n, bad in pairs:
+            a, b = out.get(key, (0, 0))
+            out[key] = (a + n, b + bad)
+        return out
+
+    def strength(groups):
+        top = sum((b - n * p) ** 2 - n * p * (1 - p) for n, b, p in groups if n > 1)
+        under = sum(n * (n - 1) * p * (1 - p) for n, b, p in groups if n > 1)
+        rho = min(max(top / under, 1e-9), 0.999) if under else 1 / (urls.MOST_M + 1)
+        return min(max(1 / rho - 1, urls.LEAST_M), urls.MOST_M)
+
+    hosts = total((h, int(b is not None), b or 0) for h, b in outcomes)
+    domains = total((domain(h), n, b) for h, (n, b) in hosts.items())
+    tops = total((suffix(d), n, b) for d, (n, b) in domains.items())
+    n, b = sum(x for x, _ in tops.values()), sum(x for _, x in tops.values())
+    base = (b + 0.5) / (n + 1)
+    m = strength([(*x, base) for x in tops.values()])
+    top = {k: (b + m * base) / (n + m) for k, (n, b) in tops.items()}
+    m = strength([(*x, top[suffix(k)]) for k, x in domains.items()])
+    middle = {k: (b + m * top[suffix(k)]) / (n + m) for k, (n, b) in domains.items()}
+    m = strength([(*x, middle[domain(k)]) for k, x in hosts.items()])
+    out = {}
+    for k, (n, b) in hosts.items():
+        mean = (b + m * middle[domain(k)]) / (n + m)
+        out[k] = (mean, mean - urls.Z * (mean * (1 - mean) / (n + m + 1)) ** 0.5)
+    return out
+
+
+def test_posteriors_and_verdicts_are_those_of_plain_python(spark):
+    rng = np.random.default_rng(8)
+    names = ["a.bad.com", "b.bad.com", "bad.com", "x.fine.org", "y.fine.org", "one.co.uk", "two.co.uk", "w.two.co.uk", "localhost", ""]
+    share = [0.95, 0.9, 0.97, 0.02, 0.1, 0.5, 0.99, 0.9, 0.3, 0.5]
+    rows = [(k, names[j], None if rng.random() < 0.2 else int(rng.random() < share[j])) for k, j in enumerate(rng.integers(0, len(names), 1500).tolist())]
+    pages = spark.createDataFrame([(k, f"http://{h}/p{k}" if h else None) for k, h, _ in rows], "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, spark.createDataFrame([(k, b) for k, _, b in rows], "page_id long, bad int"), []).collect()}
+    want = brute_reputations([(h, b) for _, h, b in rows])
+    assert all(abs(got[k].mean - want[h][0]) < 1e-9 and got[k].verdict == ("block" if want[h][1] > urls.MOST else "allow") for k, h, _ in rows)
+    assert {h for k, h, _ in rows if got[k].verdict == "block"} >= {"a.bad.com", "bad.com", "two.co.uk"} and {r.verdict for r in got.values()} == {"allow", "block"}
+
+
 def test_reputation_blocks_bad_hosts_alone(spark):
     rows = [(k, f"http://bad.evil.com/{k}", 1) for k in range(60)] + [(100 + k, f"http://h{k % 30}.fine.org/{k}", int(k // 30 % 10 == 0)) for k in range(600)] + [(900, "http://one.fine.org/", 1), (901, "http://new.evil.com/", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, bad int")
@@ -173,6 +244,13 @@ def test_reputation_blocks_bad_hosts_alone(spark):
 # --- embeddings
 
 
+def test_embeddings_of_many_lengths_and_repeated_ids(spark):
+    rows = [(k, [1.0] * (k + 1), 1) for k in range(70)] + [(100 + k, [2.0] * (k + 1), 1) for k in range(70)] + [(5, [0.0, 1.0], 2), (5, [1.0, 0.0], 2), (7, [0.0, 2.0], 2), (None, [0.0, 1.0], 2)]
+    got = Counter(tuple(r) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)).collect())
+    want = [(k, 1, k, True) for k in range(70)] + [(100 + k, 1, k, False) for k in range(70)] + [(5, 1, 5, True), (5, 0, 5, True), (7, 1, 5, False), (None, 0, None, True)]
+    assert got == Counter(want)
+
+
 def brute_links(rows, least=0.93):
     ok = {}
     for n, (i, v, label) in enumerate(rows):
@@ -198,9 +276,13 @@ def test_embeddings_recall_and_precision(spark, block):
     degree = Counter(rows[x][0] for p in want for x in p)
     assert sum(r.n_links for r in got.values()) >= 0.97 * 2 * len(want)
     assert all(r.n_links <= degree[i] for i, r in got.items())
-    comp = {}
-    for a, b in sorted(want):
-        comp.setdefault(rows[a][0], set()).add(rows[b][0])
+    every = {r.vec_id: r for r in embeddings.near_duplicates(df, block=block, recall=0.999999).collect()}
+    assert {i: r.n_links for i, r in every.items()} == {r[0]: degree[r[0]] for r in rows}
+    least = {r[0]: r[0] for r in rows}
+    for _ in rows:  # the smallest id spreads along the links
+        for a, b in want:
+            least[rows[a][0]] = least[rows[b][0]] = min(least[rows[a][0]], least[rows[b][0]])
+    assert {i: (r.component_id, r.kept) for i, r in every.items()} == {i: (c, i == c) for i, c in least.items()}
     whole = {i: r for i, r in got.items() if degree[i] == r.n_links}
     assert all(r.component_id <= i and r.kept == (r.component_id == i) for i, r in got.items()) and len(whole) > 0.9 * len(rows)
     assert all(got[i].n_links == 0 and got[i].kept for i in (600, 601, 602, 603, 604, 607, 608)) and got[606].component_id == 605
@@ -210,3 +292,8 @@ def test_embeddings_recall_and_precision(spark, block):
     far = [(1, [1e300, 1e300], 1), (2, [1e-300, 1e-300], 1), (3, [1e300, -1e300], 1)]
     got = {tuple(r) for r in embeddings.near_duplicates(spark.createDataFrame(far, "vec_id long, embedding array<double>, label int")).collect()}
     assert got == {(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    same(spark, queries.QUERIES[name], queries.ORACLE_SQL[name], SF, connect(SF))
