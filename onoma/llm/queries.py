@@ -90,7 +90,23 @@ def _posterior(of: str, up: str, on: str) -> str:
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.parse_rules(URL_RULES))
 _SAID = "<|im_end|><|im_start|>assistant ok"
+_NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.NOTICES.items())
+_CLEAN = r"string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')"
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": f"""
+WITH n AS (SELECT license, {_CLEAN} AS w FROM (VALUES {_NOTICES}) v(license, text)),
+ns AS (SELECT license, len(w) AS m, len(w) - 2 + CAST(ceil(len(w) / 5) AS INTEGER) AS take, 2 + CAST(ceil(len(w) / 5) AS INTEGER) AS slack,
+              list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS sh FROM n WHERE len(w) >= 5),
+d AS (SELECT row_number() OVER () AS row, doc_id, {_CLEAN} AS w FROM documents),
+g AS (SELECT row, doc_id, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT row, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+hit AS (SELECT row, doc_id, license, p, s FROM g JOIN (SELECT license, unnest(sh) AS s FROM ns) USING (s)),
+c AS (SELECT a.row, a.doc_id, a.license, a.p AS word_at, count(DISTINCT b.s) / any_value(len(sh)) AS containment, any_value(slack) AS slack, any_value(CAST(ceil(len(sh) * 0.8) AS INTEGER) + 4) AS least
+      FROM hit a JOIN ns USING (license) JOIN hit b ON a.row = b.row AND a.license = b.license AND b.p BETWEEN a.p AND a.p + take - 1 GROUP BY ALL HAVING count(DISTINCT b.s) / any_value(len(sh)) >= 0.8),
+f AS (SELECT doc_id, license, any_value(slack) AS slack, any_value(least) AS least, list([{{'word_at': word_at, 'containment': containment, 'first': word_at}}] ORDER BY word_at) AS found FROM c GROUP BY row, doc_id, license),
+o AS (SELECT doc_id, license, unnest(list_reduce(found, lambda acc, x: CASE WHEN x[1].word_at >= acc[-1].first + least THEN acc || x
+             WHEN x[1].word_at <= acc[-1].first + slack AND x[1].containment > acc[-1].containment THEN acc[1:len(acc) - 1] || [{{'word_at': x[1].word_at, 'containment': x[1].containment, 'first': acc[-1].first}}] ELSE acc END)) AS y FROM f)
+SELECT doc_id, license, y.word_at AS word_at, round(y.containment, 6) AS containment FROM o
+UNION ALL SELECT doc_id, license, i - 1, 1.0 FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT license, w AS phrase FROM n WHERE len(w) < 5) WHERE w[i:i + len(phrase) - 1] = phrase""",
     "op9_url_filter": f"""
 WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
