@@ -10,25 +10,30 @@ from onoma.llm.common import table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document: its fingerprint, and the smallest id of its component."""
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per place of a notice or license text in a document."""
     got = licenses.scan(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "license", F.col("word_at").cast("long").alias("word_at"), F.round("containment", 6).alias("containment"))
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per conversation, read back from the prefix tree's tokens."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(*chat.build(rows.unionByName(chat.fixed_case(spark))))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document: how many of its words the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document of the token files: its place there and its tokens."""
     return tokencount.corpus_counts(table(spark, sf_dir, "documents"))
 
 
@@ -44,12 +49,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document: its base counts, and the verdict of the base rule and the learned list."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per piece of a document in a sequence."""
     got = packing.pack(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -67,6 +74,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector: its links, and the smallest id of its component."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
