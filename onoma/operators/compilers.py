@@ -317,17 +317,23 @@ def pre_ming(raw: DataFrame) -> DataFrame:
     return most_specific(keyed, F.array_union("p27", "p2348"), dims, config.PRE_MING, "entity").withColumnRenamed("entity", "qid")
 
 
+def compiled_crosswalk(raw: DataFrame) -> Column:
+    """A raw row's identifiers and its own number."""
+    kept = [f.name for f in raw.schema["crosswalk"].dataType.fields if f.name != "wikidata"] if "crosswalk" in raw.columns else []
+    return F.struct(*[F.col(f"crosswalk.{k}") for k in kept], F.array(F.regexp_replace("qid", "^Q", "")).alias("wikidata")).alias("crosswalk")
+
+
 def graph_persons(raw: DataFrame, period: Column, start: Column, end: Column) -> DataFrame:
     fictional = F.coalesce(F.arrays_overlap("p31", F.array(*[F.lit(q) for q in config.FICTIONAL])), F.lit(False))
     df = raw.withColumn("s", names.person_strings(F.col("primaryLabel"), F.col("aliases"), F.col("familyName"))).where(F.size("s") > 0)
-    meta = F.struct(period.alias("dynasty"), F.coalesce("birthYear", start).alias("startYear"), F.coalesce("deathYear", end).alias("endYear"), F.when(fictional, "fictional").alias("ana"), clues.graph_person(F.col("primaryLabel"), period, fictional, F.col("qid")).alias("description"))
+    meta = F.struct(period.alias("dynasty"), F.coalesce("birthYear", start).alias("startYear"), F.coalesce("deathYear", end).alias("endYear"), F.when(fictional, "fictional").alias("ana"), clues.graph_person(F.col("primaryLabel"), period, fictional, F.col("qid")).alias("description"), compiled_crosswalk(raw))
     return _candidate(df, "Wikidata", "person", F.col("qid"), F.col("primaryLabel"), F.col("s"), meta)
 
 
 def graph_kind(raw: DataFrame, kind: str, language: str) -> DataFrame:
     script = None if kind == "work" else config.LANGUAGES[language][1]
     df = raw.withColumn("s", names.kind_strings(F.col("primaryLabel"), F.col("aliases"), script)).where(F.size("s") > 0)
-    meta = F.struct(F.coalesce("inceptionYear", "publicationYear").alias("startYear"), F.col("dissolvedYear").alias("endYear"), clues.graph_entity(F.col("primaryLabel"), F.col("qid")).alias("description"))
+    meta = F.struct(F.coalesce("inceptionYear", "publicationYear").alias("startYear"), F.col("dissolvedYear").alias("endYear"), clues.graph_entity(F.col("primaryLabel"), F.col("qid")).alias("description"), compiled_crosswalk(raw))
     return _candidate(df, "Wikidata", kind, F.col("qid"), F.col("primaryLabel"), F.col("s"), meta)
 
 

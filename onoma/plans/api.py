@@ -52,9 +52,11 @@ def mapped(spark: SparkSession, folder: str, cbdb: DataFrame | None = None, dila
 
 
 def compile_points(spark: SparkSession, folder: str, out: str, cbdb: DataFrame | None = None, dila: DataFrame | None = None) -> dict:
-    """A pack of point layers, whose manifest counts the links of each crosswalk."""
+    """A pack of point layers, whose manifest counts the places of each layer and the links of each crosswalk."""
     link = lambda c: F.count_if(F.col(f"metadata.crosswalk.{c}").isNotNull())
-    return packs.write_pack(mapped(spark, folder, cbdb, dila), f"{out}/places", "CHGIS", crosswalkCbdbCount=link("cbdb"), crosswalkDilaCount=link("dila"))
+    found = mapped(spark, folder, cbdb, dila)
+    layers = {r.layer: r["count"] for r in found.groupBy("metadata.layer").count().orderBy("layer").collect()}  # a row per file
+    return packs.write_pack(found, f"{out}/places", "CHGIS", facts={"layerCounts": layers}, crosswalkCbdbCount=link("cbdb"), crosswalkDilaCount=link("dila"))
 
 
 def places_tsv(places: DataFrame, out: str) -> None:
@@ -138,7 +140,8 @@ def compile_catalogue(raw: DataFrame, kind: str, out: str) -> dict:
 def report(cands: DataFrame, out: str, sample: int = 8, limit: int = 100) -> dict[str, int]:
     """Writes the strings that name most entities, with samples, as quoted CSV; returns the counts."""
     names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), F.col("authorityId").alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
-    packs.write_csv(R.ambiguity_rows(names, sample).orderBy(F.desc("n"), "surface").limit(limit), out, always=True)
+    rows = R.ambiguity_rows(names, sample).orderBy(F.desc("n"), F.collate("surface", "zh_Hant"), "surface").limit(limit)
+    packs.write_csv(rows, out, always=True)
     return R.ambiguity_stats(cands.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("strings"))).first().asDict()
 
 

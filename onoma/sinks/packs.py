@@ -15,12 +15,12 @@ def write_ndjson(df: DataFrame, path: str, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").json(path)
 
 
-def write_pack(cands: DataFrame, path: str, source: str, policy: dict | None = None, **counts: Column) -> dict:
-    """Writes candidates and a manifest beside them; returns the manifest."""
+def write_pack(cands: DataFrame, path: str, source: str, policy: dict | None = None, facts: dict | None = None, **counts: Column) -> dict:
+    """Writes candidates and a manifest beside them, with counts, facts and the policy; returns the manifest."""
     write_ndjson(cands, path)
     back = cands.sparkSession.read.schema(cands.schema).json(path)
     row = back.agg(F.count("*").alias("entityCount"), F.coalesce(F.sum(F.size("searchStrings")), F.lit(0)).alias("stringCount"), *[c.alias(k) for k, c in counts.items()]).first().asDict()
-    manifest = {"source": source, **row, **({"policy": policy} if policy else {})}
+    manifest = {"source": source, **row, **(facts or {}), **({"policy": policy} if policy else {})}
     cands.sparkSession.createDataFrame([(json.dumps(manifest, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
     return manifest
 

@@ -41,8 +41,11 @@ def csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
 
 
-def works(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless rows id, title, variants;, creators;, created, updated; rows of fewer than two cells go."""
+def works(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Headerless rows id, title, variants;, creators;, created, updated; rows of fewer than two cells go.
+
+    limit: rows after which the reader may stop.
+    """
     cell = F.split(strip(F.col("value")), "\t")
     at = lambda k: strip(F.coalesce(F.get(cell, F.lit(k)), F.lit("")))
     rows = spark.read.text(path).where((strip(F.col("value")) != "") & (F.size(cell) >= 2))
@@ -51,7 +54,8 @@ def works(spark: SparkSession, path: str) -> DataFrame:
         at(0).alias("id"), at(1).alias("title"), split_semicolons(at(2)).alias("variants"), split_semicolons(at(3)).alias("creators"),
         F.nullif(at(4), empty).alias("created"), F.nullif(at(5), empty).alias("updated"),
     )
-    return got.where("id != '' and title != ''")
+    got = got.where("id != '' and title != ''")
+    return got if limit is None else got.limit(limit)
 
 
 def bindings(results: DataFrame, column: str = "value") -> DataFrame:

@@ -46,6 +46,8 @@ def test_extract_and_compile(spark, tmp_path):
     raw = spark.read.schema("qid string, primaryLabel string, aliases array<string>, familyName string, p27 array<string>, p2348 array<string>, p31 array<string>, birthYear int, deathYear int").json(str(tmp_path / "raw/lang=zh-hant/kind=person"))
     assert api.compile_graph_persons(raw, "tang", str(tmp_path / "tang"))["entityCount"] == 1
     assert api.compile_graph_pre_ming(raw, str(tmp_path / "early"))["entityCount"] == 1
+    assert api.compile_graph_country(raw, "Q9683", "唐", str(tmp_path / "country"))["entityCount"] == 1
+    assert api.extract(spark, str(tmp_path / "dump.json"), "person, place", ["zh-hant"], str(tmp_path / "one"), most=1).first()["count"] == 1
     with pytest.raises(ValueError):
         api.compile_graph_persons(raw, "atlantis", str(tmp_path / "x"))
     with pytest.raises(ValueError):

@@ -247,6 +247,8 @@ def test_packs_of_one_scan(spark):
     assert ids(membership="country-p27", qids=["Q17"]) == place | {("person", "Q4")} and ids(membership="pre-ming") == place | {("person", "Q1")}
     with pytest.raises(ValueError):
         C.is_member("by-heart")
+    made = C.graph_kind(C.raw_packs(entities, ["ja"], ["place"]), "place", "ja").first()
+    assert made.metadata.crosswalk.wikidata == ["3"] and made.metadata.crosswalk.viaf is None
     assert C.raw_packs(entities, ["ja", "ko"], ["person", "place"])._jdf.queryExecution().executedPlan().toString().count("ExistingRDD") == 1
 
 
