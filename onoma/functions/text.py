@@ -21,7 +21,10 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def nfc(c: Column) -> Column:
-    """Canonical composition; only strings with characters from U+0300 on leave the JVM."""
+    """Canonical composition; only strings with characters from U+0300 on leave the JVM.
+
+    By Python's table, since the installed Arrow's utf8_normalize leaves decomposed strings as they are.
+    """
     return F.coalesce(_nfc(F.when(c.rlike("[^\\u0000-\\u02FF]"), c)), c)
 
 

@@ -64,12 +64,28 @@ def crosswalk(left: DataFrame, right: DataFrame, band: float = 0.5) -> DataFrame
     b = right.select(F.col("id").alias("right_id"), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"), F.explode(F.array_distinct("names")).alias("name"))
     d_lat, d_lon = F.abs(F.col("a_lat") - F.col("b_lat")), F.abs(F.col("a_lon") - F.col("b_lon"))
     known = d_lat.isNotNull() & d_lon.isNotNull()
-    pairs = a.join(b, "name").where(~known | ((d_lat <= band) & (d_lon <= band)))
+    pairs = _near(a, b, band).where(~known | ((d_lat <= band) & (d_lon <= band)))
     pairs = pairs.withColumn("geo", known.cast("int")).withColumn("pick", F.when(known, F.col("name_ord")).otherwise(-F.col("name_ord")))
     item = F.struct(F.when(known, "name+geo").otherwise("name-only").alias("method"), d_lat.alias("d_lat"), d_lon.alias("d_lon"), "name")
     return pairs.groupBy("row", "left_id", "right_id").agg(F.max_by(item, F.struct("geo", "pick")).alias("r")).select("row", "left_id", "right_id", "r.*")
 
 
+def _near(a: DataFrame, b: DataFrame, band: float) -> DataFrame:
+    """Pairs of one name of which a position is missing, or whose positions lie in the same or in neighbouring cells.
+
+    Cells are in the key, so that a name of very many places is many groups; they are a little wider than the band.
+    """
+    if band <= 0:
+        return a.join(b, "name")
+    cell = lambda c: F.floor(F.col(c) / (band * (1 + 1e-9)))
+    placed = lambda df, side: df.where(F.col(f"{side}_lat").isNotNull() & F.col(f"{side}_lon").isNotNull())
+    lost = lambda df, side: df.where(F.col(f"{side}_lat").isNull() | F.col(f"{side}_lon").isNull())
+    around = lambda c: F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: cell(c) + k))
+    by_cell = placed(b, "b").withColumn("x", around("b_lat")).withColumn("y", around("b_lon"))
+    near = placed(a, "a").withColumns({"x": cell("a_lat"), "y": cell("a_lon")}).join(by_cell, ["name", "x", "y"]).drop("x", "y")
+    return near.unionByName(lost(a, "a").join(b, "name")).unionByName(placed(a, "a").join(lost(b, "b"), "name"))
+
+
 def crosswalk_split(left: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(matched pairs, ambiguous pairs, one row of counts); records without a pair count too."""
     n = pairs.groupBy("row").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from onoma.sources.files import usable_files
 
 
 def write_ndjson(df: DataFrame, path: str, single: bool = False) -> None:
-    (df.coalesce(1) if single else df).write.mode("overwrite").json(path)
+    (df.repartition(1) if single else df).write.mode("overwrite").json(path)
 
 
 def write_pack(cands: DataFrame, path: str, source: str, policy: dict | None = None, facts: dict | None = None, **counts: Column) -> dict:
@@ -31,11 +31,11 @@ def write_fan_out(df: DataFrame, path: str, *by: str) -> None:
 
 
 def _write_lines(lines: DataFrame, path: str, head: str | None) -> None:
-    """One file of lines (column value) in their order, below the head."""
+    """One file of lines (column value) in their order, below the head; a shuffle keeps what makes the lines on all tasks."""
     numbered = lines.select("value", F.monotonically_increasing_id().alias("at"))
     if head is not None:
         numbered = numbered.unionByName(lines.sparkSession.range(1).select(F.lit(head).alias("value"), F.lit(-1).cast("long").alias("at")))
-    numbered.coalesce(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
+    numbered.repartition(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
