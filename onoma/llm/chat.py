@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from onoma.llm.common import checkpoint, map_arrow, stash
+from onoma.llm.common import BYTES, checkpoint, map_arrow, stash
 
 START, END = "<|im_start|>", "<|im_end|>"
 VOCABULARY, START_ID, END_ID = "byte_bpe_50k.tiktoken", 50257, 50258
@@ -75,10 +75,12 @@ def _turns(path: str | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = codec(path)
-        conv, key, root, trail, depth = None, b"", b"", bytearray(), 0
+        conv, key, root, trail, depth, held = None, b"", b"", bytearray(), 0, 0
         rows: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
+            nonlocal held
+            held = 0
             types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             rows.clear()
@@ -98,8 +100,8 @@ def _turns(path: str | None):
                 ids = np.array([START_ID, *head, *body, END_ID, *enc.encode_ordinary("\n")], "<u4")
                 learned = role == LEARNED
                 rows.append((conv, depth, key, root, ids.tobytes(), 1 + len(head) if learned else 0, 1 + len(head) + len(body) if learned else 0, None))
-                depth += 1
-                if len(rows) >= 2000:
+                depth, held = depth + 1, held + ids.nbytes
+                if len(rows) >= 2000 or held >= BYTES:
                     yield batch()
         if depth:
             rows.append((conv, depth, None, None, None, None, None, bytes(trail)))
