@@ -319,7 +319,12 @@ def test_pipeline(spark):
     kept = {r.doc_id: brute_fp(r.text) for r in docs.collect() if r.doc_id in set(ids[1])}
     assert sorted(ids[2]) == sorted(k for k, c in brute_components(kept).items() if k == c)
     out = corpus_pipeline.run(spark, SF)
-    assert {r.doc_id for r in out.select("doc_id").collect()} == set(ids[3])
+    got, texts, copies = out.toPandas(), {r.doc_id: r.text for r in docs.collect()}, Counter(ids[3])
+    assert set(got.doc_id) == set(ids[3]) and pieces_are_whole(got) <= 1
+    for i, g in got.groupby("doc_id"):  # each copy's ids, whole
+        want = np.append(packing.encoder(None).tokenizer.encode(texts[i], add_special_tokens=False).ids, 1).astype("<u4")
+        assert g.length.sum() == copies[i] * len(want) and (g.doc_tokens == len(want)).all()
+        assert all(x == want[k : k + n].tobytes() for x, k, n in zip(g.ids, g.start, g.length))
 
 
 def test_pipeline_without_labelled_languages(spark, odd, tmp_path):
