@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onoma.llm import chat, embeddings, langid, licenses, mixing, packing, quality, simhash, tokencount, urls
+from onoma.llm import chat, clustering, embeddings, langid, licenses, mixing, packing, periodic, quality, simhash, tokencount, topk, urls
 from onoma.llm.common import table
 
 
@@ -78,11 +78,27 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document: its runs, the longest of them, and hashes of all runs and of the text without repeats."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector of 64 components: its cluster, distance and centroid."""
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th vector's five highest inner products with all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.EVERY == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup, op2_license_scan, op3_chat_format, op4_mixing, op5_token_counts,
         op6_language_id, op7_quality_rules, op8_packing, op9_url_filter, op10_embedding_near_dedup,
+        op11_periodic_runs, op12_centroid_clustering, op13_exact_top_k,
     )
 }
 
@@ -96,6 +112,20 @@ def _posterior(of: str, up: str, on: str) -> str:
 {of}_s AS (SELECT x.*, (bad + m * prior) / (n + m) AS mean, n + m AS strength FROM {of}_p x, {of}_m)"""
 
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"
+
+
+def _lloyd() -> str:
+    """CTEs a0, c1, a1, ... of assignments (r, k, d) and centroids (k, v), a round each, from kept (r, vec_id, v)."""
+    out = [f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || vec_id) NULLS LAST, v) - 1 AS INTEGER) AS k, v FROM kept ORDER BY k LIMIT {clustering.CLUSTERS})"]
+    for n in range(clustering.ROUNDS + 1):
+        out.append(f"""a{n} AS MATERIALIZED (SELECT x.r, x.v, c.k, list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM kept x, c{n} c
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)""")
+        out.append(f"""c{n + 1} AS MATERIALIZED (SELECT k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+    FROM (SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{n}) GROUP BY k, i) GROUP BY k) m USING (k))""")
+    return ",\n".join(out[:-1])  # the last assignment moves no centroid
+
+
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.parse_rules(URL_RULES))
 _SAID = "<|im_end|><|im_start|>assistant ok"
 _NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.NOTICES.items())
@@ -139,4 +169,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(24 + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), '<|', '<||')) + length(replace(text, '<|', '<||'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
+    "op12_centroid_clustering": f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({clustering.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE len(embedding) = {clustering.DIM} AND {_FINITE}),
+{_lloyd()}
+SELECT vec_id, k AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{clustering.ROUNDS} JOIN kept USING (r) JOIN c{clustering.ROUNDS} c USING (k)""",
+    "op13_exact_top_k": f"""
+WITH i AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE {_FINITE})
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.r ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id, c.r) AS INTEGER) AS rank, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+FROM i q JOIN i c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % {topk.EVERY} = 0 QUALIFY rank <= {topk.K}""",
 }
