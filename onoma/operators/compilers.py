@@ -74,13 +74,13 @@ def listed_persons(rows: DataFrame, labels: DataFrame) -> DataFrame:
     df = df.withColumn("dyn_key", text.label_key(F.col("dyn"))).join(labels.select(text.label_key(F.col("label")).alias("dyn_key"), F.col("start").alias("d_start"), F.col("end").alias("d_end")), "dyn_key", "left")
     birth, death = years.year_of_date(F.col("birth")), years.year_of_date(F.col("death"))
     ident = lambda kind: F.transform(F.filter("idnos", lambda i: (F.lower(i["type"]) == kind) & (i["text"] != "")), lambda i: i["text"])
-    cbdb = F.get(F.reverse(ident("cbdb")), F.lit(0))
+    cbdb, viaf, items = F.get(F.reverse(ident("cbdb")), F.lit(0)), F.get(F.reverse(ident("viaf")), F.lit(0)), ident("wikidata")
     occupation = F.get(F.col("occupation"), F.lit(0))["text"]
     meta = F.struct(
         F.col("dyn").alias("dynasty"), F.coalesce(birth, "d_start").alias("startYear"), F.coalesce(death, "d_end").alias("endYear"), F.col("ana"),
         clues.listed_person(F.get("han", F.lit(0)), birth, death, F.col("dyn"), occupation, text.first_clause(tei.note(F.col("notes"), "concise"))).alias("description"),
         tei.note(F.col("notes"), "disambiguation").alias("disambiguation"),
-        F.struct(ids.normalize_identifier(cbdb, "no_zeros").alias("cbdb"), F.get(F.reverse(ident("viaf")), F.lit(0)).alias("viaf"), ident("wikidata").alias("wikidata")).alias("crosswalk"),
+        F.when(F.coalesce(cbdb, viaf, F.get(items, F.lit(0))).isNotNull(), F.struct(ids.normalize_identifier(cbdb, "no_zeros").alias("cbdb"), viaf.alias("viaf"), F.when(F.size(items) > 0, items).alias("wikidata"))).alias("crosswalk"),
     )
     return _candidate(df, "DILA", "person", F.col("id"), F.get("han", F.lit(0)), text.search_strings(F.col("han")), meta)
 

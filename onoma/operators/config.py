@@ -13,6 +13,9 @@ DYNASTIES = [
     ("southern-song", "Q8908", "南宋", 1127, 1279), ("song", "Q1107", "宋", 960, 1279), ("yuan", "Q42497", "元", 1271, 1368), ("ming", "Q9903", "明", 1368, 1644),
     ("qing", "Q8733", "清", 1636, 1912), ("republic-of-china", "Q134261", "民國", 1912, 1949), ("prc", "Q148", "中华人民共和国", 1949, 2100),
 ]
+#: countries' ids, items and labels; the item of the region, which is no dynasty.
+COUNTRIES = [("japan", "Q17", "日本")]
+CHINA = "Q29520"
 PRIORITY = ["tang", "song", "yuan", "ming", "qing"]
 PRE_MING_LAST, PRE_MING = 1367, ("明前", -221, 1367)
 POST = ["Q9903", "Q8733", "Q134261", "Q148"]
@@ -26,11 +29,11 @@ LANGUAGES = {
 #: kinds' included and excluded classes.
 KINDS = {
     "person": (["Q5"], []),
-    "place": ("Q618123 Q2221906 Q515 Q532 Q56061 Q82794 Q8502 Q4022 Q23442 Q1248784 Q28739697 Q30234100 Q486972 Q7930989".split(), ["Q4167410", "Q13442814"]),
-    "org": ("Q43229 Q4830453 Q2385804 Q3918 Q5341295 Q2659904 Q177634 Q7315155 Q15911314 Q11016".split(), ["Q4167410", "Q13442814"]),
+    "place": (["Q618123", "Q2221906", "Q515", "Q532", "Q56061", "Q82794", "Q8502", "Q4022", "Q23442", "Q1248784", "Q28739697", "Q30234100", "Q486972", "Q7930989"], ["Q4167410", "Q13442814"]),
+    "org": (["Q43229", "Q4830453", "Q2385804", "Q3918", "Q5341295", "Q2659904", "Q177634", "Q7315155", "Q15911314", "Q11016"], ["Q4167410", "Q13442814"]),
     "work": (
-        "Q7725634 Q571 Q47461344 Q178385 Q87167 Q5185279 Q1261499 Q3331189".split(),
-        "Q4167410 Q13442814 Q17329259 Q11424 Q24869 Q7889 Q482994 Q15416 Q5398426 Q21191270 Q53933099 Q134556 Q639661 Q873933 Q1004 Q7397 Q185598".split(),
+        ["Q7725634", "Q571", "Q47461344", "Q178385", "Q87167", "Q5185279", "Q1261499", "Q3331189"],
+        ["Q4167410", "Q13442814", "Q17329259", "Q11424", "Q24869", "Q7889", "Q482994", "Q15416", "Q5398426", "Q21191270", "Q53933099", "Q134556", "Q639661", "Q873933", "Q1004", "Q7397", "Q185598"],
     ),
 }
 FICTIONAL = ["Q15632617", "Q28037560", "Q3658341"]

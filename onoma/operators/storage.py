@@ -22,3 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
 def checkpoint(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

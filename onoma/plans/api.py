@@ -2,31 +2,59 @@
 
 from __future__ import annotations
 
+import os
 import re
+from threading import Event
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from onoma.functions.text import label_key, nfc_array
 from onoma.operators import compilers as C
-from onoma.operators import config, triples
+from onoma.operators import config, patterns, triples
 from onoma.operators import relational as R
 from onoma.operators.storage import checkpoint
 from onoma.sinks import packs
-from onoma.sources import binary, files, tei
+from onoma.sources import binary, files, sqlite, tei
+from onoma.streaming import resumable
 
 SNAPSHOT_POLICY = {"minLength": 2, "minLengthLatin": 3, "excludedNameTypes": [0, 7, 9, 10]}
 
 
+#: What the compilers read of a snapshot's tables.
+SNAPSHOT_COLUMNS = {
+    "BIOG_MAIN": ["c_personid", "c_name_chn", "c_name", "c_surname_chn", "c_mingzi_chn", "c_birthyear", "c_deathyear", "c_index_year", "c_fl_earliest_year", "c_fl_latest_year", "c_dy"],
+    "ALTNAME_DATA": ["c_personid", "c_alt_name_chn", "c_alt_name_type_code"], "DYNASTIES": ["c_dy", "c_dynasty", "c_dynasty_chn", "c_start", "c_end"],
+    "ADDR_CODES": ["c_addr_id", "c_name_chn", "c_alt_names", "c_firstyear", "c_lastyear", "c_admin_type"], "OFFICE_CODES": ["c_office_id", "c_office_chn", "c_office_chn_alt", "c_office_trans", "c_dy"],
+}
+
+
 def compile_snapshot(spark: SparkSession, sqlite_path: str, out: str) -> dict[str, dict]:
     """Packs of persons, places and offices of a relational snapshot; manifests by kind."""
-    binary.register(spark)
-    t = lambda name: spark.read.format("sqlite").option("path", sqlite_path).option("dbtable", name).load()
+    sqlite.register(spark)
+    t = lambda name: sqlite.table(spark, sqlite_path, name, *SNAPSHOT_COLUMNS[name])
     dynasties = t("DYNASTIES")
     made = {"persons": C.snapshot_persons(t("BIOG_MAIN"), t("ALTNAME_DATA"), dynasties), "places": C.snapshot_places(t("ADDR_CODES")), "offices": C.snapshot_offices(t("OFFICE_CODES"), dynasties)}
     return {k: packs.write_pack(df, f"{out}/{k}", "CBDB", SNAPSHOT_POLICY) for k, df in made.items()}
 
 
+def snapshot_sample(spark: SparkSession, sqlite_path: str, out: str, persons: list[int], more: int = 5) -> dict[str, int]:
+    """A small database from a snapshot: all dynasties, and some persons with their other names; returns the rows of each table.
+
+    Besides the persons named, it takes the `more` first others that have another name of one character.
+    """
+    sqlite.register(spark)
+    t = lambda name: sqlite.table(spark, sqlite_path, name)
+    named = F.col("c_personid").isin(persons)
+    alts = t("ALTNAME_DATA")
+    others = alts.where((F.char_length(F.trim("c_alt_name_chn")) == 1) & ~named).select("c_personid").distinct().orderBy("c_personid").limit(more)
+    chosen = persons + [r.c_personid for r in others.collect()]
+    rows = {"DYNASTIES": t("DYNASTIES"), "BIOG_MAIN": t("BIOG_MAIN").where(F.col("c_personid").isin(chosen)), "ALTNAME_DATA": alts.where(F.col("c_personid").isin(chosen))}
+    for name, df in rows.items():
+        sqlite.write(df.drop("_ord"), out, name, mode="overwrite")
+    return {name: sqlite.table(spark, out, name).count() for name in rows}
+
+
 def compile_lists(spark: SparkSession, persons: str, places: str, out: str, districts: str | None = None, crosswalk: DataFrame | None = None, dynasties: DataFrame | None = None) -> dict[str, dict]:
     """Packs of TEI lists; crosswalk: (dila, chgis), of repeated ids the last row counts; dynasties: a snapshot's table."""
     known = tei.districts(spark, districts) if districts else spark.createDataFrame([], "id string, name string")
@@ -43,26 +71,46 @@ def compile_lists(spark: SparkSession, persons: str, places: str, out: str, dist
     return got
 
 
-def mapped(spark: SparkSession, folder: str, cbdb: DataFrame | None = None, dila: DataFrame | None = None) -> DataFrame:
-    """Candidates of all point layers below a folder."""
+def point_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """The records of all point layers below a folder, and the layers' names."""
     binary.register(spark)
-    rows = spark.read.format("shapefile").option("path", folder).load()
-    none = lambda c: spark.createDataFrame([], f"chgis string, {c} string")
+    layers = sorted({os.path.splitext(os.path.basename(p))[0] for p in binary.discover(folder)})
+    return spark.read.format("shapefile").option("path", folder).load(), layers
+
+
+def mapped(rows: DataFrame, cbdb: DataFrame | None = None, dila: DataFrame | None = None) -> DataFrame:
+    """Candidates of the records of point layers."""
+    none = lambda c: rows.sparkSession.createDataFrame([], f"chgis string, {c} string")
     return C.mapped_places(rows, none("cbdb") if cbdb is None else cbdb, none("dila") if dila is None else dila)
 
 
-def compile_points(spark: SparkSession, folder: str, out: str, cbdb: DataFrame | None = None, dila: DataFrame | None = None) -> dict:
-    """A pack of point layers, whose manifest counts the places of each layer and the links of each crosswalk."""
+def compile_points(spark: SparkSession, folder: str, out: str, cbdb: DataFrame | None = None, dila: DataFrame | None = None, snapshot: str | None = None) -> dict:
+    """A pack of point layers, whose manifest counts the places of each layer, also where there are none, and the links of each crosswalk.
+
+    cbdb: (chgis, cbdb), or else a snapshot's path, whose places name their points; dila: (chgis, dila).
+    """
     link = lambda c: F.count_if(F.col(f"metadata.crosswalk.{c}").isNotNull())
-    found = mapped(spark, folder, cbdb, dila)
-    layers = {r.layer: r["count"] for r in found.groupBy("metadata.layer").count().orderBy("layer").collect()}  # a row per file
-    return packs.write_pack(found, f"{out}/places", "CHGIS", facts={"layerCounts": layers}, crosswalkCbdbCount=link("cbdb"), crosswalkDilaCount=link("dila"))
+    rows, layers = point_rows(spark, folder)
+    if cbdb is None and snapshot is not None:
+        sqlite.register(spark)
+        cbdb = C.crosswalk_of_points(sqlite.table(spark, snapshot, "ADDR_CODES", "c_addr_id", "CHGIS_PT_ID").where("CHGIS_PT_ID is not null"))
+    found = mapped(rows, cbdb, dila)
+    known = spark.createDataFrame([(x,) for x in layers], "layer string")
+    counts = packs.layer_counts(found.select("metadata.layer"), known)  # a row per file
+    return packs.write_pack(found, f"{out}/places", "CHGIS", facts={"layerCounts": {r.layer: r.n for r in counts.orderBy("layer").collect()}}, crosswalkCbdbCount=link("cbdb"), crosswalkDilaCount=link("dila"))
 
 
 def places_tsv(places: DataFrame, out: str) -> None:
-    """Places as a table for crosswalks: id, primary name, position, names joined by |."""
-    geo = F.col("metadata.geo")
-    packs.write_tsv(places.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("primary_name"), geo["lat"].alias("lat"), geo["lon"].alias("lon"), F.array_join("searchStrings", "|").alias("search_strings")), out)
+    """Places as a table for crosswalks: id, primary name, position, names joined by |; places of layers also with type, years and layer."""
+    m, geo = "metadata", F.col("metadata.geo")
+    position = [geo["lat"].alias("lat"), geo["lon"].alias("lon")]
+    names = F.array_join("searchStrings", "|").alias("search_strings")
+    if "layer" in places.schema[m].dataType.names:
+        about = [F.col(f"{m}.subtype").alias("type_ch"), F.col(f"{m}.startYear").alias("beg_yr"), F.col(f"{m}.endYear").alias("end_yr")]
+        rows = places.select(F.col("authorityId").alias("sys_id"), F.col("primaryName").alias("name_ft"), *about, *position, F.col(f"{m}.layer").alias("layer"), names)
+    else:
+        rows = places.select(F.col("authorityId").alias("pl_id"), F.col("primaryName").alias("primary_name"), *position, names)
+    packs.write_tsv(rows, out)
 
 
 def crosswalk_places(left: DataFrame, right: DataFrame, out: str | None = None, band: float = 0.5) -> dict[str, int]:
@@ -71,8 +119,9 @@ def crosswalk_places(left: DataFrame, right: DataFrame, out: str | None = None,
     a = checkpoint(side(left).withColumn("row", F.monotonically_increasing_id()))
     one, many, stats = R.crosswalk_split(a, checkpoint(R.crosswalk(a, side(right), band)))
     if out:
-        packs.write_tsv(one.drop("row"), f"{out}/matched")
-        packs.write_tsv(many.drop("row"), f"{out}/ambiguous")
+        ids = [F.col("left_id").alias("chgis_sys_id"), F.col("right_id").alias("dila_pl_id")]
+        packs.write_tsv(one.orderBy("row").select(*ids, F.col("method").alias("match_method"), F.col("d_lat").alias("delta_lat"), F.col("d_lon").alias("delta_lon"), "name"), f"{out}/matched")
+        packs.write_tsv(many.orderBy("row", "right_id").select(*ids, F.lit("multiple_dila_candidates").alias("reason"), "name"), f"{out}/ambiguous")
     return stats.first().asDict()
 
 
@@ -133,26 +182,66 @@ def compile_graph_country(raw: DataFrame, qid: str, label: str, out: str) -> dic
     return packs.write_pack(C.graph_persons(C.in_dynasty(raw, [qid]), F.lit(label), none, none), out, "Wikidata")
 
 
+def compile_graph_all(raw: DataFrame, language: str, out: str, dynasties: list[str] | None = None, pre_ming: bool = True) -> dict[str, dict]:
+    """A pack of each dynasty's persons (those of priority, if none is named) and of those before the Ming, from one table of raw persons."""
+    raw = checkpoint(raw)  # every pack reads it
+    made = {d: compile_graph_persons(raw, d, f"{out}/person-{language}-{d}") for d in (config.PRIORITY if dynasties is None else dynasties)}
+    return made | ({"pre-ming": compile_graph_pre_ming(raw, f"{out}/person-{language}-pre-ming")} if pre_ming else {})
+
+
+def compile_graph_language(raw: dict[str, DataFrame], language: str, out: str) -> dict[str, dict]:
+    """Packs of one language by label alone, a kind each; persons have the language as their period, and no years of it."""
+    none, made = F.lit(None).cast("int"), {}
+    for kind, rows in raw.items():
+        cands = C.graph_persons(rows, F.lit(language), none, none) if kind == "person" else C.graph_kind(rows, kind, language)
+        made[kind] = packs.write_pack(cands, f"{out}/{kind}-{language}", "Wikidata", facts={"language": language, "membership": "label-only"})
+    return made
+
+
+def harvest_catalogue(
+    spark: SparkSession, kind: str, endpoint: str, out: str, checkpoint: str, limit: int = 1000, ranges: int = 4, delay: float = 0.3, batches: int = 0, stop: Event | None = None, **options: str,
+) -> dict:
+    """Harvests a catalogue's persons, places or orgs from an endpoint as raw rows, on from where the checkpoint stands; returns the run's figures.
+
+    limit: authorities of a request's range; ranges: of a batch, which are read side by side; batches: after which the run ends;
+    options: others of sources.sparql.Endpoint. `harvested` reads what is there.
+    """
+    query = patterns.select(patterns.authorities(kind), *patterns.asked(kind), order="auth", limit="{limit}", bounds=True)
+    given = {"endpoint": endpoint, "query": query, "key": "auth", "limit": limit, "ranges": ranges, "delay": delay, **options}
+    merge = lambda batch: C.raw_of_bindings(files.ordered_bindings(batch), kind, "ord")
+    return resumable.harvest_stream(spark, "sparql", given, out, checkpoint, merge, {"kind": kind, "endpoint": endpoint}, batches, stop)
+
+
+def harvested(spark: SparkSession, out: str) -> DataFrame:
+    """The raw rows of a harvest."""
+    return spark.read.parquet(out).drop("batch")
+
+
 def compile_catalogue(raw: DataFrame, kind: str, out: str) -> dict:
     return packs.write_pack(C.catalogue(raw, kind), f"{out}/{kind}s", "NDL")
 
 
-def report(cands: DataFrame, out: str, sample: int = 8, limit: int = 100) -> dict[str, int]:
-    """Writes the strings that name most entities, with samples, as quoted CSV; returns the counts."""
-    names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), F.col("authorityId").alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
+def report(cands: DataFrame, out: str, sample: int = 8, limit: int = 100, order: str | None = None) -> dict[str, int]:
+    """Writes the strings that name most entities, with the first samples, as quoted CSV; returns the counts.
+
+    order: a column in whose order entities count as seen; without it, their ids' order is, in which 9 comes before 10.
+    """
+    seen = F.col(order) if order else F.struct(F.length("authorityId"), F.col("authorityId"))
+    names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), seen.alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
     rows = R.ambiguity_rows(names, sample).orderBy(F.desc("n"), F.collate("surface", "zh_Hant"), "surface").limit(limit)
+    rows = rows.select("surface", F.col("n").alias("authority_count"), F.col("ids").alias("sample_qids"), F.col("names").alias("sample_names"))
     packs.write_csv(rows, out, always=True)
     return R.ambiguity_stats(cands.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("strings"))).first().asDict()
 
 
 def export_ime(raw: DataFrame, ident: str, name: str, out: str) -> None:
     """Readings as CSV for input methods."""
-    packs.write_csv(C.ime_rows(raw, ident, name), out)
+    packs.write_csv(C.ime_rows(raw, ident, name).withColumnRenamed("id", "authorityId"), out)
 
 
 def export_graph_ime(raw: DataFrame, out: str) -> None:
     """Readings of persons of the graph as CSV for input methods."""
-    packs.write_csv(C.graph_ime_rows(raw), out)
+    packs.write_csv(C.graph_ime_rows(raw).withColumnRenamed("id", "qid"), out)
 
 
 def bundle(spark: SparkSession, folder: str, out: str, prefixes: dict[str, str] | None = None) -> DataFrame:
@@ -162,23 +251,37 @@ def bundle(spark: SparkSession, folder: str, out: str, prefixes: dict[str, str]
     return rows.groupBy("bundle").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def validate_config(dynasties: list[tuple] | None = None, kinds: dict | None = None, closure: dict[str, tuple[list[str], list[str]]] | None = None) -> list[str]:
-    """What is wrong with the dimensions: repeated ids, malformed items, reversed years, roots outside their closure."""
-    dynasties, kinds, out, seen = config.DYNASTIES if dynasties is None else dynasties, kinds or config.KINDS, [], set()
-    for ident, qid, label, start, end in dynasties:
-        if ident in seen:
-            out.append(f"dynasty {ident} is repeated")
-        seen.add(ident)
-        if not re.fullmatch(r"Q[1-9]\d*", qid):
-            out.append(f"dynasty {ident}: {qid} is no item")
-        if not label:
-            out.append(f"dynasty {ident} has no label")
-        if start > end:
-            out.append(f"dynasty {ident} ends before it starts")
+def validate_config(
+    dynasties: list[tuple] | None = None, kinds: dict | None = None, closure: dict[str, tuple[list[str], list[str]]] | None = None, languages: dict | None = None,
+    identifiers: list[tuple] | None = None, countries: list[tuple] | None = None,
+) -> list[str]:
+    """What is wrong with the dimensions: repeated ids, malformed items and properties, reversed years, parts that are missing,
+    a country's item among the dynasties, roots outside their closure."""
+    dynasties, kinds, out = config.DYNASTIES if dynasties is None else dynasties, kinds or config.KINDS, []
+    countries, item = config.COUNTRIES if countries is None else countries, r"Q[1-9]\d*"
+    for what, rows in (("dynasty", dynasties), ("country", countries)):
+        seen = set()
+        for ident, qid, label, *span in rows:
+            if ident in seen:
+                out.append(f"{what} {ident} is repeated")
+            seen.add(ident)
+            if not re.fullmatch(item, qid):
+                out.append(f"{what} {ident}: {qid} is no item")
+            if not label:
+                out.append(f"{what} {ident} has no label")
+            if span and span[0] > span[1]:
+                out.append(f"{what} {ident} ends before it starts")
+            if what == "dynasty" and qid == config.CHINA:
+                out.append(f"dynasty {ident} has the item of the region")
     for kind, parts in kinds.items():
-        out += [f"kind {kind}: {q} is no item" for part in parts for q in part if not re.fullmatch(r"Q[1-9]\d*", q)]
+        out += [f"kind {kind}: {q} is no item" for part in parts for q in part if not re.fullmatch(item, q)]
         if not parts[0]:
             out.append(f"kind {kind} includes nothing")
         for roots, below in zip(parts, (closure or {}).get(kind, ()), strict=False):
             out += [f"kind {kind}: root {q} is not in its closure" for q in roots if q not in below]
-    return out
+    languages = config.LANGUAGES if languages is None else languages
+    out += [f"language {k} has no labels" for k, (labels, *_) in languages.items() if not labels]
+    out += [f"language {k} is missing" for k in ("zh-hant", "zh-hans") if k not in languages]
+    identifiers = config.IDENTIFIERS if identifiers is None else identifiers
+    out += [f"identifier {key}: {p} is no property" for p, key, *_ in identifiers if not re.fullmatch(r"P[1-9]\d*", p)]
+    return out + [f"identifier {k} is missing" for k in ("cbdb", "viaf") if k not in [i[1] for i in identifiers]]

@@ -1,65 +1,16 @@
-"""Data sources for SQLite tables, point shapefiles and paged endpoints."""
+"""Point shapefiles, and the registration of all formats."""
 
 from __future__ import annotations
 
 import os
-import sqlite3
 import struct
-import urllib.parse
-import urllib.request
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-
-class SqliteSource(DataSource):
-    """format("sqlite"): option path (a file that all executors see), dbtable; split by rowid ranges (numPartitions)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "sqlite"
-
-    def _open(self) -> sqlite3.Connection:
-        return sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True)
-
-    def schema(self) -> str:
-        kinds = {"INT": "bigint", "REA": "double", "FLO": "double", "DOU": "double", "NUM": "double"}
-        with self._open() as db:
-            cols = db.execute(f'PRAGMA table_info("{self.options["dbtable"]}")').fetchall()
-        return ", ".join([*(f"`{c[1]}` {kinds.get((c[2] or '').upper()[:3], 'string')}" for c in cols), "_ord bigint"])
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return SqliteReader(self.options, schema)
-
-
-class SqliteReader(DataSourceReader):
-    def __init__(self, options: dict, schema: StructType):
-        self.options, self.fields = dict(options), [(f.name, f.dataType.simpleString()) for f in schema.fields]
-
-    def partitions(self) -> list[InputPartition]:
-        n = int(self.options.get("numpartitions", 1))
-        with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
-            lo, hi = db.execute(f'SELECT min(rowid), max(rowid) FROM "{self.options["dbtable"]}"').fetchone()
-        if lo is None:
-            return [InputPartition((0, -1))]
-        step = -(-(hi - lo + 1) // n)
-        return [InputPartition((a, min(a + step - 1, hi))) for a in range(lo, hi + 1, step)]
-
-    def read(self, partition: InputPartition):  # noqa: ANN201
-        cols = ", ".join("rowid" if n == "_ord" else f'"{n}"' for n, _ in self.fields)
-        with sqlite3.connect(f"file:{self.options['path']}?mode=ro", uri=True) as db:
-            for row in db.execute(f'SELECT {cols} FROM "{self.options["dbtable"]}" WHERE rowid BETWEEN ? AND ? ORDER BY rowid', partition.value):
-                yield tuple(cell(v, t) for v, (_, t) in zip(row, self.fields, strict=True))
-
-
-def cell(v, kind: str):  # noqa: ANN001, ANN201
-    """A cell as its column's type: SQLite keeps any value in any column, and what does not fit is null."""
-    if v is None or kind == "string":
-        return v if v is None or isinstance(v, str) else v.decode("utf-8", "replace") if isinstance(v, bytes) else str(v)
-    try:
-        return (int if kind == "bigint" else float)(v)
-    except (ValueError, TypeError, OverflowError):
-        return None
+from onoma.sources import sparql, sqlite
+from onoma.sources.sqlite import cell  # noqa: F401
 
 
 def discover(root: str) -> list[str]:
@@ -128,56 +79,8 @@ class ShapefileReader(DataSourceReader):
             yield os.path.basename(base), kind, y, x, row
 
 
-class SparqlSource(DataSource):
-    """format("sparql"): options endpoint, query (with {after} and {limit}), key, limit, retries, delay (seconds); a row per result page.
-
-    Pages follow one another by key, so one task reads them; each row is a page's JSON for `bindings`.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "sparql"
-
-    def schema(self) -> str:
-        return "value string"
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return SparqlReader(dict(self.options))
-
-
-class SparqlReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def read(self, partition: InputPartition):  # noqa: ANN201
-        import json
-        import time
-
-        o, after = self.options, self.options.get("after", "")
-        limit, retries = int(o.get("limit", 1000)), int(o.get("retries", 3))
-        while True:
-            query = o["query"].replace("{after}", after).replace("{limit}", str(limit))
-            url = f"{o['endpoint']}?{urllib.parse.urlencode({'query': query, 'format': 'json'})}"
-            for attempt in range(1, retries + 1):
-                try:
-                    with urllib.request.urlopen(url, timeout=120) as r:
-                        text = r.read().decode()
-                    break
-                except OSError:
-                    if attempt == retries:
-                        raise
-                    time.sleep(2 * attempt)
-            found = json.loads(text)
-            if "results" not in found:
-                raise RuntimeError(f"the endpoint reports an error: {text[:500]}")
-            yield (text,)
-            rows = found["results"]["bindings"]
-            if len(rows) < limit or "key" not in o:
-                return
-            after = rows[-1][o["key"]]["value"]
-            time.sleep(float(o.get("delay", 0)))
-
-
-def register(spark) -> None:  # noqa: ANN001
-    for source in (SqliteSource, ShapefileSource, SparqlSource):
-        spark.dataSource.register(source)
+def register(spark: SparkSession) -> None:
+    """Also the formats of the other modules."""
+    spark.dataSource.register(ShapefileSource)
+    sqlite.register(spark)
+    sparql.register(spark)

@@ -60,9 +60,14 @@ def works(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame
 
 def bindings(results: DataFrame, column: str = "value") -> DataFrame:
     """Rows of SPARQL result JSON texts: b map<string, struct<type, value>>; an error payload fails."""
+    return ordered_bindings(results, column).select("b")
+
+
+def ordered_bindings(results: DataFrame, column: str = "value") -> DataFrame:
+    """Rows of `bindings` with their order in their text, ord."""
     text = F.when(F.col(column).rlike('"status"\\s*:\\s*"error"'), F.raise_error(F.lit("the endpoint reports an error"))).otherwise(F.col(column))
     parsed = F.from_json(text, "results struct<bindings:array<map<string,struct<type:string,value:string>>>>")
-    return results.select(F.explode(parsed["results"]["bindings"]).alias("b"))
+    return results.select(F.posexplode(parsed["results"]["bindings"]).alias("ord", "b"))
 
 
 def usable_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

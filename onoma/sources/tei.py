@@ -8,9 +8,27 @@ from pyspark.sql import functions as F
 from onoma.functions.text import strip
 
 
+#: Endings of compressed files, whose sizes say nothing about their texts.
+_PACKED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
+
+
 def records(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """(xml) of each <tag xml:id=…>…</tag>, ending at the first closing tag."""
-    return fragments(spark.read.text(path, wholetext=True), "value", tag, "xml:id=")
+    """(xml) of each <tag xml:id=…>…</tag>, ending at the first closing tag.
+
+    Closing tags part a file, so it splits at any byte and a task holds one record at a time; a record runs from the first
+    opening tag behind the closing tag before. What follows a file's last closing tag is no record. A compressed file is
+    read by one task.
+    """
+    end, file = f"</{tag}>", F.col("_metadata.file_path")
+    parts = spark.read.option("lineSep", end).text(path).where(~file.rlike(_PACKED))
+    parts = parts.select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("n"))
+    # With a closing tag for each part, a file that lacks the last one would be larger than it is.
+    blocks = parts.groupBy("file", "block", "size").agg(F.max("n").alias("n"), F.sum(F.octet_length("value") + len(end)).alias("bytes"))
+    cut = blocks.groupBy("file", "size").agg(F.max_by("n", "block").alias("n"), F.sum("bytes").alias("bytes")).where("bytes > size").select("n")
+    xml = F.regexp_extract("value", f"(?s)<{tag}\\s+xml:id=.*", 0)
+    whole = parts.select("n", xml.alias("xml")).where("xml != ''").join(cut, "n", "left_anti")
+    packed = spark.read.text(path, wholetext=True).where(file.rlike(_PACKED))
+    return whole.select(F.concat("xml", F.lit(end)).alias("xml")).unionByName(fragments(packed, "value", tag, "xml:id=").select("xml"))
 
 
 def fragments(df: DataFrame, column: str, tag: str, first_attribute: str = "") -> DataFrame:
