@@ -129,7 +129,7 @@ def solve(triples: DataFrame, group: Group) -> DataFrame:
 
 def page(triples: DataFrame, group: Group, key: str, after: str | None = None, limit: int | None = None) -> DataFrame:
     """Solutions of the first `limit` keys behind a key, each with all its rows, which are chosen before optional groups are joined."""
-    required = Group(group.patterns, minus=group.minus, matches=group.matches, lacks=group.lacks, values=group.values)
+    required = replace(group, optional=())
     if limit is None:
         rows = solve(triples, group)
         return rows if after is None else rows.where(F.col(key) > after)
@@ -176,7 +176,9 @@ def select(group: Group, *variables: str, order: str | None = None, limit: str |
 
 
 def count(group: Group, variable: str, distinct: bool = False) -> str:
-    return _whole(f"SELECT (COUNT({'DISTINCT ' * distinct}?{variable}) AS ?count)", "\n".join(_lines(group, 1)))
+    """How many solutions the tree has without its optional groups."""
+    required = replace(group, optional=())
+    return _whole(f"SELECT (COUNT({'DISTINCT ' * distinct}?{variable}) AS ?count)", "\n".join(_lines(required, 1)))
 
 
 # --- trees of the catalogue's kinds ------------------------------------------------------------------------------------

@@ -444,6 +444,72 @@ def harvest_resume(spark, d):
     return spark.read.parquet(sink)
 
 
+@query("SELECT o_custkey, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity, min(l_returnflag) AS first_mode, max(l_returnflag) AS last_mode FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey")
+def harvest_stream(spark, d):
+    """Orders' lines go into a database, and are harvested from it by customer in two runs, the first of which stops half-way."""
+    from onoma.sources import sqlite
+    from onoma.streaming import resumable
+
+    base = _scratch(spark, "by-key")
+    db = _database(spark, base, lines=t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_quantity", "l_returnflag"))
+    n = sqlite.table(spark, db, "lines", "o_custkey").agg(F.countDistinct("o_custkey")).first()[0]
+    merge = lambda rows: rows.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"), F.min("l_returnflag").alias("first_mode"), F.max("l_returnflag").alias("last_mode"))
+    options = {"path": db, "dbtable": "lines", "key": "o_custkey", "limit": str(n // 12 + 1), "ranges": "4"}
+    for batches in (2, 0):
+        resumable.harvest_stream(spark, "sqlite", options, f"{base}/sink", f"{base}/checkpoint", merge, batches=batches)
+    return spark.read.parquet(f"{base}/sink").drop("batch")
+
+
+def _database(spark: SparkSession, base: str, **tables: DataFrame) -> str:
+    """A SQLite database of some tables in a folder of the shared one, which must be a path that all machines mount."""
+    import os
+
+    from onoma.sources import sqlite
+
+    sqlite.register(spark)
+    os.makedirs(sqlite.local(base), exist_ok=True)
+    for name, df in tables.items():
+        sqlite.write(df, f"{base}/tables.db", name)
+    return f"{base}/tables.db"
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS ord FROM customer QUALIFY c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_acctbal >= 500 AND c_name LIKE '%7'")
+def sqlite_filters(spark, d):
+    """Customers written to a database, and read back by filters that reach it."""
+    from onoma.sources import sqlite
+
+    c = t(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    db = _database(spark, _scratch(spark, "filters"), customer=c.orderBy("c_custkey"))
+    rows = sqlite.table(spark, db, "customer", "c_custkey", "c_name", "c_mktsegment", "c_acctbal").where("c_mktsegment in ('BUILDING', 'MACHINERY') and c_acctbal >= 500 and c_name like '%7'")
+    return rows.select("c_custkey", "c_name", "c_acctbal", F.col("_ord").alias("ord"))
+
+
+@query("SELECT o_custkey, CAST(min(o_orderkey) AS BIGINT) AS first_order FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey")
+def sqlite_insert_or_ignore(spark, d):
+    """Two appends to one table with a key: the rows that came first stay."""
+    from onoma.sources import sqlite
+
+    o = t(spark, d, "orders").where("o_custkey is not null").select("o_custkey", F.col("o_orderkey").alias("first_order"))
+    first = o.groupBy("o_custkey").agg(F.min("first_order").alias("first_order"))
+    base = _scratch(spark, "ignore")
+    db = _database(spark, base, firsts=spark.createDataFrame([], first.schema))
+    sqlite.write(first, db, "firsts", "o_custkey")
+    sqlite.write(o.join(first, ["o_custkey", "first_order"], "left_anti"), db, "firsts", "o_custkey")
+    return sqlite.table(spark, db, "firsts").drop("_ord")
+
+
+@query("SELECT 'N' || n_nationkey || '-' || c_custkey AS id, c_name AS name, trim(n_name) AS note FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 0")
+def tei_records(spark, d):
+    """Customers written as a list of records, and read back by byte ranges; records without an id are none."""
+    c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    ident = F.when(F.col("c_custkey") % 10 == 0, F.lit("n")).otherwise(F.lit("xml:id"))
+    line = F.concat(F.lit("<person "), ident, F.lit('="N'), F.col("n_nationkey"), F.lit("-"), F.col("c_custkey"), F.lit('">\n<persName xml:lang="zho-Hant">'), F.col("c_name"), F.lit('</persName><note type="concise"> '), F.col("n_name"), F.lit("</note></person>"))
+    path = _scratch(spark, "list")
+    c.select(line.alias("value")).write.text(path)
+    rows = tei.persons(spark, path)
+    return rows.select("id", F.get("names", F.lit(0))["text"].alias("name"), tei.note(F.col("notes"), "concise").alias("note"))
+
+
 @query("SELECT o_custkey, o_orderkey, o_totalprice, k AS rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k <= 3")
 def top_k_per_key(spark, d):
     w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
@@ -550,6 +616,26 @@ def graph_page(spark, d):
     return triples.page(triples.of_type(g, "BUILDING"), g, {"name": "label"}, {"item": "order"}, "c2", 200)
 
 
+_TREE = f"{_TRIPLES} UNION ALL SELECT o_orderkey || '', 'priority', o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey || '', 'clerk', CAST(o_orderdate AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'"
+
+
+@query(f"WITH t AS ({_TREE}), r AS (SELECT a.s AS auth, l.o AS name FROM t a JOIN t l ON l.s = a.s AND l.p = 'label' WHERE a.p = 'type' AND a.o IN ('BUILDING', 'MACHINERY') AND l.o NOT LIKE '%7' AND a.s > 'c1' AND a.s NOT IN (SELECT x.s FROM t x JOIN t b ON b.s = x.o AND b.p = 'P279' AND b.o = 'R1' WHERE x.p = 'P31') ORDER BY a.s LIMIT 150) "
+       "SELECT auth, name, i.item, i.priority, n.other FROM r LEFT JOIN (SELECT x.s, x.o AS item, c.o AS clerk, p.o AS priority FROM t x JOIN t c ON c.s = x.o AND c.p = 'clerk' LEFT JOIN t p ON p.s = x.o AND p.p = 'priority' AND p.o NOT LIKE '4%' WHERE x.p = 'order') i ON i.s = auth LEFT JOIN (SELECT s, o AS other FROM t WHERE p = 'altLabel') n ON n.s = auth")
+def graph_tree(spark, d):
+    """A page of a tree with fixed values, a MINUS over a path, a test that must fail, and an optional group in an optional group."""
+    from onoma.operators.patterns import Group, Triple, page
+
+    o = t(spark, d, "orders").where("o_orderstatus = 'F'")
+    of_order = lambda p, c, df: df.select(F.col("o_orderkey").cast("string").alias("s"), F.lit(p).alias("p"), F.col(c).cast("string").alias("o"))
+    g = R.union_all([_triples(spark, d), of_order("priority", "o_orderpriority", o.where("o_orderkey % 2 = 0")), of_order("clerk", "o_orderdate", o)]).withColumn("lang", F.when(F.col("o").startswith("4"), "x").otherwise("en"))
+    priority = Group((Triple("?item", "priority", "?priority", "en"),))
+    tree = Group(
+        (Triple("?auth", "type", "?segment"), Triple("?auth", "label", "?name")), values=(("segment", ("BUILDING", "MACHINERY")),), lacks=(("name", "7$"),),
+        minus=(Group((Triple("?auth", "P31/P279*", "R1"),)),), optional=(Group((Triple("?auth", "order", "?item"), Triple("?item", "clerk", "?clerk")), (priority,)), Group((Triple("?auth", "altLabel", "?other"),))),
+    )
+    return page(g, tree, "auth", "c1", 150).select("auth", "name", "item", "priority", "other")
+
+
 @query(f"WITH t AS ({_TRIPLES}) SELECT s, o AS value FROM t WHERE p = 'label' AND regexp_matches(o, '^Customer#0000000[0-4]') AND s IN (SELECT s FROM t WHERE p = 'type' AND o = 'BUILDING') ORDER BY value, s LIMIT 20")
 def graph_sample(spark, d):
     g = _triples(spark, d)
