@@ -281,12 +281,17 @@ def of_kind(raw: DataFrame, kind: str, closure: Closure | None = None) -> DataFr
     return raw.where(has_kind(F.col("p31"), kind, closure))
 
 
-def _sliced(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None, membership: str, qids: list[str] | None) -> DataFrame:
-    """The entities with s: (lang, kind), a row for every pack that an entity belongs to; one scan."""
+def pack_slices(languages: list[str], kinds: list[str], closure: Closure | None = None, membership: str = "label-only", qids: list[str] | None = None) -> Column:
+    """array<(lang, kind)> of the packs that an entity belongs to; only items belong to any."""
     p31, person = entity_ids("P31"), is_member(membership, qids)
     ok = {k: has_kind(p31, k, closure) & (person if k == "person" else F.lit(True)) for k in kinds}
     slices = [F.when(label_of(config.LANGUAGES[la][0]).isNotNull() & ok[k], F.struct(F.lit(la).alias("lang"), F.lit(k).alias("kind"))) for la in languages for k in kinds]
-    return entities.where(F.col("type") == "item").withColumn("s", F.explode(F.array_compact(F.array(*slices))))
+    return F.when(F.col("type") == "item", F.array_compact(F.array(*slices)))
+
+
+def _sliced(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None, membership: str, qids: list[str] | None) -> DataFrame:
+    """The entities with s: (lang, kind), a row for every pack that an entity belongs to; one scan."""
+    return entities.withColumn("s", F.explode(pack_slices(languages, kinds, closure, membership, qids)))
 
 
 def one_scan(entities: DataFrame, languages: list[str], kinds: list[str], closure: Closure | None = None, membership: str = "label-only", qids: list[str] | None = None) -> DataFrame:

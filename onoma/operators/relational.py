@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
@@ -97,19 +97,78 @@ def crosswalk_split(left: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataF
 
 def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
     """edges (child, parent), roots (root, node) -> (root, node) of all descendants, the start included; cycles end."""
+    return depths(edges, roots, max_depth).select("root", "node")
+
+
+def depths(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+    """closure with depth, the fewest edges from the root's start. Each round is written once and never again."""
     from onoma.operators.storage import checkpoint
 
     edges = edges.select("child", "parent").distinct()
-    seen = front = checkpoint(roots.select("root", "node").distinct())
-    for _ in range(max_depth):
+    front = checkpoint(roots.select("root", "node").distinct().withColumn("depth", F.lit(0)))
+    seen = front
+    for depth in range(1, max_depth + 1):
         new = front.join(edges, front.node == edges.parent).select("root", F.col("child").alias("node")).distinct()
-        front = checkpoint(new.join(seen, ["root", "node"], "left_anti"))
+        front = checkpoint(new.join(seen, ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         if front.isEmpty():
             return seen
-        seen = checkpoint(seen.unionByName(front))
+        seen = seen.unionByName(front)
     raise RuntimeError("the hierarchy is deeper than the bound")
 
 
+def extend_depths(known: DataFrame, edges: DataFrame, added: DataFrame, max_depth: int = 1000) -> DataFrame:
+    """What `depths` gives once `added` edges are there, from what it gave before; edges: all, the added included.
+
+    Only what the new edges reach, or reach by fewer edges, is followed; new pairs and shorter depths are appended, and the
+    least depth of each pair counts.
+    """
+    from onoma.operators.storage import checkpoint
+
+    edges = edges.select("child", "parent").distinct()
+    step = lambda front, by: front.join(by, front.node == by.parent).groupBy("root", F.col("child").alias("node")).agg((F.min("depth") + 1).alias("depth"))
+    seen, new = known, step(known, added.select("child", "parent").distinct())
+    for _ in range(max_depth):
+        best = seen.groupBy("root", "node").agg(F.min("depth").alias("best"))
+        front = checkpoint(new.join(best, ["root", "node"], "left").where("best is null or depth < best").drop("best"))
+        if front.isEmpty():
+            return seen.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+        seen, new = seen.unionByName(front), step(front, edges)
+    raise RuntimeError("the hierarchy is deeper than the bound")
+
+
+def shrink_depths(known: DataFrame, edges: DataFrame, removed: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+    """What `depths` gives once `removed` edges are gone: only roots that reach one of them are reckoned anew; edges: those that are left."""
+    hit = known.join(removed.select(F.col("parent").alias("node")).distinct(), "node", "left_semi").select("root").distinct()
+    again = depths(edges, roots.join(hit, "root", "left_semi"), max_depth)
+    return known.join(hit, "root", "left_anti").unionByName(again)
+
+
+def running_total(df: DataFrame, order: list[str], value: Column) -> DataFrame:
+    """df with total, the sum of `value` over the rows before it in a unique order; no task holds more than its range of rows."""
+    from onoma.operators.storage import checkpoint
+
+    ranged = checkpoint(df.withColumn("_v", value).repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    part = ranged.groupBy("_p").agg(F.sum("_v").alias("_s"))
+    before = part.select("_p", (F.sum("_s").over(Window.orderBy("_p")) - F.col("_s")).alias("_b"))  # a row per partition
+    inner = F.sum("_v").over(Window.partitionBy("_p").orderBy(*order)) - F.col("_v")
+    return ranged.withColumn("_i", inner).join(before, "_p").withColumn("total", F.col("_b") + F.col("_i")).drop("_v", "_p", "_b", "_i")
+
+
+def place_of_total(rows: DataFrame, most: int) -> Row | None:
+    """The place (file, block, line) of the row by whose hits the sum, in the order of places, reaches `most`; None if it never does.
+
+    rows: (file, block, line, hits). Blocks are summed side by side, and only the one where the bound lies is looked into.
+    """
+    blocks = rows.groupBy("file", "block").agg(F.sum("hits").alias("hits"))
+    total = F.sum("hits").over(Window.orderBy("file", "block"))  # a row per block of the input
+    at = blocks.withColumn("total", total).where(F.col("total") >= most).orderBy("file", "block").first()
+    if at is None:
+        return None
+    inside = rows.where((F.col("file") == at.file) & (F.col("block") == at.block))
+    total = F.lit(at.total - at.hits) + F.sum("hits").over(Window.partitionBy("file", "block").orderBy("line"))
+    return inside.withColumn("total", total).where(F.col("total") >= most).orderBy("line").select("file", "block", "line").first()
+
+
 def merge_rows(rows: DataFrame, key: str, order: str, first: list[str], union: list[str]) -> DataFrame:
     """One row per key: the first value that is not empty of some columns, all distinct values in order of others."""
     aggs = [F.min_by(F.nullif(F.col(c).cast("string"), F.lit("")), F.when(F.nullif(F.col(c).cast("string"), F.lit("")).isNotNull(), F.col(order))).alias(c) for c in first]

@@ -24,7 +24,29 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _at(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, in any store that Spark reads."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    at, fs = _at(spark, path)
+    return fs.exists(at)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark reports it for files below it."""
+    at, fs = _at(spark, path)
+    return fs.makeQualified(at).toString()
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """The files below a path, or at it, that have no byte: Spark's readers pass over them."""
+    at, fs = _at(spark, path)
+    found, files = [], fs.listFiles(at, True)  # noqa: FBT003
+    while files.hasNext():
+        f = files.next()
+        if f.getLen() == 0:
+            found.append(f.getPath().toString())
+    return found

@@ -13,8 +13,8 @@ from onoma.functions.text import label_key, nfc_array
 from onoma.operators import compilers as C
 from onoma.operators import config, patterns, triples
 from onoma.operators import relational as R
-from onoma.operators.storage import checkpoint
-from onoma.sinks import packs
+from onoma.operators.storage import checkpoint, exists
+from onoma.sinks import bundles, packs
 from onoma.sources import binary, files, sqlite, tei
 from onoma.streaming import resumable
 
@@ -145,11 +145,18 @@ def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], ou
     """Raw rows of every kind and language of a dump, under lang=…/kind=…, from one scan; returns how many matched.
 
     closure, as of kind_closure, also lets in items of subclasses and keeps out those of excluded subclasses. Persons
-    belong by `membership` (see C.MEMBERSHIPS) and its qids. most: rows after which the extraction may stop.
+    belong by `membership` (see C.MEMBERSHIPS) and its qids. most: the extraction ends with the entity, in the dump's order, by
+    whose rows there are so many; as all of its rows count, there may be some more.
     """
     kinds_, seen = parse_kinds(kinds), Observation()
-    rows = C.raw_packs(files.dump(spark, dump), languages, kinds_, closure, membership, qids)
-    rows = rows if most is None else rows.limit(most)
+    entities = files.dump(spark, dump)
+    if most is not None:
+        entities = files.placed_dump(spark, dump)
+        hits = F.coalesce(F.size(C.pack_slices(languages, kinds_, closure, membership, qids)), F.lit(0))
+        end = R.place_of_total(entities.select("file", "block", "line", hits.alias("hits")).where("hits > 0"), most)
+        if end is not None:
+            entities = entities.where(F.struct("file", "block", "line") <= F.struct(F.lit(end.file).alias("file"), F.lit(end.block).cast("long").alias("block"), F.lit(end.line).cast("long").alias("line")))
+    rows = C.raw_packs(entities, languages, kinds_, closure, membership, qids)
     names = {f"{la} {k}": (la, k) for la in languages for k in kinds_}
     rows = rows.observe(seen, *[F.count_if((F.col("lang") == la) & (F.col("kind") == k)).alias(name) for name, (la, k) in names.items()])
     packs.write_fan_out(rows, out, "lang", "kind")
@@ -251,6 +258,40 @@ def bundle(spark: SparkSession, folder: str, out: str, prefixes: dict[str, str]
     return rows.groupBy("bundle").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
+def build_bundles(spark: SparkSession, folder: str, out: str, regions: dict[str, list[str]] | None = None, dates: dict[str, str | None] | None = None, facts: dict | None = None) -> dict:
+    """Archives of a folder of packs, one for each region (name -> prefixes of files) or one of all, and their index.
+
+    dates: of the sources, by name, which make the version: name and date each, or `local` where there is no date.
+    """
+    named = spark.createDataFrame([(k, d) for k, d in (dates or {}).items()], "name string, at string")
+    version = named.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("-", "name", packs.compact_date(F.col("at"))))), "-")).first()[0]
+    chosen = {f"authority-packs-{r}-{version}" if version else f"authority-packs-{r}": p for r, p in (regions or {"all": [""]}).items()}
+    return bundles.build(spark, folder, out, chosen, {"bundleVersion": version or "local", **(facts or {})})
+
+
+def stored_closure(spark: SparkSession, path: str, edges: DataFrame, roots: DataFrame, added: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
+    """(root, node, depth) of a hierarchy, kept at a path: the first call reckons it; later ones take it on from added and removed edges.
+
+    edges: (child, parent) as they are now; roots: (root, node). Each call that changes something writes a generation of its own, and
+    the newest that was written whole counts.
+    """
+    n = 0
+    while exists(spark, f"{path}/gen={n + 1}/_SUCCESS"):
+        n += 1
+    if n and added is None and removed is None:
+        return spark.read.parquet(f"{path}/gen={n}")
+    if not n:
+        made = R.depths(edges, roots)
+    else:
+        made = spark.read.parquet(f"{path}/gen={n}")
+        if removed is not None:
+            made = R.shrink_depths(made, edges if added is None else edges.join(added, ["child", "parent"], "left_anti"), removed, roots)
+        if added is not None:
+            made = R.extend_depths(made, edges, added)
+    made.write.mode("overwrite").parquet(f"{path}/gen={n + 1}")
+    return spark.read.parquet(f"{path}/gen={n + 1}")
+
+
 def validate_config(
     dynasties: list[tuple] | None = None, kinds: dict | None = None, closure: dict[str, tuple[list[str], list[str]]] | None = None, languages: dict | None = None,
     identifiers: list[tuple] | None = None, countries: list[tuple] | None = None,

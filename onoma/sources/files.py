@@ -20,10 +20,10 @@ def ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def dump_entities(lines: DataFrame) -> DataFrame:
-    """Entities of a dump's text lines (column value): array brackets, blank and malformed lines are passed over."""
-    body = F.regexp_replace(strip(F.col("value")), ",$", "")
-    got = lines.select(body.alias("line")).where(F.col("line").startswith("{")).select(F.from_json("line", ENTITY).alias("e"))
-    return got.where("e.id is not null").select("e.*")
+    """Entities of a dump's text lines (column value), beside the lines' other columns: array brackets, blank and malformed lines are passed over."""
+    body, more = F.regexp_replace(strip(F.col("value")), ",$", ""), [c for c in lines.columns if c != "value"]
+    got = lines.select(*more, body.alias("_body")).where(F.col("_body").startswith("{")).select(*more, F.from_json("_body", ENTITY).alias("e"))
+    return got.where("e.id is not null").select(*more, "e.*")
 
 
 def dump(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +31,12 @@ def dump(spark: SparkSession, path: str) -> DataFrame:
     return dump_entities(spark.read.text(path))
 
 
+def placed_dump(spark: SparkSession, path: str) -> DataFrame:
+    """The entities of a dump with the place of their lines: file, block (its start in the file) and line (rising within the block)."""
+    m = F.col("_metadata")
+    return dump_entities(spark.read.text(path).select("value", m["file_path"].alias("file"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line")))
+
+
 def tsv(spark: SparkSession, path: str) -> DataFrame:
     """With header, all strings; missing cells are empty."""
     got = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path)
@@ -70,11 +76,15 @@ def ordered_bindings(results: DataFrame, column: str = "value") -> DataFrame:
     return results.select(F.posexplode(parsed["results"]["bindings"]).alias("ord", "b"))
 
 
+def usable(files: DataFrame) -> DataFrame:
+    """Rows of the binaryFile format without pointers to large-file storage."""
+    head = F.substring("content", 1, 40).cast("string")
+    return files.where(~F.coalesce(head.startswith("version https://git-lfs"), F.lit(False)))
+
+
 def usable_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, bytes, sha256) of files that are not pointers to large-file storage."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    head = F.substring("content", 1, 40).cast("string")
-    kept = files.where(~F.coalesce(head.startswith("version https://git-lfs"), F.lit(False)))
+    kept = usable(spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path))
     return kept.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
