@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 #: Fixed value: the white space that normalisation collapses, as a character class body.
 WS = "\\t\\n\\x0B\\f\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF"
 LATIN_ONLY = f"^[\\u0000-\\u024F{WS}\\-'.]*$"
+#: Ranges without a character that composition changes, moves, or joins to the one before it.
+SAFE = "\\u0000-\\u02FF\\u0388-\\u0482\\u1E00-\\u1F70\\u2002-\\u20CF\\u2E00-\\u3029\\u3030-\\u3098\\u309B-\\uA66E\\uABEE-\\uD7FF\\uFE30-\\uFFFF"
 CJK = "\\u4E00-\\u9FFF"
 
 
@@ -21,11 +23,11 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def nfc(c: Column) -> Column:
-    """Canonical composition; only strings with characters from U+0300 on leave the JVM.
+    """Canonical composition; strings of SAFE characters alone, which are composed as they are, don't leave the JVM.
 
     By Python's table, since the installed Arrow's utf8_normalize leaves decomposed strings as they are.
     """
-    return F.coalesce(_nfc(F.when(c.rlike("[^\\u0000-\\u02FF]"), c)), c)
+    return F.coalesce(_nfc(F.when(c.rlike(f"[^{SAFE}]"), c)), c)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -35,7 +37,7 @@ def _nfc_array(s: pd.Series) -> pd.Series:
 
 def nfc_array(c: Column) -> Column:
     """nfc of each string; taken before higher-order functions, whose bodies cannot call Python."""
-    return F.coalesce(_nfc_array(F.when(F.array_join(c, "").rlike("[^\\u0000-\\u02FF]"), c)), c)
+    return F.coalesce(_nfc_array(F.when(F.array_join(c, "").rlike(f"[^{SAFE}]"), c)), c)
 
 
 def collapse(c: Column) -> Column:
@@ -61,7 +63,10 @@ def min_length(c: Column, script: str | None = None) -> Column:
 
 
 def is_valid(c: Column, script: str | None = None) -> Column:
-    return F.char_length(c) >= min_length(c, script)
+    n = F.char_length(c)
+    if script == "latn":
+        return n >= 3
+    return (n >= 3) | ((n == 2) & ~c.rlike(LATIN_ONLY))  # as min_length has it, but few strings are looked into
 
 
 def search_strings(arr: Column, script: str | None = None) -> Column:

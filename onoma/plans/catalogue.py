@@ -663,3 +663,6 @@ def graph_matrix(spark, d):
 @query("WITH k(kind, root) AS (VALUES ('a', 'R1'), ('b', 'R0'), ('b', 'R2')), c AS (SELECT kind, root AS q FROM k UNION SELECT kind, 'N' || n_nationkey FROM k JOIN nation ON 'R' || n_regionkey = root) SELECT kind, string_agg(q, ',' ORDER BY CAST(substr(q, 2) AS BIGINT), q) AS classes FROM c GROUP BY kind")
 def graph_closure(spark, d):
     return triples.closure_document(_triples(spark, d), {"a": ["R1"], "b": ["R0", "R2"]}).select("kind", F.array_join("closure", ",").alias("classes"))
+
+
+from onoma.plans import compiled  # noqa: E402, F401  it adds its queries
