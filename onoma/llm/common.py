@@ -61,10 +61,43 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """df with row_a and row_b, 128 bits of hash of all its columns: only rows that are equal throughout share a key."""
-    key = lambda seed: F.xxhash64(F.lit(seed), *[F.col(c).isNull() for c in df.columns], *df.columns)
-    return df.select("*", key(1).alias("row_a"), key(2).alias("row_b"))
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, or others like them, that no column of df has in any case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"{name}_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def with_row_key(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """df with 128 bits of hash of all its columns, and the names of these two columns: only rows that are equal throughout share
+    a key. Columns may have any names and types, those that hold maps or variants included."""
+    key = unused(df, "row_a", "row_b")
+
+    def hashable(f: T.StructField) -> Column:
+        c, kind = F.col(f"`{f.name.replace('`', '``')}`"), f.dataType.simpleString()
+        if "variant" in kind:
+            return F.to_json(F.struct(c.alias("x")))
+        return _entries(c, f.dataType) if "map<" in kind else c
+
+    cols = [hashable(f) for f in df.schema.fields]
+    of = lambda seed: F.xxhash64(F.lit(seed), *[c.isNull() for c in cols], *cols)
+    return df.select("*", of(1).alias(key[0]), of(2).alias(key[1])), key
+
+
+def _entries(c: Column, kind: T.DataType) -> Column:
+    """A value as one that can be hashed, maps in it being their entries in order of their keys' text."""
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.struct(_entries(e["key"], kind.keyType).alias("key"), _entries(e["value"], kind.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.to_json(F.struct(entry(e).alias("e")))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _entries(x, kind.elementType))
+    if isinstance(kind, T.StructType) and "map<" in kind.simpleString():
+        return F.when(c.isNotNull(), F.struct(*[_entries(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return c
 
 
 def release() -> None:

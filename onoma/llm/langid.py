@@ -23,11 +23,11 @@ from pyspark.sql import types as T
 from onoma.llm.common import map_arrow
 
 UNDETERMINED = "und"
-#: Bounds of the training sample: texts and symbols of a language, texts of all together.
-TEXTS, SYMBOLS, ALL_TEXTS = 60, 20_000, 60_000
+#: Bounds of the training sample: texts and symbols of a language, texts and symbols of all together.
+TEXTS, SYMBOLS, ALL_TEXTS, ALL_SYMBOLS = 60, 20_000, 60_000, 20_000_000
 #: Labels up to which one expression tells where each label's sample ends.
 FEW = 200
-#: Bounds of the model: different letters (rarer ones count as any other), cells of the automata's table.
+#: Letters that have a column of the automata's table, at most, and its cells; the edges of all other letters are looked up.
 LETTERS, CELLS = 500, 25_000_000
 SEGMENT, BLOCK = 1024, 1_000_000
 
@@ -44,8 +44,8 @@ def normalise(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions (states x width, -1: none) of the automaton of all substrings; state 0 is the empty one."""
+def suffix_automaton(symbols: list[int]) -> tuple[int, np.ndarray]:
+    """(states, edges as rows of state, symbol, next state) of the automaton of all substrings; state 0 is the empty one."""
     go, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         cur = len(go)
@@ -70,38 +70,65 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    out = np.full((len(go), width), -1, np.int64)
-    for s, edges in enumerate(go):
-        for c, t in edges.items():
-            out[s, c] = t
-    return out
+    return len(go), np.array([(s, c, t) for s, edges in enumerate(go) for c, t in edges.items()], np.int64).reshape(-1, 3)
 
 
 class Parser:
-    """All languages' automata in one table: 2 * next state + (1 where a phrase starts)."""
+    """All languages' automata: next places, as 2 * next state + (1 where a phrase starts).
+
+    Letters are numbered from the most frequent on. A table has a column for the blank, for the first letters, and one for
+    all others: rarer letters' edges are a sorted list, and letters of no training text have none.
+    """
 
     def __init__(self, model: Model):
         seen = Counter(c for _, t in model.texts for c in t if c != " ")
-        alphabet = sorted(sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS])
-        self.width = len(alphabet) + 2  # blank, the known letters, any other letter
-        letters = np.frombuffer("".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))).encode("utf-32-le"), np.uint32)
-        self.symbol = np.zeros(0x110000, np.uint8 if self.width < 256 else np.uint16)
-        self.symbol[[int(c) for c in letters if chr(c).isalpha()]] = self.width - 1
-        index = {" ": 0} | {c: k + 1 for k, c in enumerate(alphabet)}
+        index = {" ": 0} | {c: k + 1 for k, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c)))}
+        self.names, made = [name for name, _ in model.texts], [suffix_automaton([index[c] for c in t]) for _, t in model.texts]
+        self.bits = [np.log2(len(t) + 1) for _, t in model.texts]
+        states = sum(n for n, _ in made)
+        self.letters = len(index)  # the number of any letter of no training text, too
+        self.width = min(len(index), LETTERS + 1, max(1, CELLS // max(1, states) - 1)) + 1
+        every = np.frombuffer("".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))).encode("utf-32-le"), np.uint32)
+        self.symbol = np.zeros(0x110000, np.int32)
+        self.symbol[[int(c) for c in every if chr(c).isalpha()]] = self.letters
         for c, k in index.items():
             self.symbol[ord(c)] = k
-        self.names, tables, self.roots, self.bits, at = [], [], [], [], 0
-        for name, text in model.texts:
-            go = suffix_automaton([index.get(c, self.width - 1) for c in text], self.width)
-            none = go < 0
-            none[0] = True  # from the root each symbol starts a phrase
-            nxt = np.where(go >= 0, go, np.where(go[0] >= 0, go[0], 0)) + at
-            tables.append((nxt * 2 + none).astype(np.int32))
-            self.names.append(name)
+        self.roots, tables, rare, at = [], [], [], 0
+        for n, (s, c, t) in ((n, edges.T) for n, edges in made):
+            first = np.zeros(self.letters + 1, np.int64)  # from the root, itself where a letter is unknown
+            first[c[s == 0]] = t[s == 0]
+            table = np.broadcast_to((first[: self.width] + at) * 2 + 1, (n, self.width)).copy()  # a phrase starts
+            table[:, -1] = at * 2 + 1
+            common = (c < self.width - 1) & (s > 0)
+            table[s[common], c[common]] = (t[common] + at) * 2
+            tables.append(table.astype(np.int32))
+            odd = c >= self.width - 1
+            rare.append(np.stack([(s[odd] + at) * (self.letters + 1) + c[odd], (t[odd] + at) * 2 + (s[odd] == 0)]))
             self.roots.append(at)
-            self.bits.append(np.log2(len(text) + 1))
-            at += len(go)
+            at += n
         self.table = np.concatenate([*tables, np.zeros((0, self.width), np.int32)]).ravel()
+        self.keys, self.values = np.concatenate([*rare, np.zeros((2, 0), np.int64)], axis=1)
+        order = np.argsort(self.keys)
+        self.keys, self.values = np.append(self.keys[order], -1), np.append(self.values[order], 0).astype(np.int32)
+
+    def step(self, state: np.ndarray, sym: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """Where states (in cells of the table) go by symbols; root: the states' own roots."""
+        if self.letters < self.width:  # no letter is rare
+            return self.table[state + sym]
+        got = self.table[state + np.minimum(sym, self.width - 1)]
+        rare = (sym >= self.width - 1) & (sym < self.letters)
+        if rare.any():
+            at = np.nonzero(np.broadcast_to(rare, got.shape))
+            own, c, base = state[at] // self.width, np.broadcast_to(sym, got.shape)[at].astype(np.int64), np.broadcast_to(root, got.shape)[at] // self.width
+            found, place = self.look(own, c)
+            fresh, start = self.look(base, c)
+            got[at] = np.where(found, place, np.where(fresh, start, base * 2 + 1))
+        return got
+
+    def look(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = state * np.int64(self.letters + 1) + c
+        at = np.minimum(np.searchsorted(self.keys[:-1], key), len(self.keys) - 1)
+        return self.keys[at] == key, self.values[at]
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: phrases of each language (languages x texts), symbols, letters."""
@@ -132,7 +159,7 @@ class Parser:
             if k < state.shape[1]:
                 final[:, k : state.shape[1]] = state[:, k:]
                 state = state[:, :k].copy()
-            got = self.table[state + sym[start[:k] + t]]
+            got = self.step(state, sym[start[:k] + t], roots * self.width)
             count[:, :k] += got & 1
             state = (got >> 1) * self.width
         final[:, : state.shape[1]] = state
@@ -157,7 +184,8 @@ class Parser:
             while len(left := left[keep := (whole != own) & (size[lane[left]] > t)]):
                 whole, own = whole[keep], own[keep]
                 at = sym[start[lane[left]] + t]
-                a, b = self.table[whole + at], self.table[own + at]
+                home = roots[lang[left]]
+                a, b = self.step(whole, at, home), self.step(own, at, home)
                 delta[left] += (a & 1) - (b & 1)
                 whole, own, t = (a >> 1) * self.width, (b >> 1) * self.width, t + 1
                 over = (whole != own) & (size[lane[left]] == t)
@@ -194,38 +222,41 @@ def parser(model: Model) -> Parser:
 
 
 def sample(rows: DataFrame, id_col: str, text_col: str, lang_col: str, texts: int, symbols: int) -> DataFrame:
-    """(lang, pos, text): about twice `texts` different rows of each label, never more, by a hash of id and text."""
-    placed = rows.select(F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)), F.lit(1 << 40)).alias("pos"), F.substring(text_col, 1, symbols).alias("text"))
-    counts = placed.groupBy("lang").agg(F.approx_count_distinct("pos").alias("n"))
-    texts = max(1, min(texts, ALL_TEXTS // max(1, counts.count())))
+    """(lang, pos, text): different rows of each label by a hash of id and text, whole, until they have `symbols` characters;
+    about twice `texts` of them, never more. Longer texts than that are no rows of the sample, but for the shortest text of a
+    label that has none other, which is cut."""
+    size = F.char_length(text_col)
+    placed = rows.select(F.col(lang_col).alias("lang"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)), F.lit(1 << 40)).alias("pos"), F.col(text_col).alias("text"), size.alias("size"))
+    counts = placed.groupBy("lang").agg(F.approx_count_distinct(F.when(F.col("size") <= symbols, F.col("pos"))).alias("n"), F.min("size").alias("least"))
+    labels = max(1, counts.count())
+    texts, symbols = max(1, min(texts, ALL_TEXTS // labels)), max(1, min(symbols, ALL_SYMBOLS // labels))
     most = (F.lit(1 << 40) * F.least(F.lit(1.0), 2.0 * texts / F.greatest("n", F.lit(1)))).cast("long")
-    told = counts.select(F.col("lang").alias("label"), most.alias("most")).limit(FEW + 1).collect()
+    longest = F.greatest(F.lit(symbols), F.col("least"))
+    told = counts.select(F.col("lang").alias("label"), most.alias("most"), longest.alias("longest")).limit(FEW + 1).collect()
     if len(told) <= FEW:
-        bound = F.coalesce(*[F.when(F.col("lang") == r.label, F.lit(r.most)) for r in told], F.lit(-1))
-        drawn = placed.where(F.col("pos") <= bound)
+        by = lambda c: F.coalesce(*[F.when(F.col("lang") == r.label, F.lit(r[c])) for r in told], F.lit(-1))
+        drawn = placed.where((F.col("pos") <= by("most")) & (F.col("size") <= by("longest")))
     else:  # the same, by a join
-        drawn = placed.join(counts.select("lang", most.alias("most")), "lang").where("pos <= most").drop("most")
-    drawn = drawn.groupBy("lang", "pos").agg(F.min("text").alias("text"))
-    return drawn.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("pos"))).where(F.col("nth") <= 2 * texts).drop("nth")
+        drawn = placed.join(counts.select("lang", most.alias("most"), longest.alias("longest")), "lang").where("pos <= most and size <= longest").drop("most", "longest")
+    drawn = drawn.groupBy("lang", "pos").agg(F.min(F.left("text", F.lit(symbols))).alias("text"))
+    own = Window.partitionBy("lang").orderBy("pos")
+    drawn = drawn.withColumn("nth", F.row_number().over(own)).withColumn("before", F.sum(F.char_length("text")).over(own) - F.char_length("text"))
+    return drawn.where((F.col("nth") <= 2 * texts) & (F.col("before") < symbols)).select("lang", "pos", "text")
 
 
 def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TEXTS, symbols: int = SYMBOLS) -> Model:
-    """A model of every label in usable rows, from a bounded sample: at most twice `texts` texts of a label, by a hash of
-    id and text, until `symbols` symbols are full; a training text counts by its first `symbols` characters. Equal texts
-    count once, and ids may be null or repeated. With more labels than ALL_TEXTS / texts each has fewer texts, and where
-    letters times symbols exceed CELLS each has fewer symbols.
+    """A model of every label in usable rows, from a bounded sample of whole texts (see `sample`): at most twice `texts` texts
+    of a label, until they have `symbols` characters. Equal texts count once, and ids may be null or repeated. With more labels
+    than ALL_TEXTS / texts, or ALL_SYMBOLS / symbols, each has fewer.
     """
     rows = docs.where((usable if usable is not None else F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    drawn = sample(rows, id_col, text_col, lang_col, texts, symbols).collect()  # at most 2 x ALL_TEXTS rows, or 2 a label
+    drawn = sample(rows, id_col, text_col, lang_col, texts, symbols).collect()  # twice ALL_SYMBOLS characters at most
     own: dict[str, list[str]] = {}
     for lang, _, text in sorted(drawn, key=lambda r: (r[0], r[1], r[2])):
         t, have = normalise(text), own.setdefault(lang, [])
-        if t and t not in have and sum(map(len, have)) < symbols:
+        if t and t not in have:
             have.append(t)
-    whole = {lang: " ".join(ts)[:symbols] for lang, ts in sorted(own.items()) if ts}
-    width = min(LETTERS, len(set().union(*whole.values()))) + 2
-    each = max(1, CELLS // (2 * width * max(1, len(whole))))
-    return Model(tuple((lang, t[:each]) for lang, t in whole.items()))
+    return Model(tuple((lang, " ".join(ts)) for lang, ts in sorted(own.items()) if ts))
 
 
 def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -243,14 +243,14 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     Rows are told apart by all their columns, so differing texts of one id, or of none, are grouped each for itself; of
     rows equal throughout one stays; a rerun keeps the same rows.
     """
-    keyed, key = with_row_key(docs), ["row_a", "row_b"]
-    fps = map_arrow(keyed.select(F.col(id_col).alias("doc_id"), *key, F.col(text_col).alias("text")), _fingerprints, "doc_id long, row_a long, row_b long, fp long")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key)).alias("first")
+    keyed, key = with_row_key(docs)
+    fps = map_arrow(keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(key[0]).alias("row_a"), F.col(key[1]).alias("row_b"), F.col(text_col).alias("text")), _fingerprints, "doc_id long, row_a long, row_b long, fp long")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_a", "row_b")).alias("first")
     classes = checkpoint(fps.groupBy("fp").agg(first))
     comp = connected_components(links(classes.select("fp", F.col("fp").alias("rep")), max_diff))
     label = classes.join(comp, classes.fp == comp.node, "left").select(F.coalesce("component", "fp").alias("component"), "first")
-    stay = label.groupBy("component").agg(F.min("first").alias("first")).select("first.row_a", "first.row_b")
-    return keyed.join(stay, key, "left_semi").dropDuplicates(key).select(docs.columns)
+    stay = label.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row_a").alias(key[0]), F.col("first.row_b").alias(key[1]))
+    return keyed.join(stay, key, "left_semi").dropDuplicates(key).drop(*key)
 
 
 def hex_digits(fp: Column) -> Column:
