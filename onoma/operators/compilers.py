@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from onoma.functions import clues, ids, kana, names, text, years
 from onoma.operators import config
-from onoma.operators.relational import coalesce_text, include_exclude, last_wins, most_specific, nest
+from onoma.operators.relational import coalesce_text, include_exclude, last_wins, merge_rows, most_specific, nest
 from onoma.sources import tei
 
 EMPTY = "array<string>"
@@ -158,6 +158,22 @@ def raw_of_bindings(rows: DataFrame, kind: str, order: str) -> DataFrame:
     return one.select("authorityId", "authUri", "name", "heading", "yomi", some, *[F.col(k).alias(f"{k}Year") for k in years_])
 
 
+def sampled_persons(rows: DataFrame, order: str) -> DataFrame:
+    """(qid, primaryLabel, aliases, familyName) of the bindings (b, a map by variable, and an order column) of a sample of persons.
+
+    Several bindings of one item are one row: its first label, all its different other names in order, its first family name.
+    """
+    v = lambda k: F.coalesce(text.strip(F.col("b")[k]["value"]), F.lit(""))
+    got = rows.select(ids.qid_of_uri(v("item")).alias("qid"), v("itemLabel").alias("primaryLabel"), v("familyName").alias("familyName"), F.array_compact(F.array(F.nullif(v("alias"), F.lit("")))).alias("aliases"), F.col(order).alias("_ord"))
+    one = merge_rows(got, "qid", "_ord", ["primaryLabel", "familyName"], ["aliases"])
+    return one.select("qid", F.coalesce("primaryLabel", F.lit("")).alias("primaryLabel"), "aliases", F.coalesce("familyName", F.lit("")).alias("familyName"))
+
+
+def dropped_names() -> Column:
+    """The strings of a raw person, label first, that the person name policy drops."""
+    return F.array_except(text.nfc_array(F.concat(F.array("primaryLabel"), "aliases")), names.person_strings(F.col("primaryLabel"), F.col("aliases"), F.col("familyName")))
+
+
 def ime_rows(raw: DataFrame, ident: str, name: str) -> DataFrame:
     """(id, surface, kana, hiragana, birthYear, deathYear): a row per reading."""
     rows = raw.select(F.col(ident).alias("id"), F.col(name).alias("surface"), F.explode(kana.readings(F.col("yomi"), F.col("yomiAlt"))).alias("kana"), "birthYear", "deathYear")

@@ -51,6 +51,34 @@ STATIC_LABELS = [
 ]
 
 
+def selected_dynasties(ids: list[str] | None = None, priority: bool = False) -> list[tuple]:
+    """Dynasties by their ids, in that order, or those of priority; an unknown id, or none at all, is an error."""
+    chosen = PRIORITY if priority else ids
+    known = {d[0]: d for d in DYNASTIES}
+    if not chosen or (unknown := [i for i in chosen if i not in known]):
+        raise ValueError(f"unknown dynasties {unknown}" if chosen else "name dynasties, or those of priority")
+    return [known[i] for i in chosen]
+
+
+def selected_country(ident: str) -> tuple:
+    """A country by its id; an unknown one is an error."""
+    found = [c for c in COUNTRIES if c[0] == ident]
+    if not found:
+        raise ValueError(f"unknown country {ident}")
+    return found[0]
+
+
+def selection(membership: str, dynasties: list[str] | None = None, priority: bool = False, country: str | None = None) -> tuple[list[str], str]:
+    """(items, name) of what a membership selects: dynasties, a country, or nothing for the memberships that need none."""
+    if membership == "country-p27":
+        found = [selected_country(country or "")]
+    elif membership == "dynasty-p27":
+        found = selected_dynasties(dynasties, priority)
+    else:
+        return [], membership
+    return [f[1] for f in found], "priority" if priority and membership == "dynasty-p27" else "+".join(f[0] for f in found)
+
+
 def dynasties(spark: SparkSession) -> DataFrame:
     rows = [(k, *d, d[0] in PRIORITY) for k, d in enumerate(DYNASTIES)]
     return spark.createDataFrame(rows, "ord int, id string, qid string, label string, start int, end int, priority boolean")

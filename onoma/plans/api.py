@@ -166,10 +166,7 @@ def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], ou
 
 def compile_graph_persons(raw: DataFrame, dynasty: str, out: str) -> dict:
     """A pack of the persons of one dynasty of config, by its id; an unknown id is an error."""
-    found = [d for d in config.DYNASTIES if d[0] == dynasty]
-    if not found:
-        raise ValueError(f"unknown dynasty {dynasty}")
-    _, qid, label, start, end = found[0]
+    _, qid, label, start, end = config.selected_dynasties([dynasty])[0]
     return packs.write_pack(C.graph_persons(C.in_dynasty(raw, [qid]), F.lit(label), F.lit(start), F.lit(end)), out, "Wikidata")
 
 
@@ -205,6 +202,35 @@ def compile_graph_language(raw: dict[str, DataFrame], language: str, out: str) -
     return made
 
 
+def extract_selection(spark: SparkSession, dump: str, kinds: str, languages: list[str], out: str, membership: str, dynasties: list[str] | None = None, priority: bool = False, country: str | None = None, **more) -> DataFrame:  # noqa: ANN003
+    """`extract` of persons by the ids of dynasties or of a country in config, under a folder named after them."""
+    if unknown := [la for la in languages if la not in config.LANGUAGES]:
+        raise ValueError(f"unknown languages {unknown}; known are {sorted(config.LANGUAGES)}")
+    qids, slug = config.selection(membership, dynasties, priority, country)
+    return extract(spark, dump, kinds, languages, f"{out}/{slug}", membership=membership, qids=qids or None, **more)
+
+
+def policy_report(raw: DataFrame, out: str, facts: dict[str, str], examples: int = 25) -> dict[str, str]:
+    """Writes what the person name policy does to raw persons, as lines of text: facts, counts, and some of the strings that it drops."""
+    raw = checkpoint(raw)
+    stats = C.filter_stats(raw).first()
+    share = 100 * stats.dropped / stats.raw if stats.raw else 0
+    dropped = raw.select("qid", F.posexplode(C.dropped_names()).alias("at", "s")).groupBy("s").agg(F.min(F.struct(F.length("qid"), "qid", "at")).alias("first"))
+    some = [r.s for r in dropped.orderBy("first").limit(examples).collect()]
+    told = {**facts, "entities": raw.count(), "raw_strings": stats.raw or 0, "filtered_strings": stats.kept or 0, "dropped_pct": f"{share:.1f}"}
+    packs.write_text(raw.sparkSession, [*(f"{k}: {v}" for k, v in told.items()), "", "sample_dropped:", *(f"- {s}" for s in some)], out)
+    return told
+
+
+def sampled_policy_report(spark: SparkSession, endpoint: str, dynasty: str, language: str, out: str, excluded: list[str] | None = None, limit: int = 500, **options: str) -> dict[str, str]:
+    """policy_report of a sample of a dynasty's persons, asked of an endpoint."""
+    binary.register(spark)
+    ident, qid, *_ = config.selected_dynasties([dynasty])[0]
+    query = patterns.select(patterns.persons_of(qid, config.LANGUAGES[language][0][0], excluded, details=True), "item", "itemLabel", "alias", "familyName", limit="{limit}")
+    rows = files.ordered_bindings(spark.read.format("sparql").options(endpoint=endpoint, query=query, limit=limit, **options).load())
+    return policy_report(C.sampled_persons(rows, "ord"), out, {"dynasty": f"{ident} ({qid})", "language": language})
+
+
 def harvest_catalogue(
     spark: SparkSession, kind: str, endpoint: str, out: str, checkpoint: str, limit: int = 1000, ranges: int = 4, delay: float = 0.3, batches: int = 0, stop: Event | None = None, **options: str,
 ) -> dict:

@@ -38,6 +38,11 @@ def _write_lines(lines: DataFrame, path: str, head: str | None) -> None:
     numbered.repartition(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
 
 
+def write_text(spark: SparkSession, lines: list[str], path: str) -> None:
+    """A short report, as one file."""
+    _write_lines(spark.createDataFrame(list(enumerate(lines)), "k int, value string").orderBy("k").select("value"), path, None)
+
+
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
     lines = df.select(F.concat_ws("\t", *[tsv_cell(F.col(c).cast("string")) for c in df.columns]).alias("value"))
     _write_lines(lines, path, "\t".join(df.columns) if header else None)

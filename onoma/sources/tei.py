@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onoma.functions.text import strip
+from onoma.functions.years import number_prefix
 
 
 #: Endings of compressed files, whose sizes say nothing about their texts.
@@ -69,9 +70,9 @@ def persons(spark: SparkSession, path: str) -> DataFrame:
 def places(spark: SparkSession, path: str) -> DataFrame:
     rows = records(spark, path, "place")
     x = F.col("xml")
-    number = lambda tag: F.regexp_extract(x, f"<{tag}>\\s*([^<]*?)\\s*</{tag}>", 1).try_cast("double")
-    pair = F.split(F.coalesce(F.nullif(F.regexp_extract(x, '<geo[^>]*\\scoordinates="([^"]*)"', 1), F.lit("")), F.regexp_extract(x, "<geo[^>]*>([^<]*)</geo>", 1)), "\\s+")
-    lat, lon = F.coalesce(number("lat"), F.get(pair, F.lit(0)).try_cast("double")), F.coalesce(number("long"), number("lon"), F.get(pair, F.lit(1)).try_cast("double"))
+    number = lambda tag: number_prefix(F.regexp_extract(x, f"<{tag}>\\s*([^<]*?)\\s*</{tag}>", 1))
+    pair = F.split(F.coalesce(F.nullif(F.regexp_extract(x, '<geo[^>]*\\scoordinates="([^"]*)"', 1), F.lit("")), strip(F.regexp_extract(x, "<geo[^>]*>([^<]*)</geo>", 1))), "\\s+")
+    lat, lon = F.coalesce(number("lat"), number_prefix(F.get(pair, F.lit(0)))), F.coalesce(number("long"), number("lon"), number_prefix(F.get(pair, F.lit(1))))
     return rows.select(
         attribute(x, "xml:id").alias("id"), elements(x, "placeName").alias("names"), elements(x, "note").alias("notes"),
         F.get(elements(x, "district"), F.lit(0))["text"].alias("district"), F.nullif(F.regexp_extract(x, '<location[^>]*>\\s*<place[^>]*\\skey="([^"]*)"', 1), F.lit("")).alias("district_key"),

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from onoma.operators import compilers as C
-from onoma.operators import triples
+from onoma.operators import config, triples
 from onoma.plans import api
 from onoma.sinks import packs
 from onoma.sources import files
@@ -100,3 +100,50 @@ def test_tables_keep_order_head_and_empty_cells(spark, tmp_path):
         write(df, str(tmp_path / "t"))
         got = [r.value for r in spark.read.text(str(tmp_path / "t")).collect()]
         assert got == [sep.join(("id", "even", "z")), *(sep.join((str(k), str(k) if k % 2 == 0 else "", "x")) for k in range(100))]
+
+
+def test_selections():
+    assert config.selection("dynasty-p27", ["song", "tang"]) == (["Q1107", "Q9683"], "song+tang")
+    assert config.selection("dynasty-p27", priority=True) == ([d[1] for k in config.PRIORITY for d in config.DYNASTIES if d[0] == k], "priority")
+    assert config.selection("country-p27", country="japan") == (["Q17"], "japan") and config.selection("pre-ming") == ([], "pre-ming")
+    for bad in ({"dynasties": ["atlantis"]}, {}, {"membership": "country-p27", "country": "atlantis"}):
+        with pytest.raises(ValueError):
+            config.selection(bad.pop("membership", "dynasty-p27"), **bad)
+
+
+def test_config_of_languages_identifiers_and_countries():
+    found = api.validate_config(config.DYNASTIES + [("china", config.CHINA, "中國", 1, 2)], languages={"zh-hant": ([], "hant")}, identifiers=[("X1", "viaf", "trim")], countries=[("a", "17", "x"), ("a", "Q1", "")])
+    assert found == ["dynasty china has the item of the region", "country a: 17 is no item", "country a is repeated", "country a has no label", "language zh-hant has no labels", "language zh-hans is missing", "identifier viaf: X1 is no property", "identifier cbdb is missing"]
+
+
+def test_report_of_the_name_policy(spark, tmp_path):
+    said = lambda **kv: {k: {"type": "literal", "value": v} for k, v in kv.items()}
+    uri = "http://www.wikidata.org/entity/"
+    rows = [said(item=uri + "Q1", itemLabel="李白", alias="太白"), said(item=uri + "Q1", itemLabel="李白", alias="青蓮居士", familyName="李"), said(item=uri + "Q1", itemLabel="李白", alias="太白"), said(item=uri + "Q20", itemLabel="杜甫"), said(item=uri + "Q3", itemLabel="Li", alias=" 李三 ")]
+    page = spark.createDataFrame([(json.dumps({"results": {"bindings": rows}}),)], "value string")
+    raw = C.sampled_persons(files.ordered_bindings(page), "ord")
+    assert sorted(map(tuple, raw.collect())) == [("Q1", "李白", ["太白", "青蓮居士"], "李"), ("Q20", "杜甫", [], ""), ("Q3", "Li", ["李三"], "")]
+    told = api.policy_report(raw, str(tmp_path / "r"), {"dynasty": "tang"})
+    lines = [r.value for r in spark.read.text(str(tmp_path / "r")).collect()]
+    assert lines == ["dynasty: tang", "entities: 3", "raw_strings: 6", "filtered_strings: 3", "dropped_pct: 50.0", "", "sample_dropped:", "- 太白", "- Li", "- 李三"] and told["entities"] == 3
+    assert api.policy_report(raw.limit(0), str(tmp_path / "e"), {})["dropped_pct"] == "0.0"
+
+
+def test_batch_compilers_and_tables(spark, tmp_path):
+    raw = "qid string, primaryLabel string, aliases array<string>, familyName string, p27 array<string>, p2348 array<string>, p31 array<string>, birthYear int, deathYear int, inceptionYear int, publicationYear int, dissolvedYear int, crosswalk struct<viaf:string>"
+    rows = [("Q1", "李白", ["青蓮居士"], "", ["Q9683"], [], ["Q5"], 701, 762, None, None, None, ("9",)), ("Q2", "朱元璋", [], "", ["Q9903"], [], ["Q5"], 1328, 1398, None, None, None, None), ("Q3", "王安石", [], "", ["Q1107"], [], ["Q5"], 1021, 1086, None, None, None, None)]
+    df = spark.createDataFrame(rows, raw)
+    made = api.compile_graph_all(df, "zh-hant", str(tmp_path), ["tang", "ming"])
+    assert {k: m["entityCount"] for k, m in made.items()} == {"tang": 1, "ming": 1, "pre-ming": 2}
+    assert spark.read.json(str(tmp_path / "person-zh-hant-tang")).first().metadata.startYear == 701
+    by_kind = api.compile_graph_language({"person": df, "place": df}, "zh-hant", str(tmp_path))
+    assert {k: (m["entityCount"], m["membership"]) for k, m in by_kind.items()} == {"person": (3, "label-only"), "place": (3, "label-only")}
+    places = spark.createDataFrame([("7", "保德縣", ["保德縣", "保德"], ("縣", 1374, None, "county", (38.0, 112.0)))], "authorityId string, primaryName string, searchStrings array<string>, metadata struct<subtype:string,startYear:int,endYear:int,layer:string,geo:struct<lat:double,lon:double>>")
+    api.places_tsv(places, str(tmp_path / "tsv"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "tsv")).collect()] == ["sys_id\tname_ft\ttype_ch\tbeg_yr\tend_yr\tlat\tlon\tlayer\tsearch_strings", "7\t保德縣\t縣\t1374\t\t38.0\t112.0\tcounty\t保德縣|保德"]
+    others = spark.createDataFrame([(k, "保德", ["保德"], ((38.0, 112.0),)) for k in "ab"], "authorityId string, primaryName string, searchStrings array<string>, metadata struct<geo:struct<lat:double,lon:double>>")
+    assert api.crosswalk_places(places, others, str(tmp_path / "x"))["ambiguous"] == 1
+    assert [r.value for r in spark.read.text(str(tmp_path / "x/ambiguous")).collect()] == ["chgis_sys_id\tdila_pl_id\treason\tname", "7\ta\tmultiple_dila_candidates\t保德", "7\tb\tmultiple_dila_candidates\t保德"]
+    people = spark.createDataFrame([("1", "夏目漱石", "ナツメ, ソウセキ", None, 1867, 1916)], "authorityId string, name string, yomi string, yomiAlt array<string>, birthYear int, deathYear int")
+    api.export_ime(people, "authorityId", "name", str(tmp_path / "ime"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "ime")).collect()][:2] == ["authorityId,surface,kana,yomiHiragana,birthYear,deathYear", "1,夏目漱石,ナツメ ソウセキ,なつめ そうせき,1867,1916"]
