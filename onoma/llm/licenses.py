@@ -5,9 +5,11 @@ shingles, at every second one; notices have a window at each shingle, long ones
 notices that have a window with an equal value in that band; two windows meet with probability 1 - (1 - J)^BANDS, J being
 their Jaccard similarity. Of a notice of six shingles or more a text that keeps CONTAINMENT keeps a run of five, and of a long one a run of
 thirteen, as a word that is changed or put in takes four shingles at least: so one of its windows is the notice's, J is 1,
-and the chance is 1.
-Shorter notices have windows of one shingle, which meet for certain too. What is retrieved is verified: the share of the
-notice's shingles that the text has there.
+and they meet for certain. Shorter notices have windows of one shingle, which meet for certain too.
+
+What is retrieved is verified: the share of the notice's shingles that the text has there. A place is looked for from where the
+notice would begin if its words before the window were as they are, and from as many words earlier as may have been put in;
+so it is found unless both searches begin with a shingle of the notice that stands there by chance.
 
 Notices of under five words have no shingle of five; their words must stand in the text one after the other.
 """
@@ -30,7 +32,7 @@ SINGLES, DENSE, STRIDE = 6, 60, 8
 #: Band values that one pass looks for; longer lists of notices are scanned in several passes.
 MOST_KEYS = 20_000
 NOTICES = LINES | TEXTS
-KEYS = "band int, key bigint, license string, own int, take int"
+KEYS = "band int, key bigint, license string, own int, take int, early int"
 
 
 def masks(bands: int = BANDS) -> list[int]:
@@ -82,14 +84,14 @@ def notice_tables(spark: SparkSession, notices: dict[str, str]) -> tuple[DataFra
     rows = listed(spark, notices)
     # n by the words, not by h: a filter on n moves below h, and would work it out word by word.
     rows = rows.withColumn("w", F.split(clean(F.col("text")), " ")).withColumn("n", F.size("w") - SHINGLE + 1).withColumn("h", shingle_hashes(F.col("w")))
-    rows = rows.withColumn("take", F.col("n") + 2 + F.ceil(F.size("w") / 5).cast("int"))
+    rows = rows.withColumn("early", 2 + F.ceil(F.size("w") / 5).cast("int")).withColumn("take", F.col("n") + F.col("early"))
     facts = rows.select("license", F.size("w").alias("n_words"), "take", F.array_distinct(shingle_texts(F.col("w"))).alias("shingles"))
-    single = rows.where(F.col("n") < SINGLES).select(F.lit(0).alias("band"), "license", "take", F.posexplode("h").alias("own", "key"))
-    wide = rows.where(F.col("n") >= SINGLES).select("license", "take", "h", "n", F.explode(upto(F.greatest(F.col("n") - WINDOW + 1, F.lit(1)))).alias("own")).where((F.col("n") < DENSE) | (F.col("own") % STRIDE < STEP))
+    single = rows.where(F.col("n") < SINGLES).select(F.lit(0).alias("band"), "license", "take", "early", F.posexplode("h").alias("own", "key"))
+    wide = rows.where(F.col("n") >= SINGLES).select("license", "take", "early", "h", "n", F.explode(upto(F.greatest(F.col("n") - WINDOW + 1, F.lit(1)))).alias("own")).where((F.col("n") < DENSE) | (F.col("own") % STRIDE < STEP))
     least = lambda m: F.least(*[F.get("h", F.col("own") + k).bitwiseXOR(F.lit(m)) for k in range(WINDOW)])
     values = F.array(*[F.struct(F.lit(b + 1).alias("band"), least(m).alias("key")) for b, m in enumerate(masks())])
-    wide = wide.select("license", "take", "own", F.explode(values).alias("v")).select("v.band", "v.key", "license", "own", "take")
-    return facts, single.select("band", "key", "license", "own", "take").unionByName(wide)
+    wide = wide.select("license", "take", "early", "own", F.explode(values).alias("v")).select("v.band", "v.key", "license", "own", "take", "early")
+    return facts, single.select("band", "key", "license", "own", "take", "early").unionByName(wide)
 
 
 def in_passes(notices: dict[str, str], most: int = MOST_KEYS) -> list[dict[str, str]]:
@@ -157,7 +159,9 @@ def _scan(docs: DataFrame, notices: dict[str, str], id_col: str, text_col: str)
 
     # Where the notices would begin; then each text once, for the words of those places.
     meet = held.select("row", F.explode("found").alias("f")).select("row", "f.band", "f.key", "f.at").join(F.broadcast(keys), ["band", "key"])  # MOST_KEYS rows, or one notice's
-    starts = meet.groupBy("row").agg(F.collect_set(F.struct("license", F.greatest(F.col("at") - F.col("own"), F.lit(0)).alias("start"), "take")).alias("starts"))
+    begin = F.explode(F.array(F.col("at") - F.col("own"), F.col("at") - F.col("own") - F.col("early"))).alias("begin")
+    meet = meet.select("row", "license", "take", begin)
+    starts = meet.groupBy("row").agg(F.collect_set(F.struct("license", F.greatest("begin", F.lit(0)).alias("start"), "take")).alias("starts"))
     near = F.transform("starts", lambda x: F.struct(x["license"].alias("license"), x["start"].alias("start"), F.slice("w", x["start"] + 1, 2 * x["take"] + SHINGLE).alias("near")))
     placed = held.select("row", "doc_id", "w").join(starts, "row").select("row", "doc_id", near.alias("places")).select("row", "doc_id", F.explode("places").alias("p"))
     placed = placed.select("row", "doc_id", "p.license", "p.start", shingle_texts(F.col("p.near")).alias("here")).join(F.broadcast(facts), "license")
