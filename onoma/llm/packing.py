@@ -8,6 +8,8 @@ the end are merged over ever fewer tasks in the same way.
 from __future__ import annotations
 
 import bisect
+import importlib.util
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,13 +77,17 @@ class Encoder:
     The vocabulary's rules never join across ASCII white space and know no case, so each run between blanks has its own
     ids, and a run is an atom and the punctuation behind it. Arrow splits a block of texts and finds its different
     atoms; only those that neither generation of the cache knows are encoded, many at a time: plain words, each of which
-    ends in an end-of-word token, without the steps that would not change them.
+    ends in an end-of-word token, without the steps that would not change them. Vocabularies of other rules than those of
+    VOCABULARY's have their texts encoded one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.young, self.old = Tokenizer.from_file(path), NO_ATOMS, NO_ATOMS
+        self.by_words = rules_of(path) == rules_of(default_vocabulary())
+        if not self.by_words:
+            return
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.plain = Tokenizer.from_file(path)
@@ -130,6 +136,8 @@ class Encoder:
 
     def encode_batch(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         col = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not self.by_words:
+            return [np.array(e.ids, "<u4") for k in range(0, len(col), 50) for e in self.tokenizer.encode_batch_fast(col.slice(k, 50).to_pylist(), add_special_tokens=False)]
         control = pc.match_substring(col, "<|")  # control tokens are told by their case: such texts are encoded whole
         lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(control, "", col)))
         runs = lists.flatten().dictionary_encode()
@@ -160,16 +168,32 @@ def cut_tails(runs: pa.StringArray) -> tuple[pa.Array, pa.Array]:
     return pc.if_else(cut, body, runs), tails
 
 
+def rules_of(path: str | None) -> dict | None:
+    """What a vocabulary's file says of how texts become words and words tokens, without the tokens themselves."""
+    if path is None:
+        return None
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    model = {k: v for k, v in said.get("model", {}).items() if k not in ("vocab", "merges")}
+    return {"model": model, "tokens": [{k: v for k, v in t.items() if k != "id"} for t in said.get("added_tokens", [])], **{k: said.get(k) for k in ("normalizer", "pre_tokenizer")}}
+
+
+def default_vocabulary() -> str | None:
+    """The public vocabulary's path, where it is installed."""
+    if importlib.util.find_spec("public_tokenizers") is None:
+        return None
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str | None) -> Encoder:
     """One per Python worker; without a path the public vocabulary of VOCABULARY."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path(VOCABULARY)
+    path = path or default_vocabulary()
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

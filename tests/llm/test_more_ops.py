@@ -297,3 +297,23 @@ def test_embeddings_recall_and_precision(spark, block):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     same(spark, queries.QUERIES[name], queries.ORACLE_SQL[name], SF, connect(SF))
+
+
+def test_vocabularies_of_other_rules_and_of_many_ids(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from onoma.llm import packing
+
+    big = Tokenizer(models.WordLevel({"?": 0} | {f"W{k}": k + 1 for k in range(70_000)}, unk_token="?"))
+    big.pre_tokenizer = pre_tokenizers.Split(",", "removed")
+    path = str(tmp_path / "big.json")
+    big.save(path)
+    texts = ["W69999,W1", "W65535,W65534,W0,x", "", None, "w1,W1 ,W2", "W2," * 5000]
+    want = [big.encode(t or "").ids for t in texts]
+    assert want[0] == [70_000, 2] and [x.tolist() for x in packing.encoder(path).encode_batch(texts)] == want and not packing.encoder(path).by_words
+    assert packing.encoder(None).by_words and tokencount.width_of(None) == 2
+    out = str(tmp_path / "flat")
+    assert tokencount.write_flat(spark.createDataFrame([(t,) for t in texts * 2], "text string").repartition(2), out, vocabulary=path) == 4
+    for size in (1 << 20, 12, 4):
+        got = tokencount.count_tokens(spark, out, size, width=4).collect()
+        assert Counter(r.n_tokens for r in got) == Counter(2 * [len(x) for x in want]) and all(r.complete for r in got)
