@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
+#: Places of one name up to which all of them are compared with each record of that name.
+COMMON = 1000
+
+
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, that of the highest order."""
     return df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), order).alias("r")).select(key, "r.*")
@@ -73,9 +77,10 @@ def crosswalk(left: DataFrame, right: DataFrame, band: float = 0.5) -> DataFrame
 def _near(a: DataFrame, b: DataFrame, band: float) -> DataFrame:
     """Pairs of one name of which a position is missing, or whose positions lie in the same or in neighbouring cells.
 
-    Cells are in the key, so that a name of very many places is many groups; they are a little wider than the band.
+    Cells are in the key, so that a name of very many places is many groups; they are a little wider than the band. Where no
+    name is that common on the right, one join by name does.
     """
-    if band <= 0:
+    if band <= 0 or (b.groupBy("name").count().agg(F.max("count")).first()[0] or 0) <= COMMON:
         return a.join(b, "name")
     cell = lambda c: F.floor(F.col(c) / (band * (1 + 1e-9)))
     placed = lambda df, side: df.where(F.col(f"{side}_lat").isNotNull() & F.col(f"{side}_lon").isNotNull())
@@ -185,10 +190,13 @@ def most_specific(df: DataFrame, items: Column, dims: DataFrame, default: tuple,
 
 
 def keyset_page(df: DataFrame, key: str, after, limit: int) -> DataFrame:  # noqa: ANN001
-    """Rows after a key, in its order: `limit` of them and what else the last key has, so no key is cut; null keys come with the first page."""
+    """Rows after a key, in its order: `limit` of them and what else the last key has, so no key is cut; null keys come with the first page.
+
+    The last key is worked out at once, so that both bounds reach the scan.
+    """
     rows = df if after is None else df.where(F.col(key) > after)
-    last = rows.where(F.col(key).isNotNull()).select(key).orderBy(key).limit(limit).agg(F.max(key).alias("_last"))  # one row
-    return rows.join(F.broadcast(last), F.col(key).isNull() | (F.col(key) <= F.col("_last"))).drop("_last").orderBy(key)
+    last = rows.where(F.col(key).isNotNull()).select(key).orderBy(key).limit(limit).agg(F.max(key)).first()[0]
+    return rows.where(F.col(key).isNull() | (F.col(key) <= F.lit(last).cast(df.schema[key].dataType))).orderBy(key)
 
 
 def include_exclude(items: Column, include: list[str], exclude: list[str]) -> Column:

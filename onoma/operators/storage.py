@@ -50,3 +50,23 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
         if f.getLen() == 0:
             found.append(f.getPath().toString())
     return found
+
+
+def join_files(spark: SparkSession, folder: str, path: str, head: str | None = None) -> None:
+    """The files of a folder, in the order of their names and below a first line, as one; the folder goes, and so does what the path's held."""
+    at, fs = _at(spark, folder)
+    to, out_fs = _at(spark, path)
+    out_fs.delete(to.getParent(), True)  # noqa: FBT003
+    out = out_fs.create(to)
+    try:
+        if head is not None:
+            out.write(bytearray(f"{head}\n".encode()))
+        for part in sorted(f.getPath().toString() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-")):
+            data = fs.open(spark._jvm.org.apache.hadoop.fs.Path(part))
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(data, out, 1 << 20, False)  # noqa: FBT003
+            finally:
+                data.close()
+    finally:
+        out.close()
+    fs.delete(at, True)  # noqa: FBT003

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from onoma.functions.text import csv_cell, tsv_cell
+from onoma.operators.storage import join_files
 from onoma.sources.files import usable_files
 
 
@@ -17,9 +19,9 @@ def write_ndjson(df: DataFrame, path: str, single: bool = False) -> None:
 
 def write_pack(cands: DataFrame, path: str, source: str, policy: dict | None = None, facts: dict | None = None, **counts: Column) -> dict:
     """Writes candidates and a manifest beside them, with counts, facts and the policy; returns the manifest."""
-    write_ndjson(cands, path)
-    back = cands.sparkSession.read.schema(cands.schema).json(path)
-    row = back.agg(F.count("*").alias("entityCount"), F.coalesce(F.sum(F.size("searchStrings")), F.lit(0)).alias("stringCount"), *[c.alias(k) for k, c in counts.items()]).first().asDict()
+    seen = Observation()
+    write_ndjson(cands.observe(seen, F.count(F.lit(1)).alias("entityCount"), F.coalesce(F.sum(F.size("searchStrings")), F.lit(0)).alias("stringCount"), *[c.alias(k) for k, c in counts.items()]), path)
+    row = seen.get
     manifest = {"source": source, **row, **(facts or {}), **({"policy": policy} if policy else {})}
     cands.sparkSession.createDataFrame([(json.dumps(manifest, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
     return manifest
@@ -31,11 +33,11 @@ def write_fan_out(df: DataFrame, path: str, *by: str) -> None:
 
 
 def _write_lines(lines: DataFrame, path: str, head: str | None) -> None:
-    """One file of lines (column value) in their order, below the head; a shuffle keeps what makes the lines on all tasks."""
-    numbered = lines.select("value", F.monotonically_increasing_id().alias("at"))
-    if head is not None:
-        numbered = numbered.unionByName(lines.sparkSession.range(1).select(F.lit(head).alias("value"), F.lit(-1).cast("long").alias("at")))
-    numbered.repartition(1).sortWithinPartitions("at").select("value").write.mode("overwrite").text(path)
+    """One file of lines (column value) in their order, below the head: tasks write parts, which the driver's JVM joins as they are."""
+    spark = lines.sparkSession
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    lines.select("value").write.text(parts)
+    join_files(spark, parts, f"{path}/part-00000.txt", head)
 
 
 def write_text(spark: SparkSession, lines: list[str], path: str) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from onoma.operators import relational as R
 from onoma.plans import api
-from onoma.sinks import bundles
+from onoma.sinks import bundles, packs
 
 
 @pytest.fixture
@@ -119,3 +119,24 @@ def test_stored_closures_grow_and_shrink_as_if_reckoned_anew(spark, tmp_path):
     while front:
         front = [(r, c) for r, n in front for c, p in now if p == n and (r, c) not in plain and not plain.update({(r, c): plain[r, n] + 1})]
     assert [x for x in keep() if x[0] == "a"] == sorted((*k, d) for k, d in plain.items())
+
+
+def test_crosswalks_by_cells_and_by_name_agree(spark, monkeypatch):
+    rng = random.Random(3)
+    place = lambda k: (k, f"p{k}", [rng.choice("abc") for _ in range(rng.randint(0, 3))], *((rng.uniform(-3, 3), rng.uniform(-3, 3)) if rng.random() < 0.8 else (None, rng.choice([None, 1.0]))))
+    left = spark.createDataFrame([place(k) for k in range(120)], "row int, id string, names array<string>, lat double, lon double").repartition(3)
+    right = spark.createDataFrame([place(k) for k in range(150)], left.schema).drop("row")
+    found = []
+    for common in (1000, 0):
+        monkeypatch.setattr(R, "COMMON", common)
+        found.append(sorted(map(tuple, R.crosswalk(left, right, 0.5).collect()), key=repr))
+    assert found[0] == found[1] and len(found[0]) > 500
+    assert R.crosswalk(left, right.limit(0)).count() == 0
+
+
+def test_long_tables_keep_their_order_in_one_file(spark, tmp_path):
+    df = spark.range(20_000).repartition(7).orderBy("id").select(F.col("id").alias("k"), F.concat(F.lit("a\tb\n"), F.col("id")).alias("v"))
+    for _ in range(2):  # the second time in place of the first
+        packs.write_tsv(df, str(tmp_path / "t"))
+    assert [p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")] == ["part-00000.txt"] and [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert (tmp_path / "t/part-00000.txt").read_text().split("\n") == ["k\tv", *(f"{k}\ta b {k}" for k in range(20_000)), ""]
