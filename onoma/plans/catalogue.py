@@ -665,4 +665,4 @@ def graph_closure(spark, d):
     return triples.closure_document(_triples(spark, d), {"a": ["R1"], "b": ["R0", "R2"]}).select("kind", F.array_join("closure", ",").alias("classes"))
 
 
-from onoma.plans import compiled  # noqa: E402, F401  it adds its queries
+from onoma.plans import compiled, sourced  # noqa: E402, F401  they add their queries
