@@ -17,6 +17,8 @@ from onoma.llm.common import checkpoint, word_count
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, 20_24
 #: Hash buckets within one (source, size); the ranking of equals never meets in one task.
 BUCKETS = 1024
+#: Equal rows that one task writes.
+ALIKE = 10_000
 #: Words of a budget that the dynamic programme fills; the equal shares leave them.
 RESERVE = 1 << 16
 
@@ -123,13 +125,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     named = hist.join(goal, hist.source.eqNullSafe(goal.source)).select(hist.source, "size", "n", "source_size", "target")
     plans = named.groupBy("source").applyInPandas(plan, "source string, size long, source_size long, target double, passes long, extra long")
     plans = checkpoint(plans.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))))
-    # The first `extra` of a (source, size) by hash bucket, hash and id; ranks are taken within a bucket.
+    # The first `extra` of a (source, size) by hash bucket, hash and id; ranks are taken within a bucket. Rows that are equal here
+    # are one row with its number, so that an id which very many rows share is no long task.
     dealt = sized.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-"))).withColumn("h", F.xxhash64("doc_id", *carry, F.lit(seed)))
     dealt = dealt.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
-    counted = dealt.groupBy("key", "size", "bucket").agg(F.count("*").alias("c"))
-    before = F.sum("c").over(Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    alike = dealt.groupBy("key", "size", "bucket", "h", "doc_id", "source", *carry).agg(F.count("*").alias("c"))
+    counted = alike.groupBy("key", "size", "bucket").agg(F.sum("c").alias("all"))
+    before = F.sum("all").over(Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     buckets = counted.withColumn("before", F.coalesce(before, F.lit(0))).join(plans.drop("source"), ["key", "size"])
-    rank = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id", *carry))
-    out = dealt.withColumn("rank", rank).join(buckets.drop("c"), ["key", "size", "bucket"])
-    copies = F.col("passes") + F.when(F.col("before") + F.col("rank") <= F.col("extra"), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *carry)
+    within = F.sum("c").over(Window.partitionBy("key", "size", "bucket").orderBy("h", "doc_id", *carry).rowsBetween(Window.unboundedPreceding, -1))
+    placed = alike.withColumn("within", F.coalesce(within, F.lit(0))).join(buckets.drop("all"), ["key", "size", "bucket"])
+    more = F.least(F.col("c"), F.greatest(F.col("extra") - F.col("before") - F.col("within"), F.lit(0)))
+    kinds = F.array(F.struct(more.alias("n"), (F.col("passes") + 1).alias("copies")), F.struct((F.col("c") - more).alias("n"), F.col("passes").alias("copies")))
+    facts = ["doc_id", "source", "size", "source_size", "target", *carry]
+    each = placed.select(*facts, F.explode(F.filter(kinds, lambda k: k["n"] > 0)).alias("k")).select(*facts, "k.n", "k.copies")
+    rows = each.where(F.col("n") <= ALIKE).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    parts = each.where(F.col("n") > ALIKE).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(ALIKE).cast("long"))))
+    many = parts.repartition("i", "doc_id", "copies").withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ALIKE).cast("long"), F.col("n") - F.col("i")))))
+    return rows.unionByName(many).select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *carry)

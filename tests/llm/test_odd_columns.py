@@ -91,3 +91,23 @@ def test_row_keys_tell_rows_with_maps_apart(spark):
     df = spark.sql("SELECT 1 AS row_a, map('a', 1, 'b', 2) AS m UNION ALL SELECT 1, map('b', 2, 'a', 1) UNION ALL SELECT 1, map('a', 1, 'b', 3) UNION ALL SELECT 1, null UNION ALL SELECT 1, map()")
     keyed, key = with_row_key(df)
     assert key == ["row_a_", "row_b"] and keyed.select(key).distinct().count() == 4
+
+
+def test_mixing_of_an_id_that_many_rows_share(spark, monkeypatch):
+    from collections import Counter
+
+    from onoma.llm import mixing
+
+    rows = [(7 if k % 3 == 0 else k, "one two three" if k % 2 else "a b", "xy"[k % 5 == 0]) for k in range(3000)] + [(None, "a b", "x")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = []
+    for alike in (10_000, 20):
+        monkeypatch.setattr(mixing, "ALIKE", alike)
+        found.append(Counter(map(tuple, mixing.mix(df).select("doc_id", "source", "size", "taken").collect())))
+    assert found[0] == found[1] and sum(found[0].values()) == len(rows)
+    assert Counter((i, s, n) for (i, s, n, _), c in found[0].items() for _ in range(c)) == Counter((i, s, len(t.split())) for i, t, s in rows)
+    goals = {r.source: r.target for r in mixing.mix(df).select("source", "target").distinct().collect()}
+    for source, target in goals.items():
+        taken = sum(t * c for (_, s, _, t), c in found[0].items() if s == source)
+        assert target - 3 <= taken <= target + 1e-6
+    assert all(t in (n * k for k in range(3)) for (_, _, n, t) in found[0])
