@@ -9,6 +9,7 @@ from threading import Event
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from onoma.functions import names
 from onoma.functions.text import label_key, nfc_array
 from onoma.operators import compilers as C
 from onoma.operators import config, patterns, triples
@@ -18,7 +19,7 @@ from onoma.sinks import bundles, packs
 from onoma.sources import binary, files, sqlite, tei
 from onoma.streaming import resumable
 
-SNAPSHOT_POLICY = {"minLength": 2, "minLengthLatin": 3, "excludedNameTypes": [0, 7, 9, 10]}
+SNAPSHOT_POLICY = {"minLength": 2, "minLengthLatin": 3, "excludedNameTypes": names.EXCLUDED}
 
 
 #: What the compilers read of a snapshot's tables.
@@ -157,10 +158,10 @@ def extract(spark: SparkSession, dump: str, kinds: str, languages: list[str], ou
         if end is not None:
             entities = entities.where(F.struct("file", "block", "line") <= F.struct(F.lit(end.file).alias("file"), F.lit(end.block).cast("long").alias("block"), F.lit(end.line).cast("long").alias("line")))
     rows = C.raw_packs(entities, languages, kinds_, closure, membership, qids)
-    names = {f"{la} {k}": (la, k) for la in languages for k in kinds_}
-    rows = rows.observe(seen, *[F.count_if((F.col("lang") == la) & (F.col("kind") == k)).alias(name) for name, (la, k) in names.items()])
+    slices = {f"{la} {k}": (la, k) for la in languages for k in kinds_}
+    rows = rows.observe(seen, *[F.count_if((F.col("lang") == la) & (F.col("kind") == k)).alias(name) for name, (la, k) in slices.items()])
     packs.write_fan_out(rows, out, "lang", "kind")
-    counts = [(*names[name], n) for name, n in seen.get.items() if n]
+    counts = [(*slices[name], n) for name, n in seen.get.items() if n]
     return spark.createDataFrame(counts, "lang string, kind string, count long")
 
 
@@ -210,6 +211,39 @@ def extract_selection(spark: SparkSession, dump: str, kinds: str, languages: lis
     return extract(spark, dump, kinds, languages, f"{out}/{slug}", membership=membership, qids=qids or None, **more)
 
 
+def extract_resumable(
+    spark: SparkSession, folder: str, kinds: str, languages: list[str], out: str, checkpoint: str, closure: C.Closure | None = None, membership: str = "label-only", qids: list[str] | None = None,
+    files_per_batch: int = 100, bytes_per_batch: int | None = None, stop: Event | None = None,
+) -> dict:
+    """`extract` of what is new in a folder of dump files, into one Parquet table of all packs (lang, kind, raw rows); returns the run's figures.
+
+    It goes on where the checkpoint stands, with the same kinds, languages, classes and membership only; stop ends it after its batch.
+    """
+    kinds_ = parse_kinds(kinds)
+    settings = {"kinds": kinds_, "languages": languages, "membership": membership, "qids": qids, "closure": {k: [sorted(x) for x in v] for k, v in (closure or {}).items()}}
+    rows = lambda lines: C.raw_packs(files.dump_entities(lines.select("value")), languages, kinds_, closure, membership, qids)
+    return resumable.extract(spark, folder, rows, out, checkpoint, settings, files_per_batch, bytes_per_batch=bytes_per_batch, stop=stop)
+
+
+def raw_of(spark: SparkSession, out: str, language: str, kind: str) -> DataFrame:
+    """The raw rows of one pack, of `extract` or of `extract_resumable`."""
+    if exists(spark, f"{out}/lang={language}/kind={kind}"):
+        return spark.read.schema(raw_schema(spark, language)).json(f"{out}/lang={language}/kind={kind}")
+    return spark.read.parquet(out).where((F.col("lang") == language) & (F.col("kind") == kind)).drop("lang", "kind")
+
+
+def raw_schema(spark: SparkSession, language: str):  # noqa: ANN201
+    """The columns of raw rows."""
+    return C.raw_entities(files.dump_entities(spark.createDataFrame([], "value string")), language).schema
+
+
+def parse_works(spark: SparkSession, path: str, out: str, limit: int | None = None) -> int:
+    """Lines of works as raw rows of JSON; returns their number."""
+    rows = files.works(spark, path, limit)
+    packs.write_ndjson(rows, out)
+    return spark.read.schema(rows.schema).json(out).count()
+
+
 def policy_report(raw: DataFrame, out: str, facts: dict[str, str], examples: int = 25) -> dict[str, str]:
     """Writes what the person name policy does to raw persons, as lines of text: facts, counts, and some of the strings that it drops."""
     raw = checkpoint(raw)
@@ -260,8 +294,8 @@ def report(cands: DataFrame, out: str, sample: int = 8, limit: int = 100, order:
     order: a column in whose order entities count as seen; without it, their ids' order is, in which 9 comes before 10.
     """
     seen = F.col(order) if order else F.struct(F.length("authorityId"), F.col("authorityId"))
-    names = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), seen.alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
-    rows = R.ambiguity_rows(names, sample).orderBy(F.desc("n"), F.collate("surface", "zh_Hant"), "surface").limit(limit)
+    named = cands.select(F.col("authorityId").alias("id"), F.col("primaryName").alias("name"), seen.alias("ord"), F.explode(nfc_array(F.col("searchStrings"))).alias("surface"))
+    rows = R.ambiguity_rows(named, sample).orderBy(F.desc("n"), F.collate("surface", "zh_Hant"), "surface").limit(limit)
     rows = rows.select("surface", F.col("n").alias("authority_count"), F.col("ids").alias("sample_qids"), F.col("names").alias("sample_names"))
     packs.write_csv(rows, out, always=True)
     return R.ambiguity_stats(cands.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("strings"))).first().asDict()

@@ -48,7 +48,8 @@ def on_signals(*signals: signal.Signals) -> Iterator[Event]:
 def run_out(query: StreamingQuery, stop: Event | None = None) -> bool:
     """Waits until a query has nothing left to read, or, once `stop` is set, until its running batch has ended, and stops it; whether it was stopped.
 
-    A batch that begins meanwhile is broken off; it was not committed, and runs again when the query goes on.
+    A batch that begins meanwhile is broken off: either it was not committed, and runs again when the query goes on, or it was, and is
+    only missing from the run's figures.
     """
     failed: list[Exception] = []
 
