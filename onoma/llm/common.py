@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from onoma.operators.storage import checkpoint, shared_dir  # noqa: F401  of the library, for all operators
+
 #: A word: a run of anything but the ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of a batch that goes to Python: texts are long.
@@ -28,30 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir.
-
-    Where the session names none, a local master (tests, one machine) gets a temporary folder; a cluster is an error.
-    """
-    sc = spark.sparkContext
-    at = sc._jsc.sc().getCheckpointDir()
-    if at.isDefined():
-        return at.get()
-    named = sc.getConf().get("spark.checkpoint.dir")
-    if not named and not re.match(r"local(\[|$)", sc.master):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="onoma-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, held in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:

@@ -179,7 +179,7 @@ def _tree(ids: np.ndarray, link: np.ndarray) -> list[tuple[np.ndarray, np.ndarra
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """vectors: (vec_id, embedding array of numbers, label) -> (vec_id, n_links, component_id, kept).
 
-    Only vectors of one label, not null, and of one length are compared; lengths may be as many as there are. Null and
+    Only vectors of one label, not null, and of one length are compared; lengths may be as many as there are, and any. Null and
     zero vectors, vectors with null or non-finite components, and rows without an id link with nothing and are their own
     component. Equal vectors of a label are one class, whose size counts in n_links; so do repeated rows. Rows of one id
     whose vectors differ are vectors of their own. An empty table gives an empty result; other columns are ignored.

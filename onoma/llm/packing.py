@@ -317,6 +317,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     ids: little-endian uint32, the document's token ids followed by end_id. Null and empty texts are the end id alone;
     documents longer than a window fill windows of their own, their rest is packed; repeated rows and null ids are
     packed like any other; an empty table gives an empty result; other columns are ignored. Only one sequence is short.
+    Of windows that a piece fills equally well the one opened first takes it, as of equally full ones the first is closed.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     done = stash(map_arrow(rows, _pack(vocabulary, window, spaces, end_id), PIECE), "pieces")

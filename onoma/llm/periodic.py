@@ -55,8 +55,7 @@ def planted(words: pa.Array, at: np.ndarray, hashes: np.ndarray) -> pa.Array:
 def scan(ids: np.ndarray, at: np.ndarray, lo: int = 1, hi: int | None = None) -> np.ndarray:
     """Rows (start in ids, length, period) of the runs with lags lo to hi, hi included.
 
-    at: bounds of texts, the longest first; no two texts share an id. A stretch that has a smaller period within lo to hi
-    is left out; one whose smallest period lies below lo is there.
+    at: bounds of texts, the longest first; no two texts share an id. A stretch whose smallest period is below lo is left out.
     """
     sizes, found = np.diff(at), [np.zeros((0, 3), np.int64)]
     known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -81,12 +80,26 @@ def scan(ids: np.ndarray, at: np.ndarray, lo: int = 1, hi: int | None = None) ->
             ok = sizes_ >= max(LEAST, EXPONENT * p)
             new.append(np.stack([starts[ok], sizes_[ok], np.full(ok.sum(), p)], axis=1))
         new = np.concatenate(new)
+        if lo > 1:  # below lo there may be smaller periods, by which later lags know the stretch again
+            least = np.array([smallest(ids, s, p) for s in new[:, 0].tolist()], np.int64)
+            for q in np.unique(least[least < p]).tolist():
+                old = known.get(q, (np.zeros(0, np.int64),) * 2)
+                starts, ends = (np.concatenate(x) for x in zip(old, (new[least == q, 0], new[least == q, 0] + new[least == q, 1]), strict=True))
+                known[q] = (starts[order := np.argsort(starts)], ends[order])
+            new = new[least == p]
         if len(new):
             found.append(new)
             known[p] = (new[:, 0], new[:, 0] + new[:, 1])
     return np.concatenate(found)
 
 
+def smallest(ids: np.ndarray, start: int, p: int) -> int:
+    """The smallest period of a stretch of period p and at least two periods: it divides p."""
+    low = [q for q in range(1, math.isqrt(p) + 1) if p % q == 0]
+    block = ids[start : start + p]
+    return next(q for q in sorted({*low, *(p // q for q in low)}) if np.array_equal(block, ids[start + q : start + q + p]))
+
+
 def whole(words: pa.Array, at: np.ndarray) -> np.ndarray:
     """Rows (text, start in it, length, period) of all runs, in order; the texts are scanned as one array."""
     codes = words.dictionary_encode()

@@ -137,7 +137,11 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, longest: int = 4) -> Rule:
 
 
 def learn(c: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, most: int = 12) -> tuple[Rule, ...]:
-    """Rules that cover bad documents, in order; c has COUNTS. Every third document prunes."""
+    """Rules that cover bad documents, in order; c has COUNTS. Every third document prunes.
+
+    Of conditions of equal gain the first counts, by RATIOS' order, lower thresholds, and `above` before `at most`; of pruned rules of
+    equal worth the longest. Without a bad document, or with bad ones alone, there is no rule.
+    """
     x, rules = ratios(c), []
     prunes = np.arange(len(bad)) % 3 == 2
     left = np.ones(len(bad), bool)
@@ -164,7 +168,8 @@ def learn(c: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, mos
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[Rule, ...]:
     """Rules from at most `sample` labelled documents, chosen by a hash of the id; labels: (doc_id, quality), 0 is bad.
 
-    Labels that are null are left out; of several for one id the lowest counts. Without labelled rows: no rules.
+    Labels that are null are left out; of several for one id the lowest counts. Rows of one id, or of equal hash, follow by id;
+    rows without an id are not labelled, and null texts have no words. Without labelled rows, or documents: no rules.
     """
     chosen = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("label")).where("label_id is not null and label is not null")
     chosen = chosen.orderBy(F.xxhash64("label_id"), "label_id").limit(sample).groupBy("label_id").agg(F.min("label").alias("label"))

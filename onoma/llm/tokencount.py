@@ -47,7 +47,7 @@ def write_flat(docs: DataFrame, path: str, text_col: str = "text", vocabulary: s
     """Token files of the documents: each text's ids, then END_ID; returns the bytes of an id, which the reader must know.
 
     Null and empty texts are empty documents, repeated rows are written each, an empty table writes none, other columns
-    are ignored. Part and file numbers follow the rows' places in the table, so reruns name the files alike.
+    are ignored. Texts may be of any length and hold zero bytes, which are characters like any other. Part and file numbers follow the rows' places in the table, so reruns name the files alike.
     """
     width = width_of(vocabulary)
     ids = map_arrow(docs.select(F.col(text_col).cast("string").alias("text")), _encode(vocabulary, width), "ids binary")
