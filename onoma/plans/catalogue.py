@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from onoma.functions import clues, ids, kana, text, years
+from onoma.functions import clues, ids, text, years
 from onoma.operators import compilers as C
 from onoma.operators import relational as R
 from onoma.operators import triples
@@ -70,21 +70,6 @@ def blocked_names(spark, d):
     return _words(t(spark, d, "documents")).groupBy("lang").agg(F.count_if(b).alias("blocked"), F.count_if(~b).alias("kept"))
 
 
-_HAN = [("王三", "王", "县", False), ("王某", "王", "", False), ("李四十", "李", "", False), ("司馬光", "司馬", "光", True), ("保德縣", "", "縣", True), ("新興郡", "", "郡", True), ("王氏", "王", "", False), ("張介甫", "張", "", True), ("王安石", "王", "石", True), ("趙A", "趙", "", False)]
-
-
-@query(
-    "SELECT n_nationkey, name, (regexp_matches(name, '[*(\\[\\-]|[A-Za-z]') OR regexp_matches(name, '^[一-鿿]某$') OR regexp_matches(name, '^[一-鿿]{1,3}(?:[0-9]+|[一二三四五六七八九十廿卅卌]+)$') OR (surname <> '' AND name IN (surname || '氏', surname || '某'))) AS blocked, "
-    "CASE WHEN regexp_matches(name, '^[一-鿿]') AND length(name) BETWEEN 2 AND 4 THEN substr(name, 1, 1) ELSE '' END AS inferred, "
-    "CASE WHEN suffix <> '' AND length(name) > 2 AND ends_with(name, suffix) AND length(name) - length(suffix) >= 2 THEN substr(name, 1, length(name) - length(suffix)) END AS stem "
-    f"FROM nation, (VALUES {', '.join(f"('{a}', '{b}', '{c}')" for a, b, c, _ in _HAN)}) v(name, surname, suffix)"
-)
-def cjk_literals(spark, d):
-    v = literals(spark, [r[:3] for r in _HAN], "name string, surname string, suffix string")
-    n, s = F.col("name"), F.col("surname")
-    return t(spark, d, "nation").select("n_nationkey").crossJoin(F.broadcast(v)).select("n_nationkey", "name", text.is_blocked(n, s).alias("blocked"), text.infer_surname(n).alias("inferred"), text.stem(n, F.col("suffix")).alias("stem"))  # ten fixed rows
-
-
 @query("SELECT p_partkey, CAST(len(list_filter(string_split(p_name, ' '), lambda x: length(x) > length(p_brand))) AS BIGINT) AS n_longer, array_to_string(list_filter(string_split(p_name, ' '), lambda x: length(x) > length(p_brand)), '|') AS longer FROM part")
 def longer_than_primary(spark, d):
     longer = F.filter(F.split("p_name", " "), lambda x: F.char_length(x) > F.char_length("p_brand"))
@@ -240,35 +225,6 @@ def year_extract(spark, d):
     return t(spark, d, "pages").select("page_id", years.year_of_date(F.col("url")).alias("year"), years.leading_year(F.regexp_extract("url", "/([^/]*)$", 1)).alias("lead"))
 
 
-_SPANS = [("太原(265 ~ 316)人", 265, 316), ("釋道安尼(312～385)", None, None), ("洛陽（-770~-256）", -770, -256), ("none", None, None), ("x (12-99)", 12, 99)]
-
-
-@query(f"SELECT r_regionkey, remark, s AS start_year, e AS end_year FROM region, (VALUES {', '.join(f"('{a}', {'NULL' if b is None else b}, {'NULL' if c is None else c})" for a, b, c in _SPANS)}) v(remark, s, e)")
-def year_range(spark, d):
-    v = literals(spark, [(a,) for a, _, _ in _SPANS], "remark string")
-    span = years.year_range(F.col("remark"))
-    return t(spark, d, "region").select("r_regionkey").crossJoin(F.broadcast(v)).select("r_regionkey", "remark", span["start"].alias("start_year"), span["end"].alias("end_year"))  # five fixed rows
-
-
-_KANA = ["カタカナ", "ヴァイオリン", "ひらがな", "アイウエオ abc", "ヽヾ", "漢字カナ"]
-
-
-@query(f"SELECT r_regionkey, w, translate(w, '{kana.KATAKANA}', '{kana.HIRAGANA}') AS hiragana FROM region, (VALUES {', '.join(f"('{w}')" for w in _KANA)}) v(w)")
-def kana_translate(spark, d):
-    v = literals(spark, [(w,) for w in _KANA], "w string")
-    return t(spark, d, "region").select("r_regionkey").crossJoin(F.broadcast(v)).select("r_regionkey", "w", kana.to_hiragana(F.col("w")).alias("hiragana"))  # six fixed rows
-
-
-_YOMI = [("ナツメ, ソウセキ, 1867-1916", "ナツメ ソウセキ|ナツメソウセキ|ナツメ|ソウセキ"), ("モリ、オウガイ", "モリ オウガイ|モリオウガイ|モリ|オウガイ"), ("abc", "")]
-
-
-@query(f"SELECT r_regionkey, yomi, readings FROM region, (VALUES {', '.join(map(str, _YOMI))}) v(yomi, readings)")
-def kana_segments(spark, d):
-    v = literals(spark, [(y,) for y, _ in _YOMI], "yomi string")
-    got = F.array_join(kana.readings(F.col("yomi"), F.lit(None).cast("array<string>")), "|")
-    return t(spark, d, "region").select("r_regionkey").crossJoin(F.broadcast(v)).select("r_regionkey", "yomi", got.alias("readings"))  # three fixed rows
-
-
 @query("SELECT page_id, CAST(i AS BIGINT) AS ord, x AS item FROM (SELECT page_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<li\\b.*?</li>') AS l FROM pages))")
 def tei_fragments(spark, d):
     found = tei.fragments(t(spark, d, "pages").select("page_id", "html"), "html", "li")

@@ -196,3 +196,41 @@ def year_ranges_of_remarks(spark, d):
 def surnames_and_kana(spark, d):
     p = t(spark, d, "part").withColumn("name", _as(F.col("p_name"), _HAN)).withColumn("word", F.concat(_as(F.split("p_name", " ")[0], _KANA), F.lit("・")))
     return p.select("p_partkey", "name", F.char_length("name").between(2, 4).alias("short"), text.infer_surname(F.col("name")).alias("surname"), "word", kana.hiragana_reading(F.col("word")).alias("hiragana"))
+
+
+_SURNAME, _GIVEN = _as_sql("left(p_name, 1)", _HAN), _as_sql("p_brand[7:]", _HAN)
+_PERSON = f"CASE p_size % 7 WHEN 0 THEN {_SURNAME} || '某' WHEN 1 THEN {_SURNAME} || '氏' WHEN 2 THEN {_SURNAME} || '三十' WHEN 3 THEN {_SURNAME} || p_size WHEN 4 THEN p_name WHEN 5 THEN {_SURNAME} || {_GIVEN} || '縣' ELSE {_SURNAME} || {_GIVEN} END"
+
+
+@query(f"""SELECT p_partkey, name, (regexp_matches(name, '[*(\\[\\-]|[A-Za-z]') OR regexp_matches(name, '^[一-鿿]某$') OR regexp_matches(name, '^[一-鿿]{{1,3}}(?:[0-9]+|[一二三四五六七八九十廿卅卌]+)$') OR name IN (surname || '氏', surname || '某')) AS blocked,
+CASE WHEN regexp_matches(name, '^[一-鿿]') AND length(name) BETWEEN 2 AND 4 THEN substr(name, 1, 1) ELSE '' END AS inferred,
+CASE WHEN length(name) > 2 AND ends_with(name, '縣') AND length(name) >= 3 THEN substr(name, 1, length(name) - 1) END AS stem FROM (SELECT p_partkey, {_PERSON} AS name, {_SURNAME} AS surname FROM part)""")
+def cjk_literals(spark, d):
+    """Names of parts as those of persons and places: placeholders, clans, birth orders, Latin ones, and usual ones."""
+    surname, given, size = _as(F.left("p_name", F.lit(1)), _HAN), _as(F.substr("p_brand", F.lit(7)), _HAN), F.col("p_size") % 7
+    forms = [F.concat(surname, F.lit("某")), F.concat(surname, F.lit("氏")), F.concat(surname, F.lit("三十")), F.concat(surname, F.col("p_size")), F.col("p_name"), F.concat(surname, given, F.lit("縣"))]
+    name = F.coalesce(*[F.when(size == k, form) for k, form in enumerate(forms)], F.concat(surname, given))
+    p = t(spark, d, "part").select("p_partkey", name.alias("name"), surname.alias("surname"))
+    n, s = F.col("name"), F.col("surname")
+    return p.select("p_partkey", "name", text.is_blocked(n, s).alias("blocked"), text.infer_surname(n).alias("inferred"), text.stem(n, F.lit("縣")).alias("stem"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id < 10000 THEN CAST(n_chars % 2000 AS INTEGER) END AS start_year, CASE WHEN doc_id < 10000 THEN CAST(doc_id AS INTEGER) END AS end_year FROM documents")
+def year_range(spark, d):
+    """Sources of documents, with a range in wide brackets whose numbers may be too long for years."""
+    remark = F.concat(F.coalesce("source", F.lit("")), F.lit("（ "), F.col("n_chars") % 2000, F.lit("～"), F.col("doc_id"), F.lit("）等"))
+    docs = t(spark, d, "documents").select("doc_id", years.year_range(remark).alias("span"))
+    return docs.select("doc_id", F.col("span.start").alias("start_year"), F.col("span.end").alias("end_year"))
+
+
+@query(f"SELECT p_partkey, translate({_as_sql('p_name', _KANA)}, '{kana.KATAKANA}', '{kana.HIRAGANA}') AS hiragana FROM part")
+def kana_translate(spark, d):
+    return t(spark, d, "part").select("p_partkey", kana.to_hiragana(_as(F.col("p_name"), _KANA)).alias("hiragana"))
+
+
+@query(f"SELECT p_partkey, w1 || ' ' || w2 || '|' || w1 || w2 || '|' || CASE WHEN w1 = w2 THEN w1 ELSE w1 || '|' || w2 END AS readings FROM (SELECT p_partkey, {_W1} AS w1, {_W2} AS w2 FROM part)")
+def kana_segments(spark, d):
+    """Readings with years and Latin words between them."""
+    w = F.split("p_name", " ")
+    yomi = F.concat(_as(w[0], _KANA), F.lit("、"), F.col("p_type"), F.lit(", "), _as(w[1], _KANA), F.lit(", 18"), F.col("p_size"), F.lit("-1916"))
+    return t(spark, d, "part").select("p_partkey", F.array_join(kana.readings(yomi, F.lit(None).cast("array<string>")), "|").alias("readings"))
