@@ -147,3 +147,52 @@ def name_parts(spark, d):
     qualified = F.when(F.col("p_size") % 2 == 0, F.concat(han, F.lit(" (x)"))).otherwise(han)
     own = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(han)
     return p.select("p_partkey", F.array_join(text.names_from_pipe(F.replace("p_name", F.lit(" "), F.lit(" | |"))), "|").alias("piped"), names.without_qualifier(qualified).alias("bare"), names.is_usable_native_name(own).alias("usable"))
+
+
+@query("SELECT 'Q' || p_partkey AS id, array_to_string(list_sort(list_distinct([p_name, p_type || ' ' || p_size])), '|') AS strings, CAST(CASE WHEN p_size % 2 = 0 THEN p_size + 1000 ELSE p_size + 1900 END AS INTEGER) AS started, CAST(CASE WHEN p_size % 3 = 0 THEN p_size + 1950 END AS INTEGER) AS ended, p_name || ' (Wikidata Q' || p_partkey || ')' AS description FROM part WHERE p_size % 5 > 0")
+def compile_graph_works(spark, d):
+    """Parts as works of a dump, with a native name, inception before publication, and some that are of an excluded class, too."""
+    size = F.col("p_size")
+    snak = lambda kind, v: F.struct(F.struct(F.lit("value").alias("snaktype"), F.struct(F.lit(kind).alias("type"), v.alias("value")).alias("datavalue")).alias("mainsnak"))
+    item = lambda q: snak("wikibase-entityid", F.struct(F.lit(q).alias("id")))
+    year = lambda n: F.array(snak("time", F.struct(F.concat(F.lit("+"), size + n, F.lit("-00-00T00:00:00Z")).alias("time"))))
+    include, exclude = config.KINDS["work"][0][0], config.KINDS["work"][1][0]
+    classes = F.struct(F.when(size % 5 > 0, F.array(item(include))).otherwise(F.array(item(include), item(exclude))).alias("P31"))
+    spans = F.struct(F.when(size % 2 == 0, year(1000)).alias("P571"), year(1900).alias("P577"), F.when(size % 3 == 0, year(1950)).alias("P576"))
+    native = F.struct(F.array(snak("string", F.concat_ws(" ", "p_type", size))).alias("P1705"))
+    body = lambda s: F.regexp_replace(F.to_json(s), "^\\{|\\}$", "")
+    head = F.concat(F.lit('{"type":"item","id":"Q'), F.col("p_partkey"), F.lit('","labels":{"en":{"language":"en","value":"'), F.col("p_name"), F.lit('"}},"aliases":{},"claims":{'))
+    lines = t(spark, d, "part").select(F.concat(head, F.array_join(F.array(body(classes), body(spans), body(native)), ","), F.lit("}},")).alias("value"))
+    got = C.graph_kind(C.of_kind(C.raw_entities(files.dump_entities(lines), "en"), "work"), "work", "en")
+    return got.select(F.col("authorityId").alias("id"), _joined("searchStrings").alias("strings"), F.col("metadata.startYear").alias("started"), F.col("metadata.endYear").alias("ended"), F.col("metadata.description").alias("description"))
+
+
+@query(f"SELECT CAST(p_partkey AS VARCHAR) AS id, {_as_sql('p_name', _HAN)} AS strings, CAST(p_size + 1800 AS INTEGER) AS born FROM part WHERE p_size % 3 > 0")
+def compile_catalogue_persons(spark, d):
+    """Persons of a catalogue, of whom those with Latin names go."""
+    name = F.when(F.col("p_size") % 3 == 0, F.concat(_as(F.col("p_name"), _HAN), F.lit(" II"))).otherwise(F.concat(F.lit(" "), _as(F.col("p_name"), _HAN)))
+    none = F.lit(None).cast("string")
+    raw = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("authorityId"), name.alias("name"), none.alias("heading"), none.alias("yomi"), F.lit(None).cast("array<string>").alias("yomiAlt"), (F.col("p_size") + 1800).cast("int").alias("birthYear"), F.lit(None).cast("int").alias("deathYear"))
+    got = C.catalogue(raw, "person")
+    return got.select(F.col("authorityId").alias("id"), F.array_join("searchStrings", "|").alias("strings"), F.col("metadata.startYear").alias("born"))
+
+
+@query(f"SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size % 2 = 0 THEN n || ' (' || p_type || ')|' || p_brand || '|' || n ELSE n || '|' || p_brand END AS strings FROM (SELECT *, {_as_sql('p_name', _HAN)} AS n FROM part)")
+def compile_catalogue_places(spark, d):
+    """Places of a catalogue with and without a qualifier."""
+    n, none = _as(F.col("p_name"), _HAN), F.lit(None).cast("string")
+    name = F.when(F.col("p_size") % 2 == 0, F.concat(n, F.lit(" ("), F.col("p_type"), F.lit(")"))).otherwise(n)
+    raw = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("authorityId"), name.alias("name"), F.col("p_brand").alias("heading"), none.alias("yomi"), F.lit(None).cast("array<string>").alias("yomiAlt"))
+    return C.catalogue(raw, "place").select(F.col("authorityId").alias("id"), F.array_join("searchStrings", "|").alias("strings"))
+
+
+@query("SELECT 'Q' || o_orderkey AS qid, CASE WHEN o_orderkey % 4 = 0 THEN '唐' WHEN o_orderkey % 4 = 1 THEN '明前' ELSE '北宋' END AS period FROM orders WHERE o_orderkey % 4 < 3 AND NOT (o_orderkey % 4 = 1 AND o_orderkey % 3 = 0)")
+def persons_before_the_ming(spark, d):
+    """Orders as persons: of the Tang; of no dynasty but early, or late; of the Song and the Northern Song; of the Ming alone."""
+    k, ids = F.col("o_orderkey") % 4, {d_[0]: d_[1] for d_ in config.DYNASTIES}
+    none = F.array().cast("array<string>")
+    p27 = F.when(k == 0, F.array(F.lit(ids["tang"]))).when(k == 1, none).when(k == 2, F.array(F.lit(ids["song"]))).otherwise(F.array(F.lit(ids["ming"])))
+    p2348 = F.when(k == 2, F.array(F.lit(ids["northern-song"]))).otherwise(none)
+    birth = F.when(k == 1, F.when(F.col("o_orderkey") % 3 == 0, 1500).otherwise(900)).otherwise(F.lit(None)).cast("int")
+    raw = t(spark, d, "orders").select(F.concat(F.lit("Q"), F.col("o_orderkey")).alias("qid"), p27.alias("p27"), p2348.alias("p2348"), birth.alias("birthYear"), F.lit(None).cast("int").alias("deathYear"))
+    return C.pre_ming(raw).select("qid", F.col("period.label").alias("period"))
