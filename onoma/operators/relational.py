@@ -27,10 +27,6 @@ def nest(df: DataFrame, key: str, order: str, *cols: str, into: str = "items") -
     return df.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *cols))).alias(into))
 
 
-def explode_names(df: DataFrame, ident: str, names: Column) -> DataFrame:
-    return df.select(ident, F.posexplode(names).alias("name_ord", "surface"))
-
-
 def ambiguity(names: DataFrame, least: int = 2) -> DataFrame:
     """(surface, id) -> (surface, n): strings that name several ids. Pairs are first made distinct, so no hot string is one task."""
     return names.select("surface", "id").distinct().groupBy("surface").agg(F.count("*").alias("n")).where(F.col("n") >= least)

@@ -38,11 +38,6 @@ def minus_classes(items: DataFrame, triples: DataFrame, roots: list[str]) -> Dat
     return items.join(instances(triples, roots), "s", "left_anti") if roots else items
 
 
-def with_values(items: DataFrame, triples: DataFrame, predicate: str, values: list[str]) -> DataFrame:
-    """Items with one of the values."""
-    return items.join(triples.where((F.col("p") == predicate) & F.col("o").isin(values)).select("s"), "s", "left_semi")
-
-
 def page(items: DataFrame, triples: DataFrame, required: dict[str, str], optional: dict[str, str], after: str | None = None, limit: int = 1000, keep: Column | None = None) -> DataFrame:
     """One page of rows by subject: required and optional map names to predicates; keep tests the required columns.
 

@@ -1,6 +1,7 @@
 """Functions, sources and compilers on small golden cases."""
 
 import json
+import re
 import sqlite3
 import struct
 import unicodedata
@@ -255,3 +256,21 @@ def test_packs_of_one_scan(spark):
 def test_dirty_cells():
     assert [binary.cell(v, "bigint") for v in (1, "x", "7", None, 2.5, "")] == [1, None, 7, None, 2, None]
     assert binary.cell(b"\xff", "string") == "�" and binary.cell(3, "string") == "3" and binary.cell("1e3", "double") == 1000.0
+
+
+def test_composition_leaves_safe_ranges_alone():
+    """No character of SAFE is changed by composition, has a combining class, or joins the one before it."""
+    ranges = [tuple(int(x, 16) for x in re.findall(r"\\u([0-9A-F]{4})", part)) for part in re.findall(r"\\u[0-9A-F]{4}-\\u[0-9A-F]{4}", text.SAFE)]
+    assert len(ranges) == 9 and ranges[0] == (0, 0x2FF)
+    second = {int(d.split()[1], 16) for c in range(0x10000) if (d := unicodedata.decomposition(chr(c))) and not d.startswith("<") and " " in d} | set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for lo, hi in ranges:
+        for c in range(lo, hi + 1):
+            assert unicodedata.normalize("NFC", chr(c)) == chr(c) and not unicodedata.combining(chr(c)) and c not in second, hex(c)
+
+
+def test_courtesy_names_and_validity(spark):
+    rows = spark.createDataFrame([("子美", "美"), ("子", "子"), ("子不語集", "子不語集"), ("美子", "美子")], "a string, b string")
+    assert rows.where(text.courtesy_body(F.col("a")) != F.col("b")).count() == 0
+    words = spark.createDataFrame([(w,) for w in ("", "a", "ab", "abc", "李", "李白", "é1", "-'", None)], "w string")
+    assert [r[0] for r in words.select(text.is_valid(F.col("w"))).collect()] == [False, False, False, True, False, True, False, False, None]
+    assert [r[0] for r in words.select(text.is_valid(F.col("w"), "latn")).collect()] == [False, False, False, True, False, False, False, False, None]
