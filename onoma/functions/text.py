@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 #: Fixed value: the white space that normalisation collapses, as a character class body.
 WS = "\\t\\n\\x0B\\f\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF"
+BLANKS = "".join(map(chr, [9, 10, 11, 12, 13, 32, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 LATIN_ONLY = f"^[\\u0000-\\u024F{WS}\\-'.]*$"
 #: Ranges without a character that composition changes, moves, or joins to the one before it.
 SAFE = "\\u0000-\\u02FF\\u0388-\\u0482\\u1E00-\\u1F70\\u2002-\\u20CF\\u2E00-\\u3029\\u3030-\\u3098\\u309B-\\uA66E\\uABEE-\\uD7FF\\uFE30-\\uFFFF"
@@ -27,7 +28,12 @@ def nfc(c: Column) -> Column:
 
     By Python's table, since the installed Arrow's utf8_normalize leaves decomposed strings as they are.
     """
-    return F.coalesce(_nfc(F.when(c.rlike(f"[^{SAFE}]"), c)), c)
+    return F.coalesce(_nfc(F.when(_unsafe(c), c)), c)
+
+
+def _unsafe(c: Column) -> Column:
+    """Whether a string has a character that is not of SAFE; those of plain Latin are told by the first range alone."""
+    return c.rlike("[^\\u0000-\\u02FF]") & c.rlike(f"[^{SAFE}]")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -37,12 +43,12 @@ def _nfc_array(s: pd.Series) -> pd.Series:
 
 def nfc_array(c: Column) -> Column:
     """nfc of each string; taken before higher-order functions, whose bodies cannot call Python."""
-    return F.coalesce(_nfc_array(F.when(F.array_join(c, "").rlike(f"[^{SAFE}]"), c)), c)
+    return F.coalesce(_nfc_array(F.when(_unsafe(F.array_join(c, "")), c)), c)
 
 
 def collapse(c: Column) -> Column:
-    one = F.regexp_replace(c, f"[{WS}]+", " ")
-    return F.regexp_replace(one, "^ | $", "")
+    """Runs of white space are one blank, and none at the ends."""
+    return F.trim(F.regexp_replace(F.translate(c, BLANKS, " " * len(BLANKS)), " {2,}", " "))
 
 
 def normalize_surface(c: Column, compose: bool = True) -> Column:
@@ -51,7 +57,7 @@ def normalize_surface(c: Column, compose: bool = True) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def code_points(c: Column) -> Column:

@@ -1,6 +1,7 @@
 """Functions, sources and compilers on small golden cases."""
 
 import json
+import random
 import re
 import sqlite3
 import struct
@@ -274,3 +275,14 @@ def test_courtesy_names_and_validity(spark):
     words = spark.createDataFrame([(w,) for w in ("", "a", "ab", "abc", "李", "李白", "é1", "-'", None)], "w string")
     assert [r[0] for r in words.select(text.is_valid(F.col("w"))).collect()] == [False, False, False, True, False, True, False, False, None]
     assert [r[0] for r in words.select(text.is_valid(F.col("w"), "latn")).collect()] == [False, False, False, True, False, False, False, False, None]
+
+
+def test_white_space(spark):
+    """Against Python's regular expressions over the same class."""
+    ws, rng = f"[{text.BLANKS}]", random.Random(4)
+    assert len(set(text.BLANKS)) == 25 and all(re.fullmatch(ws, c) for c in text.BLANKS)
+    texts = ["", " ", text.BLANKS, "a\u0085 \u0085", "\u0085", " \u0085 a"] + ["".join(rng.choice("ab" + text.BLANKS + "\u0085é李") for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = df.select("k", text.collapse(F.col("t")).alias("c"), text.strip(F.col("t")).alias("s")).orderBy("k").collect()
+    assert [r.c for r in got] == [re.sub(f"{ws}+", " ", t).strip(" ") for t in texts]
+    assert [r.s for r in got] == [t.strip(text.BLANKS) for t in texts]
