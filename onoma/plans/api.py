@@ -325,7 +325,7 @@ def build_bundles(spark: SparkSession, folder: str, out: str, regions: dict[str,
     """
     named = spark.createDataFrame([(k, d) for k, d in (dates or {}).items()], "name string, at string")
     version = named.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("-", "name", packs.compact_date(F.col("at"))))), "-")).first()[0]
-    chosen = {f"authority-packs-{r}-{version}" if version else f"authority-packs-{r}": p for r, p in (regions or {"all": [""]}).items()}
+    chosen = {f"packs-{r}-{version}" if version else f"packs-{r}": p for r, p in (regions or {"all": [""]}).items()}
     return bundles.build(spark, folder, out, chosen, {"bundleVersion": version or "local", **(facts or {})})
 
 

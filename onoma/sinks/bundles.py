@@ -126,7 +126,7 @@ def of_bundles(files: DataFrame, bundles: dict[str, list[str]]) -> DataFrame:
     return files.withColumn("bundle", F.explode(F.array_compact(F.array(*groups))))
 
 
-def build(spark: SparkSession, folder: str, out: str, bundles: dict[str, list[str]] | None = None, facts: dict | None = None, prefix: str = "authority-packs", part: int = PART) -> dict:
+def build(spark: SparkSession, folder: str, out: str, bundles: dict[str, list[str]] | None = None, facts: dict | None = None, prefix: str = "packs", part: int = PART) -> dict:
     """Writes an archive for each bundle of a folder's files, and an index of them; returns the index.
 
     bundles: name -> prefixes of the files' names; all files are one bundle otherwise. A bundle without a file is an error. The

@@ -33,11 +33,11 @@ def test_archives_are_the_same_bytes_at_every_run(spark, packs_folder, tmp_path)
         assert first == second and (len(first), hashlib.sha256(first).hexdigest()) == (b["bytes"], b["sha256"])
         with tarfile.open(fileobj=io.BytesIO(first)) as tar:
             held = {m.name: tar.extractfile(m).read() for m in tar.getmembers()}
-        assert list(held) == [f"authority-packs/{f['path']}" for f in b["files"]] and b["fileCount"] == len(held)
+        assert list(held) == [f"packs/{f['path']}" for f in b["files"]] and b["fileCount"] == len(held)
         for f in b["files"]:
-            text = held[f"authority-packs/{f['path']}"]
+            text = held[f"packs/{f['path']}"]
             assert text == (packs_folder / f["path"]).read_bytes() and (len(text), hashlib.sha256(text).hexdigest()) == (f["bytes"], f["sha256"])
-    assert {b["id"].split("-")[2]: b["fileCount"] for b in made[0]["bundles"]} == {"both": 2, "chinese": 3, "japanese": 2}
+    assert {b["id"].split("-")[1]: b["fileCount"] for b in made[0]["bundles"]} == {"both": 2, "chinese": 3, "japanese": 2}
     with pytest.raises(ValueError, match="no files"):
         api.build_bundles(spark, str(packs_folder), str(tmp_path / "none"), {"x": ["nothing/"]})
 

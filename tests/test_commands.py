@@ -47,7 +47,7 @@ def test_extraction_that_stops_equals_one_that_does_not(spark, tmp_path, capsys)
     assert json.loads(run(spark, capsys, "compile-language", "--raw", str(tmp_path / "part"), "--out", str(tmp_path / "l"), "--language", "ja", "--kinds", "place")[1])["place"]["entityCount"] == 80
     assert json.loads(run(spark, capsys, "report", "--pack", str(tmp_path / "jp"), "--out", str(tmp_path / "r"))[1])["entities"] == 80
     code, said = run(spark, capsys, "bundle", "--packs", str(tmp_path / "p"), "--out", str(tmp_path / "b"), "--regions", "x=person-ja-tang")
-    assert json.loads(said)["authority-packs-x"]["fileCount"] >= 2 and (tmp_path / "b/authority-packs-x.tar.gz").exists()
+    assert json.loads(said)["packs-x"]["fileCount"] >= 2 and (tmp_path / "b/packs-x.tar.gz").exists()
 
 
 def test_harvest_and_catalogue(spark, tmp_path, capsys):
