@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 COMMON = 1000
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for rows that are few bytes but much work, which neither scans nor adaptive execution spread."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over many tasks; a small file is one task however much each of its rows is made into."""
+    return df.repartition(tasks(df.sparkSession))
+
+
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, that of the highest order."""
     return df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), order).alias("r")).select(key, "r.*")
@@ -60,16 +70,54 @@ def crosswalk(left: DataFrame, right: DataFrame, band: float = 0.5) -> DataFrame
     d_lon, name). Both known positions must differ by at most the band; without one the pair is by name only. Of a
     pair's names the first counts, by position the last.
     """
-    a = left.select("row", F.col("id").alias("left_id"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"), F.posexplode(F.array_distinct("names")).alias("name_ord", "name"))
-    b = right.select(F.col("id").alias("right_id"), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"), F.explode(F.array_distinct("names")).alias("name"))
+    return grouped_pairs(near_pairs(*crosswalk_sides(left, right), band))
+
+
+def crosswalk_sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides a row per name, with row_n, 1 for rows that stand once and have one name, and id_n, how often an id stands on the right."""
+    rows, ids = Window.partitionBy("row"), Window.partitionBy("right_id")
+    names = F.array_compact(F.array_distinct("names"))
+    row_n = F.when(F.col("row").isNotNull(), F.sum(F.greatest(F.size(names), F.lit(1))).over(rows))
+    a = left.select("row", F.col("id").alias("left_id"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"), F.array_distinct("names").alias("_names"), F.coalesce(row_n, F.lit(0)).alias("row_n"))
+    b = right.select(F.col("id").alias("right_id"), F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"), F.array_distinct("names").alias("_names")).withColumn("id_n", F.count("*").over(ids))
+    return a.select(*a.columns[:4], "row_n", F.posexplode("_names").alias("name_ord", "name")), b.select("right_id", "b_lat", "b_lon", "id_n", F.explode("_names").alias("name"))
+
+
+def _distances() -> tuple[Column, Column, Column]:
+    """Differences of a pair's positions, and whether both are known."""
     d_lat, d_lon = F.abs(F.col("a_lat") - F.col("b_lat")), F.abs(F.col("a_lon") - F.col("b_lon"))
-    known = d_lat.isNotNull() & d_lon.isNotNull()
-    pairs = _near(a, b, band).where(~known | ((d_lat <= band) & (d_lon <= band)))
+    return d_lat, d_lon, d_lat.isNotNull() & d_lon.isNotNull()
+
+
+def in_band(pairs: DataFrame, band: float) -> DataFrame:
+    d_lat, d_lon, known = _distances()
+    return pairs.where(~known | ((d_lat <= band) & (d_lon <= band)))
+
+
+def pair_columns() -> list[Column]:
+    d_lat, d_lon, known = _distances()
+    return [F.when(known, "name+geo").otherwise("name-only").alias("method"), d_lat.alias("d_lat"), d_lon.alias("d_lon"), F.col("name")]
+
+
+def near_pairs(a: DataFrame, b: DataFrame, band: float) -> DataFrame:
+    return in_band(_near(a, b, band), band)
+
+
+def grouped_pairs(pairs: DataFrame) -> DataFrame:
+    """One row per pair, with the name that counts."""
+    known = _distances()[2]
     pairs = pairs.withColumn("geo", known.cast("int")).withColumn("pick", F.when(known, F.col("name_ord")).otherwise(-F.col("name_ord")))
-    item = F.struct(F.when(known, "name+geo").otherwise("name-only").alias("method"), d_lat.alias("d_lat"), d_lon.alias("d_lon"), "name")
+    item = F.struct(*pair_columns())
     return pairs.groupBy("row", "left_id", "right_id").agg(F.max_by(item, F.struct("geo", "pick")).alias("r")).select("row", "left_id", "right_id", "r.*")
 
 
+def by_cells(b: DataFrame, band: float):  # noqa: ANN201
+    """(what puts cells x, y to placed records of the left, the right's records in their own and all neighbouring cells)."""
+    cell = lambda c: F.floor(F.greatest(F.lit(-9e18), F.least(F.lit(9e18), F.col(c) / (band * (1 + 1e-9)))))
+    around = lambda c: F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: cell(c) + k))
+    return lambda a: a.withColumns({"x": cell("a_lat"), "y": cell("a_lon")}), b.withColumn("x", around("b_lat")).withColumn("y", around("b_lon"))
+
+
 def _near(a: DataFrame, b: DataFrame, band: float) -> DataFrame:
     """Pairs of one name of which a position is missing, or whose positions lie in the same or in neighbouring cells.
 
@@ -78,12 +126,10 @@ def _near(a: DataFrame, b: DataFrame, band: float) -> DataFrame:
     """
     if band <= 0 or (b.groupBy("name").count().agg(F.max("count")).first()[0] or 0) <= COMMON:
         return a.join(b, "name")
-    cell = lambda c: F.floor(F.col(c) / (band * (1 + 1e-9)))
     placed = lambda df, side: df.where(F.col(f"{side}_lat").isNotNull() & F.col(f"{side}_lon").isNotNull())
     lost = lambda df, side: df.where(F.col(f"{side}_lat").isNull() | F.col(f"{side}_lon").isNull())
-    around = lambda c: F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: cell(c) + k))
-    by_cell = placed(b, "b").withColumn("x", around("b_lat")).withColumn("y", around("b_lon"))
-    near = placed(a, "a").withColumns({"x": cell("a_lat"), "y": cell("a_lon")}).join(by_cell, ["name", "x", "y"]).drop("x", "y")
+    at, by_cell = by_cells(placed(b, "b"), band)
+    near = at(placed(a, "a")).join(by_cell, ["name", "x", "y"]).drop("x", "y")
     return near.unionByName(lost(a, "a").join(b, "name")).unionByName(placed(a, "a").join(lost(b, "b"), "name"))
 
 
@@ -91,9 +137,13 @@ def crosswalk_split(left: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataF
     """(matched pairs, ambiguous pairs, one row of counts); records without a pair count too."""
     n = pairs.groupBy("row").agg(F.count("*").alias("n"))
     with_n = pairs.join(n, "row")
-    all_n = left.select("row").join(n, "row", "left")
-    stats = all_n.agg(F.count_if(F.col("n") == 1).alias("matched"), F.count_if(F.col("n") > 1).alias("ambiguous"), F.count_if(F.col("n").isNull()).alias("no_match"), F.count("*").alias("total"))
-    return with_n.where("n = 1").drop("n"), with_n.where("n > 1").drop("n"), stats
+    return with_n.where("n = 1").drop("n"), with_n.where("n > 1").drop("n"), crosswalk_stats(left, n)
+
+
+def crosswalk_stats(left: DataFrame, n: DataFrame) -> DataFrame:
+    """One row of counts from the numbers (row, n) of pairs of the rows that have any."""
+    all_n = left.select("row").join(n.select("row", "n"), "row", "left")
+    return all_n.agg(F.count_if(F.col("n") == 1).alias("matched"), F.count_if(F.col("n") > 1).alias("ambiguous"), F.count_if(F.col("n").isNull()).alias("no_match"), F.count("*").alias("total"))
 
 
 def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from onoma.functions import clues, ids, text, years
 from onoma.operators import compilers as C
+from onoma.operators import crosswalks
 from onoma.operators import relational as R
 from onoma.operators import triples
 from onoma.sinks import packs
@@ -136,7 +137,7 @@ def include_exclude(spark, d):
 def _xwalk(spark, d):
     left = t(spark, d, "customer").select(F.col("c_custkey").alias("row"), F.col("c_custkey").alias("id"), F.array(F.col("c_nationkey").cast("string")).alias("names"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal") / 100).alias("lat"), F.lit(0.0).alias("lon"))
     right = t(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.array(F.col("s_nationkey").cast("string")).alias("names"), (F.col("s_acctbal") / 100).alias("lat"), F.lit(0.0).alias("lon"))
-    return left, R.crosswalk(left, right, 2.0)
+    return crosswalks.parts(left, right, 2.0)
 
 
 _XWALK = "SELECT c_custkey, s_suppkey, CASE WHEN c_custkey % 7 = 0 THEN 'name-only' ELSE 'name+geo' END AS method FROM customer JOIN supplier ON c_nationkey = s_nationkey AND (c_custkey % 7 = 0 OR abs(c_acctbal / 100 - s_acctbal / 100) <= 2.0)"
@@ -144,17 +145,17 @@ _XWALK = "SELECT c_custkey, s_suppkey, CASE WHEN c_custkey % 7 = 0 THEN 'name-on
 
 @query(f"WITH p AS ({_XWALK}) SELECT c_custkey AS left_id, s_suppkey AS right_id, method FROM p WHERE c_custkey IN (SELECT c_custkey FROM p GROUP BY 1 HAVING count(*) = 1)")
 def crosswalk_match(spark, d):
-    return R.crosswalk_split(*_xwalk(spark, d))[0].select("left_id", "right_id", "method")
+    return _xwalk(spark, d)[0].select("left_id", "right_id", "method")
 
 
 @query(f"WITH p AS ({_XWALK}) SELECT c_custkey AS left_id, s_suppkey AS right_id FROM p WHERE c_custkey IN (SELECT c_custkey FROM p GROUP BY 1 HAVING count(*) > 1)")
 def crosswalk_ambiguous(spark, d):
-    return R.crosswalk_split(*_xwalk(spark, d))[1].select("left_id", "right_id")
+    return _xwalk(spark, d)[1].select("left_id", "right_id")
 
 
 @query(f"WITH n AS (SELECT customer.c_custkey, count(s_suppkey) AS n FROM customer LEFT JOIN ({_XWALK}) p ON p.c_custkey = customer.c_custkey GROUP BY 1) SELECT count(*) FILTER (n = 1) AS matched, count(*) FILTER (n > 1) AS ambiguous, count(*) FILTER (n = 0) AS no_match, count(*) AS total FROM n")
 def crosswalk_stats(spark, d):
-    return R.crosswalk_split(*_xwalk(spark, d))[2]
+    return _xwalk(spark, d)[2]
 
 
 _PERIODS = [(0, "all", 1990, 2010), (1, "early", 1992, 1994), (2, "mid", 1993, 1996), (3, "late", 1996, 1999), (4, "mid2", 1993, 1996)]
