@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from onoma.functions import names
 from onoma.functions.text import label_key, nfc_array
 from onoma.operators import compilers as C
-from onoma.operators import config, patterns, triples
+from onoma.operators import config, crosswalks, patterns, triples
 from onoma.operators import relational as R
 from onoma.operators.storage import checkpoint, exists
 from onoma.sinks import bundles, packs
@@ -118,7 +118,7 @@ def crosswalk_places(left: DataFrame, right: DataFrame, out: str | None = None,
     """Matches two place packs by name and position; writes matched and ambiguous pairs; returns the counts."""
     side = lambda df: df.select(F.col("authorityId").alias("id"), nfc_array(F.col("searchStrings")).alias("names"), F.col("metadata.geo.lat").alias("lat"), F.col("metadata.geo.lon").alias("lon"))
     a = checkpoint(side(left).withColumn("row", F.monotonically_increasing_id()))
-    one, many, stats = R.crosswalk_split(a, checkpoint(R.crosswalk(a, side(right), band)))
+    one, many, stats = crosswalks.parts(a, checkpoint(side(right)), band)
     if out:
         ids = [F.col("left_id").alias("chgis_sys_id"), F.col("right_id").alias("dila_pl_id")]
         packs.write_tsv(one.orderBy("row").select(*ids, F.col("method").alias("match_method"), F.col("d_lat").alias("delta_lat"), F.col("d_lon").alias("delta_lon"), "name"), f"{out}/matched")
