@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from onoma.functions import clues, ids, kana, names, text, years
 from onoma.operators import config
-from onoma.operators.relational import coalesce_text, include_exclude, last_wins, merge_rows, most_specific, nest
+from onoma.operators.relational import coalesce_text, include_exclude, last_wins, merge_rows, most_specific, nest, with_once
 from onoma.sources import tei
 
 EMPTY = "array<string>"
@@ -33,7 +33,7 @@ def snapshot_persons(main: DataFrame, alts: DataFrame, dynasties: DataFrame) ->
     d = dynasties.select(F.col("c_dy").alias("d_dy"), "c_dynasty", "c_dynasty_chn", "c_start", "c_end")
     df = main.where(F.trim(F.coalesce("c_name_chn", F.lit(""))) != "").join(nested, "c_personid", "left").join(d, F.col("c_dy") == F.col("d_dy"), "left")
     alt = F.transform(F.coalesce("alts", F.array().cast("array<struct<_ord:bigint,type:int,value:string>>")), lambda a: F.struct(a["type"].alias("type"), a["value"].alias("value")))
-    df = df.withColumn("names", names.typed_entries(F.col("c_name_chn"), F.col("c_surname_chn"), F.col("c_mingzi_chn"), alt)).where(F.size("names") > 0)
+    df = with_once(df, "names", names.typed_entries(F.col("c_name_chn"), F.col("c_surname_chn"), F.col("c_mingzi_chn"), alt)).where(F.size("names") > 0)
     dates = clues.life_dates(F.col("c_birthyear"), F.col("c_deathyear"), F.col("c_fl_earliest_year"), F.col("c_fl_latest_year"), F.col("c_index_year"))
     meta = F.struct(
         coalesce_text(F.col("c_dynasty_chn"), F.col("c_dynasty")).alias("dynasty"), F.coalesce("c_birthyear", "c_fl_earliest_year", "c_start").cast("int").alias("startYear"),
@@ -47,7 +47,7 @@ def snapshot_places(places: DataFrame) -> DataFrame:
     df = places.where(F.trim(F.coalesce("c_name_chn", F.lit(""))) != "")
     strings = text.search_strings(F.concat(F.array("c_name_chn"), text.split_alt_names(F.coalesce("c_alt_names", F.lit("")))))
     meta = F.struct(F.col("c_admin_type").alias("subtype"), F.col("c_firstyear").cast("int").alias("startYear"), F.col("c_lastyear").cast("int").alias("endYear"), clues.place(F.col("c_name_chn"), F.col("c_admin_type"), _none("string"), F.col("c_firstyear"), F.col("c_lastyear")).alias("description"))
-    return _candidate(df.withColumn("s", strings).where(F.size("s") > 0), "CBDB", "place", F.col("c_addr_id"), F.col("c_name_chn"), F.col("s"), meta)
+    return _candidate(with_once(df, "s", strings).where(F.size("s") > 0), "CBDB", "place", F.col("c_addr_id"), F.col("c_name_chn"), F.col("s"), meta)
 
 
 def snapshot_offices(offices: DataFrame, dynasties: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def snapshot_offices(offices: DataFrame, dynasties: DataFrame) -> DataFrame:
     strings = text.search_strings(F.concat(F.array("c_office_chn"), text.split_alt_names(F.coalesce("c_office_chn_alt", F.lit("")))))
     label = coalesce_text(F.col("c_dynasty_chn"), F.col("c_dynasty"))
     meta = F.struct(label.alias("dynasty"), F.col("c_start").cast("int").alias("startYear"), F.col("c_end").cast("int").alias("endYear"), F.col("c_office_trans").alias("translation"), clues.office(F.col("c_office_chn"), F.col("c_office_trans"), label).alias("description"))
-    return _candidate(df.withColumn("s", strings).where(F.size("s") > 0), "CBDB", "office", F.col("c_office_id"), F.col("c_office_chn"), F.col("s"), meta)
+    return _candidate(with_once(df, "s", strings).where(F.size("s") > 0), "CBDB", "office", F.col("c_office_id"), F.col("c_office_chn"), F.col("s"), meta)
 
 
 def crosswalk_of_points(places: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def mapped_places(rows: DataFrame, cbdb: DataFrame, dila: DataFrame) -> DataFram
     df = df.withColumn("name", coalesce_text(at("NAME_FT"), simple)).withColumn("chgis", F.coalesce(at("SYS_ID"), at("PT_ID"), at("sys_id")))
     df = df.where("name is not null and coalesce(chgis, '') != ''").withColumn("type", coalesce_text(at("TYPE_CH"), at("TYPE")))
     strings = text.search_strings(F.array_compact(F.array("name", text.stem(F.col("name"), F.coalesce("type", F.lit(""))))))
-    df = df.withColumn("s", strings).where(F.size("s") > 0).join(cbdb, "chgis", "left").join(dila, "chgis", "left")
+    df = with_once(df, "s", strings).where(F.size("s") > 0).join(cbdb, "chgis", "left").join(dila, "chgis", "left")
     start, end = years.int_prefix(at("BEG_YR")), years.int_prefix(at("END_YR"))
     geo = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon"), F.struct("lat", "lon"))
     meta = F.struct(
@@ -124,14 +124,14 @@ def mapped_places(rows: DataFrame, cbdb: DataFrame, dila: DataFrame) -> DataFram
 def catalogue(raw: DataFrame, kind: str) -> DataFrame:
     """persons, places and orgs: (authorityId, name, heading, yomi, yomiAlt, birthYear, deathYear); works: (id, title, variants, creators)."""
     if kind == "work":
-        df = raw.withColumn("s", names.title_strings(F.col("title"), F.col("variants"))).where(F.size("s") > 0)
+        df = with_once(raw, "s", names.title_strings(F.col("title"), F.col("variants"))).where(F.size("s") > 0)
         return _candidate(df, "NDL", kind, F.col("id"), F.col("title"), F.col("s"), F.struct(clues.catalogue_entry(F.col("title"), F.col("id"), F.col("creators")).alias("description")))
     yomi, alt = F.col("yomi"), F.col("yomiAlt")
     if kind == "person":
         strings = F.when(names.is_usable_native_name(F.col("name")), F.array(text.strip(F.col("name")))).otherwise(F.array().cast(EMPTY))
     else:
         strings = names.heading_strings(F.col("name"), F.col("heading"), kana.readings(yomi, alt), kana.readings_hiragana(yomi, alt), names.is_usable_native_name if kind == "org" else None)
-    df = raw.withColumn("s", strings).where(F.size("s") > 0)
+    df = with_once(raw, "s", strings).where(F.size("s") > 0)
     more = [] if kind == "person" else [F.get(kana.readings(yomi, alt), F.lit(0)).alias("yomi"), F.get(kana.readings_hiragana(yomi, alt), F.lit(0)).alias("yomiHiragana")]
     span = [F.col("birthYear").alias("startYear"), F.col("deathYear").alias("endYear")] if kind == "person" else []
     meta = F.struct(F.lit("historical").alias("ana"), clues.catalogue_entry(F.col("name"), F.col("authorityId")).alias("description"), *span, *more)
@@ -346,14 +346,14 @@ def compiled_crosswalk(raw: DataFrame) -> Column:
 
 def graph_persons(raw: DataFrame, period: Column, start: Column, end: Column) -> DataFrame:
     fictional = F.coalesce(F.arrays_overlap("p31", F.array(*[F.lit(q) for q in config.FICTIONAL])), F.lit(False))
-    df = raw.withColumn("s", names.person_strings(F.col("primaryLabel"), F.col("aliases"), F.col("familyName"))).where(F.size("s") > 0)
+    df = with_once(raw, "s", names.person_strings(F.col("primaryLabel"), F.col("aliases"), F.col("familyName"))).where(F.size("s") > 0)
     meta = F.struct(period.alias("dynasty"), F.coalesce("birthYear", start).alias("startYear"), F.coalesce("deathYear", end).alias("endYear"), F.when(fictional, "fictional").alias("ana"), clues.graph_person(F.col("primaryLabel"), period, fictional, F.col("qid")).alias("description"), compiled_crosswalk(raw))
     return _candidate(df, "Wikidata", "person", F.col("qid"), F.col("primaryLabel"), F.col("s"), meta)
 
 
 def graph_kind(raw: DataFrame, kind: str, language: str) -> DataFrame:
     script = None if kind == "work" else config.LANGUAGES[language][1]
-    df = raw.withColumn("s", names.kind_strings(F.col("primaryLabel"), F.col("aliases"), script)).where(F.size("s") > 0)
+    df = with_once(raw, "s", names.kind_strings(F.col("primaryLabel"), F.col("aliases"), script)).where(F.size("s") > 0)
     meta = F.struct(F.coalesce("inceptionYear", "publicationYear").alias("startYear"), F.col("dissolvedYear").alias("endYear"), clues.graph_entity(F.col("primaryLabel"), F.col("qid")).alias("description"), compiled_crosswalk(raw))
     return _candidate(df, "Wikidata", kind, F.col("qid"), F.col("primaryLabel"), F.col("s"), meta)
 

@@ -22,6 +22,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(tasks(df.sparkSession))
 
 
+def with_once(df: DataFrame, name: str, c: Column) -> DataFrame:
+    """withColumn of a costly expression: a generator puts it, through which no filter on it is pushed to work it out again."""
+    return df.withColumn(name, c).select(*df.columns, F.explode(F.array(name)).alias(name))
+
+
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, that of the highest order."""
     return df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), order).alias("r")).select(key, "r.*")

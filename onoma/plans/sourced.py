@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from onoma.functions import kana, names, text
 from onoma.operators import compilers as C
 from onoma.operators import config, triples
+from onoma.operators import relational as R
 from onoma.plans import api
 from onoma.plans.catalogue import _database, _joined, _scratch, literals, query, t
 from onoma.plans.compiled import _HAN, _KANA, _P, _V, _W1, _W2, _as, _as_sql, _people
@@ -162,7 +163,7 @@ def compile_graph_works(spark, d):
     native = F.struct(F.array(snak("string", F.concat_ws(" ", "p_type", size))).alias("P1705"))
     body = lambda s: F.regexp_replace(F.to_json(s), "^\\{|\\}$", "")
     head = F.concat(F.lit('{"type":"item","id":"Q'), F.col("p_partkey"), F.lit('","labels":{"en":{"language":"en","value":"'), F.col("p_name"), F.lit('"}},"aliases":{},"claims":{'))
-    lines = t(spark, d, "part").select(F.concat(head, F.array_join(F.array(body(classes), body(spans), body(native)), ","), F.lit("}},")).alias("value"))
+    lines = R.spread(t(spark, d, "part")).select(F.concat(head, F.array_join(F.array(body(classes), body(spans), body(native)), ","), F.lit("}},")).alias("value"))
     got = C.graph_kind(C.of_kind(C.raw_entities(files.dump_entities(lines), "en"), "work"), "work", "en")
     return got.select(F.col("authorityId").alias("id"), _joined("searchStrings").alias("strings"), F.col("metadata.startYear").alias("started"), F.col("metadata.endYear").alias("ended"), F.col("metadata.description").alias("description"))
 

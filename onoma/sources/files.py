@@ -21,9 +21,10 @@ def ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def dump_entities(lines: DataFrame) -> DataFrame:
     """Entities of a dump's text lines (column value), beside the lines' other columns: array brackets, blank and malformed lines are passed over."""
-    body, more = F.regexp_replace(strip(F.col("value")), ",$", ""), [c for c in lines.columns if c != "value"]
-    got = lines.select(*more, body.alias("_body")).where(F.col("_body").startswith("{")).select(*more, F.from_json("_body", ENTITY).alias("e"))
-    return got.where("e.id is not null").select(*more, "e.*")
+    more = [c for c in lines.columns if c != "value"]
+    body = lines.select(*more, F.regexp_replace(strip(F.col("value")), ",$", "").alias("_body"))
+    entity = F.from_json(F.when(F.col("_body").startswith("{"), F.col("_body")), ENTITY)
+    return body.select(*more, F.inline(F.array(entity))).where("id is not null")  # a generator's, so that no filter parses a line again
 
 
 def dump(spark: SparkSession, path: str) -> DataFrame:
