@@ -35,7 +35,7 @@ _P, _V, _S = (_as_sql(x, _HAN) for x in ("right(c_name, 3)", "right(c_name, 4)",
 e AS (SELECT c_custkey, unnest([p, v, s || left(p, 2), n]) AS x, unnest(['primary', 'variant', 'courtesy', 'variant']) AS k, unnest([0, 1, 2, 3]) AS o FROM c)
 SELECT c_custkey, string_agg(x || ':' || k, '|' ORDER BY x) AS names, max(x) FILTER (k = 'primary') AS name FROM (SELECT c_custkey, x, arg_min(k, o) AS k FROM e WHERE length(x) >= 2 GROUP BY 1, 2) GROUP BY c_custkey""")
 def typed_names(spark, d):
-    c = t(spark, d, "customer").join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = R.spread(t(spark, d, "customer")).join(t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     alts = [(3, F.right("c_name", F.lit(4))), (4, F.substr("c_name", F.lit(16), F.lit(2))), (5, F.right("c_name", F.lit(2))), (8, F.substr("n_name", F.lit(8)))]
     main = c.select("c_custkey", _as(F.right("c_name", F.lit(3)), _HAN).alias("p"), F.array(*[F.struct(F.lit(k).alias("type"), _as(v, _HAN).alias("value")) for k, v in alts]).alias("alts"))
     got = main.select("c_custkey", "p", names.typed_entries(F.col("p"), F.left("p", F.lit(1)), F.right("p", F.lit(2)), F.col("alts")).alias("e"))
