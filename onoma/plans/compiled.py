@@ -53,7 +53,7 @@ def _people(spark, d) -> DataFrame:
     name = _as(F.right("c_name", F.lit(3)), _HAN)
     labels, aliases = F.struct(said(name).alias("ja")), F.struct(F.array(said(_as(F.right("c_name", F.lit(5)), _HAN)), said(_as(F.right("c_name", F.lit(2)), _HAN))).alias("ja"))
     whole = F.struct(F.lit("item").alias("type"), F.concat(F.lit("Q"), k).alias("id"), labels.alias("labels"), aliases.alias("aliases"), claims.alias("claims"))
-    return t(spark, d, "customer").select("c_custkey", F.concat(F.to_json(whole), F.lit(",")).alias("value"))
+    return R.spread(t(spark, d, "customer")).select("c_custkey", F.concat(F.to_json(whole), F.lit(",")).alias("value"))
 
 
 _L5 = _as_sql("right(c_name, 5)", _HAN)
