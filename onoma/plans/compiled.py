@@ -122,7 +122,7 @@ _TO_HIRAGANA = f"lambda x: translate(x, '{kana.KATAKANA}', '{kana.HIRAGANA}')"
 @query(f"SELECT CAST(p_partkey AS VARCHAR) AS id, array_to_string(list_sort(list_distinct(list_concat([{_as_sql('p_name', _HAN)}, p_name], list_concat(r, list_transform(r, {_TO_HIRAGANA}))))), '|') AS strings, r[1] AS yomi FROM (SELECT *, [{_W1} || ' ' || {_W2}, {_W1} || {_W2}, {_W1}, {_W2}] AS r FROM part)")
 def compile_catalogue_orgs(spark, d):
     w = F.split("p_name", " ")
-    raw = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("authorityId"), _as(F.col("p_name"), _HAN).alias("name"), F.col("p_name").alias("heading"), F.concat(_as(w[0], _KANA), F.lit("、"), _as(w[1], _KANA), F.lit(", 1990-1995")).alias("yomi"), F.array(F.lit("")).alias("yomiAlt"))
+    raw = R.spread(t(spark, d, "part")).select(F.col("p_partkey").cast("string").alias("authorityId"), _as(F.col("p_name"), _HAN).alias("name"), F.col("p_name").alias("heading"), F.concat(_as(w[0], _KANA), F.lit("、"), _as(w[1], _KANA), F.lit(", 1990-1995")).alias("yomi"), F.array(F.lit("")).alias("yomiAlt"))
     got = C.catalogue(raw, "org")
     return got.select(F.col("authorityId").alias("id"), _joined("searchStrings").alias("strings"), F.col("metadata.yomi").alias("yomi"))
 
