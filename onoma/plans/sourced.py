@@ -126,7 +126,7 @@ def readings_and_identifiers(spark, d):
         F.when(size % 3 == 0, snak(F.concat(F.lit("A"), size))).alias("P1187"), snak(F.concat(F.lit("B"), size, F.lit(" "))).alias("P1188"),
     )
     labels = F.struct(said("ja", F.col("p_name")).alias("ja"), said("ja-Kana", _as(w[1], _KANA)).alias("ja-Kana"))
-    lines = t(spark, d, "part").select(F.to_json(F.struct(F.lit("item").alias("type"), F.concat(F.lit("Q"), F.col("p_partkey")).alias("id"), labels.alias("labels"), claims.alias("claims"))).alias("value"))
+    lines = R.spread(t(spark, d, "part")).select(F.to_json(F.struct(F.lit("item").alias("type"), F.concat(F.lit("Q"), F.col("p_partkey")).alias("id"), labels.alias("labels"), claims.alias("claims"))).alias("value"))
     raw = C.raw_entities(files.dump_entities(lines), "ja")
     return raw.select("qid", F.array_join("nameInKana", "|").alias("n"), F.col("crosswalk.viaf").alias("viaf"), F.col("crosswalk.dila").alias("dila"))
 
