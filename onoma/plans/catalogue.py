@@ -404,12 +404,12 @@ def harvest_resume(spark, d):
 @query("SELECT o_custkey, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity, min(l_returnflag) AS first_mode, max(l_returnflag) AS last_mode FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey")
 def harvest_stream(spark, d):
     """Orders' lines go into a database, and are harvested from it by customer in two runs, the first of which stops half-way."""
-    from onoma.sources import sqlite
     from onoma.streaming import resumable
 
     base = _scratch(spark, "by-key")
-    db = _database(spark, base, lines=t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_quantity", "l_returnflag"))
-    n = sqlite.table(spark, db, "lines", "o_custkey").agg(F.countDistinct("o_custkey")).first()[0]
+    lines = t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_quantity", "l_returnflag")
+    db = _database(spark, base, index={"lines": "o_custkey"}, lines=lines)
+    n = lines.agg(F.countDistinct("o_custkey")).first()[0]
     merge = lambda rows: rows.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"), F.min("l_returnflag").alias("first_mode"), F.max("l_returnflag").alias("last_mode"))
     options = {"path": db, "dbtable": "lines", "key": "o_custkey", "limit": str(n // 12 + 1), "ranges": "4"}
     for batches in (2, 0):
@@ -417,8 +417,8 @@ def harvest_stream(spark, d):
     return spark.read.parquet(f"{base}/sink").drop("batch")
 
 
-def _database(spark: SparkSession, base: str, **tables: DataFrame) -> str:
-    """A SQLite database of some tables in a folder of the shared one, which must be a path that all machines mount."""
+def _database(spark: SparkSession, base: str, index: dict[str, str] | None = None, **tables: DataFrame) -> str:
+    """A SQLite database of some tables, with an index of some, in a folder of the shared one, which must be a path that all machines mount."""
     import os
 
     from onoma.sources import sqlite
@@ -426,7 +426,7 @@ def _database(spark: SparkSession, base: str, **tables: DataFrame) -> str:
     sqlite.register(spark)
     os.makedirs(sqlite.local(base), exist_ok=True)
     for name, df in tables.items():
-        sqlite.write(df, f"{base}/tables.db", name)
+        sqlite.write(df, f"{base}/tables.db", name, index=(index or {}).get(name, ""))
     return f"{base}/tables.db"
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import datasource as ds
@@ -55,6 +56,24 @@ def cell(v, kind: str):  # noqa: ANN001, ANN201
     return got if kind != "bigint" or -(2**63) <= got < 2**63 else None
 
 
+#: Arrow's types of the columns; rows are fetched, and handed to Spark, so many at a time.
+_ARROW, FETCHED = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}, 10_000
+
+
+def batches(rows: sqlite3.Cursor, fields: list[tuple[str, str]], keep: Callable | None = None) -> Iterator:
+    """Rows as their columns' types, those that `keep` takes: as Arrow's batches, or as tuples where a column has a further type."""
+    arrow = all(k in _ARROW for _, k in fields)
+    while some := rows.fetchmany(FETCHED):
+        columns = [[cell(v, k) for v in col] for col, (_, k) in zip(zip(*some, strict=True), fields, strict=True)]
+        if keep or not arrow:
+            kept = [r for r in zip(*columns, strict=True) if not keep or keep(r)]
+            columns = list(zip(*kept, strict=True)) or [[] for _ in fields]
+        if arrow:
+            yield pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+        else:
+            yield from zip(*columns, strict=True)
+
+
 # --- scans -----------------------------------------------------------------------------------------------------------
 
 
@@ -113,7 +132,8 @@ class SqliteSource(ds.DataSource):
     Scans: one partition for each 100,000 rowids, or for so many as option rows says, or numPartitions; column _ord is the rowid, which keeps the table's order.
     Filters on single columns reach SQLite. Tables without rowids and views are read by one task, _ord counts their rows.
     Streams: option key, a column; see KeysetStream. Rows without a key are not harvested.
-    Writes: option key, comma-separated columns, of whose equals the first row stays; append keeps the rows that are there.
+    Writes: option key, comma-separated columns, of whose equals the first row stays; append keeps the rows that are there. Option index,
+    comma-separated columns that get an index, as that by which a stream reads should have.
     """
 
     @classmethod
@@ -171,16 +191,14 @@ class SqliteReader(ds.DataSourceReader):
         step = -(-(hi - lo + 1) // int(self.parts)) if self.parts else self.step
         return [ds.InputPartition((a, min(a + step - 1, hi))) for a in range(lo, hi + 1, step)]
 
-    def read(self, partition: ds.InputPartition) -> Iterator[tuple]:
+    def read(self, partition: ds.InputPartition) -> Iterator:
         number = "rowid" if partition.value else "row_number() OVER ()"
         where = [*(['"_ord" BETWEEN ? AND ?'] if partition.value else []), *(t.sql for t in self.tests)]
         sql = f'SELECT {", ".join(quoted(n) for n, _ in self.fields)} FROM (SELECT {number} AS "_ord", * FROM {quoted(self.table)})'
         sql += f" WHERE {' AND '.join(where)}" * bool(where) + ' ORDER BY "_ord"'
         with reading(self.path) as db:
-            for row in db.execute(sql, [*(partition.value or ()), *(v for t in self.tests for v in t.values)]):
-                out = tuple(cell(v, t) for v, (_, t) in zip(row, self.fields, strict=True))
-                if all(t.holds(out[t.column]) for t in self.tests):
-                    yield out
+            rows = db.execute(sql, [*(partition.value or ()), *(v for t in self.tests for v in t.values)])
+            yield from batches(rows, self.fields, (lambda r: all(t.holds(r[t.column]) for t in self.tests)) if self.tests else None)
 
 
 class TablePages(Pages):
@@ -198,12 +216,11 @@ class TablePages(Pages):
         with reading(self.path) as db:
             return [r[0] for r in db.execute(f"SELECT DISTINCT {self.key} FROM {self.table} WHERE {where} ORDER BY 1 LIMIT ?", [*values, most])]
 
-    def rows(self, after, upto) -> Iterator[tuple]:  # noqa: ANN001
+    def rows(self, after, upto) -> Iterator:  # noqa: ANN001
         where, values = self._bounds(after, upto)
         cols = ", ".join("rowid" if n == "_ord" else quoted(n) for n, _ in self.fields)
         with reading(self.path) as db:
-            for row in db.execute(f"SELECT {cols} FROM {self.table} WHERE {where} ORDER BY {self.key}", values):
-                yield tuple(cell(v, t) for v, (_, t) in zip(row, self.fields, strict=True))
+            yield from batches(db.execute(f"SELECT {cols} FROM {self.table} WHERE {where} ORDER BY {self.key}", values), self.fields)
 
 
 # --- sink ------------------------------------------------------------------------------------------------------------
@@ -227,12 +244,12 @@ def stored(v):  # noqa: ANN001, ANN201
 
 
 class SqliteWriter(ds.DataSourceWriter):
-    """Each task writes a file of its own beside the database; the driver's commit adds those of successful tasks in one transaction,
-    in the order of partitions. Whatever fails before, or within it, leaves the database as it was."""
+    """Each task writes a file of its own beside the database; the driver's commit has SQLite join those of successful tasks and add
+    them in one transaction, in the order of partitions. Whatever fails before, or within it, leaves the database as it was."""
 
     def __init__(self, options: dict, schema: StructType, overwrite: bool):  # noqa: FBT001
         self.path, self.table, self.overwrite = local(options["path"]), options["dbtable"], overwrite
-        self.key = [c.strip() for c in options["key"].split(",")] if options.get("key") else []
+        self.key, self.index = ([c.strip() for c in options[k].split(",")] if options.get(k) else [] for k in ("key", "index"))
         kinds = [(f.name, STORED.get(f.dataType.typeName() if f.dataType.typeName() == "boolean" else f.dataType.simpleString(), "TEXT")) for f in schema.fields]
         if any(f.dataType.typeName() in ("array", "map", "struct", "variant") for f in schema.fields):
             raise ValueError("SQLite keeps no arrays, maps or structs; write them as JSON")
@@ -251,18 +268,37 @@ class SqliteWriter(ds.DataSourceWriter):
             db.commit()
         return Part(task.partitionId(), path)
 
+    def _joined(self, messages: list[Part | None]) -> str | None:
+        """The file of the first part, into which SQLite has copied the others, in the order of partitions."""
+        first, *others = sorted((m for m in messages if m), key=lambda m: m.at) or [None]
+        if first is None:
+            return None
+        with closing(sqlite3.connect(first.path, isolation_level=None)) as db:
+            for pragma in ("synchronous", "journal_mode"):
+                db.execute(f"PRAGMA {pragma} = OFF")
+            for part in others:
+                db.execute("ATTACH ? AS other", (part.path,))
+                db.execute("INSERT INTO main.part SELECT * FROM other.part ORDER BY rowid")
+                db.execute("DETACH other")
+                os.remove(part.path)
+        return first.path
+
     def commit(self, messages: list[Part | None]) -> None:
+        staged = self._joined(messages)
         with closing(sqlite3.connect(self.path, isolation_level=None)) as db:
+            if staged:
+                db.execute("ATTACH ? AS staged", (staged,))
             db.execute("BEGIN IMMEDIATE")
             try:
                 if self.overwrite:
-                    db.execute(f"DROP TABLE IF EXISTS {quoted(self.table)}")
-                db.execute(f"CREATE TABLE IF NOT EXISTS {quoted(self.table)} ({self.columns})")
+                    db.execute(f"DROP TABLE IF EXISTS main.{quoted(self.table)}")
+                db.execute(f"CREATE TABLE IF NOT EXISTS main.{quoted(self.table)} ({self.columns})")
                 if self.key:
-                    db.execute(f"CREATE UNIQUE INDEX IF NOT EXISTS {quoted(self.table + ' by ' + ', '.join(self.key))} ON {quoted(self.table)} ({', '.join(map(quoted, self.key))})")
-                for part in sorted((m for m in messages if m), key=lambda m: m.at):
-                    with closing(sqlite3.connect(part.path)) as rows:
-                        db.executemany(f"INSERT OR IGNORE INTO {quoted(self.table)} ({self.names}) VALUES ({self.marks})", rows.execute("SELECT * FROM part ORDER BY rowid"))
+                    db.execute(f"CREATE UNIQUE INDEX IF NOT EXISTS main.{quoted(self.table + ' by ' + ', '.join(self.key))} ON {quoted(self.table)} ({', '.join(map(quoted, self.key))})")
+                if staged:
+                    db.execute(f"INSERT OR IGNORE INTO main.{quoted(self.table)} ({self.names}) SELECT * FROM staged.part ORDER BY rowid")
+                if self.index:
+                    db.execute(f"CREATE INDEX IF NOT EXISTS main.{quoted(self.table + ' indexed by ' + ', '.join(self.index))} ON {quoted(self.table)} ({', '.join(map(quoted, self.index))})")
                 db.execute("COMMIT")
             except BaseException:
                 db.execute("ROLLBACK")
@@ -288,5 +324,5 @@ def table(spark: SparkSession, path: str, name: str, *columns: str) -> DataFrame
     return (reader.option("columns", ",".join(columns)) if columns else reader).load()
 
 
-def write(df: DataFrame, path: str, name: str, key: str = "", mode: str = "append") -> None:
-    df.write.format("sqlite").option("path", path).option("dbtable", name).option("key", key).mode(mode).save()
+def write(df: DataFrame, path: str, name: str, key: str = "", mode: str = "append", index: str = "") -> None:
+    df.write.format("sqlite").option("path", path).option("dbtable", name).option("key", key).option("index", index).mode(mode).save()
