@@ -160,7 +160,7 @@ def depths(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFra
     """closure with depth, the fewest edges from the root's start. Each round is written once and never again."""
     from onoma.operators.storage import checkpoint
 
-    edges = edges.select("child", "parent").distinct()
+    edges = checkpoint(edges.select("child", "parent").distinct())  # once, not in each round
     front = checkpoint(roots.select("root", "node").distinct().withColumn("depth", F.lit(0)))
     seen = front
     for depth in range(1, max_depth + 1):
@@ -180,11 +180,12 @@ def extend_depths(known: DataFrame, edges: DataFrame, added: DataFrame, max_dept
     """
     from onoma.operators.storage import checkpoint
 
-    edges = edges.select("child", "parent").distinct()
+    edges = checkpoint(edges.select("child", "parent").distinct())  # once, not in each round
     step = lambda front, by: front.join(by, front.node == by.parent).groupBy("root", F.col("child").alias("node")).agg((F.min("depth") + 1).alias("depth"))
     seen, new = known, step(known, added.select("child", "parent").distinct())
     for _ in range(max_depth):
-        best = seen.groupBy("root", "node").agg(F.min("depth").alias("best"))
+        new = checkpoint(new)
+        best = seen.join(new.select("root", "node"), ["root", "node"], "left_semi").groupBy("root", "node").agg(F.min("depth").alias("best"))
         front = checkpoint(new.join(best, ["root", "node"], "left").where("best is null or depth < best").drop("best"))
         if front.isEmpty():
             return seen.groupBy("root", "node").agg(F.min("depth").alias("depth"))
