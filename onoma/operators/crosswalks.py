@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from onoma.operators import relational as R
@@ -34,12 +34,38 @@ def _expand(a: DataFrame, b: DataFrame, keys: list[str], shares: int) -> DataFra
     return got.select(*[c for c in a.columns if c != "_s"], F.inline("_items"))
 
 
+def _corners(u: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each group's placed records those than which, towards one of four corners, at most one other lies as far in both directions."""
+    cols, kept = u.columns, F.lit(False)
+    for k, (s, t) in enumerate([(1, 1), (1, -1), (-1, 1), (-1, -1)]):
+        lon = F.col("b_lon") * t
+        before = Window.partitionBy(keys).orderBy((F.col("b_lat") * s).desc(), lon.desc(), "right_id").rowsBetween(Window.unboundedPreceding, -1)
+        u = u.withColumn(f"_m{k}", F.max(lon).over(before))
+        second = F.max(F.when(F.col(f"_m{k}").isNotNull(), F.least(lon, f"_m{k}"))).over(before)
+        u = u.withColumn(f"_m{k}", second)
+        kept = kept | F.col(f"_m{k}").isNull() | (lon > F.col(f"_m{k}"))
+    return u.where(kept).select(cols)
+
+
+def _telling(u: DataFrame, band: float) -> DataFrame:
+    """The placed records of the right that tell of any record of the left whether it has no pair, one or several, and which the one is.
+
+    A record of the left lies in a quarter or beside it, so what its band takes of the quarter is all that is beyond some latitude, some
+    longitude, or both. The two records furthest towards its corner are in it if any two are. Shares of quarters come first, so that no
+    quarter is one task.
+    """
+    u = u.withColumns(_quarter("b", band)).withColumn("_s", F.pmod(F.xxhash64("right_id"), F.lit(64)))
+    cell, known = ["name", "x", "y"], F.col("x").isNotNull() & F.col("y").isNotNull()
+    few = _corners(_corners(u.where(known), [*cell, "_s"]), cell)
+    return few.unionByName(u.where(~known)).drop("x", "y", "_s")
+
+
 def parts(left: DataFrame, right: DataFrame, band: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What `crosswalk_split` makes of `crosswalk`'s pairs: (matched pairs, ambiguous pairs, one row of counts).
 
     A record of one name meets a record that stands once on the right in that name alone, so these pairs need not be grouped. They
-    are counted by name and by quarters of cells, and only records of which that tells too little are compared with their
-    neighbours; all pairs are made for ambiguous records alone.
+    are counted by name and by quarters of cells, and only records of which that tells too little are compared with those of their
+    neighbours that tell more; all pairs are made for ambiguous records alone.
     """
     a, b = R.crosswalk_sides(left, right)
     plain, once = F.col("row_n") == 1, F.col("id_n") == 1
@@ -61,9 +87,10 @@ def parts(left: DataFrame, right: DataFrame, band: float = 0.5) -> tuple[DataFra
     none = F.lit(None).cast(by_name.schema["r"].dataType)
     sure = here.where("sure").select("row", F.lit(2).cast("long").alias("n"), none.alias("r"))
     placed, cells = R.by_cells(u.where(_placed("b")), band) if band > 0 else (None, None)
+    telling = R.by_cells(_telling(u.where(_placed("b")), band), band)[1] if band > 0 else None
     found = [by_name, lost, sure, rest.select("row", F.lit(1).cast("long").alias("n"), "r")]
     if band > 0:
-        near = R.in_band(placed(here.where("sure is null").drop("sure")).join(cells, ["name", "x", "y"]), band)
+        near = R.in_band(placed(here.where("sure is null").drop("sure")).join(telling, ["name", "x", "y"]), band)
         found.append(near.select("row", F.lit(1).cast("long").alias("n"), pair.alias("r")))
     marks = R.union_all(found).groupBy("row").agg(F.sum("n").alias("n"), F.max("r").alias("r"))
 
